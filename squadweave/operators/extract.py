@@ -122,6 +122,8 @@ def parse_pages(pages: DataFrame, layouts: tuple[Layout, ...], html: str = "html
                 cards.append(cards_of(page, layout) if layout else [])
             yield pd.DataFrame({"layout": pd.Series(names, dtype=object), "cards": pd.Series(cards, dtype=object)})
 
+    # Said to be non-deterministic, the parse is not repeated for a filter on its result.
+    parsed = parsed.asNondeterministic()
     found = pages.withColumn("_parsed", parsed(F.when(_may_match(F.col(html), layouts), F.col(html)).otherwise("")))
     return found.select(
         *[F.col(name) for name in pages.columns if name != html], F.col("_parsed.layout"), F.col("_parsed.cards")
@@ -146,10 +148,14 @@ def detect_layout(pages: DataFrame, layouts: tuple[Layout, ...] = ROSTER_LAYOUTS
 
 def extract_cards(pages: DataFrame, layouts: tuple[Layout, ...], html: str = "html") -> DataFrame:
     """One row per card: the page columns, ``layout``, ``card_no``, ``kind`` and the field texts."""
-    parsed = parse_pages(pages, layouts, html)
-    return parsed.select(
+    return _explode_cards(parse_pages(pages, layouts, html))
+
+
+def _explode_cards(parsed: DataFrame) -> DataFrame:
+    cards = parsed.select(
         *[name for name in parsed.columns if name != "cards"], F.posexplode("cards").alias("card_no", "card")
-    ).select("*", "card.kind", "card.fields").drop("card")
+    )
+    return cards.select("*", "card.kind", "card.fields").drop("card")
 
 
 def roster_cards(pages: DataFrame) -> DataFrame:
@@ -166,21 +172,10 @@ def roster_cards(pages: DataFrame) -> DataFrame:
         (card["kind"] == "player")
         & F.when(height(card).isNull(), ~modern).otherwise(height_inches(height(card)).isNull())
     )
-    whole = F.when(modern & F.exists("cards", bad), F.lit("page holds a card with an unreadable height"))
-    cards = parsed.withColumn(
-        "cards",
-        F.transform(
-            "cards",
-            lambda card: F.struct(
-                card["kind"].alias("kind"),
-                card["fields"].alias("fields"),
-                F.coalesce(whole, F.when(bad(card), F.lit("unreadable height"))).alias("error"),
-            ),
-        ),
-    )
-    return cards.select(
-        *[name for name in cards.columns if name != "cards"], F.posexplode("cards").alias("card_no", "card")
-    ).select("*", "card.kind", "card.fields", "card.error").drop("card")
+    page_error = F.when(modern & F.exists("cards", bad), F.lit("page holds a card with an unreadable height"))
+    cards = _explode_cards(parsed.withColumn("page_error", page_error))
+    card_error = F.when(bad(F.struct("kind", "fields")), F.lit("unreadable height"))
+    return cards.withColumn("error", F.coalesce("page_error", card_error)).drop("page_error")
 
 
 def roster_players(cards: DataFrame) -> DataFrame:

@@ -108,17 +108,18 @@ def fuzzy_pairs(names: DataFrame, canon: DataFrame, scorer: str, cutoff: float,
             found = found.sort_values(["score", "seq"], ascending=[False, True]).drop_duplicates("name")
         return found
 
+    seq_type = canon.schema["seq"].dataType.simpleString()
     return (
         name_cells.groupBy("r", "c")
         .cogroup(canon_cells.groupBy("r", "c"))
-        .applyInPandas(score, "name string, canon string, seq long, score double")
+        .applyInPandas(score, f"name string, canon string, seq {seq_type}, score double")
     )
 
 
 def best_match(df: DataFrame, key: str, score: str, seq: str, value: str) -> DataFrame:
     """Per key the value with the top score, the earliest on ties."""
-    top = F.struct(F.col(score), -F.col(seq))
-    return df.groupBy(key).agg(F.max_by(value, top).alias(value), F.max(score).alias(score))
+    top = F.struct(-F.col(score), F.col(seq))
+    return df.groupBy(key).agg(F.min_by(value, top).alias(value), F.max(score).alias(score))
 
 
 def _distinct_names(df: DataFrame, column: str) -> DataFrame:
@@ -127,7 +128,7 @@ def _distinct_names(df: DataFrame, column: str) -> DataFrame:
 
 def _first_seen(df: DataFrame, column: str, seq: str) -> DataFrame:
     named = df.filter(F.col(column).isNotNull())
-    return named.groupBy(F.col(column).alias("canon")).agg(F.min(seq).cast("long").alias("seq"))
+    return named.groupBy(F.col(column).alias("canon")).agg(F.min(seq).alias("seq"))
 
 
 def canonicalize(
@@ -142,7 +143,8 @@ def canonicalize(
     """Mapping ``(name, canon, score)`` of every distinct name to its best canonical name.
 
     A name without a canonical one at or above ``cutoff`` maps to itself with
-    a null score. The earliest canonical name, by ``seq``, wins a tie.
+    a null score. The earliest canonical name, by ``seq``, wins a tie; ``seq``
+    is a number or a text, and may be the canonical name itself.
     """
     wanted = _distinct_names(names, name)
     targets = _first_seen(canon, canon_name, seq)

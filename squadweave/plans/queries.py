@@ -369,7 +369,7 @@ parts AS (
   SELECT title, unnest(ps) AS p, generate_subscripts(ps, 1) AS rn
   FROM (SELECT title, string_split(regexp_replace(regexp_replace(replace(lower(title), '&', '/'), '[(),]', ' ', 'g'),
                                                   '\\s+', ' ', 'g'), '/') AS ps FROM shape)),
-hits AS (SELECT title, role, min(pn * 100 + kn) AS pos FROM parts JOIN kw ON contains(p, k) GROUP BY ALL),
+hits AS (SELECT title, role, min(parts.rn * 100 + kn) AS pos FROM parts JOIN kw ON contains(p, k) GROUP BY ALL),
 flags AS (SELECT title, bool_or(role = 'Head Coach') AS head, bool_or(role = 'Associate Head Coach') AS assoc,
                  bool_or(role = 'Assistant Coach') AS asst FROM hits GROUP BY title),
 kept AS (
