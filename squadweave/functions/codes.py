@@ -62,10 +62,9 @@ def split_pair(col: Column, mapping: dict[str, str] = SIDES, invalid: str = "Yea
     ``invalid`` is not a pair.
     """
     text = F.replace(F.upper(strip(null_or_invalid_to_na(col, invalid))), F.lit("-"), F.lit("/"))
-    parts = F.filter(F.split(text, "/"), lambda part: part != "")
     values = literal_map(mapping)
-    first, second = (F.try_element_at(values, F.get(parts, F.lit(at))) for at in (0, 1))
-    return first, second
+    first, second = (F.regexp_extract(text, pattern, 1) for pattern in ("([^/]+)", "[^/]/+([^/]+)"))
+    return F.try_element_at(values, first), F.try_element_at(values, second)
 
 
 def positional_fields(items: Column, names: list[str], default: str) -> list[Column]:

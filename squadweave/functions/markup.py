@@ -62,11 +62,14 @@ class Select:
     value: str = ""
 
     def fits(self, element: Element) -> bool:
-        if element.tag != self.tag:
+        return self.fits_tag(element.tag, element.attrs)
+
+    def fits_tag(self, tag: str, attrs: dict[str, str]) -> bool:
+        if tag != self.tag:
             return False
         if self.attr is None:
             return True
-        given = element.attrs.get(self.attr)
+        given = attrs.get(self.attr)
         if given is None:
             return False
         return given == self.value or (self.attr == "class" and self.value in given.split())
@@ -149,8 +152,38 @@ class Layout:
     cards: tuple[Card, ...] = ()
 
 
-def layout_of(page: Element, layouts: tuple[Layout, ...]) -> Layout | None:
-    return next((layout for layout in layouts if layout.marker.first_in(page) is not None), None)
+class _Found(Exception):
+    pass
+
+
+class _Markers(HTMLParser):
+    """The first layout, in the given order, whose marker occurs; no tree is built."""
+
+    def __init__(self, layouts: tuple[Layout, ...]):
+        super().__init__(convert_charrefs=False)
+        self.left = list(layouts)
+        self.found: Layout | None = None
+
+    def handle_starttag(self, tag, attrs):
+        for at, layout in enumerate(self.left):
+            if tag == layout.marker.tag and layout.marker.fits_tag(tag, {name: value or "" for name, value in attrs}):
+                self.found = layout
+                del self.left[at:]
+                if not self.left:
+                    raise _Found
+                return
+
+    handle_startendtag = handle_starttag
+
+
+def layout_of(html: str, layouts: tuple[Layout, ...]) -> Layout | None:
+    markers = _Markers(layouts)
+    try:
+        markers.feed(html)
+        markers.close()
+    except _Found:
+        pass
+    return markers.found
 
 
 def cards_of(page: Element, layout: Layout) -> list[dict]:

@@ -10,7 +10,8 @@ from __future__ import annotations
 import numpy as np
 
 WORD = 64
-LANES = 1 << 17  # string pairs or windows handled in one numpy batch
+LANES = 1 << 16  # string pairs or windows handled in one numpy batch
+STRIDE = 8  # every how many windows are scored before the rest is bounded
 
 
 class Strings:
@@ -24,7 +25,8 @@ class Strings:
         self.size = len(alphabet) + 1  # code 0 is padding
         width = int(self.length.max(initial=0))
         inside = np.arange(width) < self.length[:, None]
-        self.codes = np.zeros((len(texts), width + 1), dtype=np.int32)
+        # Padded far enough that a window never runs over the end of its row.
+        self.codes = np.zeros((len(texts), width + WORD + 1), dtype=np.int32)
         self.codes[:, :width][inside] = codes + 1
 
     def counts(self) -> np.ndarray:
@@ -36,7 +38,7 @@ class Strings:
     def masks(self) -> np.ndarray:
         masks = np.zeros((len(self.texts), self.size), dtype=np.uint64)
         rows = np.arange(len(self.texts))
-        for at in range(min(WORD, self.codes.shape[1])):
+        for at in range(WORD):
             masks[rows, self.codes[:, at]] |= np.uint64(1 << at)
         masks[:, 0] = 0
         return masks
@@ -77,70 +79,104 @@ def ratio(strings: Strings, masks: np.ndarray, left: np.ndarray, right: np.ndarr
         a, b = strings.texts[left[at]], strings.texts[right[at]]
         scores[at] = _score(lcs(a, b), len(a) + len(b))
     short = np.flatnonzero(~long)
+    codes, flat = strings.codes.ravel(), masks.ravel()
     for start in range(0, len(short), LANES):
         at = short[start : start + LANES]
         needle, text = left[at], right[at]
+        place, base = text * strings.codes.shape[1], needle * strings.size
         row = np.full(len(at), ~np.uint64(0))
         for step in range(int(strings.length[text].max(initial=0))):
-            row = _step(row, masks[needle, strings.codes[text, step]])
+            row = _step(row, flat.take(base + codes.take(place + step)))
         common = _row_lcs(row, strings.length[needle])
         total = strings.length[needle] + strings.length[text]
         scores[at] = np.where(total > 0, _score(common, np.maximum(total, 1)), 100.0)
     return scores
 
 
-def partial_ratio(strings: Strings, masks: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def partial_ratio(
+    strings: Strings, masks: np.ndarray, left: np.ndarray, right: np.ndarray, least: np.ndarray | None = None
+) -> np.ndarray:
     """Best score of the shorter string against the windows of the longer one.
 
     Windows are all substrings of the shorter one's length and all shorter
-    beginnings and endings. Strings of equal length are tried both ways.
+    beginnings and endings. Strings of equal length are tried both ways. A
+    score below ``least`` may come out lower than it is.
     """
+    least = np.zeros(len(left)) if least is None else least
     swap = strings.length[left] > strings.length[right]
     needle, text = np.where(swap, right, left), np.where(swap, left, right)
-    scores = _best_window(strings, masks, needle, text)
+    scores = _best_window(strings, masks, needle, text, least)
     same = np.flatnonzero(strings.length[left] == strings.length[right])
     if len(same):
-        scores[same] = np.maximum(scores[same], _best_window(strings, masks, text[same], needle[same]))
+        other = _best_window(strings, masks, text[same], needle[same], np.maximum(least[same], scores[same]))
+        scores[same] = np.maximum(scores[same], other)
     return scores
 
 
-def _best_window(strings: Strings, masks: np.ndarray, needle: np.ndarray, text: np.ndarray) -> np.ndarray:
+def _best_window(strings: Strings, masks: np.ndarray, needle: np.ndarray, text: np.ndarray, least: np.ndarray) -> np.ndarray:
     scores = np.zeros(len(needle))
     m, n = strings.length[needle], strings.length[text]
     scores[n == 0] = 100.0
     for at in np.flatnonzero(m > WORD):
         scores[at] = _best_window_long(strings.texts[needle[at]], strings.texts[text[at]])
     at = np.flatnonzero((m > 0) & (m <= WORD))
-    if not len(at):
-        return scores
-    # One lane per pair and window start, in batches of whole pairs.
-    ends = np.cumsum(n[at])
-    batch = (ends - 1) // LANES
-    for part in np.split(at, np.flatnonzero(np.diff(batch)) + 1):
-        scores[part] = _window_lanes(strings, masks, needle[part], text[part])
+    if len(at):
+        # Batches of whole pairs with about LANES windows each.
+        batch = (np.cumsum(n[at]) - 1) // LANES
+        for part in np.split(at, np.flatnonzero(np.diff(batch)) + 1):
+            scores[part] = _windows(strings, masks, needle[part], text[part], least[part])
     return scores
 
 
-def _window_lanes(strings: Strings, masks: np.ndarray, needle: np.ndarray, text: np.ndarray) -> np.ndarray:
-    n = strings.length[text]
+def _windows(strings: Strings, masks: np.ndarray, needle: np.ndarray, text: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Every STRIDE-th window is scored, and of the others those that can still count.
+
+    Moving a window by one place changes what it shares by one at most.
+    """
+    m, n = strings.length[needle], strings.length[text]
     first = np.concatenate(([0], np.cumsum(n)[:-1]))
     pair = np.repeat(np.arange(len(n)), n)
     start = np.arange(len(pair)) - first[pair]
-    lane_needle, lane_text = needle[pair], text[pair]
-    m = strings.length[lane_needle]
-    window = np.minimum(m, n[pair] - start)
-    best_prefix = np.zeros(len(n))
+    window = np.minimum(m[pair], n[pair] - start)
+    probe = np.flatnonzero(start % STRIDE == 0)
+    common = np.zeros(len(pair), dtype=np.int64)
+    common[probe], best = _lanes(strings, masks, needle, text, pair[probe], start[probe])
+    best = np.maximum(best, 0.0)
+    np.maximum.at(best, pair[probe], _score(common[probe], (m[pair] + window)[probe]))
+
+    off = start % STRIDE
+    before = np.arange(len(pair)) - off
+    most = common[before] + off
+    after = before + STRIDE
+    known = start - off + STRIDE < n[pair]
+    most = np.where(known, np.minimum(most, common[np.minimum(after, len(pair) - 1)] + STRIDE - off), most)
+    reach = _score(np.minimum(most, window), m[pair] + window)
+    rest = np.flatnonzero((off > 0) & (reach > best[pair]) & (reach >= least[pair] - 1e-9))
+    if len(rest):
+        shared, _ = _lanes(strings, masks, needle, text, pair[rest], start[rest])
+        np.maximum.at(best, pair[rest], _score(shared, (m[pair] + window)[rest]))
+    return best
+
+
+def _lanes(strings: Strings, masks: np.ndarray, needle: np.ndarray, text: np.ndarray, pair: np.ndarray, start: np.ndarray):
+    """What each window shares with its needle, and the best score of the beginnings of each pair's text."""
+    m = strings.length[needle]
+    lane_m = m[pair]
+    codes, flat = strings.codes.ravel(), masks.ravel()
+    at = text[pair] * strings.codes.shape[1] + start
+    base = needle[pair] * strings.size
+    heads = np.flatnonzero(start == 0)
+    head_m = lane_m[heads]
+    head_window = np.minimum(head_m, strings.length[text[pair[heads]]])
+    best_head = np.zeros(len(needle))
     row = np.full(len(pair), ~np.uint64(0))
-    for step in range(int(window.max())):
-        inside = step < window
-        at = np.minimum(start + step, strings.codes.shape[1] - 1)
-        code = np.where(inside, strings.codes[lane_text, at], 0)
-        row = _step(row, masks[lane_needle, code])
-        head_m = m[first]
-        common = _row_lcs(row[first], head_m)
-        best_prefix = np.maximum(best_prefix, np.where(inside[first], _score(common, head_m + step + 1), 0.0))
-    lane_scores = _score(_row_lcs(row, m), m + window)
-    return np.maximum(best_prefix, np.maximum.reduceat(lane_scores, first))
+    for step in range(int(lane_m.max())):
+        code = np.where(step < lane_m, codes.take(at + step), 0)
+        row = _step(row, flat.take(base + code))
+        if len(heads):
+            score = _score(_row_lcs(row[heads], head_m), head_m + step + 1)
+            best_head[pair[heads]] = np.maximum(best_head[pair[heads]], np.where(step < head_window, score, 0.0))
+    return _row_lcs(row, lane_m), best_head
 
 
 def _best_window_long(needle: str, text: str) -> float:
@@ -188,15 +224,14 @@ def matches(left: list[str], right: list[str], scorer: str, cutoff: float, best:
         found_left.append(np.full(len(chance), at, dtype=np.int64))
         found_right.append(chance)
     a, b, most = _bounds(strings, masks, scorer, cutoff, np.concatenate(found_left), np.concatenate(found_right) + split)
-    score = SCORERS[scorer]
+    score, floor = SCORERS[scorer], np.full(split, float(cutoff))
     if best and scorer != "ratio" and len(a):
         by_promise = np.lexsort((-most, a))
         leads = by_promise[np.unique(a[by_promise], return_index=True)[1]]
-        floor = np.full(split, cutoff)
-        np.maximum.at(floor, a[leads], score(strings, masks, a[leads], b[leads]))
+        np.maximum.at(floor, a[leads], score(strings, masks, a[leads], b[leads], floor[a[leads]]))
         worth = most >= floor[a] - 1e-9
         a, b, most = a[worth], b[worth], most[worth]
-    scores = most if scorer == "ratio" else score(strings, masks, a, b)
+    scores = most if scorer == "ratio" else score(strings, masks, a, b, floor[a])
     good = np.flatnonzero(scores >= cutoff)
     return a[good], b[good] - split, scores[good]
 

@@ -116,10 +116,9 @@ def parse_pages(pages: DataFrame, layouts: tuple[Layout, ...], html: str = "html
         for texts in batches:
             names, cards = [], []
             for text in texts:
-                page = parse(text)
-                layout = layout_of(page, layouts)
+                layout = layout_of(text, layouts)
                 names.append(layout.name if layout else None)
-                cards.append(cards_of(page, layout) if layout else [])
+                cards.append(cards_of(parse(text), layout) if layout and layout.cards else [])
             yield pd.DataFrame({"layout": pd.Series(names, dtype=object), "cards": pd.Series(cards, dtype=object)})
 
     # Said to be non-deterministic, the parse is not repeated for a filter on its result.

@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from squadweave.sources.tables import present
+
 
 def last_write(rows: DataFrame, keys: list[str], props: list[str], seq: list[str]) -> DataFrame:
     """One row per key with the properties, nulls included, of its last row by ``seq``."""
-    keyed = rows.dropna(subset=keys)
+    keyed = present(rows, keys)
     if not props:
         return keyed.select(*keys).distinct()
     last = keyed.groupBy(*keys).agg(F.max_by(F.struct(*props), F.struct(*seq)).alias("_last"))
@@ -165,7 +167,8 @@ def transfers(plays_for: DataFrame, player: list[str], team: str, season: str, p
     several old teams the last in order. Only the last two teams of a player
     and season can ever be an old team, so no pairs of teams are formed.
     """
-    stays = plays_for.select(*player, team, season).dropna().distinct()
+    known = present(plays_for.select(*player, team, season), [*player, team, season])
+    stays = known.filter((F.col(season) + period).isNotNull()).distinct()
     last_two = (
         stays.withColumn("_at", F.row_number().over(W.partitionBy(*player, season).orderBy(F.desc(team))))
         .filter("_at <= 2")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from squadweave.session import bucket, buckets_of
-from squadweave.sources.tables import top_k
+from squadweave.sources.tables import present, top_k
 
 # Neighbours up to which a shared node lists its pairs itself.
 LIGHT = 64
@@ -50,7 +50,7 @@ def path_top_k(start: DataFrame, hops: list[Hop], order: list[Column], k: int, t
 
 def top_producers(edges: DataFrame, via: str, who: list[str], k: int) -> DataFrame:
     """The ``k`` nodes that the most distinct others lead to."""
-    counted = edges.select(via, *who).dropna().distinct().groupBy(via).agg(F.count(F.lit(1)).alias("n"))
+    counted = present(edges.select(via, *who), [via, *who]).distinct().groupBy(via).agg(F.count(F.lit(1)).alias("n"))
     return top_k(counted, [F.desc("n"), F.asc(via)], k)
 
 
@@ -61,7 +61,7 @@ def transfer_counts(edges: DataFrame) -> DataFrame:
 
 def count_by_path(start: DataFrame, hops: list[Hop], predicate: Column, group: str, who: list[str]) -> DataFrame:
     """Distinct ends of a path that meet a predicate, counted per ``group``."""
-    ends = path(start, hops).filter(predicate).select(group, *who).dropna().distinct()
+    ends = present(path(start, hops).filter(predicate).select(group, *who), [group, *who]).distinct()
     return ends.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -73,7 +73,7 @@ def shared_neighbors(edges: DataFrame, left: str, via: str, light: int = LIGHT)
     into cells of two tiles of left nodes and a strip of ``via`` nodes, and
     each cell counts by a matrix product of bounded size.
     """
-    links = edges.select(left, via).dropna().distinct()
+    links = present(edges.select(left, via), [left, via]).distinct()
     busy = links.groupBy(via).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > light).select(via)
     few = links.join(busy, via, "left_anti")
     many = links.join(busy, via, "left_semi")

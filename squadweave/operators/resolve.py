@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from squadweave.functions.similarity import matches
 from squadweave.functions.text import normalize_name, sort_tokens
 from squadweave.session import bucket, buckets_of, cut_lineage, single_value
+from squadweave.sources.tables import present
 
 # Substring lengths used as join keys. A string uses the largest that fits it,
 # so that long strings meet on long, rare keys.
@@ -24,7 +25,7 @@ LEVELS = (1, 2, 3, 6, 12, 24, 48, 96)
 HOT_SHARE = 0.001
 
 # Names per side of a scoring cell.
-CELL = 512
+CELL = 256
 
 
 def _level(text: Column) -> Column:
@@ -55,9 +56,8 @@ def contained_pairs(shorts: DataFrame, longs: DataFrame, hot_share: float = HOT_
         .select("long", F.explode(_substrings(F.col("long"), F.col("size"))).alias("key"))
     )
     frequency = long_keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    hot = frequency.select(
-        "key", F.ceil(F.col("n") / (single_value(frequency, F.sum("n")) * hot_share)).cast("int").alias("salts")
-    ).filter("salts > 1")
+    keys = single_value(long_keys, F.count(F.lit(1)))
+    hot = frequency.select("key", F.ceil(F.col("n") / (keys * hot_share)).cast("int").alias("salts")).filter("salts > 1")
     rarest = (
         short_keys.join(frequency, "key")
         .groupBy("short")
@@ -239,6 +239,6 @@ def dedup_metrics(mapping: DataFrame) -> DataFrame:
 
 def collapse(df: DataFrame, keys: list[str], text: str, separator: str = " | ") -> DataFrame:
     """One row per key with its distinct texts, sorted and joined. Rows with a null key go away."""
-    return df.dropna(subset=keys).groupBy(*keys).agg(
+    return present(df, keys).groupBy(*keys).agg(
         F.array_join(F.array_sort(F.collect_set(text)), separator).alias(text)
     )

@@ -87,6 +87,10 @@ def union_seasons(t: Tables) -> DataFrame:
 
 # ---- Extraction ----
 
+def _pages(t: Tables) -> DataFrame:
+    return tables.spread_scan(t("pages").select("page_id", "html"))
+
+
 _PAGE = Select("html")
 _PAGE_LAYOUT = Layout(
     "page",
@@ -106,7 +110,7 @@ SELECT page_id,
 FROM pages
 """)
 def extract_page_fields(t: Tables) -> DataFrame:
-    parsed = extract.parse_pages(t("pages").select("page_id", "html"), (_PAGE_LAYOUT,))
+    parsed = extract.parse_pages(_pages(t), (_PAGE_LAYOUT,))
     of_kind = lambda kind: F.filter("cards", lambda card: card["kind"] == kind)
     fields = F.get(of_kind("page"), F.lit(0))["fields"]
     return parsed.select(
@@ -122,12 +126,12 @@ FROM pages
 """)
 def detect_layout(t: Tables) -> DataFrame:
     layouts = (Layout("bold", Select("b")), Layout("plain", Select("article")))
-    return extract.detect_layout(t("pages").select("page_id", "html"), layouts)
+    return extract.detect_layout(_pages(t), layouts)
 
 
 def _card_pages(t: Tables) -> DataFrame:
     """One roster page per customer, of either design, with a player and a coach."""
-    customer = t("customer")
+    customer = tables.spread_scan(t("customer").select("c_custkey", "c_name", "c_mktsegment"))
     key = F.col("c_custkey")
     height = F.when(key % 10 == 3, "tall").otherwise(
         F.concat((key % 3 + 5).cast("string"), F.lit("'"), (key % 12).cast("string"), F.lit('"'))

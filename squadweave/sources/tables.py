@@ -83,13 +83,23 @@ def write_table(df: DataFrame, path: str, columns: list[str] | None = None, form
         writer.format(form).save(path)
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """A plain scan, dealt out over the cores where its files give fewer splits than there are cores.
+
+    Such a scan is small, so the shuffle costs little beside the per-row work
+    that follows. Any larger scan stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_pages(spark: SparkSession, path: str, page_list: DataFrame, form: str = "parquet") -> DataFrame:
     """Raw pages ``(url, html)`` with the college, season, batch and page number of the page list.
 
     A listed page without content gives no row.
     """
     raw = spark.read.format(form).schema("url string, html string").load(path)
-    return raw.join(page_list, "url")
+    return spread_scan(raw).join(page_list, "url")
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
@@ -115,6 +125,17 @@ def derive_dimension(df: DataFrame, column: str, drop: str = "/", out: str = "na
     )
 
 
+def present(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with no null in the columns.
+
+    One test per column, as a join adds them too: a frame used on both sides
+    of a join then stays one and the same plan and is shuffled once.
+    """
+    for column in columns:
+        df = df.filter(F.col(column).isNotNull())
+    return df
+
+
 def distinct_union(frames: list[DataFrame], column: str) -> DataFrame:
     return reduce(DataFrame.union, [df.select(column) for df in frames]).distinct()
 
