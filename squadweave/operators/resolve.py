@@ -149,7 +149,7 @@ def canonicalize(
     wanted = _distinct_names(names, name)
     targets = _first_seen(canon, canon_name, seq)
     if scorer == "partial":
-        sure = _contained_match(wanted, targets)
+        sure = _contained_match(wanted, targets, names is canon and name == canon_name)
     else:
         sure = wanted.join(targets, wanted["name"] == targets["canon"]).select("name", "canon")
     sure = cut_lineage(wanted.join(sure, "name", "left"))
@@ -167,18 +167,23 @@ def canonicalize(
     )
 
 
-def _contained_match(wanted: DataFrame, targets: DataFrame) -> DataFrame:
-    """Earliest canonical name that contains a name or lies within it: exactly the pairs that score 100."""
+def _contained_match(wanted: DataFrame, targets: DataFrame, same: bool) -> DataFrame:
+    """Earliest canonical name that contains a name or lies within it: exactly the pairs that score 100.
+
+    With ``same`` both sides hold the same names, and one join serves both ways.
+    """
     some = wanted.filter(F.col("name") != "")
     canon = targets.filter(F.col("canon") != "").select("canon")
-    within = contained_pairs(canon, some).select(F.col("long").alias("name"), F.col("short").alias("canon"))
-    around = contained_pairs(some, canon).select(F.col("short").alias("name"), F.col("long").alias("canon"))
-    return (
-        within.unionByName(around)
-        .join(targets, "canon")
-        .groupBy("name")
-        .agg(F.min_by("canon", "seq").alias("canon"))
-    )
+    within = contained_pairs(canon, some)
+    around = F.struct(F.col("short").alias("name"), F.col("long").alias("canon"))
+    inside = F.struct(F.col("long").alias("name"), F.col("short").alias("canon"))
+    if same:
+        found = within.select(F.explode(F.array(inside, around)).alias("pair")).select("pair.*")
+    else:
+        found = within.select(inside.alias("pair")).unionByName(
+            contained_pairs(some, canon).select(around.alias("pair"))
+        ).select("pair.*")
+    return found.join(targets, "canon").groupBy("name").agg(F.min_by("canon", "seq").alias("canon"))
 
 
 def token_sort_match(

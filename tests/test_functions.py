@@ -129,37 +129,24 @@ def test_roles_by_longest_match(spark):
     ]
 
 
-def spelled_out(given):
-    """The clean-up rules, one after the other on a plain list."""
-    found = list(given)
-    if "Head Coach" in found:
-        found = [r for r in found if r not in ("Associate Head Coach", "Assistant Coach")]
-    elif "Associate Head Coach" in found:
-        found = [r for r in found if r != "Assistant Coach"]
-    if "Assistant Coach" in found:
-        found = [r for r in found if r != "Student Assistant Coach"]
-    full = {"Pitching": "Pitching Coach", "Hitting": "Hitting Coach", "Strength": "Strength & Conditioning Coach"}
-    for bare in ("Pitching", "Hitting", "Outfield", "Infield", "Strength"):
-        role = full.get(bare, f"{bare} Coach")
-        if bare not in found or (bare == "Infield" and role in found):
-            continue
-        if role not in found or bare == "Outfield":
-            found.append(role)
-        found.remove(bare)
-    if "Strength & Conditioning Coach" in found and "Conditioning" in found:
-        found.remove("Conditioning")
-    return [r for r in found if r != "Recruiting"]
+CLEAN_CASES = [
+    (["Associate Head Coach", "Assistant Coach", "Student Assistant Coach"], ["Associate Head Coach", "Student Assistant Coach"]),
+    (["Head Coach", "Associate Head Coach", "Assistant Coach", "Student Assistant Coach"], ["Head Coach", "Student Assistant Coach"]),
+    (["Assistant Coach", "Student Assistant Coach"], ["Assistant Coach"]),
+    (["Pitching", "Hitting"], ["Pitching Coach", "Hitting Coach"]),
+    (["Pitching", "Pitching Coach"], ["Pitching Coach"]),
+    (["Outfield", "Outfield Coach"], ["Outfield Coach", "Outfield Coach"]),
+    (["Infield", "Infield Coach"], ["Infield", "Infield Coach"]),
+    (["Infield"], ["Infield Coach"]),
+    (["Strength", "Conditioning"], ["Strength & Conditioning Coach"]),
+    (["Conditioning"], ["Conditioning"]),
+    (["Strength & Conditioning Coach", "Strength", "Conditioning"], ["Strength & Conditioning Coach"]),
+    (["Recruiting", "Recruiting Coordinator"], ["Recruiting Coordinator"]),
+    ([], []),
+]
 
 
 def test_clean_roles(spark):
-    cases = [
-        ["Associate Head Coach", "Assistant Coach", "Student Assistant Coach"],
-        ["Head Coach", "Associate Head Coach", "Assistant Coach", "Student Assistant Coach"],
-        ["Assistant Coach", "Student Assistant Coach"],
-        ["Pitching", "Hitting"], ["Pitching", "Pitching Coach"], ["Outfield", "Outfield Coach"],
-        ["Infield", "Infield Coach"], ["Infield"], ["Strength", "Conditioning"], ["Conditioning"],
-        ["Strength & Conditioning Coach", "Strength", "Conditioning"], ["Recruiting", "Recruiting Coordinator"], [],
-    ]
-    rows = spark.createDataFrame([(at, c) for at, c in enumerate(cases)], "at int, r array<string>")
+    rows = spark.createDataFrame([(at, given) for at, (given, _) in enumerate(CLEAN_CASES)], "at int, r array<string>")
     got = [r.out for r in rows.select("at", roles.clean_roles(F.col("r")).alias("out")).orderBy("at").collect()]
-    assert got == [spelled_out(c) for c in cases]
+    assert got == [expected for _, expected in CLEAN_CASES]
