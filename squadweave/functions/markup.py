@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
+from operator import attrgetter
 
 # Elements that never hold others. Fixed values.
 VOID = frozenset(
@@ -15,21 +17,33 @@ NO_TEXT = frozenset(("script", "style", "template"))
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "children")
+    """An element with its place in page order; those within it have the places up to ``end``."""
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
+    __slots__ = ("tag", "attrs", "children", "page", "at", "end")
+
+    def __init__(self, tag: str, attrs: dict[str, str], page: dict[str, list["Element"]], at: int):
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.page, self.at, self.end = page, at, at
 
 
 class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open = [Element("", {})]
+        self.by_tag: dict[str, list[Element]] = {}
+        self.count = 0
+        self.open = [Element("", {}, self.by_tag, 0)]
+
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
 
     def handle_starttag(self, tag, attrs):
-        element = Element(tag, {name: value or "" for name, value in attrs})
+        self.count += 1
+        element = Element(tag, {name: value or "" for name, value in attrs}, self.by_tag, self.count)
         self.open[-1].children.append(element)
-        if tag not in VOID:
+        self.by_tag.setdefault(tag, []).append(element)
+        if tag in VOID:
+            element.end = self.count
+        else:
             self.open.append(element)
 
     def handle_startendtag(self, tag, attrs):
@@ -39,18 +53,28 @@ class _Tree(HTMLParser):
     def handle_endtag(self, tag):
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == tag:
-                del self.open[depth:]
+                self.shut(depth)
                 return
 
     def handle_data(self, data):
         self.open[-1].children.append(data)
 
+    def shut(self, depth):
+        for element in self.open[depth:]:
+            element.end = self.count
+        del self.open[depth:]
+
 
 def parse(html: str) -> Element:
     tree = _Tree()
     tree.feed(html)
     tree.close()
-    return tree.open[0]
+    root = tree.open[0]
+    tree.shut(0)
+    return root
+
+
+_place = attrgetter("at")
 
 
 @dataclass(frozen=True)
@@ -75,12 +99,14 @@ class Select:
         return given == self.value or (self.attr == "class" and self.value in given.split())
 
     def all_in(self, element: Element) -> Iterator[Element]:
-        stack = [child for child in reversed(element.children) if isinstance(child, Element)]
-        while stack:
-            found = stack.pop()
+        """Matches within an element, in page order."""
+        same_tag = element.page.get(self.tag, ())
+        for at in range(bisect_right(same_tag, element.at, key=_place), len(same_tag)):
+            found = same_tag[at]
+            if found.at > element.end:
+                return
             if self.fits(found):
                 yield found
-            stack.extend(child for child in reversed(found.children) if isinstance(child, Element))
 
     def first_in(self, element: Element) -> Element | None:
         return next(self.all_in(element), None)
@@ -164,6 +190,9 @@ class _Markers(HTMLParser):
         self.left = list(layouts)
         self.found: Layout | None = None
 
+    def updatepos(self, i, j):
+        return j
+
     def handle_starttag(self, tag, attrs):
         for at, layout in enumerate(self.left):
             if tag == layout.marker.tag and layout.marker.fits_tag(tag, {name: value or "" for name, value in attrs}):
@@ -186,6 +215,11 @@ def layout_of(html: str, layouts: tuple[Layout, ...]) -> Layout | None:
     return markers.found
 
 
+def layout_in(page: Element, layouts: tuple[Layout, ...]) -> Layout | None:
+    """The same for a page whose tree is there already."""
+    return next((layout for layout in layouts if layout.marker.first_in(page) is not None), None)
+
+
 def cards_of(page: Element, layout: Layout) -> list[dict]:
     """The records of a page, by card select and then in page order."""
     by_select: dict[Select, list[Card]] = {}

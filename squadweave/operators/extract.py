@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from squadweave.functions.codes import positional_fields
 from squadweave.functions.fixed_values import MISSING
-from squadweave.functions.markup import Card, Field, Layout, Select, cards_of, layout_of, parse
+from squadweave.functions.markup import Card, Field, Layout, Select, cards_of, layout_in, layout_of, parse
 from squadweave.functions.text import first_token, height_inches
 
 PARSED = "layout string, cards array<struct<kind string, fields array<string>>>"
@@ -111,14 +111,17 @@ def parse_pages(pages: DataFrame, layouts: tuple[Layout, ...], html: str = "html
     hold the text of some marker cross into Python.
     """
 
+    with_cards = any(layout.cards for layout in layouts)
+
     @F.pandas_udf(PARSED)
     def parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             names, cards = [], []
             for text in texts:
-                layout = layout_of(text, layouts)
+                page = parse(text) if with_cards else None
+                layout = layout_in(page, layouts) if with_cards else layout_of(text, layouts)
                 names.append(layout.name if layout else None)
-                cards.append(cards_of(parse(text), layout) if layout and layout.cards else [])
+                cards.append(cards_of(page, layout) if layout and with_cards else [])
             yield pd.DataFrame({"layout": pd.Series(names, dtype=object), "cards": pd.Series(cards, dtype=object)})
 
     # Said to be non-deterministic, the parse is not repeated for a filter on its result.
