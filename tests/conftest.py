@@ -1,4 +1,3 @@
-import os
 import sys
 from pathlib import Path
 
@@ -7,8 +6,6 @@ from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
-# Python workers import the package too.
-os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [str(ROOT), os.environ.get("PYTHONPATH")]))
 
 
 @pytest.fixture(scope="session")

@@ -187,3 +187,25 @@ def test_collapse(spark):
     )
     got = resolve.collapse(df, ["name", "college", "season"], "title").collect()
     assert [tuple(r) for r in got] == [("n", "c", 1, "Head Coach | Recruiting Coordinator")]
+
+
+def test_functions_reach_workers_without_the_package(tmp_path):
+    """What a task runs must load where only the installed libraries are."""
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from squadweave.functions import markup
+
+    layout = markup.Layout("l", markup.Select("p"), (markup.Card("k", markup.Select("p"), (markup.Field((markup.Select("b"),)),)),))
+    task = lambda: (
+        [x.tolist() for x in similarity.matches(["oak"], ["oak hill"], "partial", 70.0)],
+        markup.cards_of(markup.parse("<p>x<b>y</b></p>"), layout),
+    )
+    (tmp_path / "task").write_bytes(cloudpickle.dumps(task))
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    code = "import pickle; print(pickle.load(open('task', 'rb'))())"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, capture_output=True, text=True)
+    assert done.stdout.strip() == str(task()), done.stderr[-500:]
