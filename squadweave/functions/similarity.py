@@ -236,6 +236,13 @@ def matches(left: list[str], right: list[str], scorer: str, cutoff: float, best:
     return a[good], b[good] - split, scores[good]
 
 
+def pair_scores(left: list[str], right: list[str], scorer: str) -> np.ndarray:
+    """Score of each string of one list with the string at the same place of the other."""
+    strings = Strings(left + right)
+    at = np.arange(len(left))
+    return SCORERS[scorer](strings, strings.masks(), at, at + len(left))
+
+
 def indel_ratio(a: str, b: str) -> float:
     """Score of two whole strings."""
     return float(_score(lcs(a, b), len(a) + len(b))) if a or b else 100.0

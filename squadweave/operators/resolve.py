@@ -7,13 +7,15 @@ Only what is left is scored, in cells of a bounded number of names.
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squadweave.functions.similarity import matches
+from squadweave.functions.similarity import matches, pair_scores
 from squadweave.functions.text import normalize_name, sort_tokens
-from squadweave.session import bucket, buckets_of, cut_lineage, single_value
+from squadweave.session import bucket, cut_lineage, single_value
 from squadweave.sources.tables import present
 
 # Substring lengths used as join keys. A string uses the largest that fits it,
@@ -77,22 +79,59 @@ def contained_pairs(shorts: DataFrame, longs: DataFrame, hot_share: float = HOT_
     )
 
 
+def _band(text: Column, scorer: str, cutoff: float) -> tuple[Column, tuple[int, ...]]:
+    """Length band of a text, and how far the bands of two matching texts can lie apart.
+
+    Two whole texts that reach the cutoff differ in length by a bounded
+    factor. A part of a text can match whatever the lengths are.
+    """
+    if scorer == "partial" or cutoff <= 0:
+        return F.lit(0), (0,)
+    if cutoff >= 100:
+        return F.length(text), (0,)
+    factor = (200.0 - cutoff) / cutoff * (1 + 1e-9)
+    band = F.floor(F.log(F.length(text).cast("double")) / math.log(factor)).cast("int")
+    return F.when(F.length(text) > 0, band).otherwise(-2), (-1, 0, 1)
+
+
+def _in_cells(rows: DataFrame, own: str, others: DataFrame, other: str, near: tuple[int, ...]) -> DataFrame:
+    """``rows`` with their own bucket, once for every bucket of the other side that they must meet.
+
+    There are no more bands than lengths of text, so the tables of bucket
+    counts are small whatever the data.
+    """
+    sides = lambda df, side: df.groupBy(F.col("band").alias(f"{side}_band")).agg(
+        F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("buckets")
+    )
+    key = F.col(rows.columns[0])
+    placed = rows.withColumnRenamed("band", f"{own}_band").join(F.broadcast(sides(rows, own)), f"{own}_band")
+    placed = placed.withColumn(f"{own}_bucket", bucket(key, F.col("buckets"))).drop("buckets")
+    steps = F.array(*[F.col(f"{own}_band") + step for step in near])
+    return (
+        placed.withColumn(f"{other}_band", F.explode(steps))
+        .join(F.broadcast(sides(others, other)), f"{other}_band")
+        .withColumn(f"{other}_bucket", F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)))
+        .drop("buckets")
+    )
+
+
 def fuzzy_pairs(names: DataFrame, canon: DataFrame, scorer: str, cutoff: float, best: bool = False) -> DataFrame:
     """Pairs ``(name, canon, seq, score)`` that score at least ``cutoff``.
 
     ``names`` has the column ``name``, ``canon`` the columns ``canon`` and
     ``seq``; both are distinct. Each side is hashed into buckets of about
-    ``CELL`` rows and every pair of buckets is one cell, so work and memory
-    per cell are bounded and even whatever the names look like. With ``best``
-    a cell returns one row per name: top score, then earliest ``seq``.
+    ``CELL`` rows of one length band, and two buckets of bands that can match
+    are one cell. Work and memory per cell are bounded and even whatever the
+    names look like. With ``best`` a cell returns one row per name: top score,
+    then earliest ``seq``.
     """
-    rows, columns = buckets_of(names, CELL), buckets_of(canon, CELL)
-    name_cells = names.select(
-        "name", bucket(F.col("name"), rows).alias("r"), F.explode(F.sequence(F.lit(0), columns - 1)).alias("c")
-    )
-    canon_cells = canon.select(
-        "canon", "seq", bucket(F.col("canon"), columns).alias("c"), F.explode(F.sequence(F.lit(0), rows - 1)).alias("r")
-    )
+    name_band, near = _band(F.col("name"), scorer, cutoff)
+    canon_band, _ = _band(F.col("canon"), scorer, cutoff)
+    left = names.select("name").withColumn("band", name_band)
+    right = canon.select("canon", "seq").withColumn("band", canon_band)
+    cell = ["name_band", "name_bucket", "canon_band", "canon_bucket"]
+    name_cells = _in_cells(left, "name", right, "canon", near)
+    canon_cells = _in_cells(right, "canon", left, "name", near)
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         at_left, at_right, scores = matches(list(left["name"]), list(right["canon"]), scorer, cutoff, best)
@@ -110,8 +149,8 @@ def fuzzy_pairs(names: DataFrame, canon: DataFrame, scorer: str, cutoff: float,
 
     seq_type = canon.schema["seq"].dataType.simpleString()
     return (
-        name_cells.groupBy("r", "c")
-        .cogroup(canon_cells.groupBy("r", "c"))
+        name_cells.groupBy(*cell)
+        .cogroup(canon_cells.groupBy(*cell))
         .applyInPandas(score, f"name string, canon string, seq {seq_type}, score double")
     )
 
@@ -213,11 +252,32 @@ def token_sort_match(
     return wanted.join(found, "key", "left").select("name", F.coalesce("found", "name").alias("canon"), "score")
 
 
+def lookup(df: DataFrame, column: str, dimension: DataFrame, key: str, value: str, miss: str = "keep") -> DataFrame:
+    """``column`` replaced by the ``value`` of its ``key`` in a dimension table.
+
+    An unknown value stays as it is, or is null with ``miss='null'``.
+    """
+    known = dimension.select(F.col(key).alias("_key"), F.col(value).alias("_value"))
+    found = F.coalesce("_value", column) if miss == "keep" else F.col("_value")
+    return df.join(known, F.col(column) == F.col("_key"), "left").withColumn(column, found).drop("_key", "_value")
+
+
 def apply_mapping(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
     """``column`` replaced by its canonical name; unmapped values stay."""
-    lookup = mapping.select(F.col("name").alias("_name"), F.col("canon").alias("_canon"))
-    joined = df.join(lookup, F.col(column) == F.col("_name"), "left")
-    return joined.withColumn(column, F.coalesce("_canon", column)).drop("_name", "_canon")
+    return lookup(df, column, mapping, "name", "canon")
+
+
+def pair_score(a: Column, b: Column, scorer: str = "ratio") -> Column:
+    """Score of two string columns, row by row; null where either is null."""
+
+    @F.pandas_udf("double")
+    def score(left: pd.Series, right: pd.Series) -> pd.Series:
+        both = left.notna() & right.notna()
+        scores = pd.Series(None, index=left.index, dtype="float64")
+        scores[both] = pair_scores(list(left[both]), list(right[both]), scorer)
+        return scores
+
+    return score(a, b)
 
 
 def mapping_diff(mapping: DataFrame) -> DataFrame:

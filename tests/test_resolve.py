@@ -152,11 +152,30 @@ def test_token_sort_match(spark):
     assert {k: got[k] for k in ("Nowhere", " n/a ", "!!")} == {"Nowhere": ("Nowhere", None), " n/a ": (" n/a ", None), "!!": ("!!", None)}
 
 
-@pytest.mark.parametrize("cutoff", [50.0, 80.0])
+def test_pair_score_row_by_row(spark):
+    rows = [("abcd", "abxd"), ("", ""), (None, "a"), ("oak", "oak hill"), ("x" * 70, "x" * 35)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    for scorer, plain in PLAIN.items():
+        got = [r.s for r in df.select(resolve.pair_score(F.col("a"), F.col("b"), scorer).alias("s")).collect()]
+        assert got == [None if a is None else plain(a, b) for a, b in rows]
+
+
+def test_lookup_in_a_dimension(spark):
+    df = spark.createDataFrame([("SEC",), ("?",), (None,)], "c string")
+    dimension = spark.createDataFrame([("SEC", "South")], "code string, name string")
+    kept = resolve.lookup(df, "c", dimension, "code", "name")
+    assert {r.c for r in kept.collect()} == {"South", "?", None}
+    dropped = resolve.lookup(df, "c", dimension, "code", "name", miss="null")
+    assert sorted((r.c for r in dropped.collect()), key=str) == [None, None, "South"]
+
+
+@pytest.mark.parametrize("cutoff", [0.0, 50.0, 80.0, 100.0])
 def test_fuzzy_pairs_equal_a_nested_loop(spark, cutoff, monkeypatch):
     monkeypatch.setattr(resolve, "CELL", 8)
     rng = random.Random(2)
-    left, right = words(rng, 30, "abcd", 8), words(rng, 30, "abcd", 8)
+    # Lengths from 0 to 24, as only bands of like length meet.
+    left, right = (["", *words(rng, 30, "ab", 24), *words(rng, 9, "abcd", 3)] for _ in range(2))
+    left, right = list(dict.fromkeys(left)), list(dict.fromkeys([*right, *left[:9]]))
     got = resolve.fuzzy_pairs(
         names_frame(spark, left).select("name"), names_frame(spark, right).select(F.col("name").alias("canon"), "seq"), "ratio", cutoff
     )
