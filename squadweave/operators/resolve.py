@@ -185,12 +185,14 @@ def canonicalize(
     a null score. The earliest canonical name, by ``seq``, wins a tie; ``seq``
     is a number or a text, and may be the canonical name itself.
     """
-    wanted = _distinct_names(names, name)
-    targets = _first_seen(canon, canon_name, seq)
+    # Distinct names are used many times over, so the tables they come from are read once.
+    same = names is canon and name == canon_name
+    targets = cut_lineage(_first_seen(canon, canon_name, seq))
+    wanted = targets.select(F.col("canon").alias("name")) if same else cut_lineage(_distinct_names(names, name))
     if scorer == "partial":
-        sure = _contained_match(wanted, targets, names is canon and name == canon_name)
+        sure = _contained_match(wanted, targets, same)
     else:
-        sure = wanted.join(targets, wanted["name"] == targets["canon"]).select("name", "canon")
+        sure = wanted.join(targets, F.col("name") == F.col("canon")).select("name", "canon")
     sure = cut_lineage(wanted.join(sure, "name", "left"))
     left_over = sure.filter(F.col("canon").isNull()).select("name")
     if left_over.isEmpty():

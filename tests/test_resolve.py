@@ -132,6 +132,21 @@ def test_names_that_are_their_own_canon(spark):
     }
 
 
+def test_whole_strings_that_are_their_own_canon(spark):
+    frame = names_frame(spark, ["b a", "a b", "zz"])
+    got = resolve.canonicalize(frame, "name", frame, "name", "seq", scorer="ratio", cutoff=60.0)
+    assert mapping_of(got) == {"b a": ("b a", 100.0), "a b": ("a b", 100.0), "zz": ("zz", 100.0)}
+
+
+def test_names_with_one_common_beginning_meet_on_rare_substrings(spark):
+    frame = spark.range(3000).select(F.col("id").alias("seq"), F.format_string("Customer#%09d", "id").alias("name"))
+    names = frame.select("name")
+    pairs = resolve.contained_pairs(names, names)
+    assert pairs.count() == 3000 and pairs.filter("short <> long").count() == 0
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
 def test_scoring_is_case_sensitive_and_keeps_the_unmatched(spark):
     got = mapping_of(resolve.canonicalize(names_frame(spark, ["OAK", "zzz"]), "name", names_frame(spark, ["oak"]), "name", "seq"))
     assert got == {"OAK": ("OAK", None), "zzz": ("zzz", None)}
