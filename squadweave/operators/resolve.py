@@ -42,40 +42,42 @@ def _substrings(text: Column, size: Column) -> Column:
 def contained_pairs(shorts: DataFrame, longs: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
     """Pairs ``(short, long)`` with ``short`` a substring of ``long``, equal strings included.
 
-    Both inputs have one column of distinct, non-empty texts. A short text
-    looks for its rarest substring among those of the long texts; no pair is
-    lost, as a long text holds every substring of a text it contains. Hot
-    substrings are split: their long texts over salts, their short texts
-    copied to each salt.
+    The first column of both inputs holds distinct, non-empty texts; further
+    columns go along, so that no later join has a popular text as its key. A
+    short text looks for its rarest substring among those of the long texts;
+    no pair is lost, as a long text holds every substring of a text it
+    contains. Hot substrings are split: their long texts over salts, their
+    short texts copied to each salt.
     """
-    shorts = shorts.toDF("short").withColumn("size", _level(F.col("short")))
-    short_keys = shorts.select("short", F.explode(_substrings(F.col("short"), F.col("size"))).alias("key"))
+    with_short, with_long = shorts.columns[1:], longs.columns[1:]
+    shorts = shorts.toDF("short", *with_short).withColumn("size", _level(F.col("short")))
+    short_keys = shorts.select("short", *with_short, F.explode(_substrings(F.col("short"), F.col("size"))).alias("key"))
     sizes = single_value(shorts, F.collect_set("size"))
     long_keys = (
-        longs.toDF("long")
+        longs.toDF("long", *with_long)
         .withColumn("size", F.explode(F.array_intersect(F.array(*map(F.lit, LEVELS)), sizes)))
         .filter(F.col("size") <= F.length("long"))
-        .select("long", F.explode(_substrings(F.col("long"), F.col("size"))).alias("key"))
+        .select("long", *with_long, F.explode(_substrings(F.col("long"), F.col("size"))).alias("key"))
     )
     frequency = long_keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     keys = single_value(long_keys, F.count(F.lit(1)))
     hot = frequency.select("key", F.ceil(F.col("n") / (keys * hot_share)).cast("int").alias("salts")).filter("salts > 1")
     rarest = (
         short_keys.join(frequency, "key")
-        .groupBy("short")
+        .groupBy("short", *with_short)
         .agg(F.min_by("key", F.struct("n", "key")).alias("key"))
         .join(F.broadcast(hot), "key", "left")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
-        .select("short", "key", "salt")
+        .select("short", *with_short, "key", "salt")
     )
     spread = long_keys.join(F.broadcast(hot), "key", "left").withColumn(
         "salt", bucket(F.col("long"), F.coalesce("salts", F.lit(1)))
     )
     return (
-        spread.select("long", "key", "salt")
+        spread.select("long", *with_long, "key", "salt")
         .join(rarest, ["key", "salt"])
         .filter(F.contains("long", "short"))
-        .select("short", "long")
+        .select("short", "long", *with_short, *with_long)
     )
 
 
@@ -214,17 +216,17 @@ def _contained_match(wanted: DataFrame, targets: DataFrame, same: bool) -> DataF
     With ``same`` both sides hold the same names, and one join serves both ways.
     """
     some = wanted.filter(F.col("name") != "")
-    canon = targets.filter(F.col("canon") != "").select("canon")
-    within = contained_pairs(canon, some)
-    around = F.struct(F.col("short").alias("name"), F.col("long").alias("canon"))
-    inside = F.struct(F.col("long").alias("name"), F.col("short").alias("canon"))
+    canon = targets.filter(F.col("canon") != "")
+    as_short, as_long = (canon.select("canon", F.col("seq").alias(f"{side}_seq")) for side in ("short", "long"))
+    around = F.struct(F.col("short").alias("name"), F.col("long").alias("canon"), F.col("long_seq").alias("seq"))
+    inside = F.struct(F.col("long").alias("name"), F.col("short").alias("canon"), F.col("short_seq").alias("seq"))
     if same:
-        found = within.select(F.explode(F.array(inside, around)).alias("pair")).select("pair.*")
+        pairs = contained_pairs(as_short, as_long).select(F.explode(F.array(inside, around)).alias("pair"))
     else:
-        found = within.select(inside.alias("pair")).unionByName(
-            contained_pairs(some, canon).select(around.alias("pair"))
-        ).select("pair.*")
-    return found.join(targets, "canon").groupBy("name").agg(F.min_by("canon", "seq").alias("canon"))
+        pairs = contained_pairs(as_short, some).select(inside.alias("pair")).unionByName(
+            contained_pairs(some, as_long).select(around.alias("pair"))
+        )
+    return pairs.select("pair.*").groupBy("name").agg(F.min_by("canon", "seq").alias("canon"))
 
 
 def token_sort_match(
