@@ -100,14 +100,23 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> tuple[
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span's bytes, the same wherever the span stands."""
+def span_hasher(raw: np.ndarray):
+    """A function from starts and ends to 64-bit hashes of the spans' bytes, the same wherever a span stands."""
     with np.errstate(over="ignore"):
         powers = np.multiply.accumulate(np.full(len(raw) + 1, _FACTOR, np.uint64))
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[raw] * powers[:-1], out=sums[1:])
         back = np.multiply.accumulate(np.full(len(raw) + 1, _INVERSE, np.uint64))
-        return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+
+    def hashes(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+
+    return hashes
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return span_hasher(raw)(starts, ends)
 
 
 def sequence_hashes(hashes: np.ndarray, n: int) -> np.ndarray:

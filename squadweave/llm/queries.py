@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squadweave.llm import bpe, decontaminate, near_dedup, secret_scan, suffix_tree_lm
+from squadweave.llm import (
+    bpe,
+    decontaminate,
+    html_extract,
+    language_id,
+    line_dedup,
+    near_dedup,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    suffix_tree_lm,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,9 +67,57 @@ def op5_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark, sf_dir):
+    return quality_rules.statistics(table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    training = language_id.in_training(F.col("doc_id"))
+    found = language_id.identify(docs, language_id.learn(docs.filter(training)))
+    return found.select(
+        "doc_id", (~language_id.in_training(F.col("doc_id"))).alias("held_out"), F.col("lang").alias("lang_pred"), "score", "rejected"
+    )
+
+
+def op8_html_extract(spark, sf_dir):
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op9_line_dedup(spark, sf_dir):
+    found = line_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "lines_cut", "text")
+
+
+def op10_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality_classifier.score(docs, model)
+    toxic = F.col("toxic") > 0.5
+    return scored.select(
+        "doc_id",
+        F.col("quality").alias("p_quality"),
+        F.col("toxic").alias("p_toxic"),
+        toxic.alias("toxic"),
+        ((F.col("quality") > 0.5) & ~toxic).alias("kept"),
+    )
+
+
 QUERIES = {
     query.__name__: query
-    for query in (op1_byte_bpe, op2_secret_scan, op3_decontamination, op4_suffix_tree_lm, op5_near_dedup)
+    for query in (
+        op1_byte_bpe,
+        op2_secret_scan,
+        op3_decontamination,
+        op4_suffix_tree_lm,
+        op5_near_dedup,
+        op6_quality_rules,
+        op7_language_id,
+        op8_html_extract,
+        op9_line_dedup,
+        op10_quality_classifier,
+    )
 }
 
 ORACLE: dict[str, str] = {}
