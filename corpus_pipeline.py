@@ -35,8 +35,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
-    kept = near_dedup.near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    kept = near_dedup.near_duplicates(docs).filter("kept").select("doc_id").distinct().alias("kept")
+    return docs.alias("docs").join(kept, F.col("docs.doc_id").eqNullSafe(F.col("kept.doc_id")), "left_semi")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,17 @@ def forget_written(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores in front as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found
+
+
 def broadcast_state(spark: SparkSession, thing):
     """Broadcast an object's plain attributes; executors need not have this package to load them."""
     return spark.sparkContext.broadcast(vars(thing))
@@ -100,23 +112,29 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> tuple[
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def span_hasher(raw: np.ndarray):
-    """A function from starts and ends to 64-bit hashes of the spans' bytes, the same wherever a span stands."""
+@cache
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rising powers of the factor and of its inverse."""
     with np.errstate(over="ignore"):
-        powers = np.multiply.accumulate(np.full(len(raw) + 1, _FACTOR, np.uint64))
-        sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[raw] * powers[:-1], out=sums[1:])
-        back = np.multiply.accumulate(np.full(len(raw) + 1, _INVERSE, np.uint64))
-
-    def hashes(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
-
-    return hashes
+        return tuple(np.multiply.accumulate(np.full(size + 1, x, np.uint64)) for x in (_FACTOR, _INVERSE))
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hasher(raw)(starts, ends)
+    """A 64-bit hash of each span's bytes, the same wherever the span stands; starts rise. Long inputs go in pieces."""
+    found = np.empty(len(starts), np.uint64)
+    low = 0
+    while low < len(starts):
+        at = int(starts[low])
+        high = max(low + 1, int(np.searchsorted(starts, at + SLICE_BYTES // 2)))
+        part = raw[at : int(ends[low:high].max())]
+        powers, back = _powers(SLICE_BYTES if len(part) <= SLICE_BYTES else len(part))
+        a, b = starts[low:high] - at, ends[low:high] - at
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_BYTE_VALUES[part] * powers[: len(part)], out=sums[1:])
+            found[low:high] = mix((sums[b] - sums[a]) * back[a] + (b - a).astype(np.uint64))
+        low = high
+    return found
 
 
 def sequence_hashes(hashes: np.ndarray, n: int) -> np.ndarray:

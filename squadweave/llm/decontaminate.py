@@ -21,6 +21,7 @@ from squadweave.llm.common import (
     LOWER,
     broadcast_state,
     byte_table,
+    fresh,
     text_slices,
     with_state,
     word_hashes,
@@ -202,17 +203,17 @@ def marked(
     window: int = WINDOW,
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
-    """``docs`` with ``_n_words``, ``_n_hit``, ``_hits`` (first word, last word + 1, ...) and ``_items`` (names found).
+    """``docs`` and four columns after its own: words, words hit, their ranges (first, last + 1, ...), names of items found.
 
     One pass over the documents per automaton, without a shuffle; each pass
     adds to what the ones before it found. Null texts and items have no words;
     an item without words or name occurs nowhere; items of equal text are all
     named; repeated documents are marked alike.
     """
-    added = ["_n_words", "_n_hit", "_hits", "_items"]
+    n_words, n_hit, hits, names = fresh(docs, "n_words", "n_hit", "hits", "items")
     here = docs.withColumns(
-        {"_n_words": F.lit(0).cast("long"), "_n_hit": F.lit(0).cast("long")}
-        | {"_hits": F.lit(None).cast(HITS), "_items": F.lit(None).cast("array<string>")}
+        {n_words: F.lit(0).cast("long"), n_hit: F.lit(0).cast("long")}
+        | {hits: F.lit(None).cast(HITS), names: F.lit(None).cast("array<string>")}
     )
     schema, at = here.schema, here.columns.index(text_col)
     for k, automaton in enumerate(automata(items, item_col, item_text_col, window, shard_bytes)):
@@ -239,7 +240,6 @@ def marked(
         here = here.mapInArrow(run, schema)
         if k % 4 == 3:
             here = written(here)
-    assert here.columns[-4:] == added
     return here
 
 
@@ -248,9 +248,9 @@ def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     found = marked(docs.select(id_col, F.col(text_col).cast("string")), items, text_col, **options)
     return found.select(
         id_col,
-        F.col("_n_words").alias("n_words"),
-        F.col("_n_hit").alias("n_hit"),
-        F.coalesce("_items", F.array().cast("array<string>")).alias("items"),
+        found["n_words"],
+        found["n_hit"],
+        F.coalesce(found["items"], F.array().cast("array<string>")).alias("items"),
     )
 
 
@@ -263,7 +263,8 @@ def decontaminated(
     texts stay as they are, byte for byte; null and empty texts are clean.
     """
     found = marked(docs.withColumn(text_col, F.col(text_col).cast("string")), items, text_col, **options)
-    kept = found.filter(F.col("_n_hit") <= max_coverage * F.col("_n_words"))
+    n_words, n_hit, _, names = found.columns[-4:]
+    kept = found.filter(found[n_hit] <= max_coverage * found[n_words]).drop(n_words, n_hit, names)
     at, schema = docs.columns.index(text_col), docs.withColumn(text_col, F.col(text_col).cast("string")).schema
 
     def run(batches):
@@ -278,7 +279,7 @@ def decontaminated(
                 columns[at] = pa.array(new, texts.type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
-    return kept.drop("_n_words", "_n_hit", "_items").mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema)
 
 
 def without(text: str, flat: list[int]) -> str:

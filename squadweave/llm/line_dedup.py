@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from squadweave.llm.common import written
+from squadweave.llm.common import fresh, written
 from squadweave.llm.quality_rules import BLANKS, let, split_words
 
 MIN_WORDS = 50
@@ -112,28 +112,27 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def deduplicated(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """``docs`` without repeated runs of lines; all columns stay, and ``lines_cut`` counts the lines deleted.
+    """``docs`` without repeated runs of lines; all columns stay, and ``lines_cut``, added or replaced, counts the lines deleted.
 
     Lines are compared without the blanks around them; lines without a word
     belong to no run and stay, except between deleted lines. Rows equal in id
     and text are one document and are cut alike. A null id comes before all
     others, null and empty texts stay as they are, untouched texts stay byte for byte.
     """
-    cut = repeated_lines(docs, id_col, text_col, min_words).select(
-        F.col("doc").alias("_doc"), F.col("body").alias("_body"), F.col("cut").alias("_cut")
-    )
-    body = F.xxhash64(F.col(text_col).cast("string"))
-    both = docs.withColumn("_at", body).join(
-        cut, F.col(id_col).eqNullSafe(F.col("_doc")) & (F.col("_at") == F.col("_body")), "left"
+    doc, body, lines_cut, here = fresh(docs, "doc", "body", "cut", "here")
+    cut = repeated_lines(docs, id_col, text_col, min_words).toDF(doc, body, lines_cut)
+    both = docs.withColumn(here, F.xxhash64(F.col(text_col).cast("string"))).join(
+        cut, F.col(id_col).eqNullSafe(F.col(doc)) & (F.col(here) == F.col(body)), "left"
     )
+    cut_here = F.col(lines_cut)
     kept = let(
         text_lines(F.col(text_col)),
         lambda all_lines: F.transform(
-            F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("_cut")), lambda at: F.get(all_lines, at)
+            F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), cut_here), lambda at: F.get(all_lines, at)
         ),
     )
-    text = F.when(F.col("_cut").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    text = F.when(cut_here.isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     return both.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.coalesce(F.size("_cut"), F.lit(0)).cast("long").alias("lines_cut"),
+        *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c != "lines_cut"],
+        F.coalesce(F.size(cut_here), F.lit(0)).cast("long").alias("lines_cut"),
     )

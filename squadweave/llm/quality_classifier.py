@@ -24,7 +24,6 @@ from squadweave.llm.common import (
     broadcast_state,
     byte_table,
     mix,
-    span_hasher,
     text_slices,
     with_state,
     word_hashes,
@@ -125,11 +124,10 @@ def content_rows(column: pa.Array) -> Rows:
         low = LOWER[raw]
         begin, end, first = word_spans(low, offsets, _WORD)
         row = np.repeat(np.arange(n), np.diff(first))
-        hashed = span_hasher(low)
         keys = [np.arange(n).repeat(SHAPES) * CONTENT_SIZE + steps.ravel()]
         for size in (*STEMS, 0):
             long = end - begin > size
-            spans = hashed(begin[long], begin[long] + size if size else end[long])
+            spans = word_hashes(low, begin[long], begin[long] + size if size else end[long])
             bucket = (mix(spans + np.uint64(size)) % np.uint64(BUCKETS)).astype(np.int64)
             keys.append(row[long] * CONTENT_SIZE + bucket)
         keys, counts = np.unique(np.concatenate(keys), return_counts=True)

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squadweave.llm.common import written
+from squadweave.llm.common import fresh, written
 
 BLANKS = " \t\n\x0b\f\r"
 REPEAT_WINDOW = 8
@@ -158,17 +158,23 @@ def judged(docs: DataFrame, cascade: Cascade | None = None, text_col: str = "tex
     """``docs`` with ``rejected_by``, the first rule of the cascade that rejects a document, or null.
 
     Null and empty texts have no words and are rejected as such; repeated rows
-    get the same verdict; all columns stay.
+    get the same verdict; all columns stay, but one of that name is replaced.
     """
     cascade = cascade or measure(docs, text_col)
     text = F.col(text_col).cast("string")
-    words = docs.withColumn("_words", split_words(text))
-    return words.withColumn("rejected_by", cascade.rejected_by(text, F.col("_words"))).drop("_words")
+    (words,) = fresh(docs, "words")
+    return docs.withColumn(words, split_words(text)).select(
+        *[c for c in docs.columns if c != "rejected_by"], cascade.rejected_by(text, F.col(words)).alias("rejected_by")
+    )
 
 
 def passing(docs: DataFrame, cascade: Cascade | None = None, text_col: str = "text") -> DataFrame:
     """The documents that no rule rejects, with their columns."""
-    return judged(docs, cascade, text_col).filter(F.col("rejected_by").isNull()).drop("rejected_by")
+    cascade = cascade or measure(docs, text_col)
+    words, verdict = fresh(docs, "words", "verdict")
+    text = F.col(text_col).cast("string")
+    judged_here = docs.withColumn(words, split_words(text)).withColumn(verdict, cascade.rejected_by(text, F.col(words)))
+    return judged_here.filter(F.col(verdict).isNull()).drop(words, verdict)
 
 
 def statistics(docs: DataFrame, cascade: Cascade | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,0 +1,94 @@
+import random
+import re
+
+import pytest
+
+from squadweave.llm import decontaminate as D
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def brute(text, items, window):
+    found = {}
+    for name, item in items:
+        of = words(item)
+        for k in range(max(0, len(of) - window) + 1 if of else 0):
+            found.setdefault(tuple(of[k : k + window]), set()).add(str(name))
+    of, hit, names = words(text), set(), set()
+    for k in range(len(of)):
+        for n in {len(x) for x in found}:
+            key = tuple(of[k : k + n])
+            if len(key) == n and key in found:
+                hit.update(range(k, k + n))
+                names |= found[key]
+    return len(of), len(hit), sorted(names)
+
+
+def case(seed):
+    pick = random.Random(seed)
+    letters = pick.choice([["a", "b"], ["a", "B", "c", "é"], ["aa", "B", "c", "d", "e", "f", "g"]])
+
+    def some(n):
+        return pick.choice([" ", ", ", "\n"]).join(pick.choice(letters) for _ in range(n))
+
+    lengths = [0, 1, 2, 3, 5, 8, 12] if seed % 2 else [4, 6, 9, 14]
+    items = [(k, some(pick.choice(lengths))) for k in range(6)]
+    return items, [some(pick.randint(0, 40)) for _ in range(20)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_agrees_with_brute_force(spark, seed):
+    items, texts = case(seed)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tests = spark.createDataFrame([*items, (9, None), (None, texts[0])], "item_id long, text string")
+    window = (3, 4, 10)[seed % 3]
+    expected = {k: brute(text, items, window) for k, text in enumerate(texts)}
+    for shard_bytes in (D.SHARD_BYTES, 20):
+        rows = D.report(docs, tests, window=window, shard_bytes=shard_bytes).collect()
+        assert {r.doc_id: (r.n_words, r.n_hit, r.items) for r in rows} == expected
+
+
+def test_automaton_on_many_small_cases():
+    import pyarrow as pa
+
+    from squadweave.llm.common import text_slices
+
+    for seed in range(150):
+        items, texts = case(seed)
+        automaton = D.Automaton([(str(n), D.item_words(t)) for n, t in items], 4)
+        for low, high, raw, offsets in text_slices(pa.array(texts)):
+            n_words, found = automaton.scan(raw, offsets)
+            for k in range(low, high):
+                ranges, names = found.get(k - low, ([], set()))
+                got = int(n_words[k - low]), sum(b - a for a, b in D.merged(ranges)), sorted(names)
+                assert got == brute(texts[k], items, 4)
+
+
+def test_spans_go_and_documents_that_are_mostly_items_go(spark):
+    item = "One two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame(
+        [(1, f"Before it. {item.upper()}! And after it there are quite a few more words to keep here."), (2, item), (3, "Clean,  text\n"), (4, None)],
+        "doc_id long, text string",
+    )
+    kept = D.decontaminated(docs, spark.createDataFrame([("x", item)], "item_id string, text string")).collect()
+    assert {r.doc_id: r.text for r in kept} == {
+        1: "Before it. ! And after it there are quite a few more words to keep here.",
+        3: "Clean,  text\n",
+        4: None,
+    }
+
+
+def test_odd_documents(spark, odd_docs, no_docs):
+    items = spark.createDataFrame([(1, "words that go on and on line after line for quite"), (2, "")], "item_id long, text string")
+    rows = D.report(odd_docs, items).collect()
+    expected = [(r.doc_id, *brute(r.text, [(1, "words that go on and on line after line for quite")], 10)) for r in odd_docs.collect()]
+    assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, expected))
+    kept = D.decontaminated(odd_docs, items)
+    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 1
+    assert D.decontaminated(odd_docs, items.limit(0)).count() == odd_docs.count()
+    assert D.report(no_docs, items).collect() == [] and D.decontaminated(no_docs, items).collect() == []
