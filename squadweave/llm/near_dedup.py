@@ -37,7 +37,7 @@ SHINGLE = 5
 POSITIONS, JOINED, CHUNK = 128, 64, 4
 MAX_JOINED, MAX_ALL = 31, 56
 # Classes of one key that a task compares with each other at once.
-BLOCK = 512
+BLOCK = 2048
 
 _RANDOM = np.random.RandomState(11)
 _FACTORS = (_RANDOM.randint(0, 1 << 62, POSITIONS).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
