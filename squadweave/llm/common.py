@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -112,13 +111,6 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> tuple[
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-@cache
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rising powers of the factor and of its inverse."""
-    with np.errstate(over="ignore"):
-        return tuple(np.multiply.accumulate(np.full(size + 1, x, np.uint64)) for x in (_FACTOR, _INVERSE))
-
-
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span's bytes, the same wherever the span stands; starts rise. Long inputs go in pieces."""
     found = np.empty(len(starts), np.uint64)
@@ -127,11 +119,12 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         at = int(starts[low])
         high = max(low + 1, int(np.searchsorted(starts, at + SLICE_BYTES // 2)))
         part = raw[at : int(ends[low:high].max())]
-        powers, back = _powers(SLICE_BYTES if len(part) <= SLICE_BYTES else len(part))
         a, b = starts[low:high] - at, ends[low:high] - at
         with np.errstate(over="ignore"):
+            powers = np.multiply.accumulate(np.full(len(part), _FACTOR, np.uint64))
+            back = np.multiply.accumulate(np.full(int(a[-1]) + 1, _INVERSE, np.uint64))
             sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(_BYTE_VALUES[part] * powers[: len(part)], out=sums[1:])
+            np.cumsum(_BYTE_VALUES[part] * powers, out=sums[1:])
             found[low:high] = mix((sums[b] - sums[a]) * back[a] + (b - a).astype(np.uint64))
         low = high
     return found

@@ -18,6 +18,9 @@ from squadweave.llm import (
     secret_scan,
     suffix_tree_lm,
 )
+from squadweave.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,5 +122,3 @@ QUERIES = {
         op10_quality_classifier,
     )
 }
-
-ORACLE: dict[str, str] = {}
