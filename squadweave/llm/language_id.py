@@ -61,10 +61,10 @@ def learn(
 ) -> dict[str, bytes]:
     """A dictionary per language found in ``docs``, the training documents, the most common language first.
 
-    Rows without language or text teach nothing. What reaches the driver is bounded by languages times the sample.
+    Rows without language or without a letter teach nothing. What reaches the driver is bounded by languages times the sample.
     """
     known = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(
-        (F.octet_length("text") <= SAMPLE_TEXT_BYTES) & (F.octet_length("text") > 0) & F.col("lang").isNotNull()
+        (F.octet_length("text") <= SAMPLE_TEXT_BYTES) & F.col("text").rlike("\\p{L}") & F.col("lang").isNotNull()
     )
     totals = {row.lang: row.n for row in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not totals:
