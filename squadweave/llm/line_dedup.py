@@ -95,7 +95,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     suspects = written(found.join(several, "fingerprint"))
     same = ["fingerprint", "key1", "key2"]
     place = F.struct("doc", "body", "first")
-    earliest = (
+    # Written first, so that the join meets plain shuffles of both sides and a window of very many places is split.
+    earliest = written(
         suspects.groupBy(*same)
         .agg(F.min(place).alias("origin"), F.max(place).alias("latest"))
         .filter(~F.col("origin").eqNullSafe(F.col("latest")))
