@@ -106,18 +106,28 @@ def n_repeat_words(words: Column, window: int = REPEAT_WINDOW) -> Column:
     return F.when(F.size(words) < window, none).otherwise(found)
 
 
-def rules(text: Column, words: Column) -> dict[str, Column]:
-    """The conditions that reject, by name."""
-    n = F.size(words)
+def measures(text: Column, words: Column) -> dict[str, Column]:
+    """What rules count, by name."""
+    return {
+        "word_chars": word_chars(words),
+        "n_symbols": n_symbols(text),
+        "n_dup_lines": n_dup_lines(text),
+        "n_repeat_words": n_repeat_words(words),
+    }
+
+
+def rules(text: Column, words: Column, counted: dict[str, Column] | None = None) -> dict[str, Column]:
+    """The conditions that reject, by name; ``counted`` gives measures that stand in columns already."""
+    n, by = F.size(words), counted or measures(text, words)
     return {
         "few_words": n < 20,
-        "repeats_itself": 100 * n_repeat_words(words) > 30 * n,
+        "repeats_itself": 100 * by["n_repeat_words"] > 30 * n,
         "stutters": 100 * F.size(F.filter(words, lambda x, i: x == F.get(words, i + 1))) > 40 * n,
-        "symbols": 100 * n_symbols(text) > 30 * n,
+        "symbols": 100 * by["n_symbols"] > 30 * n,
         "shouts": 100 * count_chars(text, "[^!]++") > 50 * n,
-        "word_length": (word_chars(words) < 2 * n) | (word_chars(words) > 15 * n),
-        "few_letters": 100 * count_chars(text, "[^\\p{L}]++") < 60 * word_chars(words),
-        "repeated_lines": 100 * n_dup_lines(text) > 60 * F.size(worded_lines(text)),
+        "word_length": (by["word_chars"] < 2 * n) | (by["word_chars"] > 15 * n),
+        "few_letters": 100 * count_chars(text, "[^\\p{L}]++") < 60 * by["word_chars"],
+        "repeated_lines": 100 * by["n_dup_lines"] > 60 * F.size(worded_lines(text)),
     }
 
 
@@ -128,9 +138,9 @@ class Cascade:
         self.measured = measured
         self.order = sorted(measured, key=lambda name: (-measured[name][1] / measured[name][0], name))
 
-    def rejected_by(self, text: Column, words: Column) -> Column:
+    def rejected_by(self, text: Column, words: Column, counted: dict[str, Column] | None = None) -> Column:
         """The first rule that rejects, null where none does; later rules are not evaluated."""
-        conditions, chain = rules(text, words), F
+        conditions, chain = rules(text, words, counted), F
         for name in self.order:
             chain = chain.when(conditions[name], F.lit(name))
         return chain
@@ -188,11 +198,9 @@ def statistics(docs: DataFrame, cascade: Cascade | None = None, id_col: str = "d
         "_text",
         "_words",
         F.size(words).cast("long").alias("n_words"),
-        word_chars(words).alias("word_chars"),
-        n_symbols(text).alias("n_symbols"),
-        n_dup_lines(text).alias("n_dup_lines"),
-        n_repeat_words(words).alias("n_repeat_words"),
+        *[count.alias(name) for name, count in measures(text, words).items()],
     )
+    known = {name: F.col(name) for name in measures(text, words)}
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return counted.select(
         id_col,
@@ -202,5 +210,5 @@ def statistics(docs: DataFrame, cascade: Cascade | None = None, id_col: str = "d
         "n_dup_lines",
         "n_repeat_words",
         failed.alias("base_failed"),
-        F.when(failed, False).otherwise(cascade.rejected_by(text, words).isNull()).alias("kept"),
+        F.when(failed, False).otherwise(cascade.rejected_by(text, words, known).isNull()).alias("kept"),
     )
