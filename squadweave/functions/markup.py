@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -32,6 +33,7 @@ class _Tree(HTMLParser):
         self.by_tag: dict[str, list[Element]] = {}
         self.count = 0
         self.open = [Element("", {}, self.by_tag, 0)]
+        self.open_tags: Counter[str] = Counter()
 
     def updatepos(self, i, j):
         return j  # line numbers are not needed
@@ -45,12 +47,15 @@ class _Tree(HTMLParser):
             element.end = self.count
         else:
             self.open.append(element)
+            self.open_tags[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        if not self.open_tags[tag]:
+            return
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == tag:
                 self.shut(depth)
@@ -62,6 +67,7 @@ class _Tree(HTMLParser):
     def shut(self, depth):
         for element in self.open[depth:]:
             element.end = self.count
+            self.open_tags[element.tag] -= 1
         del self.open[depth:]
 
 

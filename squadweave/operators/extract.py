@@ -18,7 +18,7 @@ from squadweave.functions.fixed_values import MISSING
 from squadweave.functions.markup import Card, Field, Layout, Select, cards_of, layout_in, layout_of, parse
 from squadweave.functions.text import first_token, height_inches
 
-PARSED = "layout string, cards array<struct<kind string, fields array<string>>>"
+PARSED = "layout string, cards array<struct<kind string, fields array<string>>>, problem string"
 
 # ---- The two roster page designs. Tags, classes and attributes are fixed values. ----
 
@@ -105,10 +105,11 @@ ROSTER_LAYOUTS = (MODERN, CLASSIC)
 
 
 def parse_pages(pages: DataFrame, layouts: tuple[Layout, ...], html: str = "html") -> DataFrame:
-    """``pages`` with ``layout`` and ``cards`` in place of the markup.
+    """``pages`` with ``layout``, ``cards`` and ``problem`` in place of the markup.
 
-    A page of no known layout has a null layout and no cards. Only pages that
-    hold the text of some marker cross into Python.
+    A page of no known layout has a null layout and no cards. A page that
+    cannot be parsed has neither, and its problem says why; all others go on.
+    Only pages that hold the text of some marker cross into Python.
     """
 
     with_cards = any(layout.cards for layout in layouts)
@@ -116,19 +117,28 @@ def parse_pages(pages: DataFrame, layouts: tuple[Layout, ...], html: str = "html
     @F.pandas_udf(PARSED)
     def parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            names, cards = [], []
-            for text in texts:
-                page = parse(text) if with_cards else None
-                layout = layout_in(page, layouts) if with_cards else layout_of(text, layouts)
-                names.append(layout.name if layout else None)
-                cards.append(cards_of(page, layout) if layout and with_cards else [])
-            yield pd.DataFrame({"layout": pd.Series(names, dtype=object), "cards": pd.Series(cards, dtype=object)})
+            found = [read_page(text) for text in texts]
+            yield pd.DataFrame(
+                {
+                    name: pd.Series([row[at] for row in found], dtype=object)
+                    for at, name in enumerate(("layout", "cards", "problem"))
+                }
+            )
+
+    def read_page(text: str) -> tuple[str | None, list[dict], str | None]:
+        try:
+            page = parse(text) if with_cards else None
+            layout = layout_in(page, layouts) if with_cards else layout_of(text, layouts)
+            return layout.name if layout else None, cards_of(page, layout) if layout and with_cards else [], None
+        except Exception as problem:  # the markup is anyone's, and one page must not end the job
+            return None, [], f"page cannot be parsed: {type(problem).__name__}: {problem}"
 
     # Said to be non-deterministic, the parse is not repeated for a filter on its result.
     parsed = parsed.asNondeterministic()
     found = pages.withColumn("_parsed", parsed(F.when(_may_match(F.col(html), layouts), F.col(html)).otherwise("")))
     return found.select(
-        *[F.col(name) for name in pages.columns if name != html], F.col("_parsed.layout"), F.col("_parsed.cards")
+        *[F.col(name) for name in pages.columns if name != html],
+        *[F.col(f"_parsed.{name}").alias(name) for name in ("layout", "cards", "problem")],
     )
 
 
@@ -145,12 +155,14 @@ def _may_match(html: Column, layouts: tuple[Layout, ...]) -> Column:
 def detect_layout(pages: DataFrame, layouts: tuple[Layout, ...] = ROSTER_LAYOUTS, html: str = "html") -> DataFrame:
     """The first layout whose marker a page holds, ``unknown`` if there is none."""
     markers_only = tuple(Layout(layout.name, layout.marker) for layout in layouts)
-    return parse_pages(pages, markers_only, html).withColumn("layout", F.coalesce("layout", F.lit("unknown"))).drop("cards")
+    return parse_pages(pages, markers_only, html).withColumn(
+        "layout", F.coalesce("layout", F.lit("unknown"))
+    ).drop("cards", "problem")
 
 
 def extract_cards(pages: DataFrame, layouts: tuple[Layout, ...], html: str = "html") -> DataFrame:
     """One row per card: the page columns, ``layout``, ``card_no``, ``kind`` and the field texts."""
-    return _explode_cards(parse_pages(pages, layouts, html))
+    return _explode_cards(parse_pages(pages, layouts, html).drop("problem"))
 
 
 def _explode_cards(parsed: DataFrame) -> DataFrame:
@@ -165,7 +177,8 @@ def roster_cards(pages: DataFrame) -> DataFrame:
 
     A player without a readable height is an error, but on a modern page a
     missing height is not. One error on a modern page rejects the whole page,
-    on a classic page only its own card.
+    on a classic page only its own card. A page that cannot be parsed is one
+    rejected row without kind and fields.
     """
     parsed = parse_pages(pages, ROSTER_LAYOUTS)
     modern = F.col("layout") == MODERN.name
@@ -175,7 +188,11 @@ def roster_cards(pages: DataFrame) -> DataFrame:
         & F.when(height(card).isNull(), ~modern).otherwise(height_inches(height(card)).isNull())
     )
     page_error = F.when(modern & F.exists("cards", bad), F.lit("page holds a card with an unreadable height"))
-    cards = _explode_cards(parsed.withColumn("page_error", page_error))
+    no_card = F.array(F.lit(None).cast("struct<kind:string,fields:array<string>>"))
+    parsed = parsed.withColumn("page_error", F.coalesce("problem", page_error)).withColumn(
+        "cards", F.when(F.col("problem").isNotNull(), no_card).otherwise(F.col("cards"))
+    )
+    cards = _explode_cards(parsed.drop("problem"))
     card_error = F.when(bad(F.struct("kind", "fields")), F.lit("unreadable height"))
     return cards.withColumn("error", F.coalesce("page_error", card_error)).drop("page_error")
 

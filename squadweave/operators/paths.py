@@ -65,8 +65,8 @@ def count_by_path(start: DataFrame, hops: list[Hop], predicate: Column, group: s
     return ends.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
 
 
-def shared_neighbors(edges: DataFrame, left: str, via: str, light: int = LIGHT) -> DataFrame:
-    """Pairs of left nodes with the number of ``via`` nodes that both lead to.
+def shared_neighbors(edges: DataFrame, left: str, via: str, light: int = LIGHT, min_shared: int = 1) -> DataFrame:
+    """Pairs of left nodes with the number of ``via`` nodes that both lead to, if it is at least ``min_shared``.
 
     A ``via`` node with few neighbours lists its pairs, and nodes with the
     same neighbours list them once. Busier nodes never do: their edges are cut
@@ -78,7 +78,8 @@ def shared_neighbors(edges: DataFrame, left: str, via: str, light: int = LIGHT)
     few = links.join(busy, via, "left_anti")
     many = links.join(busy, via, "left_semi")
     counted = _listed_pairs(few, left, via).unionByName(_tiled_pairs(many, left, via))
-    return counted.groupBy(f"{left}_a", f"{left}_b").agg(F.sum("n").alias("shared"))
+    shared = counted.groupBy(f"{left}_a", f"{left}_b").agg(F.sum("n").alias("shared"))
+    return shared.filter(F.col("shared") >= min_shared) if min_shared > 1 else shared
 
 
 def _listed_pairs(links: DataFrame, left: str, via: str) -> DataFrame:
@@ -105,8 +106,10 @@ def _tiled_pairs(links: DataFrame, left: str, via: str) -> DataFrame:
         F.col(via).alias("via"),
         bucket(F.col(left), tiles).alias("tile"),
         bucket(F.col(via), strips).alias("strip"),
-        F.explode(F.sequence(F.lit(0), tiles - 1)).alias("other"),
-    ).withColumns({"i": F.least("tile", "other"), "j": F.greatest("tile", "other")})
+    )
+    # An edge goes only to those tiles that have nodes in its strip.
+    met = placed.select("strip", F.col("tile").alias("other")).distinct()
+    placed = placed.join(met, "strip").withColumns({"i": F.least("tile", "other"), "j": F.greatest("tile", "other")})
     kind = links.schema[left].dataType.simpleString()
 
     def count(cell: pd.DataFrame) -> pd.DataFrame:

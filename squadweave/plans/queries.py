@@ -88,7 +88,7 @@ def union_seasons(t: Tables) -> DataFrame:
 # ---- Extraction ----
 
 def _pages(t: Tables) -> DataFrame:
-    return tables.spread_scan(t("pages").select("page_id", "html"))
+    return t("pages").select("page_id", "html")
 
 
 _PAGE = Select("html")
@@ -130,8 +130,8 @@ def detect_layout(t: Tables) -> DataFrame:
 
 
 def _card_pages(t: Tables) -> DataFrame:
-    """One roster page per customer, of either design, with a player and a coach."""
-    customer = tables.spread_scan(t("customer").select("c_custkey", "c_name", "c_mktsegment"))
+    """One roster page per customer, of either design, with a player and a coach; some pages cannot be parsed."""
+    customer = t("customer").select("c_custkey", "c_name", "c_mktsegment")
     key = F.col("c_custkey")
     height = F.when(key % 10 == 3, "tall").otherwise(
         F.concat((key % 3 + 5).cast("string"), F.lit("'"), (key % 12).cast("string"), F.lit('"'))
@@ -156,11 +156,13 @@ def _card_pages(t: Tables) -> DataFrame:
         F.lit("</li></ul><ul><li class='sidearm-roster-coach'><p>Coach "), "c_name",
         F.lit("</p><div class='sidearm-roster-coach-title'>"), title, F.lit("</div></li></ul>"),
     )
-    return customer.select("c_custkey", F.when(key % 2 == 0, modern).otherwise(classic).alias("html"))
+    html = F.when(key % 2 == 0, modern).otherwise(classic)
+    # A marked section that no parser knows makes a page unreadable.
+    return customer.select("c_custkey", F.when(key % 17 == 5, F.concat(F.lit("<![foo[x]]>"), html)).otherwise(html).alias("html"))
 
 
 @query("""
-WITH c AS (SELECT *, c_custkey % 10 = 3 AS tall, c_custkey % 2 = 0 AS modern FROM customer)
+WITH c AS (SELECT *, c_custkey % 10 = 3 AS tall, c_custkey % 2 = 0 AS modern FROM customer WHERE c_custkey % 17 <> 5)
 SELECT c_custkey, 'player' AS kind, c_name AS name, c_mktsegment AS detail,
        CAST((c_custkey % 3 + 5) * 12 + c_custkey % 12 AS VARCHAR) AS height
 FROM c WHERE NOT tall
@@ -477,16 +479,6 @@ def mapping_diff(t: Tables) -> DataFrame:
     return resolve.mapping_diff(_part_mapping(t)).select("name", "canon")
 
 
-@query()
-def canonicalize_fuzzy(t: Tables) -> DataFrame:
-    """Page titles with a typo in them, against the titles as they are."""
-    titles = t("pages").select(
-        F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.col("page_id").alias("seq")
-    )
-    typed = titles.select(F.regexp_replace("title", "er", "re").alias("typed"))
-    return resolve.canonicalize(typed, "typed", titles, "title", "seq", cutoff=70.0)
-
-
 @query("""
 SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey, arg_min(o_orderpriority, (o_orderdate, o_orderkey)) AS o_orderpriority
 FROM orders GROUP BY o_custkey
@@ -542,7 +534,7 @@ def fuzzy_ratio_pairs(t: Tables) -> DataFrame:
 @query(f"""
 WITH RECURSIVE canon AS (
   SELECT p_name AS canon, min(p_partkey) AS seq, array_to_string(list_sort(string_split(p_name, ' ')), ' ') AS key FROM part GROUP BY p_name),
-names AS (SELECT DISTINCT upper(split_part(p_name, ' ', 2)) || ', ' || p_name[:2] AS name FROM part),
+names AS (SELECT DISTINCT upper(split_part(p_name, ' ', 2)) || ', x' || split_part(p_name, ' ', 1) AS name FROM part),
 keyed AS (SELECT name, array_to_string(list_sort(string_split(replace(lower(name), ',', ''), ' ')), ' ') AS key FROM names),
 pairs AS (SELECT DISTINCT keyed.key AS a, canon.key AS b FROM keyed, canon),
 {_LCS},
@@ -553,12 +545,41 @@ SELECT name, coalesce(canon, name) AS canon, score FROM names LEFT JOIN (SELECT
 def token_sort_match(t: Tables) -> DataFrame:
     part = t("part")
     names = part.select(
-        F.concat(F.upper(F.split_part("p_name", F.lit(" "), F.lit(2))), F.lit(", "), F.substring("p_name", 1, 2)).alias("name")
+        F.concat(
+            F.upper(F.split_part("p_name", F.lit(" "), F.lit(2))), F.lit(", x"), F.split_part("p_name", F.lit(" "), F.lit(1))
+        ).alias("name")
     )
     canon = part.select("p_name", "p_partkey")
     return resolve.token_sort_match(names, "name", canon, "p_name", "p_partkey").withColumn("score", F.round("score", 6))
 
 
+# Windows of a text: its substrings of the needle's length, and its shorter beginnings and endings.
+@query(f"""
+WITH RECURSIVE canon AS (SELECT p_name AS canon, min(p_partkey) AS seq FROM part GROUP BY p_name),
+names AS (SELECT DISTINCT translate(p_name, 'gl', 'qk') AS name FROM canon, part WHERE canon = p_name),
+sides AS (
+  SELECT name, canon, seq, name AS needle, canon AS text FROM names, canon WHERE len(name) <= len(canon)
+  UNION ALL
+  SELECT name, canon, seq, canon, name FROM names, canon WHERE len(canon) <= len(name)),
+windows AS (
+  SELECT name, canon, seq, needle AS a, text[s:s + len(needle) - 1] AS b FROM sides, unnest(range(1, len(text) + 1)) AS t(s)
+  UNION
+  SELECT name, canon, seq, needle, text[1:e] FROM sides, unnest(range(1, len(needle))) AS t(e)),
+pairs AS (SELECT DISTINCT a, b FROM windows),
+{_LCS},
+hits AS (
+  SELECT name, canon, max(score) AS score, row_number() OVER (PARTITION BY name ORDER BY max(score) DESC, seq) AS rn
+  FROM windows JOIN scored USING (a, b) WHERE score >= 70 GROUP BY name, canon, seq)
+SELECT name, coalesce(canon, name) AS canon, score FROM names LEFT JOIN (FROM hits WHERE rn = 1) USING (name)
+""")
+def canonicalize_fuzzy(t: Tables) -> DataFrame:
+    """Part names with two letters mistyped, against the names as they are."""
+    part = t("part").select("p_name", "p_partkey")
+    typed = part.select(F.translate("p_name", "gl", "qk").alias("typed"))
+    found = resolve.canonicalize(typed, "typed", part, "p_name", "p_partkey", cutoff=70.0)
+    return found.select("name", "canon", F.round("score", 6).alias("score"))
+
+
 @query("""
 SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ' | ' ORDER BY o_orderpriority) AS o_orderpriority FROM orders GROUP BY o_custkey
 """)
@@ -789,12 +810,15 @@ def count_by_path(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH e AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem)
-SELECT a.l_suppkey AS l_suppkey_a, b.l_suppkey AS l_suppkey_b, count(*) AS shared
-FROM e a JOIN e b ON a.l_partkey = b.l_partkey AND a.l_suppkey < b.l_suppkey GROUP BY ALL
+WITH e AS (SELECT DISTINCT s_nationkey, l_partkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
+SELECT a.s_nationkey AS s_nationkey_a, b.s_nationkey AS s_nationkey_b, count(*) AS shared
+FROM e a JOIN e b ON a.l_partkey = b.l_partkey AND a.s_nationkey < b.s_nationkey GROUP BY ALL
 """)
 def shared_neighbors(t: Tables) -> DataFrame:
-    return paths.shared_neighbors(t("lineitem"), "l_suppkey", "l_partkey")
+    """Nations whose suppliers sold the same parts."""
+    sold = t("lineitem").select("l_suppkey", "l_partkey").distinct()
+    edges = sold.join(t("supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    return paths.shared_neighbors(edges, "s_nationkey", "l_partkey")
 
 
 @query("""

@@ -14,10 +14,10 @@ from squadweave.functions.roles import extract_roles
 from squadweave.operators import extract, graph, paths, quality, resolve
 from squadweave.operators.paths import Hop
 from squadweave.session import tune
-from squadweave.sources import seeds, tables
+from squadweave.sources import seeds, tables, versions
 
-# Positions per player that the graph keeps.
-KEPT_POSITIONS = 3
+# Positions per player that a strict load takes, as a row-wise load would: it reads three position columns.
+STRICT_POSITIONS = 3
 
 # Header texts of raw tables that differ from the column names here.
 RENAMED = {
@@ -76,6 +76,7 @@ def resolve_high_schools(players: DataFrame, schools: DataFrame, cutoff: float =
 
 
 def clean_players(players: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Clean player records; every position has a column, as many as the longest list has entries."""
     rows = tables.null_tokens(players)
     batting, throwing = codes.split_pair(F.col("bt"))
     rows = resolve.apply_mapping(rows, "high_school", mapping)
@@ -90,7 +91,8 @@ def clean_players(players: DataFrame, mapping: DataFrame) -> DataFrame:
             "team": codes.map_codes(F.col("college"), seeds.team_of_college(), miss="null", trim=False),
         }
     )
-    return rows.select("*", *codes.widen(F.col("position_list"), KEPT_POSITIONS))
+    width = codes.longest(players.select(codes.split_codes(F.col("position")).alias("position_list")), "position_list")
+    return rows.select("*", *codes.widen(F.col("position_list"), width))
 
 
 def clean_coaches(coaches: DataFrame) -> DataFrame:
@@ -107,13 +109,14 @@ def clean_high_schools(schools: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def clean_all(raw: dict[str, DataFrame], clean_dir: str) -> None:
-    """Write the clean tables ``players``, ``coaches``, ``highschools`` and the school ``mapping``."""
+    """Write the clean tables ``players``, ``coaches``, ``highschools``, the school ``mapping`` and its ``dedup_metrics``."""
     spark = tune(raw["players"].sparkSession)
     tables.write_table(resolve_high_schools(tables.null_tokens(raw["players"]), raw["highschools"]), f"{clean_dir}/mapping")
     mapping = spark.read.parquet(f"{clean_dir}/mapping")
     tables.write_table(clean_players(raw["players"], mapping), f"{clean_dir}/players")
     tables.write_table(clean_coaches(raw["coaches"]), f"{clean_dir}/coaches")
     tables.write_table(clean_high_schools(raw["highschools"], mapping), f"{clean_dir}/highschools")
+    tables.write_table(resolve.dedup_metrics(mapping), f"{clean_dir}/dedup_metrics")
 
 
 # ---- Clean tables to a graph ----
@@ -133,39 +136,53 @@ class Graph:
     edges: dict[str, DataFrame]
 
 
-def player_rows(players: DataFrame, recency: str = "file") -> DataFrame:
+def player_rows(players: DataFrame, recency: str = "file", positions: int | None = None) -> DataFrame:
     """Player records as the graph takes them, with the order in which writes count.
 
     By default a later row of the load wins. With ``recency='season'`` a later
-    season does, and the load order only decides within it.
+    season does, and the load order only decides within it. ``positions``
+    keeps only so many of a record's positions, the first ones.
     """
+    held = F.col("position_list") if positions is None else F.slice("position_list", 1, positions)
     order = F.struct("seq") if recency == "file" else F.struct("season", "seq")
     return players.select(
         "name", "hometown", "team", "high_school", "class_year",
         *[text.safe_int(F.col(name).cast("string")).alias(name) for name in ("height", "weight", "jersey", "season")],
         F.col("batting").alias("batting_hand"),
         F.col("throwing").alias("throwing_hand"),
-        codes.compact(*[F.col(f"position{at + 1}") for at in range(KEPT_POSITIONS)]).alias("positions"),
+        held.alias("positions"),
         order.alias("order"),
     )
 
 
-def build_nodes(clean: dict[str, DataFrame], recency: str = "file") -> dict[str, DataFrame]:
+NODE_PROPS = {
+    "Conference": ["region", "abbreviation", "founded_year", "number_of_teams", "headquarters"],
+    "Player": ["height", "weight", "batting_hand", "throwing_hand"],
+}
+
+# Labels whose rows come from seed tables: there a key that occurs twice is an error, elsewhere rows merge.
+SEEDED = ("Conference", "Team", "Position", "College")
+
+
+def node_rows(clean: dict[str, DataFrame], recency: str = "file") -> dict[str, DataFrame]:
+    """The rows that the nodes of each label are merged from, in the order that ``order`` says."""
     spark = clean["players"].sparkSession
-    conferences = seeds.conferences(spark)
+    rows = {
+        "Conference": seeds.conferences(spark),
+        "HighSchool": clean["highschools"].select("name"),
+        "Team": seeds.teams(spark).select(F.col("team").alias("name")),
+        "Player": player_rows(clean["players"], recency),
+        "Position": seeds.positions(spark),
+        "Coach": clean["coaches"].select("name"),
+        "College": seeds.colleges(spark),
+    }
+    return {label: df if "order" in df.columns else df.withColumn("order", F.lit(0)) for label, df in rows.items()}
+
+
+def build_nodes(clean: dict[str, DataFrame], recency: str = "file") -> dict[str, DataFrame]:
     return {
-        "Conference": graph.merge_nodes(
-            conferences.withColumn("order", F.lit(0)), ["name"], [c for c in conferences.columns if c != "name"], ["order"]
-        ),
-        "HighSchool": graph.merge_nodes(clean["highschools"], ["name"]),
-        "Team": graph.merge_nodes(seeds.teams(spark).select(F.col("team").alias("name")), ["name"]),
-        "Player": graph.merge_nodes(
-            player_rows(clean["players"], recency), ["name", "hometown"],
-            ["height", "weight", "batting_hand", "throwing_hand"], ["order"],
-        ),
-        "Position": graph.merge_nodes(seeds.positions(spark), ["name"]),
-        "Coach": graph.merge_nodes(clean["coaches"], ["name"]),
-        "College": graph.merge_nodes(seeds.colleges(spark), ["name"]),
+        label: graph.merge_nodes(rows, NODE_KEYS[label], NODE_PROPS.get(label, []), ["order"])
+        for label, rows in node_rows(clean, recency).items()
     }
 
 
@@ -175,11 +192,11 @@ def build_edges(
     """All edges but the transfers.
 
     A strict build drops what a row-wise load would: a row that fails one
-    match takes no further part. Otherwise every edge asks only for its own
-    two ends.
+    match takes no further part, and only the first ``STRICT_POSITIONS``
+    positions count. Otherwise every edge asks only for its own two ends.
     """
     spark = clean["players"].sparkSession
-    rows = player_rows(clean["players"], recency)
+    rows = player_rows(clean["players"], recency, STRICT_POSITIONS if strict else None)
     team_rows = seeds.teams(spark)
     team, school, member = {"team": "name"}, {"high_school": "name"}, {"member_of": "abbreviation"}
     coach_seq = ["college", "season"] if recency == "file" else ["season", "college"]
@@ -208,6 +225,26 @@ def build_edges(
     }
 
 
+def unmatched_rows(clean: dict[str, DataFrame], nodes: dict[str, DataFrame], recency: str = "file") -> dict[str, DataFrame]:
+    """Key values of edge rows that meet no node, with the rows lost to each, by edge type.
+
+    Null keys are among them: a row that names no team plays for none.
+    """
+    rows = player_rows(clean["players"], recency)
+    team_rows = seeds.teams(clean["players"].sparkSession)
+    team = {"team": "name"}
+    return {
+        "PLAYS_FOR": quality.unmatched_report(rows, nodes["Team"], team),
+        "ATTENDED": quality.unmatched_report(rows, nodes["HighSchool"], {"high_school": "name"}),
+        "HAS_POSITION": quality.unmatched_report(
+            rows.select(F.explode("positions").alias("position")), nodes["Position"], {"position": "name"}
+        ),
+        "MEMBER_OF": quality.unmatched_report(team_rows, nodes["Conference"], {"member_of": "abbreviation"}),
+        "REPRESENTS": quality.unmatched_report(team_rows, nodes["College"], {"college": "name"}),
+        "COACHES": quality.unmatched_report(clean["coaches"], nodes["Team"], team),
+    }
+
+
 def build_transfers(plays_for: DataFrame) -> DataFrame:
     return graph.transfers(plays_for, list(PLAYER), "team", "season")
 
@@ -215,22 +252,36 @@ def build_transfers(plays_for: DataFrame) -> DataFrame:
 def load_all(
     spark: SparkSession, clean_dir: str, graph_dir: str, strict: bool = True, recency: str = "file"
 ) -> Graph:
-    """Write the whole graph anew: nodes, their key checks, edges, and the transfers last.
+    """Write the whole graph anew: nodes, edges, and the transfers last, with reports of what is not in it.
+
+    Keys are checked on the rows before they merge: a seed table whose key
+    occurs twice stops the load, rows with a null key go to
+    ``rejected/<label>``. ``unmatched/<type>`` lists the keys that met no node
+    and the rows lost to each. Every table is read back once written, so a lost
+    executor costs no more than the table at work.
 
-    Every table is read back once written, so a lost executor costs no more
-    than the table at work.
+    All of it goes into a version of its own, which readers take up only when
+    it is complete: a load that fails leaves the graph as it was.
     """
     tune(spark)
     clean = {name: spark.read.parquet(f"{clean_dir}/{name}") for name in ("players", "coaches", "highschools")}
+    version = versions.begin(spark, graph_dir)
     nodes = {}
+    for label, rows in node_rows(clean, recency).items():
+        keys = NODE_KEYS[label]
+        if label in SEEDED:
+            quality.require_unique(rows, keys, label)
+        tables.write_table(quality.null_key_rows(rows, keys), f"{version}/rejected/{label}")
     for label, df in build_nodes(clean, recency).items():
-        tables.write_table(df, f"{graph_dir}/nodes/{label}")
-        nodes[label] = spark.read.parquet(f"{graph_dir}/nodes/{label}")
-        quality.require_unique(nodes[label], NODE_KEYS[label], label)
+        tables.write_table(df, f"{version}/nodes/{label}")
+        nodes[label] = spark.read.parquet(f"{version}/nodes/{label}")
     for kind, df in build_edges(clean, nodes, strict, recency).items():
-        tables.write_table(df, f"{graph_dir}/edges/{kind}")
-    plays_for = spark.read.parquet(f"{graph_dir}/edges/PLAYS_FOR")
-    tables.write_table(build_transfers(plays_for), f"{graph_dir}/edges/TRANSFERRED_TO")
+        tables.write_table(df, f"{version}/edges/{kind}")
+    for kind, df in unmatched_rows(clean, nodes, recency).items():
+        tables.write_table(df, f"{version}/unmatched/{kind}")
+    plays_for = spark.read.parquet(f"{version}/edges/PLAYS_FOR")
+    tables.write_table(build_transfers(plays_for), f"{version}/edges/TRANSFERRED_TO")
+    versions.complete(spark, version)
     return read_graph(spark, graph_dir)
 
 
@@ -238,12 +289,19 @@ EDGE_TYPES = ("PLAYS_FOR", "ATTENDED", "HAS_POSITION", "MEMBER_OF", "REPRESENTS"
 
 
 def read_graph(spark: SparkSession, graph_dir: str) -> Graph:
+    """The latest complete version of a graph."""
+    version = versions.latest(spark, graph_dir)
     return Graph(
-        {label: spark.read.parquet(f"{graph_dir}/nodes/{label}") for label in NODE_KEYS},
-        {kind: spark.read.parquet(f"{graph_dir}/edges/{kind}") for kind in EDGE_TYPES},
+        {label: spark.read.parquet(f"{version}/nodes/{label}") for label in NODE_KEYS},
+        {kind: spark.read.parquet(f"{version}/edges/{kind}") for kind in EDGE_TYPES},
     )
 
 
+def read_report(spark: SparkSession, graph_dir: str, kind: str, name: str) -> DataFrame:
+    """A report of the latest version: ``kind`` is ``rejected`` (by label) or ``unmatched`` (by edge type)."""
+    return spark.read.parquet(f"{versions.latest(spark, graph_dir)}/{kind}/{name}")
+
+
 def refresh_players(stored: Graph, players: DataFrame, out_path: str, recency: str = "file") -> None:
     """Merge a batch of clean player records into the stored nodes and write them to a new place."""
     props = ["height", "weight", "batting_hand", "throwing_hand"]

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,21 +33,43 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Folders made for local sessions that name none, by application.
+_own_folders: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables, in the one that ``spark.checkpoint.dir`` names.
+
+    Only a single-process session without that setting gets a folder of its
+    own, which goes when the process ends.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if context.applicationId not in _own_folders:
+            folder = tempfile.mkdtemp(prefix="squadweave-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            _own_folders[context.applicationId] = folder
+        named = _own_folders[context.applicationId]
+    return f"{named.rstrip('/')}/squadweave-{context.applicationId}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from there.
+    """Write ``df`` as a Parquet table in the shared folder and go on from there.
 
-    The folder is the one named in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a folder of its own.
+    Later steps read the columns they need, whatever executors are lost.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            shared = tempfile.mkdtemp(prefix="squadweave-")
-        context.setCheckpointDir(shared)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all tables that lineage cuts of this application wrote, once no result that rests on them is needed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def literal_table(spark: SparkSession, columns: dict[str, list]) -> DataFrame:

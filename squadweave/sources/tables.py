@@ -83,23 +83,14 @@ def write_table(df: DataFrame, path: str, columns: list[str] | None = None, form
         writer.format(form).save(path)
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """A plain scan, dealt out over the cores where its files give fewer splits than there are cores.
-
-    Such a scan is small, so the shuffle costs little beside the per-row work
-    that follows. Any larger scan stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_pages(spark: SparkSession, path: str, page_list: DataFrame, form: str = "parquet") -> DataFrame:
     """Raw pages ``(url, html)`` with the college, season, batch and page number of the page list.
 
-    A listed page without content gives no row.
+    A listed page without content gives no row. How finely the scan is split
+    is up to ``spark.sql.files.maxPartitionBytes``.
     """
     raw = spark.read.format(form).schema("url string, html string").load(path)
-    return spread_scan(raw).join(page_list, "url")
+    return raw.join(page_list, "url")
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,9 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from squadweave.functions.markup import parse
 from squadweave.operators import extract
 
 SR = "<span class='sr-only'>read out</span>"
@@ -147,3 +150,23 @@ def test_extraction_needs_no_shuffle(cards, spark):
     plan = extract.roster_players(extract.roster_cards(pages))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_a_page_that_cannot_be_parsed_costs_one_row(spark):
+    pages = spark.createDataFrame(
+        [(1, f"<html><![foo[x]]>{modern_coach('Kay', 'Head Coach')}</html>"), (2, f"<html>{modern_coach('Lee', 'Head Coach')}</html>")],
+        "page_no int, html string",
+    )
+    found = extract.roster_cards(pages).collect()
+    assert [(r.page_no, r.kind) for r in found if r.error is None] == [(2, "coach")]
+    (bad,) = [r for r in found if r.error is not None]
+    assert (bad.page_no, bad.kind) == (1, None) and "cannot be parsed" in bad.error
+    cards = extract.roster_cards(pages)
+    assert extract.rejected_cards(cards).count() == 1 and extract.roster_coaches(cards).count() == 1
+    assert {r.page_no: r.layout for r in extract.detect_layout(pages).collect()} == {1: "unknown", 2: "modern"}
+
+
+def test_stray_end_tags_take_linear_time():
+    start = time.perf_counter()
+    parse("<p>" * 20_000 + "</b>" * 20_000)
+    assert time.perf_counter() - start < 3

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from squadweave.plans.queries import ORACLE, QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -44,11 +45,11 @@ def kinds(rows, columns):
     return found
 
 
-def test_every_query_but_the_fuzzy_one_has_sql():
-    assert set(queries()) - set(oracle_sql()) == {"canonicalize_fuzzy"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(oracle_sql()))
+@pytest.mark.parametrize("name", [name for name in oracle_sql() if name in ORACLE])
 def test_agrees_with_sql(spark, duck, name):
     df = queries()[name](spark, SF_DIR)
     got = [tuple(row) for row in df.collect()]

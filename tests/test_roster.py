@@ -104,6 +104,57 @@ def test_loading_again_changes_nothing(spark, built, tmp_path):
         assert {kind: values(df, *df.columns) for kind, df in {**again.nodes, **again.edges}.items()} == expected
 
 
+def test_every_position_stays_in_the_clean_table(spark, built):
+    root, g = built
+    players = spark.read.parquet(f"{root}/raw/players").withColumn("position", F.lit("C/OF/INF/LHP/C"))
+    mapping = spark.createDataFrame([], "name string, canon string")
+    clean = roster.clean_players(players, mapping)
+    assert {c for c in clean.columns if c.startswith("position") and c[-1].isdigit()} == {f"position{k}" for k in range(1, 6)}
+    expected = ["Catcher", "Outfielder", "Infielder", "Left-Handed Pitcher", "Catcher"]
+    assert [r.positions for r in roster.player_rows(clean).limit(1).collect()] == [expected]
+    tables_of = {"players": clean, "coaches": spark.read.parquet(f"{root}/clean/coaches")}
+    counts = [
+        roster.build_edges(tables_of, g.nodes, strict)["HAS_POSITION"].select("position").distinct().count()
+        for strict in (True, False)
+    ]
+    assert counts == [3, 4]
+
+
+def test_what_is_not_in_the_graph_is_reported(spark, built, tmp_path):
+    root, _ = built
+    players = spark.read.parquet(f"{root}/clean/players")
+    nameless = players.filter("name = 'Bo'").withColumn("name", F.lit(None).cast("string"))
+    tables.write_table(players.unionByName(nameless), f"{tmp_path}/clean/players")
+    for name in ("coaches", "highschools"):
+        tables.write_table(spark.read.parquet(f"{root}/clean/{name}"), f"{tmp_path}/clean/{name}")
+    roster.load_all(spark, f"{tmp_path}/clean", f"{tmp_path}/graph")
+    report = lambda kind, name: roster.read_report(spark, f"{tmp_path}/graph", kind, name)
+    assert values(report("rejected", "Player"), "name", "hometown") == [(None, "Miami")]
+    assert values(report("unmatched", "MEMBER_OF"), "member_of", "n") == [("Mountain West", 2)]
+    assert values(report("unmatched", "ATTENDED"), "high_school", "n") == [(None, 1)]
+    assert ("Pitcher", 2) in values(report("unmatched", "HAS_POSITION"), "position", "n")
+    metrics = spark.read.parquet(f"{root}/clean/dedup_metrics")
+    assert values(metrics, "original", "canonical", "removed") == [(3, 2, 1)]
+
+
+def test_a_failing_load_leaves_the_old_graph(spark, built, tmp_path, monkeypatch):
+    root, g = built
+    roster.load_all(spark, f"{root}/clean", str(tmp_path))
+    monkeypatch.setattr(roster, "build_transfers", lambda plays_for: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        roster.load_all(spark, f"{root}/clean", str(tmp_path), strict=False)
+    kept = roster.read_graph(spark, str(tmp_path))
+    assert {k: df.count() for k, df in kept.edges.items()} == {k: df.count() for k, df in g.edges.items()}
+
+
+def test_a_seed_table_with_a_key_twice_stops_the_load(spark, built, tmp_path, monkeypatch):
+    root, _ = built
+    teams = seeds.teams
+    monkeypatch.setattr(roster.seeds, "teams", lambda spark: teams(spark).union(teams(spark).limit(1)))
+    with pytest.raises(ValueError, match="Team"):
+        roster.load_all(spark, f"{root}/clean", str(tmp_path))
+
+
 def test_refresh_of_the_players(spark, built, tmp_path):
     root, g = built
     batch = spark.read.parquet(f"{root}/clean/players").filter("name = 'Al' and season = 2025")

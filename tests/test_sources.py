@@ -75,9 +75,11 @@ def test_pages_meet_the_page_list(spark, tmp_path):
 def test_lineage_is_cut_in_the_named_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     cut = session.cut_lineage(spark.range(5).withColumn("x", F.rand()))
-    assert "ExistingRDD" in cut._jdf.queryExecution().executedPlan().toString()
-    assert cut.collect() == cut.collect()
-    assert os.path.realpath(spark.sparkContext.getCheckpointDir().removeprefix("file:")).startswith(os.path.realpath(folder))
+    assert cut.collect() == cut.collect() and cut.columns == ["id", "x"]
+    written = [os.path.realpath(path.removeprefix("file://")) for path in cut.inputFiles()]
+    assert written and all(path.startswith(os.path.realpath(folder)) for path in written)
+    session.release(spark)
+    assert not any(os.path.exists(path) for path in written)
 
 
 def test_literal_tables_are_local(spark):
