@@ -2,38 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-# Texts are handed to numpy in pieces of about this many bytes; a longer text goes alone.
-SLICE_BYTES = 1 << 21
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return f"{folder.rstrip('/')}/llm-{spark.sparkContext.applicationId}"
+from squadweave.session import cut_lineage as written
+from squadweave.session import release as forget_written
+from squadweave.session import shared_folder
 
+__all__ = ["forget_written", "shared_folder", "written"]
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: later steps read it again, whatever executors are lost."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget_written(spark: SparkSession) -> None:
-    """Delete every table ``written`` by this application; call it when no result is needed any more."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+# Texts are handed to numpy in pieces of about this many bytes; a longer text goes alone.
+SLICE_BYTES = 1 << 21
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
