@@ -1,46 +1,57 @@
 """Similarity scores of many string pairs at once, for use inside a Spark task.
 
 Scores follow the indel distance: ``100 * 2 * LCS / (len(a) + len(b))``. The
-longest common subsequence is found bit-parallel (Hyyro, 2004), one machine
-word per pair and one numpy step per character.
+longest common subsequence is found bit-parallel (Hyyro, 2004), one numpy step
+per character of the text, with as many machine words per pair as its needle needs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 WORD = 64
-LANES = 1 << 16  # string pairs or windows handled in one numpy batch
+LANES = 1 << 16  # machine words handled in one numpy batch
+MASKS = 1 << 22  # machine words of needle masks kept at once
 STRIDE = 8  # every how many windows are scored before the rest is bounded
 
 
 class Strings:
-    """Strings as a padded code matrix with one bit mask per string and character."""
+    """Strings as one run of character codes; code 0 stands behind the last."""
 
     def __init__(self, texts: list[str]):
         self.texts = texts
         self.length = np.array([len(text) for text in texts], dtype=np.int64)
+        self.start = np.concatenate([[0], np.cumsum(self.length)])
         points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         alphabet, codes = np.unique(points, return_inverse=True)
-        self.size = len(alphabet) + 1  # code 0 is padding
-        width = int(self.length.max(initial=0))
-        inside = np.arange(width) < self.length[:, None]
-        # Padded far enough that a window never runs over the end of its row.
-        self.codes = np.zeros((len(texts), width + WORD + 1), dtype=np.int32)
-        self.codes[:, :width][inside] = codes + 1
+        self.size = len(alphabet) + 1
+        self.codes = np.append(codes + 1, 0).astype(np.int32)
 
     def counts(self) -> np.ndarray:
         """How often each character occurs in each string."""
-        rows = np.repeat(np.arange(len(self.texts)), self.codes.shape[1])
-        flat = np.bincount(rows * self.size + self.codes.ravel(), minlength=len(self.texts) * self.size)
+        rows = np.repeat(np.arange(len(self.texts)), self.length)
+        flat = np.bincount(rows * self.size + self.codes[:-1], minlength=len(self.texts) * self.size)
         return flat.reshape(len(self.texts), self.size)[:, 1:].astype(np.int32)
 
-    def masks(self) -> np.ndarray:
-        masks = np.zeros((len(self.texts), self.size), dtype=np.uint64)
-        rows = np.arange(len(self.texts))
-        for at in range(WORD):
-            masks[rows, self.codes[:, at]] |= np.uint64(1 << at)
-        masks[:, 0] = 0
+    def at(self, place: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        """Codes at places of the run, 0 where ``inside`` is false."""
+        return self.codes.take(np.where(inside, place, len(self.codes) - 1))
+
+    def words(self, needle: np.ndarray) -> np.ndarray:
+        """Machine words that each needle takes."""
+        return np.maximum(1, -(-self.length[needle] // WORD))
+
+    def masks(self, needles: np.ndarray, words: int) -> np.ndarray:
+        """For each word, needle and character: one bit per place where the needle has it."""
+        masks = np.zeros((words, len(needles), self.size), dtype=np.uint64)
+        row = np.repeat(np.arange(len(needles)), self.length[needles])
+        first = np.concatenate([[0], np.cumsum(self.length[needles])])
+        place = np.arange(first[-1]) - first[row]
+        code = self.codes[self.start[needles][row] + place]
+        np.bitwise_or.at(masks, (place // WORD, row, code), np.uint64(1) << (place % WORD).astype(np.uint64))
+        masks[:, :, 0] = 0
         return masks
 
 
@@ -61,40 +72,64 @@ def _score(common, total):
     return (1.0 - (total - 2 * common) / total) * 100.0
 
 
-def _row_lcs(row: np.ndarray, needle_length: np.ndarray) -> np.ndarray:
-    used = np.where(needle_length >= WORD, ~np.uint64(0), (np.uint64(1) << (needle_length % WORD).astype(np.uint64)) - np.uint64(1))
-    return np.bitwise_count(~row & used).astype(np.int64)
+def _row_lcs(row: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Zero bits among the first ``length`` ones of each lane of words."""
+    common = np.zeros(row.shape[1], dtype=np.int64)
+    for word, bits in enumerate(row):
+        used = np.clip(length - word * WORD, 0, WORD)
+        kept = np.where(used >= WORD, ~np.uint64(0), (np.uint64(1) << (used % WORD).astype(np.uint64)) - np.uint64(1))
+        common += np.bitwise_count(~bits & kept)
+    return common
+
 
+def _step(row: np.ndarray, masks: np.ndarray, at: np.ndarray) -> None:
+    """Read one character: ``masks`` are flat per word, ``at`` is each lane's place in them."""
+    carry = np.zeros(row.shape[1], dtype=np.uint64)
+    for word, bits in enumerate(row):
+        hit = bits & masks[word].take(at)
+        added = bits + hit
+        total = added + carry
+        carry = ((added < bits) | (total < added)).astype(np.uint64)
+        row[word] = total | (bits - hit)
 
-def _step(row: np.ndarray, hit_mask: np.ndarray) -> np.ndarray:
-    hit = row & hit_mask
-    return (row + hit) | (row - hit)
 
+def _batches(strings: Strings, needle: np.ndarray, lanes: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray, np.ndarray]]:
+    """Pairs in batches of like needles: their places, the words they take, their masks, and each one's place in them.
 
-def ratio(strings: Strings, masks: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    ``lanes`` says how many lanes each pair brings; a batch has about ``LANES`` words of them.
+    """
+    words = strings.words(needle)
+    for many in np.unique(words).tolist():
+        of = np.flatnonzero(words == many)
+        of = of[np.argsort(needle[of], kind="stable")]
+        most = max(1, MASKS // (many * strings.size))
+        number = np.unique(needle[of], return_inverse=True)[1]
+        parts = number // most + (number[-1] + 1) * ((np.cumsum(lanes[of]) - 1) * many // LANES)
+        for part in np.split(of, np.flatnonzero(np.diff(parts)) + 1):
+            held, which = np.unique(needle[part], return_inverse=True)
+            yield part, many, strings.masks(held, many).reshape(many, -1), which * strings.size
+
+
+def ratio(strings: Strings, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Score of whole strings, for index pairs into ``strings``."""
-    scores = np.empty(len(left))
-    long = strings.length[left] > WORD
-    for at in np.flatnonzero(long):
-        a, b = strings.texts[left[at]], strings.texts[right[at]]
-        scores[at] = _score(lcs(a, b), len(a) + len(b))
-    short = np.flatnonzero(~long)
-    codes, flat = strings.codes.ravel(), masks.ravel()
-    for start in range(0, len(short), LANES):
-        at = short[start : start + LANES]
-        needle, text = left[at], right[at]
-        place, base = text * strings.codes.shape[1], needle * strings.size
-        row = np.full(len(at), ~np.uint64(0))
-        for step in range(int(strings.length[text].max(initial=0))):
-            row = _step(row, flat.take(base + codes.take(place + step)))
-        common = _row_lcs(row, strings.length[needle])
-        total = strings.length[needle] + strings.length[text]
-        scores[at] = np.where(total > 0, _score(common, np.maximum(total, 1)), 100.0)
+    scores = np.full(len(left), 100.0)
+    if not len(left):
+        return scores
+    swap = strings.length[left] > strings.length[right]
+    needles, texts = np.where(swap, right, left), np.where(swap, left, right)
+    for part, many, masks, base in _batches(strings, needles, np.ones(len(needles), np.int64)):
+        needle, text = needles[part], texts[part]
+        row = np.full((many, len(part)), ~np.uint64(0))
+        length, start = strings.length[text], strings.start[text]
+        for step in range(int(length.max())):
+            _step(row, masks, base + strings.at(start + step, step < length))
+        total = strings.length[needle] + length
+        scores[part] = np.where(total > 0, _score(_row_lcs(row, strings.length[needle]), np.maximum(total, 1)), 100.0)
     return scores
 
 
 def partial_ratio(
-    strings: Strings, masks: np.ndarray, left: np.ndarray, right: np.ndarray, least: np.ndarray | None = None
+    strings: Strings, left: np.ndarray, right: np.ndarray, least: np.ndarray | None = None
 ) -> np.ndarray:
     """Best score of the shorter string against the windows of the longer one.
 
@@ -105,30 +140,27 @@ def partial_ratio(
     least = np.zeros(len(left)) if least is None else least
     swap = strings.length[left] > strings.length[right]
     needle, text = np.where(swap, right, left), np.where(swap, left, right)
-    scores = _best_window(strings, masks, needle, text, least)
+    scores = _best_window(strings, needle, text, least)
     same = np.flatnonzero(strings.length[left] == strings.length[right])
     if len(same):
-        other = _best_window(strings, masks, text[same], needle[same], np.maximum(least[same], scores[same]))
+        other = _best_window(strings, text[same], needle[same], np.maximum(least[same], scores[same]))
         scores[same] = np.maximum(scores[same], other)
     return scores
 
 
-def _best_window(strings: Strings, masks: np.ndarray, needle: np.ndarray, text: np.ndarray, least: np.ndarray) -> np.ndarray:
+def _best_window(strings: Strings, needle: np.ndarray, text: np.ndarray, least: np.ndarray) -> np.ndarray:
     scores = np.zeros(len(needle))
     m, n = strings.length[needle], strings.length[text]
     scores[n == 0] = 100.0
-    for at in np.flatnonzero(m > WORD):
-        scores[at] = _best_window_long(strings.texts[needle[at]], strings.texts[text[at]])
-    at = np.flatnonzero((m > 0) & (m <= WORD))
-    if len(at):
-        # Batches of whole pairs with about LANES windows each.
-        batch = (np.cumsum(n[at]) - 1) // LANES
-        for part in np.split(at, np.flatnonzero(np.diff(batch)) + 1):
-            scores[part] = _windows(strings, masks, needle[part], text[part], least[part])
+    some = np.flatnonzero(m > 0)
+    if len(some):
+        for at, many, masks, base in _batches(strings, needle[some], n[some]):
+            part = some[at]
+            scores[part] = _windows(strings, many, masks, base, needle[part], text[part], least[part])
     return scores
 
 
-def _windows(strings: Strings, masks: np.ndarray, needle: np.ndarray, text: np.ndarray, least: np.ndarray) -> np.ndarray:
+def _windows(strings: Strings, many: int, masks: np.ndarray, base: np.ndarray, needle: np.ndarray, text: np.ndarray, least: np.ndarray):
     """Every STRIDE-th window is scored, and of the others those that can still count.
 
     Moving a window by one place changes what it shares by one at most.
@@ -140,7 +172,7 @@ def _windows(strings: Strings, masks: np.ndarray, needle: np.ndarray, text: np.n
     window = np.minimum(m[pair], n[pair] - start)
     probe = np.flatnonzero(start % STRIDE == 0)
     common = np.zeros(len(pair), dtype=np.int64)
-    common[probe], best = _lanes(strings, masks, needle, text, pair[probe], start[probe])
+    common[probe], best = _lanes(strings, many, masks, base, needle, text, pair[probe], start[probe])
     best = np.maximum(best, 0.0)
     np.maximum.at(best, pair[probe], _score(common[probe], (m[pair] + window)[probe]))
 
@@ -153,50 +185,41 @@ def _windows(strings: Strings, masks: np.ndarray, needle: np.ndarray, text: np.n
     reach = _score(np.minimum(most, window), m[pair] + window)
     rest = np.flatnonzero((off > 0) & (reach > best[pair]) & (reach >= least[pair] - 1e-9))
     if len(rest):
-        shared, _ = _lanes(strings, masks, needle, text, pair[rest], start[rest])
+        shared, _ = _lanes(strings, many, masks, base, needle, text, pair[rest], start[rest])
         np.maximum.at(best, pair[rest], _score(shared, (m[pair] + window)[rest]))
     return best
 
 
-def _lanes(strings: Strings, masks: np.ndarray, needle: np.ndarray, text: np.ndarray, pair: np.ndarray, start: np.ndarray):
+def _lanes(strings: Strings, many: int, masks: np.ndarray, base: np.ndarray, needle: np.ndarray, text: np.ndarray, pair, start):
     """What each window shares with its needle, and the best score of the beginnings of each pair's text."""
-    m = strings.length[needle]
+    m, n = strings.length[needle], strings.length[text]
     lane_m = m[pair]
-    codes, flat = strings.codes.ravel(), masks.ravel()
-    at = text[pair] * strings.codes.shape[1] + start
-    base = needle[pair] * strings.size
+    ends = np.minimum(lane_m, n[pair] - start)
+    at, place = strings.start[text[pair]] + start, base[pair]
     heads = np.flatnonzero(start == 0)
-    head_m = lane_m[heads]
-    head_window = np.minimum(head_m, strings.length[text[pair[heads]]])
+    head_m, head_window = lane_m[heads], ends[heads]
     best_head = np.zeros(len(needle))
-    row = np.full(len(pair), ~np.uint64(0))
-    for step in range(int(lane_m.max())):
-        code = np.where(step < lane_m, codes.take(at + step), 0)
-        row = _step(row, flat.take(base + code))
+    row = np.full((many, len(pair)), ~np.uint64(0))
+    for step in range(int(ends.max())):
+        _step(row, masks, place + strings.at(at + step, step < ends))
         if len(heads):
-            score = _score(_row_lcs(row[heads], head_m), head_m + step + 1)
+            score = _score(_row_lcs(row[:, heads], head_m), head_m + step + 1)
             best_head[pair[heads]] = np.maximum(best_head[pair[heads]], np.where(step < head_window, score, 0.0))
     return _row_lcs(row, lane_m), best_head
 
 
-def _best_window_long(needle: str, text: str) -> float:
-    m, n = len(needle), len(text)
-    windows = [text[start : start + m] for start in range(n)] + [text[:end] for end in range(1, min(m, n))]
-    return max(_score(lcs(needle, window), m + len(window)) for window in windows)
-
-
 SCORERS = {"ratio": ratio, "partial": partial_ratio}
 
 
-def _bounds(strings: Strings, masks: np.ndarray, scorer: str, cutoff: float, left: np.ndarray, right: np.ndarray):
+def _bounds(strings: Strings, scorer: str, cutoff: float, left: np.ndarray, right: np.ndarray):
     """Pairs that can still reach the cutoff, with what they can reach at most.
 
     No window shares more with the shorter string than the whole longer one does.
     """
     if scorer == "ratio":
-        return left, right, ratio(strings, masks, left, right)
+        return left, right, ratio(strings, left, right)
     m = np.minimum(strings.length[left], strings.length[right])
-    whole = ratio(strings, masks, left, right) / 200.0 * (strings.length[left] + strings.length[right])
+    whole = ratio(strings, left, right) / 200.0 * (strings.length[left] + strings.length[right])
     common = np.rint(whole)
     most = np.where(m + common > 0, 200.0 * common / np.maximum(m + common, 1), 100.0)
     chance = np.flatnonzero(most >= cutoff - 1e-9)
@@ -212,7 +235,7 @@ def matches(left: list[str], right: list[str], scorer: str, cutoff: float, best:
     are. No bound loses a match.
     """
     strings = Strings(left + right)
-    masks, counts = strings.masks(), strings.counts()
+    counts = strings.counts()
     split = len(left)
     right_counts, right_length = counts[split:], strings.length[split:]
     found_left, found_right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
@@ -223,15 +246,15 @@ def matches(left: list[str], right: list[str], scorer: str, cutoff: float, best:
         chance = np.flatnonzero(200.0 * common >= (cutoff - 1e-9) * total)
         found_left.append(np.full(len(chance), at, dtype=np.int64))
         found_right.append(chance)
-    a, b, most = _bounds(strings, masks, scorer, cutoff, np.concatenate(found_left), np.concatenate(found_right) + split)
+    a, b, most = _bounds(strings, scorer, cutoff, np.concatenate(found_left), np.concatenate(found_right) + split)
     score, floor = SCORERS[scorer], np.full(split, float(cutoff))
     if best and scorer != "ratio" and len(a):
         by_promise = np.lexsort((-most, a))
         leads = by_promise[np.unique(a[by_promise], return_index=True)[1]]
-        np.maximum.at(floor, a[leads], score(strings, masks, a[leads], b[leads], floor[a[leads]]))
+        np.maximum.at(floor, a[leads], score(strings, a[leads], b[leads], floor[a[leads]]))
         worth = most >= floor[a] - 1e-9
         a, b, most = a[worth], b[worth], most[worth]
-    scores = most if scorer == "ratio" else score(strings, masks, a, b, floor[a])
+    scores = most if scorer == "ratio" else score(strings, a, b, floor[a])
     good = np.flatnonzero(scores >= cutoff)
     return a[good], b[good] - split, scores[good]
 
@@ -240,7 +263,7 @@ def pair_scores(left: list[str], right: list[str], scorer: str) -> np.ndarray:
     """Score of each string of one list with the string at the same place of the other."""
     strings = Strings(left + right)
     at = np.arange(len(left))
-    return SCORERS[scorer](strings, strings.masks(), at, at + len(left))
+    return SCORERS[scorer](strings, at, at + len(left))
 
 
 def indel_ratio(a: str, b: str) -> float:
