@@ -25,11 +25,6 @@ def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     ).filter(F.col("problem").isNotNull())
 
 
-def null_key_rows(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows that a merge on ``keys`` drops, as some key of theirs is null."""
-    return df.filter(reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys]))
-
-
 def require_unique(df: DataFrame, keys: list[str], what: str) -> None:
     """Raise if a key does not hold."""
     found = assert_unique(df, keys).take(3)

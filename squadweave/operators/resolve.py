@@ -27,7 +27,7 @@ LEVELS = (1, 2, 3, 6, 12, 24, 48, 96)
 HOT_SHARE = 0.001
 
 # Names per side of a scoring cell.
-CELL = 256
+CELL = 1024
 
 
 def _level(text: Column) -> Column:

@@ -271,7 +271,7 @@ def load_all(
         keys = NODE_KEYS[label]
         if label in SEEDED:
             quality.require_unique(rows, keys, label)
-        tables.write_table(quality.null_key_rows(rows, keys), f"{version}/rejected/{label}")
+        tables.write_table(graph.null_key_rows(rows, keys), f"{version}/rejected/{label}")
     for label, df in build_nodes(clean, recency).items():
         tables.write_table(df, f"{version}/nodes/{label}")
         nodes[label] = spark.read.parquet(f"{version}/nodes/{label}")

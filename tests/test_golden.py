@@ -129,6 +129,6 @@ def _no_players(spark):
     return spark.createDataFrame(
         [],
         "name string, hometown string, team string, high_school string, class_year string, height string, weight string,"
-        "jersey string, season int, batting string, throwing string, position1 string, position2 string, position3 string,"
+        "jersey string, season int, batting string, throwing string, position_list array<string>,"
         "seq long",
     )
