@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squadweave.llm.common import fresh, written
+from squadweave.llm.common import written
 
 BLANKS = " \t\n\x0b\f\r"
 REPEAT_WINDOW = 8
@@ -145,6 +145,10 @@ class Cascade:
             chain = chain.when(conditions[name], F.lit(name))
         return chain
 
+    def verdict(self, text: Column) -> Column:
+        """The same from the text alone, whose words are split once, wherever the expression is moved to."""
+        return let(split_words(text), lambda words: self.rejected_by(text, words))
+
 
 def measure(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Cascade:
     """Time every rule, and count what it rejects, on about ``sample_rows`` documents picked by a hash of their text."""
@@ -170,21 +174,13 @@ def judged(docs: DataFrame, cascade: Cascade | None = None, text_col: str = "tex
     Null and empty texts have no words and are rejected as such; repeated rows
     get the same verdict; all columns stay, but one of that name is replaced.
     """
-    cascade = cascade or measure(docs, text_col)
-    text = F.col(text_col).cast("string")
-    (words,) = fresh(docs, "words")
-    return docs.withColumn(words, split_words(text)).select(
-        *[c for c in docs.columns if c != "rejected_by"], cascade.rejected_by(text, F.col(words)).alias("rejected_by")
-    )
+    verdict = (cascade or measure(docs, text_col)).verdict(F.col(text_col).cast("string"))
+    return docs.select(*[c for c in docs.columns if c != "rejected_by"], verdict.alias("rejected_by"))
 
 
 def passing(docs: DataFrame, cascade: Cascade | None = None, text_col: str = "text") -> DataFrame:
     """The documents that no rule rejects, with their columns."""
-    cascade = cascade or measure(docs, text_col)
-    words, verdict = fresh(docs, "words", "verdict")
-    text = F.col(text_col).cast("string")
-    judged_here = docs.withColumn(words, split_words(text)).withColumn(verdict, cascade.rejected_by(text, F.col(words)))
-    return judged_here.filter(F.col(verdict).isNull()).drop(words, verdict)
+    return docs.filter((cascade or measure(docs, text_col)).verdict(F.col(text_col).cast("string")).isNull())
 
 
 def statistics(docs: DataFrame, cascade: Cascade | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
