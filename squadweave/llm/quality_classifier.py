@@ -12,6 +12,7 @@ sample; scoring reads every text whole.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,11 +33,13 @@ from squadweave.llm.common import (
 
 # Labelled documents to train on, to calibrate on, and unlabelled ones in the pool: about so many of each at most, picked
 # by a hash of the id.
-TRAINED, CALIBRATED, POOL = 6000, 3000, 3000
+TRAINED, CALIBRATED, POOL = 5000, 2500, 2500
 # Texts longer than this are not picked for the samples (they are scored like all others), which bounds their bytes.
 SAMPLE_TEXT_BYTES = 1 << 16
 BUCKETS = 1 << 18
 ROUNDS = 3
+# Features that fewer training documents have are left out of a fit.
+LEAST_SEEN = 2
 # The share of the pool that a view hands on in a round, of either verdict, and how sure it must be of them.
 HANDED, SURE = 0.05, 0.9
 
@@ -83,7 +86,7 @@ class Rows:
 
 
 def empty_rows() -> Rows:
-    return Rows(np.zeros(0, np.int64), np.zeros(0), np.zeros(1, np.int64))
+    return Rows(np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(1, np.int64))
 
 
 def shapes(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -116,9 +119,22 @@ def shapes(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def content_rows(column: pa.Array) -> Rows:
-    """Each text's words and word beginnings, hashed, by how often they occur, and its form's figures in ten steps each."""
-    index, value, lengths = [], [], []
-    for _, _, raw, offsets in text_slices(column):
+    """The content of all texts of a column."""
+    parts = [empty_rows(), *(rows for _, _, rows in content_slices(column))]
+    lengths = np.concatenate([np.diff(rows.starts) for rows in parts])
+    return Rows(
+        np.concatenate([rows.index for rows in parts]),
+        np.concatenate([rows.value for rows in parts]),
+        np.concatenate([[0], np.cumsum(lengths)]),
+    )
+
+
+def content_slices(column: pa.Array) -> Iterator[tuple[int, int, Rows]]:
+    """Each text's words and word beginnings, hashed, by how often they occur, and its form's figures in ten steps each.
+
+    A run of rows at a time, as (first row, last row + 1, their features).
+    """
+    for low_row, high_row, raw, offsets in text_slices(column):
         n = len(offsets) - 1
         steps = BUCKETS + np.arange(SHAPES) * 11 + np.minimum(10, shapes(raw, offsets) * 10).astype(np.int64)
         low = LOWER[raw]
@@ -131,12 +147,8 @@ def content_rows(column: pa.Array) -> Rows:
             bucket = (mix(spans + np.uint64(size)) % np.uint64(BUCKETS)).astype(np.int64)
             keys.append(row[long] * CONTENT_SIZE + bucket)
         keys, counts = np.unique(np.concatenate(keys), return_counts=True)
-        index.append(keys % CONTENT_SIZE)
-        value.append(np.log2(1 + counts))
-        lengths.append(np.bincount(keys // CONTENT_SIZE, minlength=n))
-    starts = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]) if lengths else np.zeros(1, np.int64)
-    flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (index, value)]
-    return Rows(flat[0], flat[1].astype(float), starts)
+        starts = np.concatenate([[0], np.cumsum(np.bincount(keys // CONTENT_SIZE, minlength=n))])
+        yield low_row, high_row, Rows((keys % CONTENT_SIZE).astype(np.int32), np.log2(1 + counts).astype(np.float32), starts)
 
 
 def metadata_rows(columns: list[pa.Array], n_rows: int) -> Rows:
@@ -156,32 +168,40 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def leaning(rows: Rows, labels: np.ndarray, size: int, added: float = 0.5) -> np.ndarray:
-    """Each feature's log odds between the classes, shrunk where it is rare: naive Bayes weights of its presence."""
-    of = np.repeat(labels, np.diff(rows.starts))
-    ups = np.bincount(rows.index, of, size) + added
-    downs = np.bincount(rows.index, 1 - of, size) + added
-    odds = np.log(ups / (labels.sum() + 2 * added)) - np.log(downs / ((1 - labels).sum() + 2 * added))
-    return odds * np.minimum(1, (ups + downs - 2 * added) / 5)
+    """Each feature's log odds between the classes, shrunk where it is rare, 0 where it is rarer than ``LEAST_SEEN``."""
+    of = np.repeat(labels.astype(np.float32), np.diff(rows.starts))
+    seen = np.bincount(rows.index, minlength=size)
+    ups = np.bincount(rows.index, of, size)
+    odds = np.log((ups + added) / (labels.sum() + 2 * added)) - np.log((seen - ups + added) / ((1 - labels).sum() + 2 * added))
+    return np.where(seen < LEAST_SEEN, 0.0, odds * np.minimum(1, seen / 5))
 
 
-def fit(rows: Rows, labels: np.ndarray, size: int, penalty: float = 1e-3, steps: int = 120) -> np.ndarray:
+def fit(rows: Rows, labels: np.ndarray, size: int, penalty: float = 1e-3, steps: int = 150) -> np.ndarray:
     """Weights of a logistic model, the last one its constant, by Adam on all rows; both classes weigh the same.
 
     Features are scaled by their own leaning first, so that the many words that tell nothing stay small.
     """
     scale = leaning(rows, labels, size)
-    scaled = Rows(rows.index, rows.value * scale[rows.index], rows.starts)
-    weights, mean, square = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
+    used = np.flatnonzero(scale)
+    place = np.full(size, -1, np.int32)
+    place[used] = np.arange(len(used))
+    told = place[rows.index] >= 0
+    sums = np.concatenate([[0], np.cumsum(told)])
+    index = place[rows.index[told]]
+    scaled = Rows(index, rows.value[told] * scale[used][index], sums[rows.starts])
+    weights, mean, square = (np.zeros(len(used) + 1) for _ in range(3))
     share = np.where(labels > 0, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
     for step in range(1, steps + 1):
         errors = (sigmoid(scaled.dot(weights) + weights[-1]) - labels) * share
-        slope = scaled.back(errors, size + 1)
+        slope = scaled.back(errors, len(weights))
         slope[-1] = errors.sum()
         slope[:-1] += penalty * weights[:-1]
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope * slope
-        weights -= 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-    weights[:-1] *= scale
-    return weights
+        weights -= 0.08 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+    full = np.zeros(size + 1)
+    full[used] = weights[:-1] * scale[used]
+    full[-1] = weights[-1]
+    return full
 
 
 def logits(rows: Rows, weights: np.ndarray) -> np.ndarray:
@@ -233,13 +253,15 @@ def co_train(labels, trained: tuple[Rows, Rows], pool: tuple[Rows, Rows], held:
     n_pool = len(pool[0].starts) - 1
     weights = [fit(rows, y, size) for (rows, y), size in zip(own, sizes)]
     for _ in range(rounds if n_pool else 0):
+        taught = set()
         for teacher, pupil in ((0, 1), (1, 0)):
             # A view without any power to tell held-out documents apart teaches nothing.
             if ranking(logits(held[teacher], weights[teacher]), held_labels) < 0.75:
                 continue
             rows, y = hand_over(logits(pool[teacher], weights[teacher]), HANDED, SURE)
             own[pupil] = (trained[pupil].plus(pool[pupil].take(rows)), np.concatenate([labels, y]))
-        weights = [fit(rows, y, size) for (rows, y), size in zip(own, sizes)]
+            taught.add(pupil)
+        weights = [fit(*own[view], sizes[view]) if view in taught else weights[view] for view in (0, 1)]
     found = [logits(rows, w) for rows, w in zip(held, weights)]
     calibrations = [calibrate(x[:, None], held_labels) for x in found]
     views = np.column_stack([x * c[0] + c[1] for x, c in zip(found, calibrations)])
@@ -295,9 +317,11 @@ def train(
         return content_rows(parts[0]), metadata_rows(parts[1:], found.num_rows)
 
     pool = views(rest)
+    del rest
     names = np.array([str(x) for x in some.column("_id").to_pylist()])
     order = np.argsort(names, kind="stable")
     some = some.take(pa.array(order))
+    both = views(some)
     held = np.array([hash_of(x) % (trained + calibrated) < calibrated for x in names[order]], bool)
     models = {}
     for target in targets:
@@ -310,7 +334,6 @@ def train(
             none = np.zeros(2)
             models[target] = (np.zeros(CONTENT_SIZE + 1), np.zeros(BUCKETS + 1), none, none, np.array([0, 0, constant]))
             continue
-        both = views(some)
         models[target] = co_train(
             y[here], tuple(x.take(here) for x in both), pool, tuple(x.take(there) for x in both), y[there]
         )
@@ -340,10 +363,13 @@ def score(
     def run(batches):
         model = with_state(CoTrained, shared)
         for batch in batches:
-            content = content_rows(batch.column(1))
-            extra = metadata_rows([batch.column(k) for k in range(2, batch.num_columns)], batch.num_rows)
-            found = [pa.array(model.scores(target, content, extra)) for target in targets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *found], [id_col, *targets])
+            found = {target: np.zeros(batch.num_rows) for target in targets}
+            for low, high, content in content_slices(batch.column(1)):
+                columns = [batch.column(k).slice(low, high - low) for k in range(2, batch.num_columns)]
+                extra = metadata_rows(columns, high - low)
+                for target in targets:
+                    found[target][low:high] = model.scores(target, content, extra)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, found.values())], [id_col, *targets])
 
     kind = docs.schema[id_col].dataType.simpleString()
     wanted = docs.select(
