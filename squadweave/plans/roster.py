@@ -302,6 +302,45 @@ def read_report(spark: SparkSession, graph_dir: str, kind: str, name: str) -> Da
     return spark.read.parquet(f"{versions.latest(spark, graph_dir)}/{kind}/{name}")
 
 
+# What makes an edge one edge, and what it carries.
+EDGE_KEYS = {
+    "PLAYS_FOR": ["name", "hometown", "team", "season"], "ATTENDED": ["name", "hometown", "high_school"],
+    "HAS_POSITION": ["name", "hometown", "position"], "MEMBER_OF": ["team", "conference"], "REPRESENTS": ["team", "college"],
+    "COACHES": ["name", "team"],
+}
+EDGE_PROPS = {"PLAYS_FOR": ["jersey", "class_year", "positions"], "COACHES": ["role", "season"]}
+
+
+def refresh(
+    spark: SparkSession, graph_dir: str, batch: dict[str, DataFrame], strict: bool = True, recency: str = "file"
+) -> Graph:
+    """Merge a batch of clean tables into a stored graph, nodes and edges, as a new version.
+
+    The batch wins over what is stored; merging it again changes nothing.
+    Transfers follow from all stored and new seasons.
+    """
+    tune(spark)
+    stored = read_graph(spark, graph_dir)
+    version = versions.begin(spark, graph_dir)
+    nodes = {}
+    for label, rows in node_rows(batch, recency).items():
+        merged = graph.merge_idempotent(
+            stored.nodes[label], rows, NODE_KEYS[label], NODE_PROPS.get(label, []), ["order"]
+        )
+        tables.write_table(merged, f"{version}/nodes/{label}")
+        nodes[label] = spark.read.parquet(f"{version}/nodes/{label}")
+        tables.write_table(graph.null_key_rows(rows, NODE_KEYS[label]), f"{version}/rejected/{label}")
+    for kind, df in build_edges(batch, nodes, strict, recency).items():
+        merged = graph.merge_idempotent(stored.edges[kind], df, EDGE_KEYS[kind], EDGE_PROPS.get(kind, []), [])
+        tables.write_table(merged, f"{version}/edges/{kind}")
+    for kind, df in unmatched_rows(batch, nodes, recency).items():
+        tables.write_table(df, f"{version}/unmatched/{kind}")
+    plays_for = spark.read.parquet(f"{version}/edges/PLAYS_FOR")
+    tables.write_table(build_transfers(plays_for), f"{version}/edges/TRANSFERRED_TO")
+    versions.complete(spark, version)
+    return read_graph(spark, graph_dir)
+
+
 def refresh_players(stored: Graph, players: DataFrame, out_path: str, recency: str = "file") -> None:
     """Merge a batch of clean player records into the stored nodes and write them to a new place."""
     props = ["height", "weight", "batting_hand", "throwing_hand"]

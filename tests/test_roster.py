@@ -164,6 +164,21 @@ def test_refresh_of_the_players(spark, built, tmp_path):
     assert values(fresh.filter("name = 'Al'"), "weight") == [(200,)]
 
 
+def test_refresh_merges_nodes_and_edges(spark, built, tmp_path):
+    root, full = built
+    clean = {name: spark.read.parquet(f"{root}/clean/{name}") for name in ("players", "coaches", "highschools")}
+    older = {**clean, "players": clean["players"].filter("season = 2025"), "coaches": clean["coaches"].filter("season = 2024")}
+    for name, df in older.items():
+        tables.write_table(df, f"{tmp_path}/clean/{name}")
+    roster.load_all(spark, f"{tmp_path}/clean", f"{tmp_path}/graph")
+    newer = {**clean, "players": clean["players"].filter("season = 2024"), "coaches": clean["coaches"].filter("season = 2025")}
+    everything = lambda g: {kind: values(df, *sorted(df.columns)) for kind, df in {**g.nodes, **g.edges}.items()}
+    once = everything(roster.refresh(spark, f"{tmp_path}/graph", newer))
+    # The full load writes the older season last, and so does this order of batches.
+    assert once == everything(full)
+    assert everything(roster.refresh(spark, f"{tmp_path}/graph", newer)) == once
+
+
 def test_questions(built):
     _, g = built
     assert values(roster.top_high_schools(g, 1), "high_school", "n") == [("Elm", 2)]
