@@ -27,7 +27,7 @@ LEAF_BYTES = 24
 # A rank above all others: the pair is no token.
 NEVER = 1 << 40
 # Pieces whose ids are remembered per Python worker in each of two generations, and pieces handled at once.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 AT_ONCE = 1 << 16
 
 
