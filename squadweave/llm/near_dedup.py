@@ -234,7 +234,8 @@ def apart(rows: DataFrame, classes: DataFrame, texts: DataFrame, labels: DataFra
     Each pair is compared once, under the first key that it shares, in a block of at most two times ``BLOCK`` classes.
     """
     marked = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = (
+    # Written first, so that the join meets plain shuffles and a key of very many classes is split.
+    mixed = written(
         marked.groupBy("key")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many"))
         .filter("low <> high")
