@@ -3,8 +3,8 @@
 A candidate is a maximal run of at least ``WINDOW`` characters of one class. A
 window slides over it; the sum of ``c log c`` over the window's character counts
 is kept by one subtraction and one addition a step. Windows at or above the
-class's threshold are joined to spans, unless the allow-list explains them or
-a pattern found them already.
+class's threshold are joined to spans, less what a pattern found already, unless
+the allow-list explains them.
 """
 
 from __future__ import annotations
@@ -34,14 +34,16 @@ CLASSES = (
     (re.compile(r"[0-9A-F]{20,}|[0-9a-f]{20,}"), 3.0),
     (re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 3.85),
 )
-# What looks random and is no secret: unmixed letters or digits, identifiers, counted-up alphabets, made-up examples, paths.
+# What looks random and is no secret: unmixed letters or digits, identifiers, paths.
 ALLOWED = (
     r"[A-Za-z_=/+-]*",
     r"[0-9_=/+-]*",
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    r".*(?:0123456789|abcdefghij|ABCDEFGHIJ|EXAMPLE|example|sample|xxxxx).*",
     r"(?:[A-Za-z]{2,}[0-9]{0,4}|[0-9]{1,4})(?:[/_=+-]+(?:[A-Za-z]{2,}[0-9]{0,4}|[0-9]{1,4}))+",
 )
+# Inside a span, these mark counted-up alphabets and made-up examples; a plain word between slashes only names a place.
+MARKS = r"0123456789|abcdefghij|ABCDEFGHIJ|EXAMPLE|example|sample|xxxxx"
+_PLACE = re.compile(r"(?:(?:[A-Z]?[a-z]++|[A-Z]++)?+[0-9]{0,4}+(?:[_+-]++|\Z))*+")
 
 _CANDIDATE = byte_table(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
 _KEYWORDS = (b"passw", b"secret", b"token", b"api")
@@ -77,17 +79,41 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found + [(m.start(), 2, m.end()) for m in HEX.finditer(text)])
 
 
-def entropy_spans(text: str, taken: list[tuple[int, int, int]], allowed: re.Pattern) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of suspect windows that touch no span in ``taken``."""
-    found: list[tuple[int, int, int]] = []
+def outside(span: tuple[int, int], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts of ``span`` of at least ``WINDOW`` characters that no range in ``taken`` covers."""
+    parts, at = [], span[0]
+    for start, end in sorted(taken):
+        if start < span[1] and end > at:
+            parts.append((at, start))
+            at = end
+    return [(a, b) for a, b in [*parts, (at, span[1])] if b - a >= WINDOW]
+
+
+def made_up(text: str, marks: re.Pattern) -> bool:
+    """Whether a part between slashes or equals signs that is more than a plain word bears a mark."""
+    return bool(marks.search(text)) and any(marks.search(x) and not _PLACE.fullmatch(x) for x in re.split("[/=]", text))
+
+
+def entropy_spans(
+    text: str, taken: list[tuple[int, int, int]], allowed: re.Pattern, marks: re.Pattern
+) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of what suspect windows cover outside the spans in ``taken``; overlapping ones of both classes are one."""
+    covered = [(start, end) for start, _, end in taken]
+    spans = []
     for candidates, threshold in CLASSES:
         for m in candidates.finditer(text):
             if allowed.fullmatch(m[0]):
                 continue
             for a, b in high_entropy(m[0], threshold):
-                start, end = m.start() + a, m.start() + b
-                if not allowed.fullmatch(text, start, end) and all(end <= s or e <= start for s, _, e in taken + found):
-                    found.append((start, 3, end))
+                for start, end in outside((m.start() + a, m.start() + b), covered):
+                    if not allowed.fullmatch(text, start, end) and not made_up(text[start:end], marks):
+                        spans.append((start, end))
+    found: list[tuple[int, int, int]] = []
+    for start, end in sorted(spans):
+        if found and start < found[-1][2]:
+            found[-1] = (found[-1][0], 3, max(end, found[-1][2]))
+        else:
+            found.append((start, 3, end))
     return found
 
 
@@ -112,14 +138,20 @@ def suspects(column: pa.Array) -> np.ndarray:
 
 
 def scan(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allowed: tuple[str, ...] = ALLOWED
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    allowed: tuple[str, ...] = ALLOWED,
+    marks: str = MARKS,
 ) -> DataFrame:
     """One row per document: counts of the three patterns, ``base_spans`` and ``spans``.
 
     Spans are ``kind:start:end`` in code points, end exclusive, by start and
     then kind, joined by commas. Base spans always stay; an entropy span never
-    overlaps another one. ``allowed`` suppresses entropy spans whose candidate
-    or span it matches whole. Null and empty texts have none; repeated rows
+    overlaps another one: of a span that meets a base span, the parts of at least
+    ``WINDOW`` characters beside it stay. ``allowed`` suppresses entropy spans
+    whose candidate or span it matches whole, ``marks`` those in which it occurs
+    other than as a plain word between slashes. Null and empty texts have none; repeated rows
     and null ids pass through; other columns are not read. Every text is
     scanned whole and alone, so nothing is shuffled or shared.
     """
@@ -127,6 +159,7 @@ def scan(
 
     def run(batches):
         allow = re.compile(pattern if pattern else r"(?!)", re.DOTALL)
+        mark = re.compile(marks if marks else r"(?!)")
         for batch in batches:
             texts = batch.column(1)
             counts = np.zeros((3, len(texts)), np.int64)
@@ -137,7 +170,7 @@ def scan(
                 for _, kind, _ in found:
                     counts[kind, row] += 1
                 base[row] = joined(found)
-                every[row] = joined(sorted(found + entropy_spans(text, found, allow)))
+                every[row] = joined(sorted(found + entropy_spans(text, found, allow, mark)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *map(pa.array, counts), pa.array(base, pa.string()), pa.array(every, pa.string())],
                 [id_col, "n_assign", "n_access", "n_hex", "base_spans", "spans"],

@@ -63,6 +63,37 @@ def test_an_entropy_span_never_overlaps_a_base_span(spark):
     assert row.spans == row.base_spans == "assign:0:38"
 
 
+def test_a_key_beside_a_base_span_stays(spark):
+    pick = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(pick.sample(letters, 32)) for _ in range(200)]
+    texts = [f"https://host/v1/{key}/token=abcdef12" for key in keys]
+    texts += [f"token=abcdef12 and token=abcdef12/{key}"[15:] for key in keys]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in S.scan(docs).collect():
+        spans = [x.split(":") for x in row.spans.split(",")]
+        at = texts[row.doc_id].index(keys[row.doc_id % 200])
+        covered = {k for _, a, b in spans for k in range(int(a), int(b))}
+        assert set(range(at, at + 32)) <= covered
+        ends = [int(x) for _, a, b in spans for x in (a, b)]
+        assert ends == sorted(ends)
+
+
+def test_a_mark_explains_the_span_and_not_its_surroundings(spark):
+    key = "wJa1rXUtnFEMI4K7MDENGbPxRfiCYq9Z"
+    for place in ("/home/sample/", "/sample-data/example1/", "/xxxxx/"):
+        text = f"{place}{key}"
+        (span,) = scan_one(spark, text).spans.split(",")
+        kind, start, end = span.split(":")
+        assert kind == "entropy" and int(start) <= len(place) and int(end) == len(text)
+    assert scan_one(spark, "use wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY").spans == ""
+
+
+def test_spans_of_both_classes_that_overlap_are_one(spark):
+    text = "f0e1d2c3b4a5968778695a4" + "wJXUtnFEMIKzMDENGbPxR"
+    assert scan_one(spark, f"a {text}").spans == f"entropy:2:{2 + len(text)}"
+
+
 def test_masking(spark):
     docs = spark.createDataFrame([(1, "é a password=abcdef1 b"), (2, None), (3, "clean")], "doc_id long, text string")
     found = docs.join(S.scan(docs).select("doc_id", "spans"), "doc_id")
