@@ -47,9 +47,11 @@ CLOSED_BY = {
 }
 SCOPE = frozenset("ul ol dl table select body html".split())
 
+# A quote opens a value only after the equals sign of an attribute; one that nothing closes is part of a bare value.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>?",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
+    r"(?P<rest>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+)*+)>?",
     re.DOTALL,
 )
 NAMES = re.compile(r"""(?:^|[\s"'/])(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)

@@ -90,6 +90,24 @@ def test_any_input_gives_a_text_in_linear_time(model, html):
     assert time.perf_counter() - start < 10
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<p title=don't>Lost words here, it isn't kept.</p>", "Lost words here, it isn't kept."),
+        ('<p class="a"">Lost words here.</p><p class="b">More</p>', "Lost words here. More"),
+        ("<p ' class=a>One's</p><p title = 'a>b'>Two's</p>", "One's Two's"),
+        ('<p title="a>b" class=c"d>One</p><p id="e"f=\'g>h\'>Two</p>', "One Two"),
+        ('<p ="x>One</p><p class="y">Two</p>', "One Two"),
+        ('<a href=/?q="x>One</a> <b>"two"</b>', 'One "two"'),
+        ('<p>One</p><p title="never closed>Two</p>', "One Two"),
+    ],
+)
+def test_a_quote_opens_only_a_value(html, text):
+    """Tags end where browsers end them; a value that is never closed, which browsers take to the end of the page, ends early."""
+    _, pieces = X.parse(html)
+    assert " ".join("".join(x for _, x in pieces).split()) == text
+
+
 def test_odd_pages(spark):
     pages = spark.createDataFrame(
         [(1, "u", "<article><p>a</p></article>", "x"), (1, "u", "<article><p>a</p></article>", "x"), (2, None, None, None), (None, "v", "", "x")],
