@@ -8,18 +8,18 @@ verdict is marked as rejected.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A language's dictionary is drawn from about this many of its training documents, picked by a hash of their text, and
-# has at most this many bytes.
+# A language's dictionary is drawn from about this many of its distinct training texts, picked by a hash, and has at most
+# this many bytes.
 SAMPLE_DOCUMENTS = 400
 DICTIONARY_BYTES = 1 << 16
-# Texts longer than this are left out of dictionaries (not of predictions), so that a sample's bytes are bounded too.
-SAMPLE_TEXT_BYTES = 1 << 16
 # Long texts are encoded in blocks, so that what a text says itself does not outweigh the dictionary.
 BLOCK_BYTES = 2048
 # Short texts are encoded in several orders of their words, as sizes are whole bytes.
@@ -45,11 +45,20 @@ def plain_words(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS).split()
 
 
-def dictionary(texts: list[str], most_bytes: int) -> bytes:
-    """Sample text for one language: an equal part of each distinct text, in a fixed order."""
+def piece(raw: bytes, most_bytes: int) -> bytes:
+    """At most ``most_bytes`` of ``raw``, from a place that its hash chooses, where a word starts if one does nearby."""
+    if len(raw) <= most_bytes:
+        return raw
+    at = zlib.crc32(raw) % (len(raw) - most_bytes + 1)
+    word = raw.rfind(b" ", max(0, at - 64), at) + 1
+    return raw[word or at :][:most_bytes]
+
+
+def dictionary(texts: list[bytes], most_bytes: int) -> bytes:
+    """Sample text for one language: an equal part of each distinct text's words, in a fixed order."""
     texts = sorted(set(texts))
     part = max(64, most_bytes // max(1, len(texts)))
-    return b" ".join(b" ".join(plain_words(text))[:part] for text in texts)[:most_bytes]
+    return b" ".join(piece(text, part) for text in texts)[:most_bytes]
 
 
 def learn(
@@ -61,21 +70,34 @@ def learn(
 ) -> dict[str, bytes]:
     """A dictionary per language found in ``docs``, the training documents, the most common language first.
 
-    Rows without language or without a letter teach nothing. What reaches the driver is bounded by languages times the sample.
+    Rows without language or without a letter teach nothing; texts of any length teach. About ``sample_documents``
+    of a language's distinct texts are picked, all where there are fewer and one at least. What reaches the driver is
+    bounded by languages times the sample, as each text sends at most ``dictionary_bytes``.
     """
-    known = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter(
-        (F.octet_length("text") <= SAMPLE_TEXT_BYTES) & F.col("text").rlike("\\p{L}") & F.col("lang").isNotNull()
+    steps = 1 << 30
+    known = (
+        docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+        .filter(F.col("text").rlike("\\p{L}") & F.col("lang").isNotNull())
+        .withColumn("hash", F.xxhash64(F.lit("sample"), "text"))
     )
-    totals = {row.lang: row.n for row in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    place = F.pmod("hash", F.lit(steps))
+    # Copies are one text; each is picked or left with all its copies.
+    distinct = known.groupBy("lang", "hash").agg(F.count("*").alias("rows"))
+    totals = distinct.groupBy("lang").agg(F.sum("rows").alias("n"), F.count("*").alias("texts"), F.min(place).alias("least")).collect()
     if not totals:
         return {}
-    steps = 1 << 30
-    limits = [x for lang, n in sorted(totals.items()) for x in (F.lit(lang), F.lit(min(steps, sample_documents * steps // n)))]
-    picked = F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(steps)) < F.create_map(*limits)[F.col("lang")]
-    # Copies are one text; each is picked or left with all its copies.
-    rows = known.filter(picked).distinct().collect()
-    common = sorted(totals, key=lambda lang: (-totals[lang], lang))
-    return {lang: dictionary([r.text for r in rows if r.lang == lang], dictionary_bytes) for lang in common}
+    limits = {row.lang: min(steps, max(sample_documents * steps // row.texts, row.least + 1)) for row in totals}
+    pairs = [F.lit(x) for pair in sorted(limits.items()) for x in pair]
+    picked = known.filter(place < F.create_map(*pairs)[F.col("lang")]).select("lang", "text").distinct()
+
+    def run(batches):
+        for batch in batches:
+            pieces = [piece(b" ".join(plain_words(text.as_py())), dictionary_bytes) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pieces, pa.binary())], ["lang", "words"])
+
+    rows = picked.mapInArrow(run, "lang string, words binary").collect()
+    common = sorted(totals, key=lambda row: (-row.n, row.lang))
+    return {of.lang: dictionary([bytes(r.words) for r in rows if r.lang == of.lang], dictionary_bytes) for of in common}
 
 
 def encoders(dictionaries: dict[str, bytes], level: int, strategy: int) -> list[zstandard.ZstdCompressor]:

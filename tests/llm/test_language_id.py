@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -38,6 +39,35 @@ def test_learning_is_bounded_and_repeatable(documents):
     assert list(learned)[0] == "en" and max(map(len, learned.values())) <= 4096
 
 
+def test_no_language_is_lost(spark):
+    """Languages of long texts only, or of few texts in very many rows, and texts under one long header are learned."""
+    letters = {"aa": "abcde", "bb": "fghij", "cc": "klmno", "dd": "pqrst"}
+    pick = random.Random(13)
+
+    known = {lang: ["".join(pick.choice(of) for _ in range(6)) for _ in range(20)] for lang, of in letters.items()}
+
+    def words(lang, n):
+        return " ".join(pick.choice(known[lang]) for _ in range(n))
+
+    banner = "uvwxyz " * 100
+    rows = [("aa", words("aa", 20_000)) for _ in range(3)]
+    rows += [("bb", f"{k} {words('bb', 20)}") for k in range(40)]
+    rows += [("cc", text) for text in [words("cc", 60)] * 5000]
+    rows += [("dd", banner + words("dd", 400)) for _ in range(400)]
+    learned = L.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert set(learned) == set(letters)
+    for lang, of in letters.items():
+        assert sum(learned[lang].count(x.encode()) for x in of) > 0.5 * len(learned[lang])
+    tests = spark.createDataFrame([(lang, words(lang, 10)) for lang in letters], "doc_id string, text string")
+    assert {r.doc_id: r.lang for r in L.identify(tests, learned).collect()} == {lang: lang for lang in letters}
+
+
+def test_few_samples_leave_every_language_a_text(spark):
+    rows = [(f"l{k % 30}", f"some words {'abcdefghij'[n % 10]} {'klmnopqrst'[n // 10 % 10]} {'uvwxyz'[n % 6]}") for k in range(30) for n in range(100)]
+    learned = L.learn(spark.createDataFrame(rows, "lang string, text string"), sample_documents=1)
+    assert len(learned) == 30 and all(learned.values())
+
+
 def test_narrow_margins_are_rejected(spark):
     learned = {"aa": b"the same words here " * 20, "bb": b"the same words here " * 20}
     rows = L.identify(spark.createDataFrame([(1, "the same words here")], "doc_id long, text string"), learned).collect()
