@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squadweave.llm import bpe, decontaminate, line_dedup, near_dedup, quality_rules
-from squadweave.llm.common import written
+from squadweave.llm.common import fresh, written
 
 
 def same_columns(docs: DataFrame, changed: DataFrame) -> DataFrame:
@@ -34,9 +34,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
-    kept = near_dedup.near_duplicates(docs).filter("kept").select("doc_id").distinct().alias("kept")
-    return docs.alias("docs").join(kept, F.col("docs.doc_id").eqNullSafe(F.col("kept.doc_id")), "left_semi")
+    """One row of each group of near-duplicates: the one with the smallest id, null last, then by hashes of text and row.
+
+    Rows are told apart by a key of their own, as an id may be null or stand for several rows.
+    """
+    key, row = fresh(docs, "_key", "_row")
+    first = [F.isnull("doc_id").alias("absent"), F.col("doc_id").alias("id")]
+    hashes = [F.xxhash64("text").alias("text"), F.xxhash64(*docs.columns).alias("all")]
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()))
+    keyed = numbered.select("text", F.struct(*first, *hashes, F.col(row).alias("row")).alias(key))
+    kept = near_dedup.near_duplicates(keyed, key).filter("kept").select(F.col(f"{key}.row").alias(row))
+    return numbered.join(kept, row, "left_semi").select(docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

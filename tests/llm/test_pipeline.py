@@ -65,6 +65,20 @@ def test_near_stage_agrees_with_brute_force(steps):
     assert texts(steps[3]) == {k: before[k] for k in sets if root(k) == k}
 
 
+def test_near_stage_leaves_one_row_of_repeated_and_null_ids(spark):
+    def some(name, n=60):
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    rows = [(1, some("a")), (5, some("b"))] + [(7, some("c"))] * 50
+    rows += [(5, some("a") + " more"), (None, some("b") + " more"), (None, some("d")), (None, some("d")), (None, some("e"))]
+    rows += [(9, some("d") + " more"), (8, some("f")), (8, some("f") + " more"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "length(text) AS n_chars")
+    kept = corpus_pipeline.near(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, (r.text or "-")[0]) for r in kept.collect()), key=repr)
+    assert found == sorted([(1, "a"), (5, "b"), (7, "c"), (9, "d"), (None, "e"), (8, "f"), (None, "-")], key=repr)
+
+
 def test_benchmark_stage_agrees_with_brute_force(spark, steps):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
     before, after = texts(steps[3]), texts(steps[4])
