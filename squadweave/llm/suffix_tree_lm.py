@@ -1,17 +1,17 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-Contexts are runs of one or two words. A context is retained if its relative
-frequency reaches ``CONTEXT_SHARE`` and its next-word distribution diverges
-from that of its suffix. Under a retained context, words of the same least
-frequency have counts of their own, smoothed by an absolute discount; the mass
-so freed goes to the suffix's distribution, down to the smoothed distribution
-of single words. A word is scored in the longest retained suffix of what
-stands before it.
-
-Shares are relative to the corpus, so the tree behaves alike at every size and
-has a proven bound: at most ``1 / share`` words, contexts and entries a depth.
-Only the tree and the words above ``WORD_SHARE`` are broadcast; counts of all
-other words, which grow with the corpus, stay a table that is joined.
+Contexts are runs of one or two words. A context is retained if words follow it
+``LEAST_COUNT`` times at least and their distribution diverges from that of its
+suffix. Under a retained context, such words have counts of their own, smoothed
+by an absolute discount; the mass so freed goes to the suffix's distribution,
+down to the smoothed distribution of single words. A word is scored in the
+longest retained suffix of what stands before it.
+
+The least count is absolute, so the tree grows with the corpus. Contexts and
+entries are written tables that scoring joins, as are the counts of all words.
+Only the head is broadcast: what reaches a share of all tokens, hence at most
+``1 / share`` words, contexts and entries a depth. Words are told apart by
+64-bit hashes in the tables of contexts and entries.
 """
 
 from __future__ import annotations
@@ -24,10 +24,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squadweave.llm.common import LOWER, broadcast_state, text_slices, with_state, written
-
-# Least relative frequency of words known to every task (at most 500,000), of contexts and of their entries
-# (at most 100,000 a depth), and of the words of two-word contexts (at most 10,000).
+from squadweave.llm.common import (
+    LOWER,
+    NOT_BLANK,
+    broadcast_state,
+    sequence_hashes,
+    text_slices,
+    with_state,
+    word_hashes,
+    word_spans,
+    written,
+)
+
+# Least count of a word after a context for an entry of its own.
+LEAST_COUNT = 4
+# Least relative frequency of words known to every task (at most 500,000), of contexts and entries known to every task
+# (at most 100,000 a depth), and of the words of two-word contexts known to every task (at most 10,000).
 WORD_SHARE = 2e-6
 CONTEXT_SHARE = 1e-5
 DEEP_SHARE = 1e-4
@@ -52,6 +64,33 @@ def rows_of_words(column: pa.Array):
         yield [[*raw[a:b].split(), b""] for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
 
 
+# Stands for the end of a text where words are hashes.
+END = np.uint64(1)
+
+
+def hashed_rows(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-case words of rows one after the other, each row's end included, and where each row starts."""
+    raw = LOWER[raw]
+    starts, ends, first = word_spans(raw, offsets, NOT_BLANK)
+    return np.insert(word_hashes(raw, starts, ends), first[1:], END), first + np.arange(len(first))
+
+
+def with_hashes(counts: DataFrame) -> DataFrame:
+    """``word``, ``n`` and ``hash``, the word's."""
+
+    def run(batches):
+        for batch in batches:
+            parts = []
+            for _, _, raw, offsets in text_slices(batch.column(0)):
+                found = word_hashes(raw, offsets[:-1], offsets[1:])
+                found[np.diff(offsets) == 0] = END
+                parts.append(found.view(np.int64))
+            hashes = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes)], ["word", "n", "hash"])
+
+    return counts.mapInArrow(run, "word string, n bigint, hash bigint")
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word``, ``n`` over the one text column; the empty word counts the ends of texts."""
 
@@ -74,19 +113,32 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+@dataclass
+class Tables:
+    """The whole tree; words are hashes, ``weight`` the log10 weight of the suffix, ``lift`` log10 of an entry's
+    probability over that of the word by itself."""
+
+    words: DataFrame  # word, n, hash
+    context1: DataFrame  # v, weight
+    entries1: DataFrame  # v, w, lift
+    context2: DataFrame  # u, v, weight
+    entries2: DataFrame  # u, v, w, lift
+
+
 @dataclass
 class Tree:
-    """The suffix tree, by word numbers in falling order of count; -1 is any other word."""
+    """The suffix tree's head, by word numbers in falling order of count; -1 is any other word."""
 
     total: int
     distinct: int
     words: dict[bytes, int] = field(default_factory=dict)
     single: np.ndarray = field(default_factory=lambda: np.zeros(1))
-    shallow: int = 0
     deep: int = 0
     # For contexts of one word: the log weight of the suffix by word number. For contexts of two: their codes and weights.
     weight1: np.ndarray = field(default_factory=lambda: np.zeros(1))
     retained1: np.ndarray = field(default_factory=lambda: np.zeros(1, bool))
+    # All head pairs of words below ``deep``, and those that are retained contexts.
+    pairs2: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     context2: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     weight2: np.ndarray = field(default_factory=lambda: np.zeros(0))
     codes1: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
@@ -105,17 +157,27 @@ class Tree:
         return np.fromiter((get(word, -1) for words in rows for word in words), np.int64, starts[-1]), starts
 
     def logs(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability of each word by itself and by the tree; a word without a number adds only its contexts' weights."""
+        """log10 probability of each word by itself and by the head; a word without a number adds only its contexts' weights."""
+        return self.settled(ids, starts)[:2]
+
+    def settled(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``logs``, and whether the head says all that the whole tree says of a word."""
         alone = self.single[ids]
         before = np.concatenate([[-1], ids[:-1]])
         before[starts[:-1]] = -1
         before2 = np.concatenate([[-1], before[:-1]])
         before2[starts[:-1]] = -1
         best = alone + self.weight1[before]
-        best = self.put(best, self.retained1[before] & (ids >= 0), before * self.size + ids, self.codes1, self.logs1)
+        done = (before >= 0) & ~self.retained1[before]
+        best, hit = self.put(best, self.retained1[before] & (ids >= 0), before * self.size + ids, self.codes1, self.logs1)
+        # Without a second word before it, or after a pair that is not retained, an entry of the first decides.
+        second = starts[:-1][np.diff(starts) > 1] + 1
+        shallow = np.zeros(len(ids), bool)
+        shallow[second] = True
         pairs = np.flatnonzero((before >= 0) & (before2 >= 0) & (before < self.deep) & (before2 < self.deep))
         if len(self.context2) and len(pairs):
             context = before2[pairs] * self.size + before[pairs]
+            shallow[pairs] = np.isin(context, self.pairs2) & ~np.isin(context, self.context2)
             slot = np.minimum(np.searchsorted(self.context2, context), len(self.context2) - 1)
             at, slot = pairs[self.context2[slot] == context], slot[self.context2[slot] == context]
             best[at] += self.weight2[slot]
@@ -123,61 +185,76 @@ class Tree:
             found[at] = ids[at] >= 0
             code = np.zeros(len(ids), np.int64)
             code[at] = slot * self.size + ids[at]
-            best = self.put(best, found, code, self.codes2, self.logs2)
-        return alone, best
+            best, deep = self.put(best, found, code, self.codes2, self.logs2)
+            done |= deep
+        elif len(pairs):
+            shallow[pairs] = np.isin(before2[pairs] * self.size + before[pairs], self.pairs2)
+        done |= shallow & hit
+        done[starts[:-1]] = True
+        return alone, best, done
 
     @staticmethod
     def put(best, where, code, codes, logs):
-        at = np.flatnonzero(where)
+        """``best`` with the logs of the codes that are listed, and where they are."""
+        at, found = np.flatnonzero(where), np.zeros(len(best), bool)
         if len(codes) and len(at):
             slot = np.minimum(np.searchsorted(codes, code[at]), len(codes) - 1)
             hit = codes[slot] == code[at]
             best[at[hit]] = logs[slot[hit]]
-        return best
+            found[at[hit]] = True
+        return best, found
 
 
-def run_counts(texts: DataFrame, tree: Tree) -> DataFrame:
-    """``code``, ``n``: pairs of words below ``tree.shallow``, and, with negative codes, triples of words below ``tree.deep``."""
-    shared = broadcast_state(texts.sparkSession, tree)
+def run_counts(texts: DataFrame, size: int) -> DataFrame:
+    """Counts ``n`` of all runs of ``size`` words, the last of which may be a text's end; words are the hashes ``u``, ``v``, ``w``."""
+    names = ["u", "v", "w"][3 - size :]
 
     def packed(parts):
-        codes, n = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n.astype(np.int64))], ["code", "n"])
+        words = [np.concatenate(x) for x in zip(*parts)]
+        code = sequence_hashes(np.stack(words, 1).ravel(), size)[::size]
+        _, first, n = np.unique(code, return_index=True, return_counts=True)
+        columns = [pa.array(x[first].view(np.int64)) for x in words]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], [*names, "n"])
 
     def run(batches):
-        tree, parts, held = with_state(Tree, shared), [], 0
+        parts, held = [], 0
         for batch in batches:
-            for rows in rows_of_words(batch.column(0)):
-                ids, starts = tree.numbers(rows)
-                inner = np.ones(len(ids), bool)
-                inner[starts[:-1]] = False
-                pair = inner[1:] & (ids[:-1] >= 0) & (ids[1:] >= 0) & (ids[:-1] < tree.shallow) & (ids[1:] < tree.shallow)
-                small = (ids >= 0) & (ids < tree.deep)
-                triple = inner[1:-1] & inner[2:] & small[:-2] & small[1:-1] & small[2:]
-                parts.append((ids[:-1] * tree.size + ids[1:])[pair])
-                parts.append(-1 - ((ids[:-2] * tree.deep + ids[1:-1]) * tree.deep + ids[2:])[triple])
-                held += len(parts[-1]) + len(parts[-2])
+            for _, _, raw, offsets in text_slices(batch.column(0)):
+                words, starts = hashed_rows(raw, offsets)
+                whole = np.ones(max(0, len(words) - size + 1), bool)
+                for k in range(1, size):
+                    cut = starts[1:-1] - k
+                    whole[cut[(cut >= 0) & (cut < len(whole))]] = False
+                parts.append([words[k : k + len(whole)][whole] for k in range(size)])
+                held += len(parts[-1][0])
                 if held >= GATHERED_RUNS:
                     yield packed(parts)
                     parts, held = [], 0
-        if parts:
+        if held:
             yield packed(parts)
 
-    return texts.mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def smoothed(context, word, n, context_n, suffix_p, threshold):
-    """For entries sorted by context: which contexts diverge, their log suffix weights, and the entries' log10 probabilities."""
-    own = np.maximum(n - DISCOUNT, 0) / context_n[context]
-    size = len(context_n)
-    kept = np.bincount(context, own, size)
-    weight = np.maximum(1 - kept, 1e-12)
-    share = n / context_n[context]
-    rest = np.maximum(1 - np.bincount(context, share, size), 0)
-    rest_p = np.maximum(1 - np.bincount(context, suffix_p, size), 1e-12)
-    gain = np.bincount(context, share * np.log(share / suffix_p), size)
-    gain += np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-300) / rest_p), 0)
-    return gain >= threshold, np.log10(weight), np.log10(own + weight[context] * suffix_p)
+    schema = "".join(f"{x} bigint, " for x in names)
+    return texts.mapInArrow(run, f"{schema}n bigint").groupBy(*names).agg(F.sum("n").alias("n"))
+
+
+def smoothed(entries: DataFrame, context: list[str], threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Of ``entries`` with ``n``, ``context_n`` and ``suffix_p``: the contexts with ``weight`` and whether they diverge,
+    and the entries with ``p``."""
+    share = F.col("n") / F.col("context_n")
+    own = (F.col("n") - DISCOUNT) / F.col("context_n")
+    rest = F.greatest(1 - F.sum(share), F.lit(0.0))
+    rest_p = F.greatest(1 - F.sum("suffix_p"), F.lit(1e-12))
+    gain = F.sum(share * F.ln(share / F.col("suffix_p"))) + F.when(rest > 0, rest * F.ln(rest / rest_p)).otherwise(0)
+    contexts = written(
+        entries.groupBy(*context).agg(
+            F.first("context_n").alias("context_n"),
+            F.greatest(1 - F.sum(own), F.lit(1e-12)).alias("suffix_share"),
+            (gain >= threshold).alias("diverges"),
+        )
+    )
+    both = entries.join(contexts.drop("context_n"), context)
+    p = own + F.col("suffix_share") * F.col("suffix_p")
+    return contexts.withColumn("weight", F.log10("suffix_share")), both.withColumn("p", p).drop("suffix_share", "suffix_p", "diverges")
 
 
 def train(
@@ -186,66 +263,86 @@ def train(
     context_share: float = CONTEXT_SHARE,
     deep_share: float = DEEP_SHARE,
     divergence: float = DIVERGENCE,
-) -> tuple[Tree, DataFrame]:
-    """The tree of a table with one text column, and the table of all word counts (``word``, ``n``)."""
-    counts = written(word_counts(texts))
+    least_count: int = LEAST_COUNT,
+) -> tuple[Tree, Tables]:
+    """The tree of a table with one text column: its head, whose bounds are the shares, and the tables of all of it."""
+    counts = written(with_hashes(word_counts(texts)))
     total, distinct = (x or 0 for x in counts.agg(F.sum("n"), F.count("n")).first())
+    p = (F.col("n") + ADDED) / (total + ADDED * (distinct + 1))
+    enough = F.col("n") >= least_count
+    after = counts.select(F.col("hash").alias("w"), p.alias("word_p"))
+    before = counts.filter(enough).select(F.col("hash").alias("v"), F.col("n").alias("context_n"))
+    pairs = run_counts(texts, 2).filter(enough).join(after, "w").join(before, "v")
+    context1, entries1 = smoothed(written(pairs.withColumn("suffix_p", F.col("word_p"))), ["v"], divergence)
+    entries1 = written(entries1)
+
+    pair_n = entries1.select(F.col("v").alias("u"), F.col("w").alias("v"), F.col("n").alias("context_n"))
+    suffix = entries1.select("v", "w", "word_p", F.col("p").alias("suffix_p"))
+    triples = run_counts(texts, 3).filter(enough).join(pair_n, ["u", "v"]).join(suffix, ["v", "w"])
+    context2, entries2 = smoothed(written(triples), ["u", "v"], divergence)
+    kept2 = written(context2.filter("diverges").select("u", "v", "context_n", "weight"))
+    # A retained context's suffix is retained, as its entries refer to it.
+    needed = kept2.select("v").distinct().withColumn("needed", F.lit(True))
+    kept1 = context1.join(needed, "v", "left").filter(F.col("diverges") | F.col("needed")).select("v", "context_n", "weight")
+    kept1 = written(kept1)
+    lift = F.log10("p") - F.log10("word_p")
+    own1 = written(entries1.join(kept1.select("v"), "v").select("v", "w", "n", F.log10("p").alias("log"), lift.alias("lift")))
+    own2 = entries2.join(kept2.select("u", "v"), ["u", "v"])
+    own2 = written(own2.select("u", "v", "w", "n", F.log10("p").alias("log"), lift.alias("lift")))
+    tables = Tables(
+        counts,
+        kept1.select("v", "weight"),
+        own1.select("v", "w", "lift"),
+        kept2.select("u", "v", "weight"),
+        own2.select("u", "v", "w", "lift"),
+    )
+
     tree = Tree(total, distinct)
     frequent = counts.filter(F.col("n") >= word_share * total).toPandas()
     frequent = frequent.sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
     n = frequent["n"].to_numpy(np.int64)
     tree.words = {word.encode(): k for k, word in enumerate(frequent["word"])}
-    p = (n + ADDED) / (total + ADDED * (distinct + 1))
-    tree.single = np.append(np.log10(p), 0.0)
-    tree.shallow = int((n >= context_share * total).sum())
+    tree.single = np.append(np.log10((n + ADDED) / (total + ADDED * (distinct + 1))), 0.0)
     tree.deep = int((n >= deep_share * total).sum())
     tree.weight1 = np.zeros(len(n) + 1)
     tree.retained1 = np.zeros(len(n) + 1, bool)
-    found = run_counts(texts, tree).filter(F.col("n") >= context_share * total).toPandas()
-    code, many = found["code"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
-
-    order = np.argsort(code)
-    code, many = code[order], many[order]
-    pairs, pairs_n = code[code >= 0], many[code >= 0]
-    if not len(pairs):
-        return tree, counts
-    first, last = pairs // tree.size, pairs % tree.size
-    diverges, weight, logs = smoothed(first, last, pairs_n, n.astype(float), p[last], divergence)
-
-    triples, triples_n = -1 - code[code < 0][::-1], many[code < 0][::-1]
-    deep = max(1, tree.deep)
-    context, word = triples // deep, triples % deep
-    context = (context // deep) * tree.size + context % deep
-    slot = np.minimum(np.searchsorted(pairs, context), len(pairs) - 1)
-    stands = pairs[slot] == context
-    slot, word, triples_n = slot[stands], word[stands], triples_n[stands]
-    keep2 = np.zeros(len(pairs), bool)
-    if len(slot):
-        middle = last[slot]
-        step = np.minimum(np.searchsorted(pairs, middle * tree.size + word), len(pairs) - 1)
-        listed = pairs[step] == middle * tree.size + word
-        suffix_p = np.where(listed, 10 ** logs[step], 10 ** weight[middle] * p[word])
-        keep2, weight2, logs2 = smoothed(slot, word, triples_n, pairs_n.astype(float), suffix_p, divergence)
-        # A retained context's suffix is retained, as its entries refer to it.
-        diverges[last[keep2]] |= np.bincount(first, minlength=len(n))[last[keep2]] > 0
-        kept = keep2[slot]
-        number = np.cumsum(keep2) - 1
-        tree.context2, tree.weight2 = pairs[keep2], weight2[keep2]
-        tree.codes2, tree.logs2 = number[slot[kept]] * tree.size + word[kept], logs2[kept]
-    tree.retained1[:-1] = diverges
-    tree.weight1[:-1] = np.where(diverges, weight, 0.0)
-    listed = diverges[first]
-    tree.codes1, tree.logs1 = pairs[listed], logs[listed]
-    return tree, counts
-
-
-def score(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    number = {h: k for k, h in enumerate(frequent["hash"].tolist())}
+    common = F.col("n") >= context_share * total
+
+    def head(rows: DataFrame, words: list[str], below: int) -> tuple[list[np.ndarray], dict[str, np.ndarray]]:
+        """Word numbers and other columns of the rows whose first words, all but the last, are below a number."""
+        found = rows.toPandas()
+        ids = [np.array([number.get(x, -1) for x in found[word].tolist()], np.int64) for word in words]
+        fits = np.all([(x >= 0) & (x < limit) for x, limit in zip(ids, [below] * (len(ids) - 1) + [len(n)])], axis=0)
+        return [x[fits] for x in ids], {c: found[c].to_numpy()[fits] for c in found.columns if c not in words}
+
+    (first,), more = head(kept1.filter(F.col("context_n") >= word_share * total).select("v", "weight"), ["v"], 0)
+    tree.weight1[first], tree.retained1[first] = more["weight"], True
+    (first, last), more = head(own1.filter(common).select("v", "w", "log"), ["v", "w"], len(n))
+    order = np.argsort(first * tree.size + last)
+    tree.codes1, tree.logs1 = (first * tree.size + last)[order], more["log"].astype(float)[order]
+    (first, last), _ = head(entries1.filter(common).select("v", "w"), ["v", "w"], tree.deep)
+    tree.pairs2 = np.sort((first * tree.size + last)[last < tree.deep])
+    (first, last), more = head(kept2.filter(F.col("context_n") >= context_share * total).select("u", "v", "weight"), ["u", "v"], tree.deep)
+    code, order = first * tree.size + last, np.argsort(first * tree.size + last)
+    fits = order[last[order] < tree.deep]
+    tree.context2, tree.weight2 = code[fits], more["weight"].astype(float)[fits]
+    (first, middle, last), more = head(own2.filter(common).select("u", "v", "w", "log"), ["u", "v", "w"], tree.deep)
+    if len(tree.context2):
+        slot = np.searchsorted(tree.context2, first * tree.size + middle)
+        order = np.argsort(slot * tree.size + last)
+        tree.codes2, tree.logs2 = (slot * tree.size + last)[order], more["log"].astype(float)[order]
+    return tree, tables
+
+
+def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id, ``n_tokens``, ``n_known``, ``base_score`` and ``score``.
 
     Scores are log10 probabilities of the whole text and its end, by single
     words and by the tree. A null text is empty: its end is its only token.
     Repeated rows and null ids are scored like any other row; other columns are
-    not read. Words below the tree's share are joined with their counts.
+    not read. Words below the head's share are joined with their counts, and
+    words of which the head does not say all with the tables of the tree.
     """
     shared = broadcast_state(docs.sparkSession, tree)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -253,11 +350,23 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id"
     def run(batches):
         tree = with_state(Tree, shared)
         rare_type = pa.list_(pa.struct([("word", pa.string()), ("tf", pa.int64())]))
+        names = ["u", "v", "w", "weight"]
+        open_type = pa.struct([("u", pa.int64()), ("v", pa.int64()), ("w", pa.int64()), ("weight", pa.float64())])
         for batch in batches:
-            n, known, base, best, rare = [], [], [], [], []
-            for rows in rows_of_words(batch.column(2)):
+            n, known, base, best, rare, sizes, parts = [], [], [], [], [], [], []
+            for rows, (_, _, raw, offsets) in zip(rows_of_words(batch.column(2)), text_slices(batch.column(2))):
                 ids, starts = tree.numbers(rows)
-                alone, deep = tree.logs(ids, starts)
+                alone, deep, done = tree.settled(ids, starts)
+                deep[~done] = alone[~done]
+                hashes = hashed_rows(raw, offsets)[0].view(np.int64)
+                at = np.flatnonzero(~done)
+                third = at - 1 > starts[np.searchsorted(starts, at, "right") - 1]
+                # A text's second word has no pair before it; no word's hash is 0.
+                u = np.where(third, hashes[at - 2], 0)
+                v = ids[at - 1]
+                weight = pa.array(tree.weight1[v], mask=v < 0)
+                parts.append([pa.array(u), pa.array(hashes[at - 1]), pa.array(hashes[at]), weight])
+                sizes.append(np.add.reduceat((~done).astype(np.int64), starts[:-1]))
                 n.append(np.diff(starts))
                 known.append(np.add.reduceat((ids >= 0).astype(np.int64), starts[:-1]))
                 base.append(np.add.reduceat(alone, starts[:-1]))
@@ -265,11 +374,14 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id"
                 for words, a, b in zip(rows, starts.tolist(), starts[1:].tolist()):
                     found = Counter([words[k] for k in np.flatnonzero(ids[a:b] < 0).tolist()])
                     rare.append([{"word": word.decode(), "tf": tf} for word, tf in found.items()])
+            joined = [pa.concat_arrays(x) for x in zip(*parts)]
+            ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *sizes])).astype(np.int32)
+            struct = pa.StructArray.from_arrays(joined, names) if joined else pa.array([], open_type)
             columns = [np.concatenate(x) if x else np.zeros(0) for x in (n, known, base, best)]
             columns = [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *columns, pa.array(rare, rare_type)],
-                ["_row", id_col, "n_tokens", "n_known", "base_score", "score", "rare"],
+                [batch.column(0), batch.column(1), *columns, pa.array(rare, rare_type), pa.ListArray.from_arrays(pa.array(ends), struct)],
+                ["_row", id_col, "n_tokens", "n_known", "base_score", "score", "rare", "open"],
             )
 
     numbered = docs.select(
@@ -279,25 +391,36 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id"
         numbered.mapInArrow(
             run,
             f"_row bigint, `{id_col}` {kind}, n_tokens bigint, n_known bigint, base_score double, score double,"
-            " rare array<struct<word:string,tf:bigint>>",
+            " rare array<struct<word:string,tf:bigint>>, open array<struct<u:bigint,v:bigint,w:bigint,weight:double>>",
         )
     )
     rest = F.lit(tree.total + ADDED * (tree.distinct + 1))
     n = F.coalesce("n", F.lit(0))
     words = scored.select("_row", F.inline("rare"))
     rare = (
-        words.join(counts, "word", "left")
+        words.join(tables.words.select("word", "n"), "word", "left")
         .groupBy("_row")
         .agg(
             F.sum(F.col("tf") * F.log10((n + ADDED) / rest)).alias("_log"),
             F.sum(F.when(n > 0, F.col("tf")).otherwise(0)).alias("_known"),
         )
     )
+    # The head knows the weights of frequent words' contexts; the others' are joined.
+    places = scored.select("_row", F.inline("open"))
+    weight = F.coalesce("weight", F.lit(0.0))
+    unknown = places.filter("weight is null").drop("weight").join(tables.context1, "v", "left")
+    every = places.filter("weight is not null").unionByName(unknown).withColumn("weight", weight)
+    shallow = every.join(tables.entries1, ["v", "w"], "left").select("_row", "u", "v", "w", F.coalesce("lift", "weight").alias("shallow"))
+    deep = shallow.join(tables.context2, ["u", "v"], "left")
+    plain = deep.filter("weight is null").select("_row", F.col("shallow").alias("lift"))
+    found = deep.filter("weight is not null").join(tables.entries2, ["u", "v", "w"], "left")
+    found = found.select("_row", F.coalesce(F.col("lift"), F.col("weight") + F.col("shallow")).alias("lift"))
+    lifts = plain.union(found).groupBy("_row").agg(F.sum("lift").alias("_lift"))
     log = F.coalesce("_log", F.lit(0.0))
-    return scored.join(rare, "_row", "left").select(
+    return scored.join(rare, "_row", "left").join(lifts, "_row", "left").select(
         id_col,
         "n_tokens",
         (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         (F.col("base_score") + log).alias("base_score"),
-        (F.col("score") + log).alias("score"),
+        (F.col("score") + log + F.coalesce("_lift", F.lit(0.0))).alias("score"),
     )

@@ -95,6 +95,35 @@ def test_counts_do_not_depend_on_how_tasks_gather(spark, monkeypatch):
     assert np.array_equal(whole.codes1, small.codes1) and np.allclose(whole.logs1, small.logs1)
 
 
+def test_scores_do_not_depend_on_what_is_broadcast(spark):
+    pick = random.Random(10)
+    rows = []
+    for k in range(150):
+        words = ["a", "b"]
+        while len(words) < 40:
+            words.append(f"{words[-2]}{words[-1]}"[-1] if pick.random() < 0.6 else pick.choice("abcdefgh"))
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = None
+    for shares in ({}, {"context_share": 0.01, "deep_share": 0.05}, {"word_share": 2.0, "context_share": 2.0, "deep_share": 2.0}):
+        found = {r.doc_id: round(r.score, 6) for r in scored(docs, **shares)[1].collect()}
+        expected = expected or found
+        assert found == expected
+
+
+def test_rare_contexts_are_retained_in_a_large_corpus(spark):
+    """Pairs and triples of a few occurrences count, however small their share of all tokens is."""
+    common = " ".join("the of and to in".split() * 2000)
+    rows = [(1 + k, common) for k in range(40)] + [(100 + k, "zeta kappa omega") for k in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    shares = {"context_share": 1e-3, "deep_share": 1e-2}
+    tree, found = scored(docs, **shares)
+    assert not len(tree.codes1) or tree.total * 1e-3 > 8
+    rare = [r for r in found.collect() if r.doc_id >= 100]
+    # The second and third word and the end follow their contexts always.
+    assert all(r.score > r.base_score + 3 * 3 for r in rare)
+
+
 def test_odd_documents(odd_docs, no_docs):
     total, expected = brute_base([(r.doc_id, r.text) for r in odd_docs.collect()])
     tree, found = scored(odd_docs)
