@@ -54,7 +54,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every text's token ids, their number, and digests of ids and of what they decode to."""
+    """The number of every text's token ids, and digests of the ids and of what they decode to; ``bpe.encode`` has the ids."""
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
@@ -66,7 +66,7 @@ STAGES = [
     ("byte_bpe", tokens),
 ]
 
-# The rules' verdicts, the near-duplicate components and the token ids have no SQL form that DuckDB could run.
+# The cutting of passages out of texts and the token ids have no SQL form that DuckDB could run.
 ORACLE_SQL = None
 
 
