@@ -285,6 +285,13 @@ def _sample(rows: DataFrame, most: int, salt: str) -> DataFrame:
     return rows.filter(F.pmod(F.xxhash64(F.lit(salt), F.col("_id").cast("string")), F.lit(steps)) < limit)
 
 
+def one_each(rows: DataFrame) -> DataFrame:
+    """One row of each ``_id``, the one with the smallest hash, so that a repeated id counts once."""
+    rest = [c for c in rows.columns if c != "_id"]
+    one = F.min_by(F.struct(*rest), F.xxhash64(*rest)).alias("_one")
+    return rows.groupBy("_id").agg(one).select("_id", *[F.col("_one")[c].alias(c) for c in rest])
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -299,7 +306,7 @@ def train(
     """Co-train both views on bounded samples: of labelled documents for training and calibration, and of others as pool.
 
     Labels that are null, or whose document is missing or has no text, teach
-    nothing; of several labels of one document, any one counts. A target without
+    nothing; of several labels of one document, any one counts, and of several rows of one id, one. A target without
     both verdicts in its samples is scored by their share alone.
     """
     known = labels.select(F.col(id_col).alias("_id"), *targets).filter("_id is not null").dropDuplicates(["_id"])
@@ -307,9 +314,9 @@ def train(
         (F.octet_length("_text") > 0) & (F.octet_length("_text") <= SAMPLE_TEXT_BYTES)
     )
     picked = _sample(known, trained + calibrated, "labelled").select("_id", *[F.col(t).alias(f"_{t}") for t in targets])
-    some = texts.join(F.broadcast(picked), "_id").toArrow()
+    some = one_each(texts.join(F.broadcast(picked), "_id")).toArrow()
     rest = _sample(texts.select("_id"), pooled * 2, "pool").join(known.select("_id"), "_id", "left_anti")
-    rest = texts.join(F.broadcast(rest.distinct()), "_id", "left_semi").toArrow()
+    rest = one_each(texts.join(F.broadcast(rest.distinct()), "_id", "left_semi")).toArrow()
 
     def views(found: pa.Table) -> tuple[Rows, Rows]:
         found = found.combine_chunks()

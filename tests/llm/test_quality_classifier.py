@@ -95,3 +95,14 @@ def test_odd_documents(odd_docs, no_docs, tables):
     model = C.train(*tables)
     assert C.score(odd_docs, model).count() == odd_docs.count()
     assert C.score(odd_docs.withColumn("source", F.lit(None).cast("string")), model).count() == odd_docs.count()
+
+
+def test_a_repeated_id_is_sampled_once(spark, monkeypatch):
+    sizes, real = [], C.metadata_rows
+    monkeypatch.setattr(C, "metadata_rows", lambda parts, n: (sizes.append(n), real(parts, n))[1])
+    ids = [*range(40), *range(1000, 1041), *[0] * 1500, *[1000] * 1500]
+    rows = [(k, f"some text {n} of number {k}", "s", "en", 20) for n, k in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    labels = spark.createDataFrame([(k, k % 2, k % 3 % 2) for k in range(40)], "doc_id long, quality int, toxic int")
+    C.train(docs, labels)
+    assert sorted(sizes) == [40, 41]
