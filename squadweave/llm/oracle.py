@@ -118,9 +118,29 @@ SELECT doc_id, coalesce(len(gone), 0) AS lines_cut,
 FROM d LEFT JOIN cut USING (doc_id)
 """
 
+# Markers of the chat template take 32 characters a turn; a control string costs one more.
+CHAT_FORMAT = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+),
+counted AS (
+    SELECT *, 32 + length(role) + length(text) + len(regexp_extract_all(
+        text, '<\\*(\|im_start\|>|\|im_sep\|>|\|im_end\|>|s>|/s>|\|endoftext\|>)|\[\\*(INST\]|/INST\])')) AS chars
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    sum(chars)::BIGINT AS formatted_chars
+FROM counted GROUP BY conv_id
+"""
+
 ORACLE = {
     "op3_decontamination": DECONTAMINATION,
     "op5_near_dedup": NEAR_DEDUP,
     "op6_quality_rules": QUALITY_RULES,
     "op9_line_dedup": LINE_DEDUP,
+    "op11_chat_format": CHAT_FORMAT,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from squadweave.llm import (
     bpe,
+    chat_format,
     decontaminate,
     html_extract,
     language_id,
@@ -107,6 +108,13 @@ def op10_quality_classifier(spark, sf_dir):
     )
 
 
+def op11_chat_format(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations")
+    both = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+    added = spark.createDataFrame(both, "conv_id long, turn long, role string, text string")
+    return chat_format.digests(chat_format.formatted(conversations.select(added.columns).unionByName(added)))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -120,5 +128,6 @@ QUERIES = {
         op8_html_extract,
         op9_line_dedup,
         op10_quality_classifier,
+        op11_chat_format,
     )
 }
