@@ -137,10 +137,40 @@ SELECT conv_id, count(*) AS n_turns,
 FROM counted GROUP BY conv_id
 """
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (SELECT lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+),
+f AS (
+    SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS n
+    FROM pieces, (VALUES (1), (2), (3)) AS s(size), unnest(range(1, len(w) - size + 2)) AS t(i) GROUP BY ALL
+),
+totals AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10),
+covered AS (
+    SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(n) AS most
+    FROM candidates, unnest([1, 2]) AS t(i) WHERE size = 3 GROUP BY ALL
+),
+cuts AS (
+    SELECT c.lang, c.phrase, c.n AS a, x.n AS l, y.n AS r, k, ((1000000::HUGEINT * c.n * c.n) // (x.n::HUGEINT * y.n))::BIGINT AS score
+    FROM candidates AS c, unnest([1, 2]) AS t(k), f AS x, f AS y
+    WHERE k < c.size AND x.lang = c.lang AND y.lang = c.lang
+        AND x.phrase = array_to_string(c.w[1:k], ' ') AND y.phrase = array_to_string(c.w[k + 1:c.size], ' ')
+),
+best AS (
+    SELECT cuts.* FROM cuts LEFT JOIN covered USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, totals.n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE = {
     "op3_decontamination": DECONTAMINATION,
     "op5_near_dedup": NEAR_DEDUP,
     "op6_quality_rules": QUALITY_RULES,
     "op9_line_dedup": LINE_DEDUP,
     "op11_chat_format": CHAT_FORMAT,
+    "op12_collocations": COLLOCATIONS,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from squadweave.llm import (
     bpe,
     chat_format,
+    collocations,
     decontaminate,
     html_extract,
     language_id,
@@ -115,6 +116,10 @@ def op11_chat_format(spark, sf_dir):
     return chat_format.digests(chat_format.formatted(conversations.select(added.columns).unionByName(added)))
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -129,5 +134,6 @@ QUERIES = {
         op9_line_dedup,
         op10_quality_classifier,
         op11_chat_format,
+        op12_collocations,
     )
 }

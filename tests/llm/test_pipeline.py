@@ -109,7 +109,7 @@ def test_stages_on_odd_and_empty_documents(spark, odd_docs):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_agree_with_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     found = duck.execute(ORACLE[name])
     columns = [c[0] for c in found.description]
