@@ -166,6 +166,38 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT lang, rank, phrase, a, l, r, totals.n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
+def _clustering_round(k: int) -> str:
+    return f"""
+a{k} AS MATERIALIZED (
+    SELECT vec_id, any_value(v) AS v, min_by(c, (d, c)) AS c, min(d) AS d
+    FROM (
+        SELECT vec_id, copy, v, c, list_sum(list_transform(range(1, 65), lambda i: (v[i] - m[i]) * (v[i] - m[i])))::BIGINT AS d
+        FROM kept, c{k}
+    ) GROUP BY vec_id, copy
+),
+c{k + 1} AS MATERIALIZED (
+    SELECT c, coalesce(moved.m, c{k}.m) AS m FROM c{k} LEFT JOIN (
+        SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS m
+        FROM (SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{k}, unnest(range(1, 65)) AS t(i) GROUP BY c, i) GROUP BY c
+    ) AS moved USING (c)
+),"""
+
+
+CENTROID_CLUSTERING = f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, row_number() OVER () AS copy, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE len(list_filter(embedding, lambda x: isfinite(x))) = 64 AND len(embedding) = 64
+),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m
+    FROM (SELECT sha256('1:' || vec_id) AS h, v FROM kept WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT 16)
+),{_clustering_round(0)}{_clustering_round(1)}{_clustering_round(2)}{_clustering_round(3)}
+clusters AS (SELECT c, sum(d)::BIGINT AS cluster_inertia FROM a3 GROUP BY c)
+SELECT vec_id, c AS cluster, d AS distance, cluster_inertia, (SELECT sum(d)::BIGINT FROM a3) AS inertia,
+    sha256(array_to_string(c3.m, ',')) AS centroid_sha256
+FROM a3 JOIN clusters USING (c) JOIN c3 USING (c)
+"""
+
 ORACLE = {
     "op3_decontamination": DECONTAMINATION,
     "op5_near_dedup": NEAR_DEDUP,
@@ -173,4 +205,5 @@ ORACLE = {
     "op9_line_dedup": LINE_DEDUP,
     "op11_chat_format": CHAT_FORMAT,
     "op12_collocations": COLLOCATIONS,
+    "op13_centroid_clustering": CENTROID_CLUSTERING,
 }

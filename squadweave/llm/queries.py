@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from squadweave.llm import (
     bpe,
+    centroid_clustering,
     chat_format,
     collocations,
     decontaminate,
@@ -120,6 +121,10 @@ def op12_collocations(spark, sf_dir):
     return collocations.mine(table(spark, sf_dir, "documents"))
 
 
+def op13_centroid_clustering(spark, sf_dir):
+    return centroid_clustering.report(*centroid_clustering.cluster(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -135,5 +140,6 @@ QUERIES = {
         op10_quality_classifier,
         op11_chat_format,
         op12_collocations,
+        op13_centroid_clustering,
     )
 }
