@@ -63,6 +63,8 @@ GATHERED = 1_000_000
 # Words of text per bucket of phrase counts.
 BUCKET_WORDS = 2_000_000
 SLICE = 1 << 22
+# Shares of a language's phrases that are ranked by themselves first.
+SHARES = 8
 
 HASH_BITS = 63
 UNKNOWN = "und"
@@ -502,8 +504,12 @@ def mine(
         levels.append(level_of(tables[-1], columns, levels, head, filter_bits))
         tables.append(written(count_phrases(docs, levels, seed, hash_bits, buckets, least, block)))
     found = reduce(DataFrame.unionByName, [_scored(tables, size, cover_percent) for size in range(2, longest + 1)])
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = found.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # First within a share of a language's phrases, so that its last ranking sees ``SHARES * top`` of them at most.
+    share = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SHARES))).orderBy(*order)
+    best = found.withColumn("rank", F.row_number().over(share)).filter(F.col("rank") <= top)
+    whole = Window.partitionBy("lang").orderBy(*order)
+    ranked = best.withColumn("rank", F.row_number().over(whole).cast("long")).filter(F.col("rank") <= top)
     return ranked.join(totals.withColumnRenamed("n_lang", "n"), "lang").select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score"
     )
