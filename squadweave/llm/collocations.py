@@ -57,12 +57,12 @@ HEAD = 1 << 20
 # Bits of the filter for those that have none, a power of two.
 FILTER_BITS = 1 << 26
 # Neighbours counted at once in a task.
-BLOCK = 3_000_000
+BLOCK = 1_500_000
 # Distinct words gathered in a task before they are passed on.
-GATHERED = 1_000_000
+GATHERED = 500_000
 # Words of text per bucket of phrase counts.
 BUCKET_WORDS = 2_000_000
-SLICE = 1 << 22
+SLICE = 1 << 21
 # Shares of a language's phrases that are ranked by themselves first.
 SHARES = 8
 
