@@ -15,28 +15,47 @@ from pyspark.sql import functions as F
 
 from squadweave.functions.similarity import matches, pair_scores
 from squadweave.functions.text import normalize_name, sort_tokens
-from squadweave.session import bucket, cut_lineage, single_value
+from squadweave.operators.candidates import SHARE, partial_candidates, whole_candidates
+from squadweave.session import bind, bucket, cut_lineage, single_value
 from squadweave.sources.tables import present
 
-# Substring lengths used as join keys. A string uses the largest that fits it,
+# Lengths of the runs that give join keys. A string uses the largest that fits it,
 # so that long strings meet on long, rare keys.
 LEVELS = (1, 2, 3, 6, 12, 24, 48, 96)
 
-# A substring is hot when it holds more than this share of all substring rows;
-# there can be at most ``1 / HOT_SHARE`` hot ones.
+# A key is hot when it holds more than this share of all key rows; there can be
+# at most ``1 / HOT_SHARE`` hot ones.
 HOT_SHARE = 0.001
 
 # Names per side of a scoring cell.
 CELL = 1024
 
+# From this cutoff on, what two matching strings must share is longer than a character on average.
+INDEXED = 75.0
+
+# So few pairs are scored in less time than keys are made: a quarter of a cell.
+FEW_PAIRS = CELL * CELL // 4
+
 
 def _level(text: Column) -> Column:
     return F.greatest(*[F.when(F.length(text) >= level, F.lit(level)) for level in LEVELS])
 
 
-def _substrings(text: Column, size: Column) -> Column:
+def _minimizers(text: Column, level: int) -> Column:
+    """Distinct keys of ``text``: of every run of ``level`` characters the least hash of its substrings of one size.
+
+    A run of ``level`` characters has ``level // 3 + 1`` substrings of the size
+    taken, so two of ``level // 3 + 2`` substrings become keys. A text that
+    lies in another shares all its runs with it, and so all its keys.
+    """
+    window = level // 3 + 1
+    size = level + 1 - window
     starts = F.sequence(F.lit(1), F.length(text) - size + 1)
-    return F.array_distinct(F.transform(starts, lambda start: F.substr(text, start, size)))
+    hashes = F.transform(starts, lambda start: F.xxhash64(F.lit(level), F.substr(text, start, F.lit(size))))
+    if window == 1:
+        return F.array_distinct(hashes)
+    least = lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - window + 1), lambda at: F.array_min(F.slice(h, at, window)))
+    return F.array_distinct(bind(hashes, least))
 
 
 def contained_pairs(shorts: DataFrame, longs: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
@@ -44,28 +63,31 @@ def contained_pairs(shorts: DataFrame, longs: DataFrame, hot_share: float = HOT_
 
     The first column of both inputs holds distinct, non-empty texts; further
     columns go along, so that no later join has a popular text as its key. A
-    short text looks for its rarest substring among those of the long texts;
-    no pair is lost, as a long text holds every substring of a text it
-    contains. Hot substrings are split: their long texts over salts, their
-    short texts copied to each salt.
+    short text looks for its rarest key among those of the long texts, at the
+    greatest level that fits it; one that lacks any of its keys there lies in
+    none. Hot keys are split: their long texts over salts, their short texts
+    copied to each salt.
     """
     with_short, with_long = shorts.columns[1:], longs.columns[1:]
     shorts = shorts.toDF("short", *with_short).withColumn("size", _level(F.col("short")))
-    short_keys = shorts.select("short", *with_short, F.explode(_substrings(F.col("short"), F.col("size"))).alias("key"))
+    keys_of = lambda text: F.coalesce(*[F.when(F.col("size") == level, _minimizers(F.col(text), level)) for level in LEVELS])
+    short_keys = shorts.select("short", *with_short, F.explode(keys_of("short")).alias("key"))
     sizes = single_value(shorts, F.collect_set("size"))
-    long_keys = (
+    long_keys = cut_lineage(
         longs.toDF("long", *with_long)
         .withColumn("size", F.explode(F.array_intersect(F.array(*map(F.lit, LEVELS)), sizes)))
         .filter(F.col("size") <= F.length("long"))
-        .select("long", *with_long, F.explode(_substrings(F.col("long"), F.col("size"))).alias("key"))
+        .select("long", *with_long, F.explode(keys_of("long")).alias("key"))
     )
     frequency = long_keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    keys = single_value(long_keys, F.count(F.lit(1)))
+    keys = single_value(frequency, F.sum("n"))
     hot = frequency.select("key", F.ceil(F.col("n") / (keys * hot_share)).cast("int").alias("salts")).filter("salts > 1")
     rarest = (
-        short_keys.join(frequency, "key")
+        short_keys.join(frequency, "key", "left")
         .groupBy("short", *with_short)
-        .agg(F.min_by("key", F.struct("n", "key")).alias("key"))
+        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key")).alias("rarest"))
+        .filter(F.col("rarest.n") > 0)
+        .select("short", *with_short, "rarest.key")
         .join(F.broadcast(hot), "key", "left")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
         .select("short", *with_short, "key", "salt")
@@ -117,11 +139,50 @@ def _in_cells(rows: DataFrame, own: str, others: DataFrame, other: str, near: tu
     )
 
 
-def fuzzy_pairs(names: DataFrame, canon: DataFrame, scorer: str, cutoff: float, best: bool = False) -> DataFrame:
+def fuzzy_pairs(
+    names: DataFrame, canon: DataFrame, scorer: str, cutoff: float, best: bool = False, share: float = SHARE
+) -> DataFrame:
     """Pairs ``(name, canon, seq, score)`` that score at least ``cutoff``.
 
     ``names`` has the column ``name``, ``canon`` the columns ``canon`` and
-    ``seq``; both are distinct. Each side is hashed into buckets of about
+    ``seq``; both are distinct. From a cutoff of ``INDEXED`` on, strings meet
+    through join keys that no pair at the cutoff can lack; below it, pairs need
+    share no more than single characters. Strings whose keys do not tell them
+    apart, and all below that cutoff, are scored in cells. ``share`` is how much
+    of the other side a string's keys may meet. With ``best`` cells return their
+    best pairs only.
+    """
+    names, canon = names.select("name"), canon.select("canon", "seq")
+    if not INDEXED <= cutoff < 100 or scorer not in ("ratio", "partial"):
+        return _cell_pairs(names, canon, scorer, cutoff, best)
+    names, canon = cut_lineage(names), cut_lineage(canon)
+    if names.count() * canon.count() <= FEW_PAIRS:
+        return _cell_pairs(names, canon, scorer, cutoff, best)
+    if scorer == "ratio":
+        pairs, up = whole_candidates(names, canon, cutoff, share)
+        return _scored(pairs, scorer, cutoff).unionByName(_cell_pairs(cut_lineage(up), canon, scorer, cutoff, best))
+    short, names_up = partial_candidates(names, canon, cutoff, share=share)
+    long, canon_up = partial_candidates(canon, names, cutoff, longer=True, share=share)
+    names_up = cut_lineage(names_up)
+    rest = cut_lineage(names.join(names_up, "name", "left_anti"))
+    needles = cut_lineage(canon.join(canon_up, "canon", "left_semi"))
+    return (
+        _scored(short.unionByName(long.select(short.columns)), scorer, cutoff)
+        .unionByName(_cell_pairs(names_up, canon, scorer, cutoff, best))
+        .unionByName(_cell_pairs(rest, needles, scorer, cutoff, best))
+        .dropDuplicates(["name", "canon"])
+    )
+
+
+def _scored(pairs: DataFrame, scorer: str, cutoff: float) -> DataFrame:
+    scored = pairs.withColumn("score", pair_score(F.col("name"), F.col("canon"), scorer))
+    return scored.filter(F.col("score") >= cutoff)
+
+
+def _cell_pairs(names: DataFrame, canon: DataFrame, scorer: str, cutoff: float, best: bool) -> DataFrame:
+    """All pairs in cells.
+
+    Each side is hashed into buckets of about
     ``CELL`` rows of one length band, and two buckets of bands that can match
     are one cell. Work and memory per cell are bounded and even whatever the
     names look like. With ``best`` a cell returns one row per name: top score,

@@ -580,6 +580,86 @@ def canonicalize_fuzzy(t: Tables) -> DataFrame:
     return found.select("name", "canon", F.round("score", 6).alias("score"))
 
 
+# Names whose number grows with the tables: the first words of documents.
+_BLANK, _WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+
+
+def _opening(words: int) -> tuple[str, list[int]]:
+    """A pattern for the first words of a text, and the groups that hold them."""
+    return f"^{_BLANK}*({_WORD}+)" + f"{_BLANK}+({_WORD}+)" * (words - 1), list(range(1, words + 1))
+
+
+def _openings(t: Tables, words: int) -> DataFrame:
+    pattern, groups = _opening(words)
+    name = F.concat_ws(" ", *[F.regexp_extract("text", pattern, group) for group in groups])
+    return t("documents").filter(F.rlike("text", F.lit(pattern))).groupBy(name.alias("name")).agg(F.min("doc_id").alias("seq"))
+
+
+def _openings_sql(words: int) -> str:
+    pattern, groups = _opening(words)
+    name = " || ' ' || ".join(f"regexp_extract(text, '{pattern}', {group})" for group in groups)
+    return f"SELECT {name} AS name, min(doc_id) AS seq FROM documents WHERE regexp_matches(text, '{pattern}') GROUP BY ALL"
+
+
+# How many characters two names have in common in any order, for pairs that have some.
+_COMMON = """
+chars AS (SELECT side, name, c, row_number() OVER (PARTITION BY side, name, c) AS nth FROM sided, unnest(string_split(name, '')) AS t(c)),
+met AS (SELECT x.name AS a, y.name AS b, count(*) AS n FROM chars AS x JOIN chars AS y USING (c, nth) WHERE x.side = 1 AND y.side = 2 GROUP BY ALL)
+"""
+
+
+@query(f"""
+WITH RECURSIVE names AS ({_openings_sql(3)}),
+sided AS (SELECT 1 AS side, name FROM names UNION ALL SELECT 2, name FROM names),
+{_COMMON},
+pairs AS (SELECT a, b FROM met WHERE 200 * n >= 80 * (len(a) + len(b))),
+{_LCS}
+SELECT a AS name, b AS canon, score FROM scored WHERE score >= 80
+""")
+def similar_openings(t: Tables) -> DataFrame:
+    """Whole-string scores through the segment index."""
+    names = _openings(t, 3)
+    found = resolve.fuzzy_pairs(names.select("name"), names.select(F.col("name").alias("canon"), "seq"), "ratio", 80.0)
+    return found.select("name", "canon", F.round("score", 6).alias("score"))
+
+
+@query(f"""
+WITH RECURSIVE canon AS ({_openings_sql(3)}),
+names AS (SELECT DISTINCT name[1:3] || 'x' || name[4:] AS name FROM ({_openings_sql(2)})),
+sided AS (SELECT 1 AS side, name FROM names UNION ALL SELECT 2, name FROM canon),
+{_COMMON},
+near AS (SELECT a AS name, b AS canon FROM met WHERE (200 - 85) * n >= 85 * least(len(a), len(b))),
+sides AS (
+  SELECT name, canon, name AS needle, canon AS text FROM near WHERE len(name) <= len(canon)
+  UNION ALL
+  SELECT name, canon, canon, name FROM near WHERE len(canon) <= len(name)),
+windows AS (
+  SELECT name, canon, needle AS a, text[s:s + len(needle) - 1] AS b FROM sides, unnest(range(1, len(text) + 1)) AS t(s)
+  UNION
+  SELECT name, canon, needle, text[1:e] FROM sides, unnest(range(1, len(needle))) AS t(e)),
+pairs AS (SELECT DISTINCT a, b FROM windows),
+{_LCS},
+best AS (SELECT name, canon, max(score) AS score FROM windows JOIN scored USING (a, b) WHERE score >= 85 GROUP BY name, canon),
+hits AS (
+  SELECT best.name, canon, score, row_number() OVER (PARTITION BY best.name ORDER BY score DESC, seq) AS rn
+  FROM best JOIN canon ON canon.name = best.canon)
+SELECT name, coalesce(canon, name) AS canon, score FROM names LEFT JOIN (FROM hits WHERE rn = 1) USING (name)
+""")
+def canonicalize_openings(t: Tables) -> DataFrame:
+    """Two words with a letter put in against three words, partially, through the inverted index."""
+    typed = _openings(t, 2).select(F.concat(F.substring("name", 1, 3), F.lit("x"), F.expr("substring(name, 4)")).alias("typed"))
+    found = resolve.canonicalize(typed, "typed", _openings(t, 3), "name", "seq", cutoff=85.0)
+    return found.select("name", "canon", F.round("score", 6).alias("score"))
+
+
+@query(f"""
+WITH shorts AS ({_openings_sql(2)}), longs AS ({_openings_sql(3)})
+SELECT shorts.name AS short, longs.name AS long FROM shorts, longs WHERE contains(longs.name, shorts.name)
+""")
+def contained_openings(t: Tables) -> DataFrame:
+    return resolve.contained_pairs(_openings(t, 2).select("name"), _openings(t, 3).select("name"))
+
+
 @query("""
 SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ' | ' ORDER BY o_orderpriority) AS o_orderpriority FROM orders GROUP BY o_custkey
 """)

@@ -82,6 +82,11 @@ def single_value(df: DataFrame, value: Column) -> Column:
     return df.agg(value.alias("v")).scalar()
 
 
+def bind(value: Column, use) -> Column:
+    """``use`` of ``value``, which is worked out once however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def buckets_of(df: DataFrame, bucket_rows: int) -> Column:
     """How many buckets of about ``bucket_rows`` rows ``df`` needs, at least one."""
     return F.greatest(F.lit(1), single_value(df, F.ceil(F.count(F.lit(1)) / bucket_rows).cast("int")))

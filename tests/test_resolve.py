@@ -102,6 +102,22 @@ def test_contained_pairs_equal_a_nested_loop(spark, seed, hot_share):
     assert {(r.short, r.long) for r in got} == {(s, l) for s in shorts for l in set(longs) if s in l}
 
 
+def test_a_long_text_has_few_keys_and_all_of_what_it_holds(spark):
+    """Of 3 * w - 2 and more characters about two of w + 1 substrings are keys, and a part's keys are among the whole's."""
+    rng = random.Random(8)
+    longs = ["".join(rng.choice("abcdefghijklmnop") for _ in range(400)) for _ in range(20)]
+    rows = [(level, long, long[at : at + level + 9]) for long in longs for level in resolve.LEVELS for at in (0, 57, 201)]
+    frame = spark.createDataFrame(rows, "level int, long string, short string")
+    for level in resolve.LEVELS:
+        found = frame.filter(F.col("level") == level).select(
+            resolve._minimizers(F.col("long"), level).alias("long"), resolve._minimizers(F.col("short"), level).alias("short")
+        ).collect()
+        window = level // 3 + 1
+        assert all(set(row["short"]) <= set(row["long"]) for row in found)
+        if level >= 6:
+            assert sum(len(row["long"]) for row in found) < len(found) * 400 * 2 / (window + 1) * 1.1
+
+
 def test_one_substring_in_a_third_of_all_names(spark):
     rng = random.Random(5)
     longs = sorted({f"{'St. ' if at % 3 == 0 else ''}{''.join(rng.choice('xyz') for _ in range(9))}" for at in range(3000)})
