@@ -43,15 +43,29 @@ def _masks(text: Column) -> Column:
     return bind(bind(F.split(text, ""), bits_of), lambda bits: F.array(half(bits, 0), half(bits, 64)))
 
 
-def with_masks(df: DataFrame, text: str, prefix: str) -> DataFrame:
-    return df.withColumn(f"{prefix}_mask", _masks(F.col(text)))
+def numbered(texts: DataFrame, side: str) -> DataFrame:
+    """A written table of texts with what rows of keys carry: a number, the length and the bits of each, named after ``side``."""
+    text = F.col(texts.columns[0])
+    mask = texts.withColumns({f"{side}_size": F.length(text), "_mask": _masks(text)})
+    halves = {f"{side}_low": F.col("_mask")[0], f"{side}_high": F.col("_mask")[1]}
+    return cut_lineage(mask.withColumns(halves).drop("_mask").withColumn(f"{side}_id", F.monotonically_increasing_id()))
 
 
-def _in_common(length: Column, own: str, other: str) -> Column:
+def _carried(side: str) -> list[str]:
+    return [f"{side}_{name}" for name in ("id", "size", "low", "high")]
+
+
+def _in_common(own: str, other: str) -> Column:
     """At most so many characters does a text share with another: each of its bits the other lacks is one character lost."""
-    own_half, other_half = (lambda half: F.col(f"{own}_mask")[half]), (lambda half: F.col(f"{other}_mask")[half])
-    lost = [F.bit_count(own_half(half).bitwiseAND(F.bitwise_not(other_half(half)))) for half in (0, 1)]
-    return length - lost[0] - lost[1]
+    lost = [F.bit_count(F.col(f"{own}_{half}").bitwiseAND(F.bitwise_not(f"{other}_{half}"))) for half in ("low", "high")]
+    return F.col(f"{own}_size") - lost[0] - lost[1]
+
+
+def _meet(met: DataFrame, index: DataFrame, can: Column, needles: DataFrame, texts: DataFrame) -> DataFrame:
+    """Texts of the distinct pairs that share a key and can match by the characters they have in common."""
+    found = met.join(index, "key").filter(can).select("needle_id", "text_id").distinct()
+    plain = lambda df, side: df.drop(*[name for name in _carried(side) if name != f"{side}_id"])
+    return found.join(plain(needles, "needle"), "needle_id").join(plain(texts, "text"), "text_id").drop("needle_id", "text_id")
 
 
 def edits(a: Column, b: Column, cutoff: float) -> Column:
@@ -85,53 +99,47 @@ def whole_candidates(names: DataFrame, texts: DataFrame, cutoff: float, share: f
     if cutoff <= 200 / 3:
         raise ValueError("segments need a cutoff above 200 / 3")
     factor = (200 - cutoff) / cutoff
-    a, b = F.length("name"), F.length("canon")
+    names, texts = numbered(names, "needle"), numbered(texts, "text")
+    a, b, k, j, shift = (F.col(name) for name in ("needle_size", "text_size", "k", "j", "shift"))
     of_names, of_texts = single_value(names, F.collect_set(a)), single_value(texts, F.collect_set(b))
     near = lambda one, other: (other <= one * factor + EPSILON) & (one <= other * factor + EPSILON)
     can = lambda one, other: near(one, other) & (edits(one, other, cutoff) >= F.abs(one - other))
     many = single_value(texts, F.count(F.lit(1)))
 
     ks = F.array_distinct(F.transform(F.filter("of_names", lambda x: can(x, b)), lambda x: edits(x, b, cutoff)))
-    k, j = F.col("k"), F.col("j")
-    index = (
-        with_masks(texts.select("canon", "seq"), "canon", "canon")
-        .withColumn("of_names", of_names)
+    index = cut_lineage(
+        texts.withColumn("of_names", of_names)
         .withColumn("k", F.explode(ks))
         .withColumn("j", F.explode(F.sequence(F.lit(0), k)))
         .withColumn("start", _segment(b, k, j))
         .withColumn("content", F.substr("canon", F.col("start") + 1, _segment(b, k, j + 1) - F.col("start")))
-        .select(_key(b, k, j, F.col("content")).alias("key"), "canon", "seq", "canon_mask")
+        .select(_key(b, k, j, F.col("content")).alias("key"), *_carried("text"))
     )
-    index = cut_lineage(index)
 
     lengths = F.filter("of_texts", lambda x: can(a, x))
     keys = F.aggregate("lengths", F.lit(0.0), lambda n, x: n + (edits(a, x, cutoff) + 2) * (edits(a, x, cutoff) + 2) / 4.0)
     sized = names.withColumn("of_texts", of_texts).withColumn("lengths", lengths).withColumn("keys", keys)
     own = F.col("keys") <= many * share * 4
-    small = sized.filter(own)
-    text, shift = F.col("b"), F.col("shift")
+    text = F.col("length")
     probes = (
-        small.select("name", F.explode("lengths").alias("b"))
+        sized.filter(own)
+        .select("name", *_carried("needle"), F.explode("lengths").alias("length"))
         .withColumn("k", edits(a, text, cutoff))
         .withColumn("j", F.explode(F.sequence(F.lit(0), k)))
         .withColumn("shift", F.explode(F.sequence(-j, j, F.lit(2))))
         .filter(F.abs(a - text - shift) <= k - j)
         .withColumn("start", _segment(text, k, j))
-        .withColumn("size", _segment(text, k, j + 1) - F.col("start"))
-        .filter((F.col("start") + shift >= 0) & (F.col("start") + shift + F.col("size") <= a))
-        .select("name", _key(text, k, j, F.substr("name", F.col("start") + shift + 1, F.col("size"))).alias("key"))
-        .distinct()
+        .withColumn("part", _segment(text, k, j + 1) - F.col("start"))
+        .filter((F.col("start") + shift >= 0) & (F.col("start") + shift + F.col("part") <= a))
+        .select(_key(text, k, j, F.substr("name", F.col("start") + shift + 1, F.col("part"))).alias("key"), *_carried("needle"))
     )
     met = cut_lineage(probes.join(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key"))
-    dear = met.groupBy("name").agg(F.sum("n").alias("n")).filter(F.col("n") > many * share).select("name")
-    pairs = (
-        with_masks(met.join(dear, "name", "left_anti").select("name", "key"), "name", "name")
-        .join(index, "key")
-        .filter(2 * F.least(_in_common(a, "name", "canon"), _in_common(b, "canon", "name")) >= (a + b) * (cutoff / 100) - EPSILON)
-        .select("name", "canon", "seq")
-        .distinct()
-    )
-    return pairs, dear.unionByName(sized.filter(~own).select("name"))
+    dear = met.groupBy("needle_id").agg(F.sum("n").alias("n")).filter(F.col("n") > many * share).select("needle_id")
+    common = F.least(_in_common("needle", "text"), _in_common("text", "needle"))
+    cheap = met.drop("n").join(dear, "needle_id", "left_anti")
+    pairs = _meet(cheap, index, 2 * common >= (a + b) * (cutoff / 100) - EPSILON, names, texts)
+    up = sized.filter(~own).select("name").unionByName(names.join(dear, "needle_id", "left_semi").select("name"))
+    return pairs.select("name", "canon", "seq"), up
 
 
 def _shared(m: Column, q: int, cutoff: float) -> Column:
@@ -166,40 +174,36 @@ def partial_candidates(
 
     The first columns of both hold distinct texts; further ones go along.
     """
+    columns = [*needles.columns, *texts.columns]
     needle, text = needles.columns[0], texts.columns[0]
-    m, many = F.length(needle), single_value(texts, F.count(F.lit(1)))
+    needles, texts = numbered(needles, "needle"), numbered(texts, "text")
+    m, many = F.col("needle_size"), single_value(texts, F.count(F.lit(1)))
     q = F.coalesce(*[F.when(_shared(m, size, cutoff) >= 1, F.lit(size)) for size in GRAMS])
     shared = F.coalesce(*[F.when(q == size, _shared(m, size, cutoff)) for size in GRAMS])
-    sized = needles.select("*", q.alias("q"), (m - q + 1 - shared + 1).alias("keep"))
+    sized = needles.withColumns({"q": q, "keep": m - q + 1 - shared + 1})
     keyed = sized.filter(F.col("q").isNotNull()).withColumn("keys", _grams(F.col(needle), F.col("q")))
     enough = F.coalesce(F.col("keep") <= F.size("keys"), F.lit(False))
     up = sized.filter(F.col("q").isNull()).select(needle).unionByName(keyed.filter(~enough).select(needle))
 
-    sizes = single_value(sized, F.collect_set("q"))
     index = cut_lineage(
-        with_masks(texts, text, "text")
-        .withColumn("q", F.explode(sizes))
+        texts.withColumn("q", F.explode(single_value(sized, F.collect_set("q"))))
         .withColumn("key", F.explode(_grams(F.col(text), F.col("q"))))
-        .drop("q")
+        .select("key", *_carried("text"))
     )
     frequency = index.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    rarest = Window.partitionBy(needle).orderBy("n", "key")
+    rarest = Window.partitionBy("needle_id").orderBy("n", "key")
     met = cut_lineage(
         keyed.filter(enough)
-        .select(*needles.columns, "keep", F.explode("keys").alias("key"))
+        .select(*_carried("needle"), "keep", F.explode("keys").alias("key"))
         .join(frequency, "key", "left")
         .withColumn("n", F.coalesce("n", F.lit(0)))
         .withColumn("place", F.row_number().over(rarest))
         .filter((F.col("place") <= F.col("keep")) & (F.col("n") > 0))
-        .select(*needles.columns, "key", "n")
-    )
-    dear = met.groupBy(needle).agg(F.sum("n").alias("n")).filter(F.col("n") > many * share).select(needle)
-    common, room = _in_common(m, "needle", "text"), F.length(text) - m
-    pairs = (
-        with_masks(met.join(dear, needle, "left_anti").drop("n"), needle, "needle")
-        .join(index, "key")
-        .filter((room > 0 if longer else room >= 0) & (common * (200 - cutoff) >= m * cutoff - EPSILON))
-        .select(*needles.columns, *texts.columns)
-        .distinct()
+        .select("key", "n", *_carried("needle"))
     )
-    return pairs, up.unionByName(dear)
+    dear = met.groupBy("needle_id").agg(F.sum("n").alias("n")).filter(F.col("n") > many * share).select("needle_id")
+    cheap = met.drop("n").join(dear, "needle_id", "left_anti")
+    room = F.col("text_size") - m
+    can = (room > 0 if longer else room >= 0) & (_in_common("needle", "text") * (200 - cutoff) >= m * cutoff - EPSILON)
+    pairs = _meet(cheap, index, can, needles, texts).select(columns)
+    return pairs, up.unionByName(needles.join(dear, "needle_id", "left_semi").select(needle))

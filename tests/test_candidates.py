@@ -79,10 +79,14 @@ def test_bounds_hold_on_random_strings(spark):
     """No pair shares more characters than the masks allow, nor fewer substrings than a match must."""
     rng = random.Random(4)
     left = words(rng, 40, "abcdefgh ", 30)
-    rows = spark.createDataFrame([(a, mistyped(rng, a, "abcdefgh ", 8)) for a in left], "a string, b string")
-    masked = candidates.with_masks(candidates.with_masks(rows, "a", "a"), "b", "b")
-    for row in masked.select("a", "b", candidates._in_common(F.length("a"), "a", "b").alias("most")).collect():
-        assert plain_lcs(row["a"], row["b"]) <= row["most"]
+    pairs = [(k, a, mistyped(rng, a, "abcdefgh ", 8)) for k, a in enumerate(left)]
+    first, second = (
+        candidates.numbered(spark.createDataFrame([(p[side], p[0]) for p in pairs], "t string, k long"), name).drop(f"{name}_id")
+        for side, name in ((1, "a"), (2, "b"))
+    )
+    both = first.withColumnRenamed("t", "x").join(second, "k")
+    for row in both.select("x", "t", candidates._in_common("a", "b").alias("most")).collect():
+        assert plain_lcs(row["x"], row["t"]) <= row["most"]
 
 
 @pytest.mark.parametrize("scorer", ["ratio", "partial"])
