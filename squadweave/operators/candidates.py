@@ -18,7 +18,8 @@ from pyspark.sql.window import Window
 
 from squadweave.session import bind, cut_lineage, single_value
 
-# A string whose keys meet more than this share of all texts is compared with all of them instead.
+# A needle whose keys meet more than this share of all texts is compared with all of them instead, and so is a
+# name with a key that more than 1/500 of this share of all rows of keys have.
 SHARE = 0.25
 # Sizes of substrings that a needle is looked up by.
 GRAMS = (6, 5, 4, 3, 2)
@@ -26,39 +27,39 @@ GRAMS = (6, 5, 4, 3, 2)
 EPSILON = 1e-9
 
 
-def _masks(text: Column) -> Column:
-    """128 bits as two numbers, one bit hashed from each character and how many like it came before."""
-    times = lambda chars, char: F.sequence(F.lit(1), F.size(F.filter(chars, lambda other: other == char)))
-    bit = lambda char, time: F.pmod(F.xxhash64(char, time), F.lit(128)).cast("int")
-    bits_of = lambda chars: F.flatten(
-        F.transform(F.array_distinct(chars), lambda char: F.transform(times(chars, char), lambda time: bit(char, time)))
+def _bits(parts: Column) -> Column:
+    """64 bits, one hashed from each part of a text and how many like it came before."""
+    times = lambda parts, part: F.sequence(F.lit(1), F.size(F.filter(parts, lambda other: other == part)))
+    bit = lambda part, time: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(part, time), F.lit(64)).cast("int"))
+    bits_of = lambda parts: F.flatten(
+        F.transform(F.array_distinct(parts), lambda part: F.transform(times(parts, part), lambda time: bit(part, time)))
     )
-    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    # A shift by 64 and more would wrap around, so each number takes its own half.
-    half = lambda bits, least: F.aggregate(
-        F.filter(bits, lambda bit: (bit >= least) & (bit < least + 64)),
-        none,
-        lambda mask, bit: mask.bitwiseOR(F.call_function("shiftleft", one, bit - least)),
-    )
-    return bind(bind(F.split(text, ""), bits_of), lambda bits: F.array(half(bits, 0), half(bits, 64)))
+    return F.aggregate(bind(parts, bits_of), F.lit(0).cast("long"), lambda mask, bit: mask.bitwiseOR(bit))
+
+
+def _pairs_of_characters(text: Column) -> Column:
+    starts = F.when(F.length(text) > 1, F.sequence(F.lit(1), F.length(text) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda start: F.substr(text, start, F.lit(2)))
 
 
 def numbered(texts: DataFrame, side: str) -> DataFrame:
     """A written table of texts with what rows of keys carry: a number, the length and the bits of each, named after ``side``."""
     text = F.col(texts.columns[0])
-    mask = texts.withColumns({f"{side}_size": F.length(text), "_mask": _masks(text)})
-    halves = {f"{side}_low": F.col("_mask")[0], f"{side}_high": F.col("_mask")[1]}
-    return cut_lineage(mask.withColumns(halves).drop("_mask").withColumn(f"{side}_id", F.monotonically_increasing_id()))
+    bits = {f"{side}_ones": _bits(F.split(text, "")), f"{side}_twos": _bits(_pairs_of_characters(text))}
+    return cut_lineage(texts.withColumns({f"{side}_size": F.length(text), f"{side}_id": F.monotonically_increasing_id()} | bits))
 
 
 def _carried(side: str) -> list[str]:
-    return [f"{side}_{name}" for name in ("id", "size", "low", "high")]
+    return [f"{side}_{name}" for name in ("id", "size", "ones", "twos")]
+
 
+def _in_common(own: str, other: str, parts: str) -> Column:
+    """At most so many characters, or pairs of neighbours, does a text share with another.
 
-def _in_common(own: str, other: str) -> Column:
-    """At most so many characters does a text share with another: each of its bits the other lacks is one character lost."""
-    lost = [F.bit_count(F.col(f"{own}_{half}").bitwiseAND(F.bitwise_not(f"{other}_{half}"))) for half in ("low", "high")]
-    return F.col(f"{own}_size") - lost[0] - lost[1]
+    Each of its bits that the other lacks is one lost.
+    """
+    lost = F.bit_count(F.col(f"{own}_{parts}").bitwiseAND(F.bitwise_not(f"{other}_{parts}")))
+    return F.col(f"{own}_size") - (1 if parts == "twos" else 0) - lost
 
 
 def _meet(met: DataFrame, index: DataFrame, can: Column, needles: DataFrame, texts: DataFrame) -> DataFrame:
@@ -121,9 +122,8 @@ def whole_candidates(names: DataFrame, texts: DataFrame, cutoff: float, share: f
     sized = names.withColumn("of_texts", of_texts).withColumn("lengths", lengths).withColumn("keys", keys)
     own = F.col("keys") <= many * share * 4
     text = F.col("length")
-    probes = (
-        sized.filter(own)
-        .select("name", *_carried("needle"), F.explode("lengths").alias("length"))
+    probes = lambda some: (
+        some.select("name", *_carried("needle"), F.explode("lengths").alias("length"))
         .withColumn("k", edits(a, text, cutoff))
         .withColumn("j", F.explode(F.sequence(F.lit(0), k)))
         .withColumn("shift", F.explode(F.sequence(-j, j, F.lit(2))))
@@ -133,11 +133,18 @@ def whole_candidates(names: DataFrame, texts: DataFrame, cutoff: float, share: f
         .filter((F.col("start") + shift >= 0) & (F.col("start") + shift + F.col("part") <= a))
         .select(_key(text, k, j, F.substr("name", F.col("start") + shift + 1, F.col("part"))).alias("key"), *_carried("needle"))
     )
-    met = cut_lineage(probes.join(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key"))
-    dear = met.groupBy("needle_id").agg(F.sum("n").alias("n")).filter(F.col("n") > many * share).select("needle_id")
-    common = F.least(_in_common("needle", "text"), _in_common("text", "needle"))
-    cheap = met.drop("n").join(dear, "needle_id", "left_anti")
-    pairs = _meet(cheap, index, 2 * common >= (a + b) * (cutoff / 100) - EPSILON, names, texts)
+    # At most ``500 / share`` keys are that frequent.
+    rows = single_value(index, F.count(F.lit(1)))
+    hot = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows * (share / 500)).select("key")
+    dear = cut_lineage(probes(sized.filter(own)).join(F.broadcast(hot), "key", "left_semi").select("needle_id").distinct())
+    most = edits(a, b, cutoff)
+    shared = ((a + b - most) / 2).cast("int")
+    enough = [
+        F.least(_in_common("needle", "text", parts), _in_common("text", "needle", parts)) for parts in ("ones", "twos")
+    ]
+    can = (enough[0] >= shared) & (enough[1] >= shared - most - 1)
+    cheap = probes(sized.filter(own).join(dear, "needle_id", "left_anti"))
+    pairs = _meet(cheap, index, can, names, texts)
     up = sized.filter(~own).select("name").unionByName(names.join(dear, "needle_id", "left_semi").select("name"))
     return pairs.select("name", "canon", "seq"), up
 
@@ -204,6 +211,10 @@ def partial_candidates(
     dear = met.groupBy("needle_id").agg(F.sum("n").alias("n")).filter(F.col("n") > many * share).select("needle_id")
     cheap = met.drop("n").join(dear, "needle_id", "left_anti")
     room = F.col("text_size") - m
-    can = (room > 0 if longer else room >= 0) & (_in_common("needle", "text") * (200 - cutoff) >= m * cutoff - EPSILON)
+    can = (
+        (room > 0 if longer else room >= 0)
+        & (_in_common("needle", "text", "ones") * (200 - cutoff) >= m * cutoff - EPSILON)
+        & (_in_common("needle", "text", "twos") >= _shared(m, 2, cutoff))
+    )
     pairs = _meet(cheap, index, can, needles, texts).select(columns)
     return pairs, up.unionByName(needles.join(dear, "needle_id", "left_semi").select(needle))

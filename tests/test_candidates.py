@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,8 +86,11 @@ def test_bounds_hold_on_random_strings(spark):
         for side, name in ((1, "a"), (2, "b"))
     )
     both = first.withColumnRenamed("t", "x").join(second, "k")
-    for row in both.select("x", "t", candidates._in_common("a", "b").alias("most")).collect():
-        assert plain_lcs(row["x"], row["t"]) <= row["most"]
+    ones, twos = (candidates._in_common("a", "b", parts).alias(parts) for parts in ("ones", "twos"))
+    for row in both.select("x", "t", ones, twos).collect():
+        assert plain_lcs(row["x"], row["t"]) <= row["ones"]
+        pairs_of = lambda text: Counter(text[k : k + 2] for k in range(len(text) - 1))
+        assert (pairs_of(row["x"]) & pairs_of(row["t"])).total() <= row["twos"]
 
 
 @pytest.mark.parametrize("scorer", ["ratio", "partial"])
