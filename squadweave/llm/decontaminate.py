@@ -40,9 +40,9 @@ HITS = "array<int>"
 
 
 class Automaton:
-    """A generalised suffix automaton over word hashes, with the items of each window."""
+    """A generalised suffix automaton over word hashes, with the items of each window; items are named by anything hashable."""
 
-    def __init__(self, items: list[tuple[str, np.ndarray]], window: int):
+    def __init__(self, items: list[tuple[int, np.ndarray]], window: int):
         self.window = window
         words = [hashes for _, hashes in items]
         self.vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
@@ -185,13 +185,18 @@ def item_words(text: str | None) -> np.ndarray:
 
 
 def automata(items: DataFrame, item_col: str, text_col: str, window: int, shard_bytes: int):
-    """One automaton after the other, each over the items of one shard, so that the driver holds one at a time."""
-    texts = items.select(F.col(item_col).cast("string").alias("name"), F.col(text_col).cast("string").alias("text"))
+    """One automaton after the other and the names of its texts, each over one shard, so that the driver holds one at a time.
+
+    Equal texts are one, with all their names; null is not among these.
+    """
+    named = items.select(F.col(item_col).cast("string").alias("name"), F.col(text_col).cast("string").alias("text"))
+    texts = named.groupBy("text").agg(F.collect_set("name").alias("names"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     for k in range(shards):
         mine = texts.filter(F.pmod(F.xxhash64("text"), F.lit(shards)) == k) if shards > 1 else texts
-        yield Automaton([(r.name, item_words(r.text)) for r in mine.collect() if r.name is not None], window)
+        rows = mine.collect()
+        yield Automaton([(k, item_words(r.text)) for k, r in enumerate(rows)], window), [r.names for r in rows]
 
 
 def marked(
@@ -207,8 +212,9 @@ def marked(
 
     One pass over the documents per automaton, without a shuffle; each pass
     adds to what the ones before it found. Null texts and items have no words;
-    an item without words or name occurs nowhere; items of equal text are all
-    named; repeated documents are marked alike.
+    an item without words occurs nowhere; one without a name hits like others,
+    but is not listed; items of equal text are all named; repeated documents are
+    marked alike.
     """
     n_words, n_hit, hits, names = fresh(docs, "n_words", "n_hit", "hits", "items")
     here = docs.withColumns(
@@ -216,11 +222,12 @@ def marked(
         | {hits: F.lit(None).cast(HITS), names: F.lit(None).cast("array<string>")}
     )
     schema, at = here.schema, here.columns.index(text_col)
-    for k, automaton in enumerate(automata(items, item_col, item_text_col, window, shard_bytes)):
+    for k, (automaton, names_of) in enumerate(automata(items, item_col, item_text_col, window, shard_bytes)):
         shared = broadcast_state(docs.sparkSession, automaton)
+        shared_names = docs.sparkSession.sparkContext.broadcast(names_of)
 
-        def run(batches, shared=shared):
-            automaton = with_state(Automaton, shared)
+        def run(batches, shared=shared, shared_names=shared_names):
+            automaton, names_of = with_state(Automaton, shared), shared_names.value
             for batch in batches:
                 old = [batch.column(n) for n in range(batch.num_columns - 4, batch.num_columns)]
                 n_words = np.zeros(batch.num_rows, np.int64)
@@ -232,7 +239,7 @@ def marked(
                         done = merged(new + [flat[n : n + 2] for n in range(0, len(flat), 2)])
                         ranges[row] = [x for pair in done for x in pair]
                         n_hit[row] = sum(b - a for a, b in done)
-                        names[row] = sorted(found_names.union(names[row] or ()))
+                        names[row] = sorted(set(names[row] or ()).union(*(names_of[name] for name in found_names)))
                 new = [pa.array(n_words), pa.array(n_hit, pa.int64()), pa.array(ranges, old[2].type), pa.array(names, old[3].type)]
                 rest = [batch.column(n) for n in range(batch.num_columns - 4)]
                 yield pa.RecordBatch.from_arrays([*rest, *new], batch.schema.names)
