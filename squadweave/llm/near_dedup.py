@@ -169,6 +169,29 @@ def of_own_set(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, texts.schema)
 
 
+def texts_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``node``, ``text``: a text of each class of ``classes`` (``node``, ``doc``), from ``docs`` (``doc``, ``text``).
+
+    A text repeated under one id comes once. Classes without an id look for
+    their texts among the rows without one.
+    """
+    alike = docs.join(classes, "doc").groupBy("doc", "node", F.xxhash64("text")).agg(F.first("text").alias("text"))
+
+    def nodes(batches):
+        for batch in batches:
+            found = [
+                fingerprint(x) if len(x) else None
+                for _, _, raw, offsets in text_slices(batch.column(0))
+                for x in shingle_sets(raw, offsets)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), batch.column(0)], ["node", "text"])
+
+    unnamed = docs.filter(F.col("doc").isNull()).select("text").mapInArrow(nodes, "node bigint, text string")
+    wanted = classes.filter(F.col("doc").isNull()).select("node")
+    unnamed = unnamed.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    return of_own_set(alike.select("node", "text")).unionByName(unnamed)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) whose full sets overlap by three quarters of their union."""
 
@@ -309,9 +332,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the smallest id reachable over links, ``kept`` whether
     that is the document's own. Documents without words have an empty set and
     are components of their own. Every row is judged by its own text, so repeated
-    rows share a component. Null ids are left out of the minimum; a set that
-    has no other id is linked to equal sets only, its component has a null id,
-    and its rows are kept. Other columns are not read.
+    rows share a component. Null ids are left out of the minimum: a row without
+    an id has the smallest id reachable, and only where there is none a null
+    component, and is kept. Other columns are not read.
     """
     rows = written(sets(docs, id_col, text_col))
     classes = written(
@@ -335,8 +358,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     nodes = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).union(crowded.select("node")).distinct()
     mine = classes.join(nodes, "node", "left_semi").select("node", F.col("id").alias("doc"))
-    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).join(mine, "doc")
-    texts = written(of_own_set(texts.select("node", "text")))
+    texts = written(texts_of(docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")), mine))
     # The likeliest link of each class first, then whatever of the others is still needed, then pairs that share only
     # keys whose hub links neither.
     best = F.min_by(F.struct("a", "b"), F.struct("differ", "a", "b"))

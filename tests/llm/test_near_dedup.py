@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from squadweave.llm import near_dedup as N
 
@@ -102,3 +103,36 @@ def test_odd_documents(spark, odd_docs, no_docs):
     same = [(None, "a b c d e f"), (7, "A b c d e f"), (7, "q r s t u v")]
     found = N.near_duplicates(spark.createDataFrame(same, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.component_id) for r in found} == {(None, 7), (7, 7)}
+
+
+def test_rows_without_an_id_are_linked(spark):
+    """Near copies with and without ids, in chains: a row without an id has the smallest id it reaches."""
+    pick = random.Random(12)
+    base = [f"w{k}" for k in range(100)]
+    chain = [base]
+    for _ in range(5):
+        chain.append(edited(pick, chain[-1], 0.02))
+    rows = [(k if k % 2 else None, " ".join(words)) for k, words in enumerate(chain, 3)]
+    alone = [f"v{k}" for k in range(80)]
+    rows += [(None, " ".join(alone)), (None, " ".join(edited(pick, alone, 0.02))), (9, "other words here"), (None, None)]
+    found = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = {r[0]: r[2] for r in brute([(k, text) for k, (_, text) in enumerate(rows)])}
+    groups = {}
+    for k, (doc_id, _) in enumerate(rows):
+        groups.setdefault(expected[k], []).append(doc_id)
+    smallest = {k: min((x for x in ids if x is not None), default=None) for k, ids in groups.items()}
+    want = sorted(repr((doc_id, smallest[expected[k]])) for k, (doc_id, _) in enumerate(rows))
+    assert sorted(repr((r.doc_id, r.component_id)) for r in found) == want
+    assert any(doc_id is None and smallest[expected[k]] is not None for k, (doc_id, _) in enumerate(rows))
+
+
+def test_texts_repeated_under_one_id_are_compared_once(spark):
+    pick = random.Random(13)
+    base = [f"w{k}" for k in range(120)]
+    texts = [" ".join(base), " ".join(edited(pick, base, 0.02)), "short"]
+    rows = [(k, text) for k, text in enumerate(texts) for _ in range(300)] + [(0, "another text"), (1, texts[0] + " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    (classes,) = [N.sets(docs, "doc_id", "text").filter("node is not null").groupBy("node").agg(F.min("id").alias("doc"))]
+    found = N.texts_of(docs.withColumnRenamed("doc_id", "doc"), classes)
+    assert sorted(r.text for r in found.collect()) == sorted([*texts, "another text"])
+    assert {(r.doc_id, r.component_id) for r in N.near_duplicates(docs).collect()} == {(0, 0), (1, 0), (2, 2)}
