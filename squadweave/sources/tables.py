@@ -24,9 +24,19 @@ def null_tokens(df: DataFrame, tokens: tuple[str, ...] = NA_TOKENS) -> DataFrame
     )
 
 
-def _csv(spark: SparkSession, path: str, schema: T.StructType, order: str | None, multi_line: bool) -> DataFrame:
+# Holds a line that does not have the declared fields.
+BROKEN = "_broken_line"
+
+
+def _csv(
+    spark: SparkSession, path: str, schema: T.StructType, order: str | None, multi_line: bool, broken: str | None = None
+) -> DataFrame:
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    rows = spark.read.csv(path, schema=texts, header=True, escape='"', multiLine=multi_line)
+    if broken:
+        texts = texts.add(broken, T.StringType())
+    rows = spark.read.csv(
+        path, schema=texts, header=True, escape='"', multiLine=multi_line, columnNameOfCorruptRecord=broken or "_none"
+    )
     if order is None:
         return rows
     # Within a file block one task numbers the rows as it reads them.
@@ -40,14 +50,32 @@ def _csv(spark: SparkSession, path: str, schema: T.StructType, order: str | None
     )
 
 
+def _rows(spark, path: str, schema: T.StructType, order: str | None, multi_line: bool, well_formed: bool) -> DataFrame:
+    if not well_formed:
+        return _csv(spark, path, schema, order, multi_line)
+    return _parsed(_csv(spark, path, schema, order, multi_line, BROKEN), schema).filter(F.col(BROKEN).isNull()).drop(BROKEN)
+
+
+def _parsed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """``rows`` with every column in a filter that all of them pass: a line parsed in part is not seen to be broken."""
+    return rows.filter(F.length(F.concat_ws("", *[F.col(f"`{field.name}`") for field in schema.fields])) >= 0)
+
+
 def load_rows(
-    spark: SparkSession, path: str, schema: T.StructType, order: str | None = None, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    order: str | None = None,
+    multi_line: bool = False,
+    well_formed: bool = False,
 ) -> DataFrame:
     """Headered CSV rows as they are, all strings; only empty fields are null.
 
-    ``order`` names a column for the place of the row in its file.
+    ``order`` names a column for the place of the row in its file. With
+    ``well_formed`` lines with too many or too few fields are left out;
+    ``malformed_rows`` has them.
     """
-    return _csv(spark, path, schema, order, multi_line)
+    return _rows(spark, path, schema, order, multi_line, well_formed)
 
 
 def read_table(
@@ -57,12 +85,14 @@ def read_table(
     na_tokens: tuple[str, ...] = NA_TOKENS,
     order: str | None = None,
     multi_line: bool = False,
+    well_formed: bool = False,
 ) -> DataFrame:
     """Headered CSV with a declared schema; NA tokens and empty fields are null.
 
-    Numbers that do not parse are null too. A byte order mark is skipped by the reader.
+    Numbers that do not parse are null too. A byte order mark is skipped by the
+    reader. ``well_formed`` is as for ``load_rows``.
     """
-    rows = null_tokens(_csv(spark, path, schema, order, multi_line), na_tokens)
+    rows = null_tokens(_rows(spark, path, schema, order, multi_line, well_formed), na_tokens)
     return rows.select(
         *[
             F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType)
@@ -73,6 +103,18 @@ def read_table(
     )
 
 
+def malformed_rows(
+    spark: SparkSession, path: str, schema: T.StructType, order: str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """Lines of headered CSV files with more or fewer fields than the schema, as they stand in the file: ``line``, and ``order``.
+
+    ``load_rows`` and ``read_table`` cut or pad such a line; ``well_formed``
+    makes them leave it out.
+    """
+    broken = _parsed(_csv(spark, path, schema, order, multi_line, BROKEN), schema).filter(F.col(BROKEN).isNotNull())
+    return broken.select(F.col(BROKEN).alias("line"), *([order] if order else []))
+
+
 def write_table(df: DataFrame, path: str, columns: list[str] | None = None, form: str = "parquet") -> None:
     """Write the columns in the given order, replacing what is there."""
     chosen = df if columns is None else df.select(*[F.col(f"`{name}`") for name in columns])

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 MARK = "_COMPLETE"
+# One empty file per number that a load has taken.
+CLAIMS = "claims"
 
 
 def _files(spark: SparkSession, path: str):
@@ -12,8 +15,8 @@ def _files(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def _numbers(spark: SparkSession, root: str) -> list[int]:
-    system, at = _files(spark, f"{root}/versions")
+def _numbers(spark: SparkSession, root: str, under: str = "versions") -> list[int]:
+    system, at = _files(spark, f"{root}/{under}")
     if not system.exists(at):
         return []
     names = [status.getPath().getName() for status in system.listStatus(at)]
@@ -21,8 +24,44 @@ def _numbers(spark: SparkSession, root: str) -> list[int]:
 
 
 def begin(spark: SparkSession, root: str) -> str:
-    """The directory of a new version, which readers do not see yet."""
-    return f"{root}/versions/{max(_numbers(spark, root), default=0) + 1:08d}"
+    """The directory of a new version, which readers do not see yet.
+
+    A number is claimed by creating its file, which the file system lets only
+    one of several loads do; the others take the next number.
+    """
+    number = max([0, *_numbers(spark, root), *_numbers(spark, root, CLAIMS)]) + 1
+    while True:
+        system, at = _files(spark, f"{root}/{CLAIMS}/{number:08d}")
+        try:
+            system.create(at, False).close()
+            return f"{root}/versions/{number:08d}"
+        except Py4JJavaError:
+            if not system.exists(at):
+                raise
+        number += 1
+
+
+def retain(spark: SparkSession, root: str, versions: int) -> list[str]:
+    """Delete all but the latest ``versions`` complete versions, and older ones that were never completed; their directories.
+
+    A load that is still at work is newer than the latest complete version or
+    was claimed before it; so call this when no load older than that runs.
+    """
+    if versions < 1:
+        raise ValueError("the latest complete version stays")
+    done = [number for number in _numbers(spark, root) if _is_complete(spark, f"{root}/versions/{number:08d}")]
+    if len(done) < versions:
+        return []
+    gone = [f"{root}/versions/{number:08d}" for number in _numbers(spark, root) if number < done[-versions]]
+    for path in gone:
+        system, at = _files(spark, path)
+        system.delete(at, True)
+    return gone
+
+
+def _is_complete(spark: SparkSession, version: str) -> bool:
+    system, at = _files(spark, f"{version}/{MARK}")
+    return system.exists(at)
 
 
 def complete(spark: SparkSession, version: str) -> None:
@@ -35,7 +74,6 @@ def latest(spark: SparkSession, root: str) -> str:
     """The directory of the latest complete version."""
     for number in reversed(_numbers(spark, root)):
         version = f"{root}/versions/{number:08d}"
-        system, at = _files(spark, f"{version}/{MARK}")
-        if system.exists(at):
+        if _is_complete(spark, version):
             return version
     raise FileNotFoundError(f"no complete version in {root}")

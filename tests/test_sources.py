@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from squadweave import schemas, session
-from squadweave.sources import seeds, tables
+from squadweave.sources import seeds, tables, versions
 
 
 def test_csv_with_mark_quotes_and_missing_values(spark, tmp_path):
@@ -85,3 +85,46 @@ def test_lineage_is_cut_in_the_named_folder(spark):
 def test_literal_tables_are_local(spark):
     plan = seeds.teams(spark)._jdf.queryExecution().executedPlan().toString()
     assert "LocalTableScan" in plan
+
+
+def test_broken_lines_are_counted_and_left_out(spark, tmp_path):
+    """Too many fields, too few, and a good line with an empty last field; a byte order mark and a quoted comma."""
+    path = tmp_path / "players.csv"
+    lines = ["name,season,note", '"a, b",2025,x', "c,2024,y,too,many", "d,2023", "e,2022,", "f,x,z"]
+    path.write_bytes(b"\xef\xbb\xbf" + "\n".join(lines).encode())
+    schema = schemas.strings("name").add("season", T.IntegerType()).add("note", T.StringType())
+    for multi_line in (False, True):
+        df = tables.read_table(spark, str(path), schema, order="seq", multi_line=multi_line, well_formed=True)
+        good = [tuple(r)[:3] for r in df.orderBy("seq").collect()]
+        assert good == [("a, b", 2025, "x"), ("e", 2022, None), ("f", None, "z")]
+        assert df.select("name").count() == 3 and df.count() == 3
+        bad = tables.malformed_rows(spark, str(path), schema, order="seq", multi_line=multi_line)
+        assert [r.line.strip() for r in bad.orderBy("seq").collect()] == ["c,2024,y,too,many", "d,2023"]
+        assert bad.count() == 2
+        raw = tables.load_rows(spark, str(path), schema, multi_line=multi_line, well_formed=True)
+        assert [r.season for r in raw.collect()] == ["2025", "2022", "x"]
+        assert tables.read_table(spark, str(path), schema, multi_line=multi_line).count() == 5
+
+
+def test_loads_at_once_get_versions_of_their_own(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = str(tmp_path / "graph")
+    with ThreadPoolExecutor(8) as pool:
+        begun = list(pool.map(lambda _: versions.begin(spark, root), range(16)))
+    assert sorted(begun) == [f"{root}/versions/{number:08d}" for number in range(1, 17)]
+
+
+def test_old_versions_go(spark, tmp_path):
+    root = str(tmp_path / "graph")
+    begun = []
+    for number in range(5):
+        begun.append(versions.begin(spark, root))
+        tables.write_table(spark.range(number), f"{begun[-1]}/rows")
+        if number != 1:
+            versions.complete(spark, begun[-1])
+    assert versions.retain(spark, root, 9) == []
+    assert versions.retain(spark, root, 2) == begun[:3]
+    assert versions.latest(spark, root) == begun[4]
+    assert [os.path.exists(path) for path in begun] == [False] * 3 + [True] * 2
+    assert versions.begin(spark, root).endswith("00000006")
