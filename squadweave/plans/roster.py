@@ -52,14 +52,24 @@ def extract_rosters(spark: SparkSession, page_path: str, raw_dir: str, form: str
     tables.write_table(extract.rejected_cards(cards), f"{raw_dir}/rejected")
 
 
-def read_raw_csv(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
-    """Raw tables from headered CSV files; ``seq`` is the place of a row in its file."""
-    return {
-        name: plain_names(tables.read_table(spark, f"{raw_dir}/{name}.csv", schema, order="seq"))
-        for name, schema in (
-            ("players", schemas.RAW_PLAYERS), ("coaches", schemas.RAW_COACHES), ("highschools", schemas.NAMES)
-        )
-    }
+RAW_TABLES = {"players": schemas.RAW_PLAYERS, "coaches": schemas.RAW_COACHES, "highschools": schemas.NAMES}
+
+
+def read_raw_csv(spark: SparkSession, raw_dir: str, rejected_dir: str | None = None) -> dict[str, DataFrame]:
+    """Raw tables from headered CSV files; ``seq`` is the place of a row in its file.
+
+    With ``rejected_dir`` lines with too many or too few fields are left out of
+    the tables and written to ``<rejected_dir>/<table>``; without it they are
+    cut or padded.
+    """
+    found = {}
+    for name, schema in RAW_TABLES.items():
+        path = f"{raw_dir}/{name}.csv"
+        if rejected_dir is not None:
+            tables.write_table(tables.malformed_rows(spark, path, schema, order="seq"), f"{rejected_dir}/{name}")
+        rows = tables.read_table(spark, path, schema, order="seq", well_formed=rejected_dir is not None)
+        found[name] = plain_names(rows)
+    return found
 
 
 def read_raw(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:

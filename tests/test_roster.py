@@ -208,3 +208,18 @@ def test_raw_tables_from_csv(spark, tmp_path):
     # The last row of the file wins, nulls included.
     assert values(g.nodes["Player"], "name", "height", "weight") == [("Al", None, 180)]
     assert values(g.edges["PLAYS_FOR"], "season", "jersey") == [(2024, 8), (2025, 7)]
+
+
+def test_broken_csv_lines_become_tables(spark, tmp_path):
+    raw, rejected = tmp_path / "raw", str(tmp_path / "rejected")
+    raw.mkdir()
+    for name, schema in roster.RAW_TABLES.items():
+        fields = len(schema.fields)
+        lines = [",".join(field.name for field in schema.fields), ",".join(["x"] * fields), ",".join(["y"] * (fields + 2)), ",".join(["z"] * fields)]
+        (raw / f"{name}.csv").write_text("\n".join(lines) + "\n")
+    found = roster.read_raw_csv(spark, str(raw), rejected)
+    for name, schema in roster.RAW_TABLES.items():
+        assert [row[0] for row in found[name].orderBy("seq").collect()] == ["x", "z"]
+        (line,) = spark.read.parquet(f"{rejected}/{name}").collect()
+        assert line["line"].strip() == ",".join(["y"] * (len(schema.fields) + 2))
+        assert roster.read_raw_csv(spark, str(raw))[name].count() == 3
