@@ -1,29 +1,38 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-Contexts are runs of one or two words. A context is retained if words follow it
+Contexts are runs of up to ``depth`` words. A context is retained if words follow it
 ``LEAST_COUNT`` times at least and their distribution diverges from that of its
 suffix. Under a retained context, such words have counts of their own, smoothed
 by an absolute discount; the mass so freed goes to the suffix's distribution,
 down to the smoothed distribution of single words. A word is scored in the
 longest retained suffix of what stands before it.
 
-The least count is absolute, so the tree grows with the corpus. Contexts and
-entries are written tables that scoring joins, as are the counts of all words.
-Only the head is broadcast: what reaches a share of all tokens, hence at most
-``1 / share`` words, contexts and entries a depth. Words are told apart by
-64-bit hashes in the tables of contexts and entries.
+The least count is absolute, so the tree grows with the corpus. A run of words
+is counted only where both runs one word shorter reach the least count, which a
+bit filter of fixed size tells; where it fills, more is counted, but nothing is lost.
+
+What a retained context or an entry adds to a score is one number of its own
+(the weight of the suffix, or what the entry's probability has over the
+suffix's), so the tree is a table of 64-bit codes and numbers, of which a place
+in a text adds up at most two for each length. The head is broadcast: what
+reaches a share of all tokens, hence at most ``1 / share`` of each kind and
+length. A bit filter leaves out what the tree does not hold, and the places that
+remain are joined with the table. Words and runs are told apart by 64-bit
+hashes there.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from squadweave.llm.collocations import PACKED, filter_of, filter_places, from_planes, packed_counts, summed
 from squadweave.llm.common import (
     LOWER,
     NOT_BLANK,
@@ -38,11 +47,17 @@ from squadweave.llm.common import (
 
 # Least count of a word after a context for an entry of its own.
 LEAST_COUNT = 4
-# Least relative frequency of words known to every task (at most 500,000), of contexts and entries known to every task
-# (at most 100,000 a depth), and of the words of two-word contexts known to every task (at most 10,000).
+# Words of the longest contexts.
+DEPTH = 2
+# Least relative frequency of words known to every task (at most 500,000), and of contexts and entries known to every
+# task (at most 1,000,000 of each kind and length), after one word and after more.
 WORD_SHARE = 2e-6
-CONTEXT_SHARE = 1e-5
-DEEP_SHARE = 1e-4
+CONTEXT_SHARE = 1e-6
+DEEP_SHARE = 1e-6
+# Bits of each filter, a power of two.
+FILTER_BITS = 1 << 27
+# Words of text per bucket of counted runs.
+BUCKET_WORDS = 2_000_000
 # Least Kullback-Leibler divergence, in nats a word, of a context's distribution from its suffix's.
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
@@ -115,40 +130,80 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Tables:
-    """The whole tree; words are hashes, ``weight`` the log10 weight of the suffix, ``lift`` log10 of an entry's
-    probability over that of the word by itself."""
+    """The whole tree, as scoring joins it."""
 
     words: DataFrame  # word, n, hash
-    context1: DataFrame  # v, weight
-    entries1: DataFrame  # v, w, lift
-    context2: DataFrame  # u, v, weight
-    entries2: DataFrame  # u, v, w, lift
+    deltas: DataFrame  # code, delta of what the head does not hold
+
+
+def perhaps(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Whether a filter may hold codes."""
+    found = np.ones(len(codes), bool)
+    for word, bit in filter_places(codes, len(bits) * 64):
+        found &= (bits[word] & bit) != 0
+    return found
+
+
+def kind_of(size: int, context: bool) -> int:
+    return 2 * size + context
+
+
+def run_codes(hashes: np.ndarray, size: int, context: bool = False) -> np.ndarray:
+    """A 64-bit code of each ``size`` consecutive words, as a context or as a context and the word behind it."""
+    codes = sequence_hashes(hashes, size)
+    return ~codes if context else codes
+
+
+def coded(rows: DataFrame, words: list[str], context: bool = False) -> DataFrame:
+    """``code`` and ``n`` of runs of words, and ``delta`` if ``rows`` has it."""
+    others = [c for c in ("n", "delta") if c in rows.columns]
+    types = {"n": "n bigint", "delta": "delta double"}
+
+    def run(batches):
+        for batch in batches:
+            hashes = np.stack([batch[c].to_numpy() for c in words], axis=1).ravel().view(np.uint64)
+            codes = run_codes(hashes, len(words), context)[:: len(words)].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(codes), *(batch[c] for c in others)], ["code", *others])
+
+    return rows.select(*words, *others).mapInArrow(run, ", ".join(["code bigint", *(types[c] for c in others)]))
 
 
 @dataclass
 class Tree:
-    """The suffix tree's head, by word numbers in falling order of count; -1 is any other word."""
+    """The suffix tree's head: words by number in falling order of count, -1 is any other word; sorted codes with what
+    they add to a score and their kinds; and the filter of all codes of the tree."""
 
     total: int
     distinct: int
+    depth: int = DEPTH
     words: dict[bytes, int] = field(default_factory=dict)
     single: np.ndarray = field(default_factory=lambda: np.zeros(1))
-    deep: int = 0
-    # For contexts of one word: the log weight of the suffix by word number. For contexts of two: their codes and weights.
-    weight1: np.ndarray = field(default_factory=lambda: np.zeros(1))
-    retained1: np.ndarray = field(default_factory=lambda: np.zeros(1, bool))
-    # All head pairs of words below ``deep``, and those that are retained contexts.
-    pairs2: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    context2: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    weight2: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    codes1: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    logs1: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    codes2: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    logs2: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    # By word number, and one that no word has at the end.
+    hashes: np.ndarray = field(default_factory=lambda: np.zeros(1, np.uint64))
+    codes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    deltas: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    kinds: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    bits: np.ndarray = field(default_factory=lambda: np.zeros(1, np.uint64))
 
     @property
-    def size(self) -> int:
-        return max(1, len(self.words))
+    def retained1(self) -> np.ndarray:
+        """Which of the codes are contexts of one word."""
+        return self.kinds == kind_of(1, True)
+
+    @property
+    def context2(self) -> np.ndarray:
+        """Codes of contexts of two words."""
+        return self.codes[self.kinds == kind_of(2, True)]
+
+    @property
+    def codes1(self) -> np.ndarray:
+        """Codes of the entries of contexts of one word."""
+        return self.codes[self.kinds == kind_of(2, False)]
+
+    @property
+    def logs1(self) -> np.ndarray:
+        """What the entries of ``codes1`` add."""
+        return self.deltas[self.kinds == kind_of(2, False)]
 
     def numbers(self, rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of rows one after the other, and where each row starts."""
@@ -158,88 +213,110 @@ class Tree:
 
     def logs(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 probability of each word by itself and by the head; a word without a number adds only its contexts' weights."""
-        return self.settled(ids, starts)[:2]
+        return self.settled(ids, starts, self.hashes[ids])[:2]
 
-    def settled(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``logs``, and whether the head says all that the whole tree says of a word."""
+    def settled(self, ids: np.ndarray, starts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``logs`` of words with these hashes, and places and codes of what the tree may hold beyond its head."""
         alone = self.single[ids]
-        before = np.concatenate([[-1], ids[:-1]])
-        before[starts[:-1]] = -1
-        before2 = np.concatenate([[-1], before[:-1]])
-        before2[starts[:-1]] = -1
-        best = alone + self.weight1[before]
-        done = (before >= 0) & ~self.retained1[before]
-        best, hit = self.put(best, self.retained1[before] & (ids >= 0), before * self.size + ids, self.codes1, self.logs1)
-        # Without a second word before it, or after a pair that is not retained, an entry of the first decides.
-        second = starts[:-1][np.diff(starts) > 1] + 1
-        shallow = np.zeros(len(ids), bool)
-        shallow[second] = True
-        pairs = np.flatnonzero((before >= 0) & (before2 >= 0) & (before < self.deep) & (before2 < self.deep))
-        if len(self.context2) and len(pairs):
-            context = before2[pairs] * self.size + before[pairs]
-            shallow[pairs] = np.isin(context, self.pairs2) & ~np.isin(context, self.context2)
-            slot = np.minimum(np.searchsorted(self.context2, context), len(self.context2) - 1)
-            at, slot = pairs[self.context2[slot] == context], slot[self.context2[slot] == context]
-            best[at] += self.weight2[slot]
-            found = np.zeros(len(ids), bool)
-            found[at] = ids[at] >= 0
-            code = np.zeros(len(ids), np.int64)
-            code[at] = slot * self.size + ids[at]
-            best, deep = self.put(best, found, code, self.codes2, self.logs2)
-            done |= deep
-        elif len(pairs):
-            shallow[pairs] = np.isin(before2[pairs] * self.size + before[pairs], self.pairs2)
-        done |= shallow & hit
-        done[starts[:-1]] = True
-        return alone, best, done
-
-    @staticmethod
-    def put(best, where, code, codes, logs):
-        """``best`` with the logs of the codes that are listed, and where they are."""
-        at, found = np.flatnonzero(where), np.zeros(len(best), bool)
-        if len(codes) and len(at):
-            slot = np.minimum(np.searchsorted(codes, code[at]), len(codes) - 1)
-            hit = codes[slot] == code[at]
-            best[at[hit]] = logs[slot[hit]]
-            found[at[hit]] = True
-        return best, found
-
-
-def run_counts(texts: DataFrame, size: int) -> DataFrame:
-    """Counts ``n`` of all runs of ``size`` words, the last of which may be a text's end; words are the hashes ``u``, ``v``, ``w``."""
-    names = ["u", "v", "w"][3 - size :]
-
-    def packed(parts):
-        words = [np.concatenate(x) for x in zip(*parts)]
-        code = sequence_hashes(np.stack(words, 1).ravel(), size)[::size]
-        _, first, n = np.unique(code, return_index=True, return_counts=True)
-        columns = [pa.array(x[first].view(np.int64)) for x in words]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(n.astype(np.int64))], [*names, "n"])
+        best = alone.copy()
+        since = np.arange(len(ids)) - np.repeat(starts[:-1], np.diff(starts))
+        places, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for size, context in ((k + 1 - c, c == 1) for k in range(1, self.depth + 1) for c in (1, 0)):
+            # A context stands before the word; an entry ends with it.
+            back = size if context else size - 1
+            code = run_codes(hashes, size, context)[: max(0, len(ids) - back)]
+            at = np.flatnonzero(perhaps(self.bits, code) & (since[back:] >= back))
+            code, at = code[at], at + back
+            if len(self.codes):
+                slot = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+                hit = self.codes[slot] == code
+                best[at[hit]] += self.deltas[slot[hit]]
+                code, at = code[~hit], at[~hit]
+            places.append(at)
+            codes.append(code)
+        return alone, best, np.concatenate(places), np.concatenate(codes)
+
+
+def run_counts(texts: DataFrame, size: int, hashes: np.ndarray, shorter: np.ndarray, least: int, buckets: int) -> DataFrame:
+    """``x0``, ``x1``, ... and ``n``: the hashes of all runs of ``size`` words that occur ``least`` times or more.
+
+    ``shorter`` is the filter of runs one word shorter that do so; the last word may be a text's end. Counts leave a
+    task as packed arrays, in which the words with these ``hashes``, as far as numbers of 63 bits in all tell them
+    apart, go by number. Two runs of other words are told apart by all their hashes.
+    """
+    names = [f"x{k}" for k in range(size)]
+    width = 63 // size
+    order = np.argsort(hashes[: 1 << min(width, 30)])
+    state = texts.sparkSession.sparkContext.broadcast((hashes[order], order, shorter))
+    kinds = pa.schema([("bucket", pa.int64()), ("counts", pa.binary()), ("packed", pa.binary()), ("wide", pa.list_(pa.binary()))])
+
+    def flush(packed, wide):
+        rows = []
+        keys = np.concatenate(packed)
+        if len(keys):
+            keys, n = np.unique(keys, return_counts=True)
+            rows += packed_counts([keys], n, buckets, False)
+        columns = [np.concatenate(x) for x in zip(*wide)]
+        if len(columns[0]):
+            rows += packed_counts(*summed(columns, np.ones(len(columns[0]), np.int64)), buckets, True)
+        packed.clear()
+        wide.clear()
+        for low in range(0, len(rows), 256):
+            yield pa.RecordBatch.from_pylist(rows[low : low + 256], kinds)
 
     def run(batches):
-        parts, held = [], 0
+        known, number, bits = state.value
+        packed, wide, held = [], [], 0
         for batch in batches:
             for _, _, raw, offsets in text_slices(batch.column(0)):
                 words, starts = hashed_rows(raw, offsets)
-                whole = np.ones(max(0, len(words) - size + 1), bool)
+                often = perhaps(bits, run_codes(words, size - 1))
+                whole = often[:-1] & often[1:]
                 for k in range(1, size):
                     cut = starts[1:-1] - k
                     whole[cut[(cut >= 0) & (cut < len(whole))]] = False
-                parts.append([words[k : k + len(whole)][whole] for k in range(size)])
-                held += len(parts[-1][0])
+                at = np.flatnonzero(whole)
+                if len(known):
+                    slot = np.minimum(np.searchsorted(known, words), len(known) - 1)
+                    ids = np.where(known[slot] == words, number[slot], -1)
+                else:
+                    ids = np.full(len(words), -1)
+                parts = [ids[at + k] for k in range(size)]
+                common = np.logical_and.reduce([x >= 0 for x in parts])
+                packed.append(reduce(lambda code, x: (code << width) | x, [x[common] for x in parts]))
+                wide.append([words[at[~common] + k].view(np.int64) for k in range(size)])
+                held += len(at)
                 if held >= GATHERED_RUNS:
-                    yield packed(parts)
-                    parts, held = [], 0
-        if held:
-            yield packed(parts)
-
-    schema = "".join(f"{x} bigint, " for x in names)
-    return texts.mapInArrow(run, f"{schema}n bigint").groupBy(*names).agg(F.sum("n").alias("n"))
+                    yield from flush(packed, wide)
+                    held = 0
+        if packed:
+            yield from flush(packed, wide)
+
+    def add_up(table: pa.Table) -> pa.Table:
+        known, number, _ = state.value
+        by_number = np.zeros(len(known), np.uint64)
+        by_number[number] = known
+        found = []
+        for wide in (False, True):
+            rows = [row for row in table.to_pylist() if (row["wide"] is not None) == wide]
+            if rows:
+                parts = [[from_planes(x) for x in (row["wide"] if wide else [row["packed"]])] for row in rows]
+                columns = [np.concatenate(x) for x in zip(*[[np.cumsum(p[0]), *p[1:]] for p in parts])]
+                columns, n = summed(columns, np.concatenate([from_planes(row["counts"]) for row in rows]))
+                columns, n = [x[n >= least] for x in columns], n[n >= least]
+                if not wide:
+                    low = (1 << width) - 1
+                    columns = [by_number[(columns[0] >> (width * k)) & low].view(np.int64) for k in reversed(range(size))]
+                found.append([*columns, n])
+        return pa.table(dict(zip([*names, "n"], map(np.concatenate, zip(*found)))))
+
+    schema = ", ".join(f"{x} bigint" for x in [*names, "n"])
+    return texts.mapInArrow(run, PACKED).groupBy("bucket").applyInArrow(add_up, schema)
 
 
 def smoothed(entries: DataFrame, context: list[str], threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Of ``entries`` with ``n``, ``context_n`` and ``suffix_p``: the contexts with ``weight`` and whether they diverge,
-    and the entries with ``p``."""
+    """Of ``entries`` with ``n``, ``context_n`` and ``suffix_p``: the contexts with ``n``, ``delta`` (the log weight of the
+    suffix) and whether they diverge, and the entries with ``p`` and ``delta``."""
     share = F.col("n") / F.col("context_n")
     own = (F.col("n") - DISCOUNT) / F.col("context_n")
     rest = F.greatest(1 - F.sum(share), F.lit(0.0))
@@ -247,14 +324,16 @@ def smoothed(entries: DataFrame, context: list[str], threshold: float) -> tuple[
     gain = F.sum(share * F.ln(share / F.col("suffix_p"))) + F.when(rest > 0, rest * F.ln(rest / rest_p)).otherwise(0)
     contexts = written(
         entries.groupBy(*context).agg(
-            F.first("context_n").alias("context_n"),
+            F.first("context_n").alias("n"),
             F.greatest(1 - F.sum(own), F.lit(1e-12)).alias("suffix_share"),
             (gain >= threshold).alias("diverges"),
         )
     )
-    both = entries.join(contexts.drop("context_n"), context)
+    both = entries.join(contexts.select(*context, "suffix_share"), context)
     p = own + F.col("suffix_share") * F.col("suffix_p")
-    return contexts.withColumn("weight", F.log10("suffix_share")), both.withColumn("p", p).drop("suffix_share", "suffix_p", "diverges")
+    both = both.withColumn("p", p)
+    delta = F.log10("p") - F.log10("suffix_p") - F.log10("suffix_share")
+    return contexts.withColumn("delta", F.log10("suffix_share")), both.withColumn("delta", delta)
 
 
 def train(
@@ -264,75 +343,61 @@ def train(
     deep_share: float = DEEP_SHARE,
     divergence: float = DIVERGENCE,
     least_count: int = LEAST_COUNT,
+    depth: int = DEPTH,
+    filter_bits: int = FILTER_BITS,
 ) -> tuple[Tree, Tables]:
     """The tree of a table with one text column: its head, whose bounds are the shares, and the tables of all of it."""
     counts = written(with_hashes(word_counts(texts)))
     total, distinct = (x or 0 for x in counts.agg(F.sum("n"), F.count("n")).first())
-    p = (F.col("n") + ADDED) / (total + ADDED * (distinct + 1))
-    enough = F.col("n") >= least_count
-    after = counts.select(F.col("hash").alias("w"), p.alias("word_p"))
-    before = counts.filter(enough).select(F.col("hash").alias("v"), F.col("n").alias("context_n"))
-    pairs = run_counts(texts, 2).filter(enough).join(after, "w").join(before, "v")
-    context1, entries1 = smoothed(written(pairs.withColumn("suffix_p", F.col("word_p"))), ["v"], divergence)
-    entries1 = written(entries1)
-
-    pair_n = entries1.select(F.col("v").alias("u"), F.col("w").alias("v"), F.col("n").alias("context_n"))
-    suffix = entries1.select("v", "w", "word_p", F.col("p").alias("suffix_p"))
-    triples = run_counts(texts, 3).filter(enough).join(pair_n, ["u", "v"]).join(suffix, ["v", "w"])
-    context2, entries2 = smoothed(written(triples), ["u", "v"], divergence)
-    kept2 = written(context2.filter("diverges").select("u", "v", "context_n", "weight"))
-    # A retained context's suffix is retained, as its entries refer to it.
-    needed = kept2.select("v").distinct().withColumn("needed", F.lit(True))
-    kept1 = context1.join(needed, "v", "left").filter(F.col("diverges") | F.col("needed")).select("v", "context_n", "weight")
-    kept1 = written(kept1)
-    lift = F.log10("p") - F.log10("word_p")
-    own1 = written(entries1.join(kept1.select("v"), "v").select("v", "w", "n", F.log10("p").alias("log"), lift.alias("lift")))
-    own2 = entries2.join(kept2.select("u", "v"), ["u", "v"])
-    own2 = written(own2.select("u", "v", "w", "n", F.log10("p").alias("log"), lift.alias("lift")))
-    tables = Tables(
-        counts,
-        kept1.select("v", "weight"),
-        own1.select("v", "w", "lift"),
-        kept2.select("u", "v", "weight"),
-        own2.select("u", "v", "w", "lift"),
-    )
-
-    tree = Tree(total, distinct)
     frequent = counts.filter(F.col("n") >= word_share * total).toPandas()
     frequent = frequent.sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
     n = frequent["n"].to_numpy(np.int64)
+    tree = Tree(total, distinct, depth)
     tree.words = {word.encode(): k for k, word in enumerate(frequent["word"])}
     tree.single = np.append(np.log10((n + ADDED) / (total + ADDED * (distinct + 1))), 0.0)
-    tree.deep = int((n >= deep_share * total).sum())
-    tree.weight1 = np.zeros(len(n) + 1)
-    tree.retained1 = np.zeros(len(n) + 1, bool)
-    number = {h: k for k, h in enumerate(frequent["hash"].tolist())}
-    common = F.col("n") >= context_share * total
-
-    def head(rows: DataFrame, words: list[str], below: int) -> tuple[list[np.ndarray], dict[str, np.ndarray]]:
-        """Word numbers and other columns of the rows whose first words, all but the last, are below a number."""
-        found = rows.toPandas()
-        ids = [np.array([number.get(x, -1) for x in found[word].tolist()], np.int64) for word in words]
-        fits = np.all([(x >= 0) & (x < limit) for x, limit in zip(ids, [below] * (len(ids) - 1) + [len(n)])], axis=0)
-        return [x[fits] for x in ids], {c: found[c].to_numpy()[fits] for c in found.columns if c not in words}
-
-    (first,), more = head(kept1.filter(F.col("context_n") >= word_share * total).select("v", "weight"), ["v"], 0)
-    tree.weight1[first], tree.retained1[first] = more["weight"], True
-    (first, last), more = head(own1.filter(common).select("v", "w", "log"), ["v", "w"], len(n))
-    order = np.argsort(first * tree.size + last)
-    tree.codes1, tree.logs1 = (first * tree.size + last)[order], more["log"].astype(float)[order]
-    (first, last), _ = head(entries1.filter(common).select("v", "w"), ["v", "w"], tree.deep)
-    tree.pairs2 = np.sort((first * tree.size + last)[last < tree.deep])
-    (first, last), more = head(kept2.filter(F.col("context_n") >= context_share * total).select("u", "v", "weight"), ["u", "v"], tree.deep)
-    code, order = first * tree.size + last, np.argsort(first * tree.size + last)
-    fits = order[last[order] < tree.deep]
-    tree.context2, tree.weight2 = code[fits], more["weight"].astype(float)[fits]
-    (first, middle, last), more = head(own2.filter(common).select("u", "v", "w", "log"), ["u", "v", "w"], tree.deep)
-    if len(tree.context2):
-        slot = np.searchsorted(tree.context2, first * tree.size + middle)
-        order = np.argsort(slot * tree.size + last)
-        tree.codes2, tree.logs2 = (slot * tree.size + last)[order], more["log"].astype(float)[order]
-    return tree, tables
+    tree.hashes = np.append(frequent["hash"].to_numpy(np.int64).view(np.uint64), np.uint64(0))
+
+    # Level by level: runs one word longer, whose contexts and suffixes are the runs of the level before.
+    p = (F.col("n") + ADDED) / (total + ADDED * (distinct + 1))
+    before = counts.select(F.col("hash").alias("x0"), "n", p.alias("p"))
+    buckets = -(-max(1, total) // BUCKET_WORDS)
+    levels = []
+    for size in range(2, depth + 2):
+        names = [f"x{k}" for k in range(size)]
+        enough = before.filter(F.col("n") >= least_count)
+        shorter = filter_of(coded(enough, names[:-1]), ["code"], filter_bits)
+        runs = run_counts(texts, size, tree.hashes[:-1], shorter, least_count, buckets)
+        contexts = enough.select(*names[:-1], F.col("n").alias("context_n"))
+        suffixes = before.select(*[F.col(f"x{k - 1}").alias(f"x{k}") for k in range(1, size)], F.col("p").alias("suffix_p"))
+        contexts, entries = smoothed(written(runs.join(contexts, names[:-1]).join(suffixes, names[1:])), names[:-1], divergence)
+        entries = written(entries.select(*names, "n", "p", "delta"))
+        levels.append((names, contexts, entries))
+        before = entries.select(*names, "n", "p")
+
+    parts, needed = [], None
+    for names, contexts, entries in reversed(levels):
+        # A retained context's suffix is retained, as its entries refer to it.
+        if needed is not None:
+            contexts = contexts.join(needed, names[:-1], "left").filter(F.col("diverges") | F.col("needed"))
+        else:
+            contexts = contexts.filter("diverges")
+        contexts = written(contexts.select(*names[:-1], "n", "delta"))
+        if len(names) > 2:
+            shifted = [F.col(f"x{k}").alias(f"x{k - 1}") for k in range(1, len(names) - 1)]
+            needed = contexts.select(*shifted).distinct().withColumn("needed", F.lit(True))
+        own = entries.join(contexts.select(names[:-1]), names[:-1], "left_semi")
+        parts.append(coded(contexts, names[:-1], True).withColumn("kind", F.lit(kind_of(len(names) - 1, True))))
+        parts.append(coded(own, names).withColumn("kind", F.lit(kind_of(len(names), False))))
+    deltas = written(reduce(DataFrame.union, parts))
+
+    share = F.when(F.col("kind") <= kind_of(2, False), context_share).otherwise(deep_share)
+    common = F.col("n") >= share * total
+    head = deltas.filter(common).select("code", "delta", "kind").toArrow()
+    codes = head["code"].to_numpy().view(np.uint64)
+    order = np.argsort(codes)
+    tree.codes, tree.deltas, tree.kinds = codes[order], head["delta"].to_numpy()[order], head["kind"].to_numpy()[order].astype(np.int8)
+    tree.bits = filter_of(deltas, ["code"], filter_bits)
+    return tree, Tables(counts, deltas.filter(~common).select("code", "delta"))
 
 
 def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -342,7 +407,7 @@ def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", t
     words and by the tree. A null text is empty: its end is its only token.
     Repeated rows and null ids are scored like any other row; other columns are
     not read. Words below the head's share are joined with their counts, and
-    words of which the head does not say all with the tables of the tree.
+    places at which the tree may hold more than its head with the tree's table.
     """
     shared = broadcast_state(docs.sparkSession, tree)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -350,23 +415,14 @@ def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", t
     def run(batches):
         tree = with_state(Tree, shared)
         rare_type = pa.list_(pa.struct([("word", pa.string()), ("tf", pa.int64())]))
-        names = ["u", "v", "w", "weight"]
-        open_type = pa.struct([("u", pa.int64()), ("v", pa.int64()), ("w", pa.int64()), ("weight", pa.float64())])
         for batch in batches:
             n, known, base, best, rare, sizes, parts = [], [], [], [], [], [], []
             for rows, (_, _, raw, offsets) in zip(rows_of_words(batch.column(2)), text_slices(batch.column(2))):
                 ids, starts = tree.numbers(rows)
-                alone, deep, done = tree.settled(ids, starts)
-                deep[~done] = alone[~done]
-                hashes = hashed_rows(raw, offsets)[0].view(np.int64)
-                at = np.flatnonzero(~done)
-                third = at - 1 > starts[np.searchsorted(starts, at, "right") - 1]
-                # A text's second word has no pair before it; no word's hash is 0.
-                u = np.where(third, hashes[at - 2], 0)
-                v = ids[at - 1]
-                weight = pa.array(tree.weight1[v], mask=v < 0)
-                parts.append([pa.array(u), pa.array(hashes[at - 1]), pa.array(hashes[at]), weight])
-                sizes.append(np.add.reduceat((~done).astype(np.int64), starts[:-1]))
+                alone, deep, places, codes = tree.settled(ids, starts, hashed_rows(raw, offsets)[0])
+                row = np.searchsorted(starts, places, "right") - 1
+                parts.append(codes[np.argsort(row, kind="stable")].view(np.int64))
+                sizes.append(np.bincount(row, minlength=len(rows)))
                 n.append(np.diff(starts))
                 known.append(np.add.reduceat((ids >= 0).astype(np.int64), starts[:-1]))
                 base.append(np.add.reduceat(alone, starts[:-1]))
@@ -374,13 +430,12 @@ def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", t
                 for words, a, b in zip(rows, starts.tolist(), starts[1:].tolist()):
                     found = Counter([words[k] for k in np.flatnonzero(ids[a:b] < 0).tolist()])
                     rare.append([{"word": word.decode(), "tf": tf} for word, tf in found.items()])
-            joined = [pa.concat_arrays(x) for x in zip(*parts)]
             ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *sizes])).astype(np.int32)
-            struct = pa.StructArray.from_arrays(joined, names) if joined else pa.array([], open_type)
+            codes = np.concatenate([np.zeros(0, np.int64), *parts])
             columns = [np.concatenate(x) if x else np.zeros(0) for x in (n, known, base, best)]
             columns = [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *columns, pa.array(rare, rare_type), pa.ListArray.from_arrays(pa.array(ends), struct)],
+                [batch.column(0), batch.column(1), *columns, pa.array(rare, rare_type), pa.ListArray.from_arrays(pa.array(ends), pa.array(codes))],
                 ["_row", id_col, "n_tokens", "n_known", "base_score", "score", "rare", "open"],
             )
 
@@ -391,7 +446,7 @@ def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", t
         numbered.mapInArrow(
             run,
             f"_row bigint, `{id_col}` {kind}, n_tokens bigint, n_known bigint, base_score double, score double,"
-            " rare array<struct<word:string,tf:bigint>>, open array<struct<u:bigint,v:bigint,w:bigint,weight:double>>",
+            " rare array<struct<word:string,tf:bigint>>, open array<bigint>",
         )
     )
     rest = F.lit(tree.total + ADDED * (tree.distinct + 1))
@@ -405,17 +460,8 @@ def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", t
             F.sum(F.when(n > 0, F.col("tf")).otherwise(0)).alias("_known"),
         )
     )
-    # The head knows the weights of frequent words' contexts; the others' are joined.
-    places = scored.select("_row", F.inline("open"))
-    weight = F.coalesce("weight", F.lit(0.0))
-    unknown = places.filter("weight is null").drop("weight").join(tables.context1, "v", "left")
-    every = places.filter("weight is not null").unionByName(unknown).withColumn("weight", weight)
-    shallow = every.join(tables.entries1, ["v", "w"], "left").select("_row", "u", "v", "w", F.coalesce("lift", "weight").alias("shallow"))
-    deep = shallow.join(tables.context2, ["u", "v"], "left")
-    plain = deep.filter("weight is null").select("_row", F.col("shallow").alias("lift"))
-    found = deep.filter("weight is not null").join(tables.entries2, ["u", "v", "w"], "left")
-    found = found.select("_row", F.coalesce(F.col("lift"), F.col("weight") + F.col("shallow")).alias("lift"))
-    lifts = plain.union(found).groupBy("_row").agg(F.sum("lift").alias("_lift"))
+    places = scored.select("_row", F.explode("open").alias("code"))
+    lifts = places.join(tables.deltas, "code").groupBy("_row").agg(F.sum("delta").alias("_lift"))
     log = F.coalesce("_log", F.lit(0.0))
     return scored.join(rare, "_row", "left").join(lifts, "_row", "left").select(
         id_col,

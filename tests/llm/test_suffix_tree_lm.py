@@ -133,3 +133,81 @@ def test_odd_documents(odd_docs, no_docs):
     assert tree.total == 0 and found.collect() == []
     tree, counts = L.train(no_docs.select("text"))
     assert {r.base_score for r in L.score(odd_docs, tree, counts).collect()} == {0.0}
+
+
+def brute_scores(rows, depth):
+    """Scores by a tree held in dicts of word tuples, without a head, filters, codes or joins."""
+    learned = [tokens(text) for doc_id, text in rows if doc_id is None or zlib.crc32(str(doc_id).encode()) % 10]
+    counts = [Counter(tuple(words[k : k + size]) for words in learned for k in range(len(words) - size + 1)) for size in range(1, depth + 2)]
+    total, distinct = sum(counts[0].values()), len(counts[0])
+    unseen = 0.1 / (total + 0.1 * (distinct + 1))
+    prob = [{run: (n + 0.1) / (total + 0.1 * (distinct + 1)) for run, n in counts[0].items()}]
+    listed = [counts[0]]
+    spare, diverging = [{}], [set()]
+    for size in range(2, depth + 2):
+        runs = {run: n for run, n in counts[size - 1].items() if n >= 4 and listed[-1].get(run[:-1], 0) >= 4 and run[1:] in listed[-1]}
+        heirs = {}
+        for run in runs:
+            heirs.setdefault(run[:-1], []).append(run)
+        spare.append({})
+        diverging.append(set())
+        for context, own in heirs.items():
+            n = listed[-1][context]
+            shares = [runs[run] / n for run in own]
+            below = [prob[-1][run[1:]] for run in own]
+            rest = max(1 - sum(shares), 0.0)
+            gain = sum(s * math.log(s / q) for s, q in zip(shares, below))
+            if rest > 1e-12:
+                gain += rest * math.log(rest / max(1 - sum(below), 1e-12))
+            spare[-1][context] = max(1 - sum((runs[run] - 0.5) / n for run in own), 1e-12)
+            if gain >= 0.02:
+                diverging[-1].add(context)
+        prob.append({run: (n - 0.5) / listed[-1][run[:-1]] + spare[-1][run[:-1]] * prob[-1][run[1:]] for run, n in runs.items()})
+        listed.append(runs)
+    for size in range(depth, 1, -1):
+        diverging[size - 1] |= {context[1:] for context in diverging[size]}
+
+    def chance(context, word):
+        size = len(context)
+        if not size:
+            return prob[0].get((word,), unseen)
+        if context not in diverging[size]:
+            return chance(context[1:], word)
+        return prob[size].get((*context, word)) or spare[size][context] * chance(context[1:], word)
+
+    return {
+        doc_id: sum(math.log10(chance(tuple(words[max(0, k - depth) : k]), words[k])) for k in range(len(words)))
+        for doc_id, words in ((doc_id, tokens(text)) for doc_id, text in rows)
+    }
+
+
+@pytest.mark.parametrize("depth, share", [(1, 1e-6), (2, 1e-6), (2, 0.005), (3, 2.0)])
+def test_scores_agree_with_brute_force(spark, depth, share):
+    pick = random.Random(11)
+    rows = []
+    for k in range(150):
+        words = ["the", "of"]
+        while len(words) < 50:
+            follow = f"w{zlib.crc32(' '.join(words[-pick.randint(1, 3):]).encode()) % 40}"
+            words.append(follow if pick.random() < 0.7 else f"w{int(pick.expovariate(0.05))}")
+        rows.append((k, " ".join(words)))
+    rows += [(500, None), (501, ""), (502, "unseen the of nothing"), (None, "the of the of")]
+    _, found = scored(
+        spark.createDataFrame(rows, "doc_id long, text string"), depth=depth, context_share=share, deep_share=share, filter_bits=1 << 10
+    )
+    expected = brute_scores(rows, depth)
+    got = {r.doc_id: r.score for r in found.collect()}
+    assert got.keys() == expected.keys()
+    assert all(got[k] == pytest.approx(expected[k], abs=1e-6) for k in expected)
+
+
+def test_runs_of_words_without_a_number_are_counted(spark):
+    texts = spark.createDataFrame([("a b c d",)] * 5 + [("a b x",)] * 3 + [(None,)], "text string")
+    words = spark.createDataFrame([("a", 8), ("b", 8), ("c", 5), ("d", 5), ("x", 3)], "word string, n bigint")
+    every = np.full(16, -1, np.int64).view(np.uint64)
+    hashes = {r.hash: r.word for r in L.with_hashes(words).collect()}
+    numbered = np.array(list(hashes), np.int64).view(np.uint64)
+    for known in (numbered, numbered[:2], numbered[:0]):
+        found = L.run_counts(texts, 2, known, every, 4, 3).collect()
+        got = {(hashes.get(r.x0), hashes.get(r.x1)): r.n for r in found}
+        assert got == {("a", "b"): 8, ("b", "c"): 5, ("c", "d"): 5, ("d", None): 5}
