@@ -14,9 +14,8 @@ bit filter of fixed size tells; where it fills, more is counted, but nothing is
 What a retained context or an entry adds to a score is one number of its own
 (the weight of the suffix, or what the entry's probability has over the
 suffix's), so the tree is a table of 64-bit codes and numbers, of which a place
-in a text adds up at most two for each length. The head is broadcast: what
-reaches a share of all tokens, hence at most ``1 / share`` of each kind and
-length. A bit filter leaves out what the tree does not hold, and the places that
+in a text adds up at most two for each length. The head is broadcast: a fixed
+number of the most frequent words, contexts and entries. A bit filter leaves out what the tree does not hold, and the places that
 remain are joined with the table. Words and runs are told apart by 64-bit
 hashes there.
 """
@@ -24,7 +23,7 @@ hashes there.
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 import numpy as np
@@ -32,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squadweave.llm.collocations import PACKED, filter_of, filter_places, from_planes, packed_counts, summed
+from squadweave.llm.collocations import PACKED, filter_of, filter_places, from_planes, head_of, packed_counts, runs, summed
 from squadweave.llm.common import (
     LOWER,
     NOT_BLANK,
@@ -49,22 +48,24 @@ from squadweave.llm.common import (
 LEAST_COUNT = 4
 # Words of the longest contexts.
 DEPTH = 2
-# Least relative frequency of words known to every task (at most 500,000), and of contexts and entries known to every
-# task (at most 1,000,000 of each kind and length), after one word and after more.
-WORD_SHARE = 2e-6
-CONTEXT_SHARE = 1e-6
-DEEP_SHARE = 1e-6
+# The most frequent words, and contexts and entries, that every task knows, at most.
+HEAD_WORDS = 1 << 18
+HEAD_CODES = 1 << 20
+# Least relative frequency of such words, and of contexts and entries after one word and after more.
+WORD_SHARE = 0.0
+CONTEXT_SHARE = 0.0
+DEEP_SHARE = 0.0
 # Bits of each filter, a power of two.
-FILTER_BITS = 1 << 27
+FILTER_BITS = 1 << 26
 # Words of text per bucket of counted runs.
-BUCKET_WORDS = 2_000_000
+BUCKET_WORDS = 1_000_000
 # Least Kullback-Leibler divergence, in nats a word, of a context's distribution from its suffix's.
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
 ADDED = 0.1
 # Entries a task gathers before it hands them on.
-GATHERED_WORDS = 500_000
-GATHERED_RUNS = 2_000_000
+GATHERED_WORDS = 250_000
+GATHERED_RUNS = 1_000_000
 
 
 def in_training(id_col: Column, folds: int = 10) -> Column:
@@ -85,9 +86,22 @@ END = np.uint64(1)
 
 def hashed_rows(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-case words of rows one after the other, each row's end included, and where each row starts."""
-    raw = LOWER[raw]
+    return spanned_rows(LOWER[raw], offsets)[:2]
+
+
+def spanned_rows(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``hashed_rows`` of lower-case bytes, and where each word begins and ends; a row's end is an empty word."""
     starts, ends, first = word_spans(raw, offsets, NOT_BLANK)
-    return np.insert(word_hashes(raw, starts, ends), first[1:], END), first + np.arange(len(first))
+    hashes = np.insert(word_hashes(raw, starts, ends), first[1:], END)
+    return hashes, first + np.arange(len(first)), np.insert(starts, first[1:], 0), np.insert(ends, first[1:], 0)
+
+
+def numbers_of(known: np.ndarray, number: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Numbers of word hashes, -1 for one that is not among the sorted ``known``."""
+    if not len(known):
+        return np.full(len(words), -1)
+    slot = np.minimum(np.searchsorted(known, words), len(known) - 1)
+    return np.where(known[slot] == words, number[slot], -1)
 
 
 def with_hashes(counts: DataFrame) -> DataFrame:
@@ -176,7 +190,7 @@ class Tree:
     total: int
     distinct: int
     depth: int = DEPTH
-    words: dict[bytes, int] = field(default_factory=dict)
+    words: list[bytes] = field(default_factory=list)
     single: np.ndarray = field(default_factory=lambda: np.zeros(1))
     # By word number, and one that no word has at the end.
     hashes: np.ndarray = field(default_factory=lambda: np.zeros(1, np.uint64))
@@ -208,7 +222,7 @@ class Tree:
     def numbers(self, rows: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers of rows one after the other, and where each row starts."""
         starts = np.cumsum([0, *map(len, rows)])
-        get = self.words.get
+        get = {word: k for k, word in enumerate(self.words)}.get
         return np.fromiter((get(word, -1) for words in rows for word in words), np.int64, starts[-1]), starts
 
     def logs(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -237,6 +251,12 @@ class Tree:
         return alone, best, np.concatenate(places), np.concatenate(codes)
 
 
+def distinct_rows(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Distinct rows in order, their counts, and where each stands first."""
+    order, first = runs(list(columns))
+    return [x[order[first]] for x in columns], np.diff(np.append(first, len(order))), order[first]
+
+
 def run_counts(texts: DataFrame, size: int, hashes: np.ndarray, shorter: np.ndarray, least: int, buckets: int) -> DataFrame:
     """``x0``, ``x1``, ... and ``n``: the hashes of all runs of ``size`` words that occur ``least`` times or more.
 
@@ -276,11 +296,7 @@ def run_counts(texts: DataFrame, size: int, hashes: np.ndarray, shorter: np.ndar
                     cut = starts[1:-1] - k
                     whole[cut[(cut >= 0) & (cut < len(whole))]] = False
                 at = np.flatnonzero(whole)
-                if len(known):
-                    slot = np.minimum(np.searchsorted(known, words), len(known) - 1)
-                    ids = np.where(known[slot] == words, number[slot], -1)
-                else:
-                    ids = np.full(len(words), -1)
+                ids = numbers_of(known, number, words)
                 parts = [ids[at + k] for k in range(size)]
                 common = np.logical_and.reduce([x >= 0 for x in parts])
                 packed.append(reduce(lambda code, x: (code << width) | x, [x[common] for x in parts]))
@@ -346,16 +362,18 @@ def train(
     depth: int = DEPTH,
     filter_bits: int = FILTER_BITS,
 ) -> tuple[Tree, Tables]:
-    """The tree of a table with one text column: its head, whose bounds are the shares, and the tables of all of it."""
+    """The tree of a table with one text column: its head, and the tables of all of it."""
     counts = written(with_hashes(word_counts(texts)))
     total, distinct = (x or 0 for x in counts.agg(F.sum("n"), F.count("n")).first())
-    frequent = counts.filter(F.col("n") >= word_share * total).toPandas()
+    often = head_of(counts, HEAD_WORDS)[0] & (F.col("n") >= word_share * total)
+    frequent = counts.filter(often).toPandas()
     frequent = frequent.sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
     n = frequent["n"].to_numpy(np.int64)
     tree = Tree(total, distinct, depth)
-    tree.words = {word.encode(): k for k, word in enumerate(frequent["word"])}
+    tree.words = [word.encode() for word in frequent["word"]]
     tree.single = np.append(np.log10((n + ADDED) / (total + ADDED * (distinct + 1))), 0.0)
     tree.hashes = np.append(frequent["hash"].to_numpy(np.int64).view(np.uint64), np.uint64(0))
+    del frequent
 
     # Level by level: runs one word longer, whose contexts and suffixes are the runs of the level before.
     p = (F.col("n") + ADDED) / (total + ADDED * (distinct + 1))
@@ -366,10 +384,10 @@ def train(
         names = [f"x{k}" for k in range(size)]
         enough = before.filter(F.col("n") >= least_count)
         shorter = filter_of(coded(enough, names[:-1]), ["code"], filter_bits)
-        runs = run_counts(texts, size, tree.hashes[:-1], shorter, least_count, buckets)
+        counted = run_counts(texts, size, tree.hashes[:-1], shorter, least_count, buckets)
         contexts = enough.select(*names[:-1], F.col("n").alias("context_n"))
-        suffixes = before.select(*[F.col(f"x{k - 1}").alias(f"x{k}") for k in range(1, size)], F.col("p").alias("suffix_p"))
-        contexts, entries = smoothed(written(runs.join(contexts, names[:-1]).join(suffixes, names[1:])), names[:-1], divergence)
+        suffixes = enough.select(*[F.col(f"x{k - 1}").alias(f"x{k}") for k in range(1, size)], F.col("p").alias("suffix_p"))
+        contexts, entries = smoothed(written(counted.join(contexts, names[:-1]).join(suffixes, names[1:])), names[:-1], divergence)
         entries = written(entries.select(*names, "n", "p", "delta"))
         levels.append((names, contexts, entries))
         before = entries.select(*names, "n", "p")
@@ -391,13 +409,16 @@ def train(
     deltas = written(reduce(DataFrame.union, parts))
 
     share = F.when(F.col("kind") <= kind_of(2, False), context_share).otherwise(deep_share)
-    common = F.col("n") >= share * total
+    common = head_of(deltas, HEAD_CODES)[0] & (F.col("n") >= share * total)
     head = deltas.filter(common).select("code", "delta", "kind").toArrow()
     codes = head["code"].to_numpy().view(np.uint64)
     order = np.argsort(codes)
     tree.codes, tree.deltas, tree.kinds = codes[order], head["delta"].to_numpy()[order], head["kind"].to_numpy()[order].astype(np.int8)
-    tree.bits = filter_of(deltas, ["code"], filter_bits)
-    return tree, Tables(counts, deltas.filter(~common).select("code", "delta"))
+    rest = deltas.filter(~common).select("code", "delta")
+    tree.bits = filter_of(rest, ["code"], filter_bits)
+    for word, bit in filter_places(tree.codes, filter_bits):
+        np.bitwise_or.at(tree.bits, word, bit)
+    return tree, Tables(counts, rest)
 
 
 def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -409,33 +430,50 @@ def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", t
     not read. Words below the head's share are joined with their counts, and
     places at which the tree may hold more than its head with the tree's table.
     """
-    shared = broadcast_state(docs.sparkSession, tree)
+    # Tasks tell words apart by their hashes.
+    order = np.argsort(tree.hashes[:-1])
+    shared = broadcast_state(docs.sparkSession, replace(tree, words=[], hashes=tree.hashes[order]))
+    order = docs.sparkSession.sparkContext.broadcast(order)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         tree = with_state(Tree, shared)
-        rare_type = pa.list_(pa.struct([("word", pa.string()), ("tf", pa.int64())]))
+        number = order.value
         for batch in batches:
-            n, known, base, best, rare, sizes, parts = [], [], [], [], [], [], []
-            for rows, (_, _, raw, offsets) in zip(rows_of_words(batch.column(2)), text_slices(batch.column(2))):
-                ids, starts = tree.numbers(rows)
-                alone, deep, places, codes = tree.settled(ids, starts, hashed_rows(raw, offsets)[0])
+            n, known, base, best, sizes, parts = [], [], [], [], [], []
+            rare, tf, rare_sizes = [], [np.zeros(0, np.int64)], []
+            for _, _, raw, offsets in text_slices(batch.column(2)):
+                raw = LOWER[raw]
+                hashes, starts, begin, end = spanned_rows(raw, offsets)
+                ids = numbers_of(tree.hashes, number, hashes)
+                alone, deep, places, codes = tree.settled(ids, starts, hashes)
                 row = np.searchsorted(starts, places, "right") - 1
                 parts.append(codes[np.argsort(row, kind="stable")].view(np.int64))
-                sizes.append(np.bincount(row, minlength=len(rows)))
+                sizes.append(np.bincount(row, minlength=len(starts) - 1))
                 n.append(np.diff(starts))
                 known.append(np.add.reduceat((ids >= 0).astype(np.int64), starts[:-1]))
                 base.append(np.add.reduceat(alone, starts[:-1]))
                 best.append(np.add.reduceat(deep, starts[:-1]))
-                for words, a, b in zip(rows, starts.tolist(), starts[1:].tolist()):
-                    found = Counter([words[k] for k in np.flatnonzero(ids[a:b] < 0).tolist()])
-                    rare.append([{"word": word.decode(), "tf": tf} for word, tf in found.items()])
+                at = np.flatnonzero(ids < 0)
+                (row, _), count, first = distinct_rows(np.searchsorted(starts, at, "right") - 1, hashes[at])
+                data = raw.tobytes()
+                rare += [data[a:b] for a, b in zip(begin[at[first]].tolist(), end[at[first]].tolist())]
+                tf.append(count)
+                rare_sizes.append(np.bincount(row, minlength=len(starts) - 1))
+            rare = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(np.concatenate(tf))], ["word", "tf"])
+            rare_ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *rare_sizes])).astype(np.int32)
             ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *sizes])).astype(np.int32)
             codes = np.concatenate([np.zeros(0, np.int64), *parts])
             columns = [np.concatenate(x) if x else np.zeros(0) for x in (n, known, base, best)]
             columns = [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *columns, pa.array(rare, rare_type), pa.ListArray.from_arrays(pa.array(ends), pa.array(codes))],
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    *columns,
+                    pa.ListArray.from_arrays(pa.array(rare_ends), rare),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(codes)),
+                ],
                 ["_row", id_col, "n_tokens", "n_known", "base_score", "score", "rare", "open"],
             )
 
