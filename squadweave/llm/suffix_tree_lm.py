@@ -105,7 +105,7 @@ def numbers_of(known: np.ndarray, number: np.ndarray, words: np.ndarray) -> np.n
 
 
 def with_hashes(counts: DataFrame) -> DataFrame:
-    """``word``, ``n`` and ``hash``, the word's."""
+    """``word``, ``n``, ``hash``, the word's, and ``code``, the word's as a run of its own."""
 
     def run(batches):
         for batch in batches:
@@ -115,9 +115,10 @@ def with_hashes(counts: DataFrame) -> DataFrame:
                 found[np.diff(offsets) == 0] = END
                 parts.append(found.view(np.int64))
             hashes = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes)], ["word", "n", "hash"])
+            codes = run_codes(hashes.view(np.uint64), 1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes), pa.array(codes)], ["word", "n", "hash", "code"])
 
-    return counts.mapInArrow(run, "word string, n bigint, hash bigint")
+    return counts.mapInArrow(run, "word string, n bigint, hash bigint, code bigint")
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -146,7 +147,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 class Tables:
     """The whole tree, as scoring joins it."""
 
-    words: DataFrame  # word, n, hash
+    words: DataFrame  # word, n, hash, code
     deltas: DataFrame  # code, delta of what the head does not hold
 
 
@@ -168,20 +169,6 @@ def run_codes(hashes: np.ndarray, size: int, context: bool = False) -> np.ndarra
     return ~codes if context else codes
 
 
-def coded(rows: DataFrame, words: list[str], context: bool = False) -> DataFrame:
-    """``code`` and ``n`` of runs of words, and ``delta`` if ``rows`` has it."""
-    others = [c for c in ("n", "delta") if c in rows.columns]
-    types = {"n": "n bigint", "delta": "delta double"}
-
-    def run(batches):
-        for batch in batches:
-            hashes = np.stack([batch[c].to_numpy() for c in words], axis=1).ravel().view(np.uint64)
-            codes = run_codes(hashes, len(words), context)[:: len(words)].view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(codes), *(batch[c] for c in others)], ["code", *others])
-
-    return rows.select(*words, *others).mapInArrow(run, ", ".join(["code bigint", *(types[c] for c in others)]))
-
-
 @dataclass
 class Tree:
     """The suffix tree's head: words by number in falling order of count, -1 is any other word; sorted codes with what
@@ -235,10 +222,13 @@ class Tree:
         best = alone.copy()
         since = np.arange(len(ids)) - np.repeat(starts[:-1], np.diff(starts))
         places, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        of_size = {}
         for size, context in ((k + 1 - c, c == 1) for k in range(1, self.depth + 1) for c in (1, 0)):
             # A context stands before the word; an entry ends with it.
             back = size if context else size - 1
-            code = run_codes(hashes, size, context)[: max(0, len(ids) - back)]
+            if size not in of_size:
+                of_size[size] = run_codes(hashes, size)
+            code = (~of_size[size] if context else of_size[size])[: max(0, len(ids) - back)]
             at = np.flatnonzero(perhaps(self.bits, code) & (since[back:] >= back))
             code, at = code[at], at + back
             if len(self.codes):
@@ -258,7 +248,8 @@ def distinct_rows(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, n
 
 
 def run_counts(texts: DataFrame, size: int, hashes: np.ndarray, shorter: np.ndarray, least: int, buckets: int) -> DataFrame:
-    """``x0``, ``x1``, ... and ``n``: the hashes of all runs of ``size`` words that occur ``least`` times or more.
+    """All runs of ``size`` words that occur ``least`` times or more: their words' hashes ``x0``, ``x1``, ..., ``n``,
+    and the codes of the run, of its ``context`` (without the last word) and of its ``suffix`` (without the first).
 
     ``shorter`` is the filter of runs one word shorter that do so; the last word may be a text's end. Counts leave a
     task as packed arrays, in which the words with these ``hashes``, as far as numbers of 63 bits in all tell them
@@ -324,28 +315,33 @@ def run_counts(texts: DataFrame, size: int, hashes: np.ndarray, shorter: np.ndar
                     low = (1 << width) - 1
                     columns = [by_number[(columns[0] >> (width * k)) & low].view(np.int64) for k in reversed(range(size))]
                 found.append([*columns, n])
-        return pa.table(dict(zip([*names, "n"], map(np.concatenate, zip(*found)))))
+        columns = [np.concatenate(x) for x in zip(*found)]
+        hashes = np.stack(columns[:-1], axis=1).ravel().view(np.uint64)
+        codes = [run_codes(hashes, size), run_codes(hashes, size - 1), run_codes(hashes, size - 1)[1:]]
+        return pa.table(dict(zip(kept, [*columns, *(x[::size].view(np.int64) for x in codes)])))
 
-    schema = ", ".join(f"{x} bigint" for x in [*names, "n"])
+    kept = [*names, "n", "code", "context", "suffix"]
+    schema = ", ".join(f"{x} bigint" for x in kept)
     return texts.mapInArrow(run, PACKED).groupBy("bucket").applyInArrow(add_up, schema)
 
 
-def smoothed(entries: DataFrame, context: list[str], threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Of ``entries`` with ``n``, ``context_n`` and ``suffix_p``: the contexts with ``n``, ``delta`` (the log weight of the
-    suffix) and whether they diverge, and the entries with ``p`` and ``delta``."""
+def smoothed(entries: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Of ``entries`` with ``n``, ``context``, ``context_n``, ``context_suffix`` and ``suffix_p``: the contexts with ``n``,
+    their suffix, ``delta`` (the log weight of the suffix) and whether they diverge, and the entries with ``p`` and ``delta``."""
     share = F.col("n") / F.col("context_n")
     own = (F.col("n") - DISCOUNT) / F.col("context_n")
     rest = F.greatest(1 - F.sum(share), F.lit(0.0))
     rest_p = F.greatest(1 - F.sum("suffix_p"), F.lit(1e-12))
     gain = F.sum(share * F.ln(share / F.col("suffix_p"))) + F.when(rest > 0, rest * F.ln(rest / rest_p)).otherwise(0)
     contexts = written(
-        entries.groupBy(*context).agg(
+        entries.groupBy("context").agg(
             F.first("context_n").alias("n"),
+            F.first("context_suffix").alias("context_suffix"),
             F.greatest(1 - F.sum(own), F.lit(1e-12)).alias("suffix_share"),
             (gain >= threshold).alias("diverges"),
         )
     )
-    both = entries.join(contexts.select(*context, "suffix_share"), context)
+    both = entries.join(contexts.select("context", "suffix_share"), "context")
     p = own + F.col("suffix_share") * F.col("suffix_p")
     both = both.withColumn("p", p)
     delta = F.log10("p") - F.log10("suffix_p") - F.log10("suffix_share")
@@ -377,35 +373,34 @@ def train(
 
     # Level by level: runs one word longer, whose contexts and suffixes are the runs of the level before.
     p = (F.col("n") + ADDED) / (total + ADDED * (distinct + 1))
-    before = counts.select(F.col("hash").alias("x0"), "n", p.alias("p"))
+    before = counts.select("code", F.lit(None).cast("bigint").alias("suffix"), "n", p.alias("p"))
     buckets = -(-max(1, total) // BUCKET_WORDS)
     levels = []
     for size in range(2, depth + 2):
-        names = [f"x{k}" for k in range(size)]
         enough = before.filter(F.col("n") >= least_count)
-        shorter = filter_of(coded(enough, names[:-1]), ["code"], filter_bits)
-        counted = run_counts(texts, size, tree.hashes[:-1], shorter, least_count, buckets)
-        contexts = enough.select(*names[:-1], F.col("n").alias("context_n"))
-        suffixes = enough.select(*[F.col(f"x{k - 1}").alias(f"x{k}") for k in range(1, size)], F.col("p").alias("suffix_p"))
-        contexts, entries = smoothed(written(counted.join(contexts, names[:-1]).join(suffixes, names[1:])), names[:-1], divergence)
-        entries = written(entries.select(*names, "n", "p", "delta"))
-        levels.append((names, contexts, entries))
-        before = entries.select(*names, "n", "p")
+        shorter = filter_of(enough, ["code"], filter_bits)
+        counted = run_counts(texts, size, tree.hashes[:-1], shorter, least_count, buckets).select("code", "context", "suffix", "n")
+        suffixes = enough.select(F.col("code").alias("suffix"), F.col("p").alias("suffix_p"))
+        contexts = enough.select(
+            F.col("code").alias("context"), F.col("n").alias("context_n"), F.col("suffix").alias("context_suffix")
+        )
+        contexts, entries = smoothed(written(counted.join(suffixes, "suffix").join(contexts, "context")), divergence)
+        before = written(entries.select("code", "context", "suffix", "n", "p", "delta"))
+        levels.append((size, contexts, before))
 
     parts, needed = [], None
-    for names, contexts, entries in reversed(levels):
+    for size, contexts, entries in reversed(levels):
         # A retained context's suffix is retained, as its entries refer to it.
         if needed is not None:
-            contexts = contexts.join(needed, names[:-1], "left").filter(F.col("diverges") | F.col("needed"))
+            contexts = contexts.join(needed, "context", "left").filter(F.col("diverges") | F.col("needed"))
         else:
             contexts = contexts.filter("diverges")
-        contexts = written(contexts.select(*names[:-1], "n", "delta"))
-        if len(names) > 2:
-            shifted = [F.col(f"x{k}").alias(f"x{k - 1}") for k in range(1, len(names) - 1)]
-            needed = contexts.select(*shifted).distinct().withColumn("needed", F.lit(True))
-        own = entries.join(contexts.select(names[:-1]), names[:-1], "left_semi")
-        parts.append(coded(contexts, names[:-1], True).withColumn("kind", F.lit(kind_of(len(names) - 1, True))))
-        parts.append(coded(own, names).withColumn("kind", F.lit(kind_of(len(names), False))))
+        contexts = written(contexts.select("context", "context_suffix", "n", "delta"))
+        needed = contexts.select(F.col("context_suffix").alias("context")).distinct().withColumn("needed", F.lit(True))
+        own = entries.join(contexts.select("context"), "context", "left_semi")
+        # As contexts, runs have the inverse of their code.
+        parts.append(contexts.select(F.bitwise_not("context").alias("code"), "n", "delta", F.lit(kind_of(size - 1, True)).alias("kind")))
+        parts.append(own.select("code", "n", "delta", F.lit(kind_of(size, False)).alias("kind")))
     deltas = written(reduce(DataFrame.union, parts))
 
     share = F.when(F.col("kind") <= kind_of(2, False), context_share).otherwise(deep_share)
@@ -440,42 +435,33 @@ def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", t
         tree = with_state(Tree, shared)
         number = order.value
         for batch in batches:
-            n, known, base, best, sizes, parts = [], [], [], [], [], []
-            rare, tf, rare_sizes = [], [np.zeros(0, np.int64)], []
-            for _, _, raw, offsets in text_slices(batch.column(2)):
+            for low, high, raw, offsets in text_slices(batch.column(2)):
                 raw = LOWER[raw]
                 hashes, starts, begin, end = spanned_rows(raw, offsets)
                 ids = numbers_of(tree.hashes, number, hashes)
                 alone, deep, places, codes = tree.settled(ids, starts, hashes)
                 row = np.searchsorted(starts, places, "right") - 1
-                parts.append(codes[np.argsort(row, kind="stable")].view(np.int64))
-                sizes.append(np.bincount(row, minlength=len(starts) - 1))
-                n.append(np.diff(starts))
-                known.append(np.add.reduceat((ids >= 0).astype(np.int64), starts[:-1]))
-                base.append(np.add.reduceat(alone, starts[:-1]))
-                best.append(np.add.reduceat(deep, starts[:-1]))
+                codes = codes[np.argsort(row, kind="stable")].view(np.int64)
                 at = np.flatnonzero(ids < 0)
-                (row, _), count, first = distinct_rows(np.searchsorted(starts, at, "right") - 1, hashes[at])
+                (rare_row, _), tf, first = distinct_rows(np.searchsorted(starts, at, "right") - 1, hashes[at])
                 data = raw.tobytes()
-                rare += [data[a:b] for a, b in zip(begin[at[first]].tolist(), end[at[first]].tolist())]
-                tf.append(count)
-                rare_sizes.append(np.bincount(row, minlength=len(starts) - 1))
-            rare = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(np.concatenate(tf))], ["word", "tf"])
-            rare_ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *rare_sizes])).astype(np.int32)
-            ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *sizes])).astype(np.int32)
-            codes = np.concatenate([np.zeros(0, np.int64), *parts])
-            columns = [np.concatenate(x) if x else np.zeros(0) for x in (n, known, base, best)]
-            columns = [pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    *columns,
-                    pa.ListArray.from_arrays(pa.array(rare_ends), rare),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(codes)),
-                ],
-                ["_row", id_col, "n_tokens", "n_known", "base_score", "score", "rare", "open"],
-            )
+                rare = [data[a:b] for a, b in zip(begin[at[first]].tolist(), end[at[first]].tolist())]
+                rare = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(tf)], ["word", "tf"])
+                rare_ends, ends = (
+                    np.searchsorted(np.sort(x), np.arange(high - low + 1)).astype(np.int32) for x in (rare_row, row)
+                )
+                sums = [np.add.reduceat(x, starts[:-1]) for x in ((ids >= 0).astype(np.int64), alone, deep)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(low, high - low),
+                        batch.column(1).slice(low, high - low),
+                        pa.array(np.diff(starts)),
+                        *map(pa.array, sums),
+                        pa.ListArray.from_arrays(pa.array(rare_ends), rare),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(codes)),
+                    ],
+                    ["_row", id_col, "n_tokens", "n_known", "base_score", "score", "rare", "open"],
+                )
 
     numbered = docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col(id_col), F.col(text_col).cast("string").alias(text_col)
