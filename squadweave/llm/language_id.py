@@ -9,6 +9,7 @@ verdict is marked as rejected.
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -16,10 +17,14 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from squadweave.llm.common import written
+
 # A language's dictionary is drawn from about this many of its distinct training texts, picked by a hash, and has at most
 # this many bytes.
 SAMPLE_DOCUMENTS = 400
 DICTIONARY_BYTES = 1 << 16
+# All dictionaries together have at most this many bytes; where there are very many languages, each gets a smaller one.
+ALL_BYTES = 1 << 26
 # Long texts are encoded in blocks, so that what a text says itself does not outweigh the dictionary.
 BLOCK_BYTES = 2048
 # Short texts are encoded in several orders of their words, as sizes are whole bytes.
@@ -54,11 +59,9 @@ def piece(raw: bytes, most_bytes: int) -> bytes:
     return raw[word or at :][:most_bytes]
 
 
-def dictionary(texts: list[bytes], most_bytes: int) -> bytes:
+def dictionary(pieces: list[bytes], most_bytes: int) -> bytes:
     """Sample text for one language: an equal part of each distinct text's words, in a fixed order."""
-    texts = sorted(set(texts))
-    part = max(64, most_bytes // max(1, len(texts)))
-    return b" ".join(piece(text, part) for text in texts)[:most_bytes]
+    return b" ".join(sorted(set(pieces)))[:most_bytes]
 
 
 def learn(
@@ -67,12 +70,14 @@ def learn(
     lang_col: str = "lang",
     sample_documents: int = SAMPLE_DOCUMENTS,
     dictionary_bytes: int = DICTIONARY_BYTES,
+    all_bytes: int = ALL_BYTES,
 ) -> dict[str, bytes]:
     """A dictionary per language found in ``docs``, the training documents, the most common language first.
 
     Rows without language or without a letter teach nothing; texts of any length teach. About ``sample_documents``
-    of a language's distinct texts are picked, all where there are fewer and one at least. What reaches the driver is
-    bounded by languages times the sample, as each text sends at most ``dictionary_bytes``.
+    of a language's distinct texts are picked, all where there are fewer and one at least. Tasks cut each text to its
+    share of the dictionary, so what reaches the driver is about as large as the dictionaries, at most ``all_bytes``
+    of them (but for 64 bytes of each text).
     """
     steps = 1 << 30
     known = (
@@ -82,22 +87,31 @@ def learn(
     )
     place = F.pmod("hash", F.lit(steps))
     # Copies are one text; each is picked or left with all its copies.
-    distinct = known.groupBy("lang", "hash").agg(F.count("*").alias("rows"))
-    totals = distinct.groupBy("lang").agg(F.sum("rows").alias("n"), F.count("*").alias("texts"), F.min(place).alias("least")).collect()
-    if not totals:
-        return {}
-    limits = {row.lang: min(steps, max(sample_documents * steps // row.texts, row.least + 1)) for row in totals}
-    pairs = [F.lit(x) for pair in sorted(limits.items()) for x in pair]
-    picked = known.filter(place < F.create_map(*pairs)[F.col("lang")]).select("lang", "text").distinct()
+    distinct = written(known.groupBy("lang", "hash").agg(F.count("*").alias("rows")))
+    share = F.floor(F.lit(sample_documents * steps).cast("double") / F.col("texts")).cast("long")
+    limits = (
+        distinct.groupBy("lang")
+        .agg(F.sum("rows").alias("n"), F.count("*").alias("texts"), F.min(place).alias("least"))
+        .select("lang", "n", F.least(F.lit(steps), F.greatest(share, F.col("least") + 1)).alias("limit"))
+    )
+    picked = distinct.join(limits, "lang").filter(place < F.col("limit"))
+    shares = written(picked.groupBy("lang").agg(F.first("n").alias("n"), F.first("limit").alias("limit"), F.count("*").alias("texts")))
+    order = [row.lang for row in shares.select("lang").orderBy(F.desc("n"), "lang").collect()]
+    most = min(dictionary_bytes, all_bytes // max(1, len(order)))
+    chosen = known.join(shares, "lang").filter(place < F.col("limit")).select("lang", "texts", "text").distinct()
 
     def run(batches):
         for batch in batches:
-            pieces = [piece(b" ".join(plain_words(text.as_py())), dictionary_bytes) for text in batch.column(1)]
+            pieces = [
+                piece(b" ".join(plain_words(text)), max(64, most // texts))
+                for texts, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pieces, pa.binary())], ["lang", "words"])
 
-    rows = picked.mapInArrow(run, "lang string, words binary").collect()
-    common = sorted(totals, key=lambda row: (-row.n, row.lang))
-    return {of.lang: dictionary([bytes(r.words) for r in rows if r.lang == of.lang], dictionary_bytes) for of in common}
+    pieces = defaultdict(list)
+    for row in chosen.mapInArrow(run, "lang string, words binary").toLocalIterator():
+        pieces[row.lang].append(bytes(row.words))
+    return {lang: dictionary(pieces[lang], most) for lang in order}
 
 
 def encoders(dictionaries: dict[str, bytes], level: int, strategy: int) -> list[zstandard.ZstdCompressor]:
@@ -124,14 +138,15 @@ def encoders(dictionaries: dict[str, bytes], level: int, strategy: int) -> list[
 class Compressors:
     """Encodes texts with every language's dictionary."""
 
-    def __init__(self, dictionaries: dict[str, bytes]):
+    def __init__(self, dictionaries: dict[str, bytes], short_bytes: int = SHORT_BYTES):
         self.languages = list(dictionaries)
+        self.short_bytes = short_bytes
         self.searches = [encoders(dictionaries, **how) for how in (QUICK, THOROUGH)]
 
     def sizes(self, words: list[bytes], search: list[zstandard.ZstdCompressor]) -> list[int]:
         """Bytes of the text under every dictionary."""
         raw = b" ".join(words)
-        if len(raw) <= SHORT_BYTES:
+        if len(raw) <= self.short_bytes:
             blocks = [raw, b" ".join(words[::-1]), b" ".join(sorted(words)), b" ".join(words[1::2] + words[::2])]
         else:
             blocks = [raw[at : at + BLOCK_BYTES] for at in range(0, len(raw), BLOCK_BYTES)]
@@ -159,19 +174,21 @@ def identify(
     id_col: str = "doc_id",
     text_col: str = "text",
     min_margin: float = MIN_MARGIN,
+    short_bytes: int = SHORT_BYTES,
 ) -> DataFrame:
     """One row per document: its id, ``lang``, ``score`` and ``rejected``.
 
     ``score`` is 1 - exp(-margin / 0.05) for the margin by which the smallest
     encoding beats the next, so 0 is a tie; ``rejected`` marks margins under
-    ``min_margin``. Texts that are null or have no letter are ``und``, rejected
+    ``min_margin``. Texts of up to ``short_bytes`` of letters are encoded in
+    four orders of their words, whose sizes add up. Texts that are null or have no letter are ``und``, rejected
     with score 0, as is everything where nothing was learned. Only the text is
     looked at, whole; repeated rows and null ids pass through.
     """
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
     def run(batches):
-        compressors = Compressors(shared.value)
+        compressors = Compressors(shared.value, short_bytes)
         for batch in batches:
             found = [compressors.verdict(text.as_py() or "") for text in batch.column(1)]
             margins = np.array([margin for _, margin in found], float)

@@ -82,3 +82,15 @@ def test_odd_documents(odd_docs, no_docs):
     assert und == {"2", "3", "4", "None"} and all(r.rejected and r.score == 0 for r in rows if r.lang == "und")
     assert L.learn(no_docs) == {} and L.identify(no_docs, learned).collect() == []
     assert {r.lang for r in L.identify(odd_docs, {}).collect()} == {"und"}
+
+
+def test_tasks_cut_texts_to_their_share(spark, monkeypatch):
+    """What is sent of many long texts is no more than the dictionary, and many languages share one bound."""
+    sizes, real = [], L.dictionary
+    monkeypatch.setattr(L, "dictionary", lambda pieces, most: (sizes.append(sum(map(len, pieces))), real(pieces, most))[1])
+    rows = [(f"l{k % 3}", " ".join(f"{chr(97 + n % 26)}{chr(97 + k % 26)}{chr(97 + k // 26)}" for n in range(5000))) for k in range(150)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    L.learn(docs, dictionary_bytes=8192)
+    assert len(sizes) == 3 and max(sizes) <= 8192
+    learned = L.learn(docs, all_bytes=6000)
+    assert set(learned) == {"l0", "l1", "l2"} and all(0 < len(x) <= 2000 for x in learned.values())
