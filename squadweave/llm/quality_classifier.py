@@ -1,17 +1,20 @@
 """Quality and toxicity by co-training two views of a document.
 
-One classifier sees the text's content, the other its metadata. In each round
+One classifier sees the text's words, the other the page's metadata: its columns
+and the figures of its form. In each round
 both score a pool of unlabelled documents, and each hands its most confident
 verdicts to the other as labels. Afterwards each view is calibrated on labelled
 documents that neither was trained on, a last small model weighs the two, and
 every document is scored by it.
 
 The classifiers are logistic models over hashed features, fitted on a bounded
-sample; scoring reads every text whole.
+sample of documents of any length, of which features alone reach the driver;
+scoring reads every text whole.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
+from squadweave.llm.collocations import from_planes, planes
 from squadweave.llm.common import (
     LOWER,
     broadcast_state,
@@ -34,8 +39,6 @@ from squadweave.llm.common import (
 # Labelled documents to train on, to calibrate on, and unlabelled ones in the pool: about so many of each at most, picked
 # by a hash of the id.
 TRAINED, CALIBRATED, POOL = 5000, 2500, 2500
-# Texts longer than this are not picked for the samples (they are scored like all others), which bounds their bytes.
-SAMPLE_TEXT_BYTES = 1 << 16
 BUCKETS = 1 << 18
 ROUNDS = 3
 # Features that fewer training documents have are left out of a fit.
@@ -53,7 +56,8 @@ SHAPES = 8
 STEMS = (3, 4, 5, 6)
 
 
-CONTENT_SIZE = BUCKETS + SHAPES * 11
+# The figures of a text's form stand behind the hashed values of the metadata, in ten steps each.
+METADATA_SIZE = BUCKETS + SHAPES * 11
 
 
 @dataclass
@@ -120,7 +124,7 @@ def shapes(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def content_rows(column: pa.Array) -> Rows:
     """The content of all texts of a column."""
-    parts = [empty_rows(), *(rows for _, _, rows in content_slices(column))]
+    parts = [empty_rows(), *(rows for _, _, rows, _ in content_slices(column))]
     lengths = np.concatenate([np.diff(rows.starts) for rows in parts])
     return Rows(
         np.concatenate([rows.index for rows in parts]),
@@ -129,26 +133,74 @@ def content_rows(column: pa.Array) -> Rows:
     )
 
 
-def content_slices(column: pa.Array) -> Iterator[tuple[int, int, Rows]]:
-    """Each text's words and word beginnings, hashed, by how often they occur, and its form's figures in ten steps each.
+def content_slices(column: pa.Array) -> Iterator[tuple[int, int, Rows, np.ndarray]]:
+    """Each text's words and word beginnings, hashed, by how often they occur, and the features of its form.
 
-    A run of rows at a time, as (first row, last row + 1, their features).
+    A run of rows at a time, as (first row, last row + 1, features, those of the form).
     """
+    for low_row, high_row, index, counts, starts, form in counted_slices(column):
+        yield low_row, high_row, Rows(index, weight_of(counts), starts), form
+
+
+def weight_of(counts: np.ndarray) -> np.ndarray:
+    return np.log2(1 + counts).astype(np.float32)
+
+
+def counted_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """``content_slices`` with the features' counts."""
     for low_row, high_row, raw, offsets in text_slices(column):
         n = len(offsets) - 1
-        steps = BUCKETS + np.arange(SHAPES) * 11 + np.minimum(10, shapes(raw, offsets) * 10).astype(np.int64)
+        form = BUCKETS + np.arange(SHAPES) * 11 + np.minimum(10, shapes(raw, offsets) * 10).astype(np.int64)
         low = LOWER[raw]
         begin, end, first = word_spans(low, offsets, _WORD)
         row = np.repeat(np.arange(n), np.diff(first))
-        keys = [np.arange(n).repeat(SHAPES) * CONTENT_SIZE + steps.ravel()]
+        keys = []
         for size in (*STEMS, 0):
             long = end - begin > size
             spans = word_hashes(low, begin[long], begin[long] + size if size else end[long])
             bucket = (mix(spans + np.uint64(size)) % np.uint64(BUCKETS)).astype(np.int64)
-            keys.append(row[long] * CONTENT_SIZE + bucket)
+            keys.append(row[long] * BUCKETS + bucket)
         keys, counts = np.unique(np.concatenate(keys), return_counts=True)
-        starts = np.concatenate([[0], np.cumsum(np.bincount(keys // CONTENT_SIZE, minlength=n))])
-        yield low_row, high_row, Rows((keys % CONTENT_SIZE).astype(np.int32), np.log2(1 + counts).astype(np.float32), starts)
+        starts = np.concatenate([[0], np.cumsum(np.bincount(keys // BUCKETS, minlength=n))])
+        yield low_row, high_row, (keys % BUCKETS).astype(np.int32), counts, starts, form
+
+
+def with_form(rows: Rows, form: np.ndarray) -> Rows:
+    """Rows of equally many values each, and the features of the form behind them."""
+    n = len(form)
+    index = np.hstack([rows.index.reshape(n, len(rows.index) // max(1, n)), form])
+    return Rows(index.ravel(), np.ones(index.size), np.arange(n + 1) * index.shape[1])
+
+
+def featured(rows: DataFrame) -> DataFrame:
+    """``rows`` with features in place of ``_text``: ``_index`` and ``_counts`` of its content, ``_form``, packed."""
+    others = [c for c in rows.columns if c != "_text"]
+
+    def run(batches):
+        for batch in batches:
+            for low, high, index, counts, starts, form in counted_slices(batch.column(len(others))):
+                each = list(zip(starts.tolist(), starts[1:].tolist()))
+                packed = [
+                    [zlib.compress(planes(np.diff(index[a:b].astype(np.int64), prepend=np.int64(0))), 1) for a, b in each],
+                    [zlib.compress(planes(counts[a:b]), 1) for a, b in each],
+                    [row.tobytes() for row in form],
+                ]
+                kept = [column.slice(low, high - low) for column in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(x, pa.binary()) for x in packed)], [*others, "_index", "_counts", "_form"])
+
+    kinds = [rows.schema[c] for c in others] + [StructField(c, BinaryType()) for c in ("_index", "_counts", "_form")]
+    return rows.select(*others, "_text").mapInArrow(run, StructType(kinds))
+
+
+def unpacked(found: pa.Table) -> tuple[Rows, np.ndarray]:
+    """The content and the form of the rows of ``featured``."""
+    index = [np.cumsum(from_planes(zlib.decompress(x.as_py()))).astype(np.int32) for x in found.column("_index")]
+    value = [weight_of(from_planes(zlib.decompress(x.as_py()))) for x in found.column("_counts")]
+    form = [np.frombuffer(x.as_py(), np.int64) for x in found.column("_form")]
+    starts = np.cumsum([0, *map(len, index)])
+    none = empty_rows()
+    rows = Rows(np.concatenate([none.index, *index]), np.concatenate([none.value, *value]), starts)
+    return rows, np.stack(form) if form else np.zeros((0, SHAPES), np.int64)
 
 
 def metadata_rows(columns: list[pa.Array], n_rows: int) -> Rows:
@@ -249,7 +301,7 @@ def hand_over(found: np.ndarray, share: float, sure: float) -> tuple[np.ndarray,
 
 def co_train(labels, trained: tuple[Rows, Rows], pool: tuple[Rows, Rows], held: tuple[Rows, Rows], held_labels, rounds=ROUNDS):
     """Both views' weights and the calibrations of one target."""
-    sizes, own = (CONTENT_SIZE, BUCKETS), [(rows, labels) for rows in trained]
+    sizes, own = (BUCKETS, METADATA_SIZE), [(rows, labels) for rows in trained]
     n_pool = len(pool[0].starts) - 1
     weights = [fit(rows, y, size) for (rows, y), size in zip(own, sizes)]
     for _ in range(rounds if n_pool else 0):
@@ -310,18 +362,18 @@ def train(
     both verdicts in its samples is scored by their share alone.
     """
     known = labels.select(F.col(id_col).alias("_id"), *targets).filter("_id is not null").dropDuplicates(["_id"])
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), *metadata).filter(
-        (F.octet_length("_text") > 0) & (F.octet_length("_text") <= SAMPLE_TEXT_BYTES)
-    )
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), *metadata)
+    texts = texts.filter(F.octet_length("_text") > 0)
     picked = _sample(known, trained + calibrated, "labelled").select("_id", *[F.col(t).alias(f"_{t}") for t in targets])
-    some = one_each(texts.join(F.broadcast(picked), "_id")).toArrow()
+    some = featured(one_each(texts.join(F.broadcast(picked), "_id"))).toArrow()
     rest = _sample(texts.select("_id"), pooled * 2, "pool").join(known.select("_id"), "_id", "left_anti")
-    rest = one_each(texts.join(F.broadcast(rest.distinct()), "_id", "left_semi")).toArrow()
+    rest = featured(one_each(texts.join(F.broadcast(rest.distinct()), "_id", "left_semi"))).toArrow()
 
     def views(found: pa.Table) -> tuple[Rows, Rows]:
         found = found.combine_chunks()
-        parts = [found.column(c).combine_chunks() if found.num_rows else pa.array([], found.schema.field(c).type) for c in ("_text", *metadata)]
-        return content_rows(parts[0]), metadata_rows(parts[1:], found.num_rows)
+        parts = [found.column(c).combine_chunks() if found.num_rows else pa.array([], found.schema.field(c).type) for c in metadata]
+        content, form = unpacked(found)
+        return content, with_form(metadata_rows(parts, found.num_rows), form)
 
     pool = views(rest)
     del rest
@@ -339,7 +391,7 @@ def train(
             share = float(y[usable].mean()) if usable.any() else 0.5
             constant = np.log(max(share, 1e-6) / max(1 - share, 1e-6))
             none = np.zeros(2)
-            models[target] = (np.zeros(CONTENT_SIZE + 1), np.zeros(BUCKETS + 1), none, none, np.array([0, 0, constant]))
+            models[target] = (np.zeros(BUCKETS + 1), np.zeros(METADATA_SIZE + 1), none, none, np.array([0, 0, constant]))
             continue
         models[target] = co_train(
             y[here], tuple(x.take(here) for x in both), pool, tuple(x.take(there) for x in both), y[there]
@@ -371,9 +423,9 @@ def score(
         model = with_state(CoTrained, shared)
         for batch in batches:
             found = {target: np.zeros(batch.num_rows) for target in targets}
-            for low, high, content in content_slices(batch.column(1)):
+            for low, high, content, form in content_slices(batch.column(1)):
                 columns = [batch.column(k).slice(low, high - low) for k in range(2, batch.num_columns)]
-                extra = metadata_rows(columns, high - low)
+                extra = with_form(metadata_rows(columns, high - low), form)
                 for target in targets:
                     found[target][low:high] = model.scores(target, content, extra)
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, found.values())], [id_col, *targets])

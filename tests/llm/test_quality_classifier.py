@@ -1,4 +1,6 @@
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -106,3 +108,48 @@ def test_a_repeated_id_is_sampled_once(spark, monkeypatch):
     labels = spark.createDataFrame([(k, k % 2, k % 3 % 2) for k in range(40)], "doc_id long, quality int, toxic int")
     C.train(docs, labels)
     assert sorted(sizes) == [40, 41]
+
+
+def brute_features(text):
+    """Hashed words and word beginnings of a text with the logarithm of their counts, one by one."""
+    found = Counter()
+    for word in re.findall(rb"[a-z\x80-\xff]+", text.lower().encode()):
+        for size in (*C.STEMS, 0):
+            if len(word) > size:
+                raw = np.frombuffer(word[: size or None], np.uint8)
+                span = C.word_hashes(raw, np.array([0]), np.array([len(raw)]))
+                found[int(C.mix(span + np.uint64(size))[0] % np.uint64(C.BUCKETS))] += 1
+    return {k: np.log2(1 + n) for k, n in found.items()}
+
+
+def test_combined_scores_agree_with_brute_force(tables):
+    docs, labels = tables
+    model = C.train(docs, labels.filter("doc_id % 3 = 0"))
+    some = docs.filter("doc_id < 30")
+    found = {r.doc_id: r for r in C.score(some, model).collect()}
+    for row in some.collect():
+        features = brute_features(row.text)
+        form = C.BUCKETS + np.arange(C.SHAPES) * 11
+        raw = np.frombuffer(row.text.encode(), np.uint8)
+        form = form + np.minimum(10, C.shapes(raw, np.array([0, len(raw)]))[0] * 10).astype(int)
+        values = C.metadata_rows([pa.array([row[c]]) for c in ("source", "lang", "n_chars")], 1).index
+        for target, (content_w, metadata_w, content_c, metadata_c, both) in model.targets.items():
+            content = sum(content_w[k] * v for k, v in features.items()) + content_w[-1]
+            metadata = sum(metadata_w[k] for k in (*values, *form)) + metadata_w[-1]
+            views = content * content_c[0] + content_c[1], metadata * metadata_c[0] + metadata_c[1]
+            p = 1 / (1 + np.exp(-(views[0] * both[0] + views[1] * both[1] + both[2])))
+            assert found[row.doc_id][target] == pytest.approx(p, abs=1e-5)
+
+
+def test_long_texts_teach(spark):
+    """Only texts of 100 KB or more are labelled, and what they teach holds for short ones."""
+    pick = random.Random(3)
+    rows, known = [], []
+    for k in range(60):
+        words = [f"w{pick.randint(0, 50)}x" for _ in range(30_000 if k < 40 else 20)] + ["vile" if k % 2 else "kind"] * 20
+        rows.append((k, " ".join(words), "s", "en", 1))
+        known.append((k, 1 - k % 2, k % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    labels = spark.createDataFrame(known[:40], "doc_id long, quality long, toxic long")
+    found = {r.doc_id: r.toxic for r in C.score(docs, C.train(docs, labels)).collect()}
+    assert all((found[k] > 0.5) == bool(k % 2) for k in range(40, 60))
