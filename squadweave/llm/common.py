@@ -29,6 +29,14 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+def forget(*tables: DataFrame) -> None:
+    """Delete the files of written tables that no result rests on any more."""
+    for folder in sorted({path.rsplit("/", 1)[0] for table in tables for path in table.inputFiles()}):
+        spark = tables[0].sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_state(spark: SparkSession, thing):
     """Broadcast an object's plain attributes; executors need not have this package to load them."""
     return spark.sparkContext.broadcast(vars(thing))

@@ -36,6 +36,7 @@ from squadweave.llm.common import (
     LOWER,
     NOT_BLANK,
     broadcast_state,
+    forget,
     sequence_hashes,
     text_slices,
     with_state,
@@ -154,8 +155,10 @@ class Tables:
 def perhaps(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Whether a filter may hold codes."""
     found = np.ones(len(codes), bool)
-    for word, bit in filter_places(codes, len(bits) * 64):
-        found &= (bits[word] & bit) != 0
+    for k, (word, bit) in enumerate(filter_places(codes, len(bits) * 64)):
+        # Most codes are ruled out by the first bit.
+        left = np.flatnonzero(found) if k else slice(None)
+        found[left] = (bits[word[left]] & bit[left]) != 0
     return found
 
 
@@ -222,22 +225,22 @@ class Tree:
         best = alone.copy()
         since = np.arange(len(ids)) - np.repeat(starts[:-1], np.diff(starts))
         places, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-        of_size = {}
-        for size, context in ((k + 1 - c, c == 1) for k in range(1, self.depth + 1) for c in (1, 0)):
-            # A context stands before the word; an entry ends with it.
-            back = size if context else size - 1
-            if size not in of_size:
-                of_size[size] = run_codes(hashes, size)
-            code = (~of_size[size] if context else of_size[size])[: max(0, len(ids) - back)]
-            at = np.flatnonzero(perhaps(self.bits, code) & (since[back:] >= back))
-            code, at = code[at], at + back
-            if len(self.codes):
-                slot = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-                hit = self.codes[slot] == code
-                best[at[hit]] += self.deltas[slot[hit]]
-                code, at = code[~hit], at[~hit]
-            places.append(at)
-            codes.append(code)
+        after = np.flatnonzero(since > 0)
+        for k in range(1, self.depth + 1):
+            # A context stands before the word. An entry, which ends with the word, needs the context, and that its suffix.
+            whole = run_codes(hashes, k)
+            after = after[since[after] >= k]
+            after = after[perhaps(self.bits, ~whole[after - k])]
+            entries = run_codes(hashes, k + 1)[after - k]
+            ends = perhaps(self.bits, entries)
+            for at, code in ((after, ~whole[after - k]), (after[ends], entries[ends])):
+                if len(self.codes):
+                    slot = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+                    hit = self.codes[slot] == code
+                    best[at[hit]] += self.deltas[slot[hit]]
+                    code, at = code[~hit], at[~hit]
+                places.append(at)
+                codes.append(code)
         return alone, best, np.concatenate(places), np.concatenate(codes)
 
 
@@ -375,7 +378,7 @@ def train(
     p = (F.col("n") + ADDED) / (total + ADDED * (distinct + 1))
     before = counts.select("code", F.lit(None).cast("bigint").alias("suffix"), "n", p.alias("p"))
     buckets = -(-max(1, total) // BUCKET_WORDS)
-    levels = []
+    levels, dead = [], []
     for size in range(2, depth + 2):
         enough = before.filter(F.col("n") >= least_count)
         shorter = filter_of(enough, ["code"], filter_bits)
@@ -384,9 +387,11 @@ def train(
         contexts = enough.select(
             F.col("code").alias("context"), F.col("n").alias("context_n"), F.col("suffix").alias("context_suffix")
         )
-        contexts, entries = smoothed(written(counted.join(suffixes, "suffix").join(contexts, "context")), divergence)
+        joined = written(counted.join(suffixes, "suffix").join(contexts, "context"))
+        contexts, entries = smoothed(joined, divergence)
         before = written(entries.select("code", "context", "suffix", "n", "p", "delta"))
         levels.append((size, contexts, before))
+        dead += [joined, contexts, before]
 
     parts, needed = [], None
     for size, contexts, entries in reversed(levels):
@@ -396,12 +401,14 @@ def train(
         else:
             contexts = contexts.filter("diverges")
         contexts = written(contexts.select("context", "context_suffix", "n", "delta"))
+        dead.append(contexts)
         needed = contexts.select(F.col("context_suffix").alias("context")).distinct().withColumn("needed", F.lit(True))
         own = entries.join(contexts.select("context"), "context", "left_semi")
         # As contexts, runs have the inverse of their code.
         parts.append(contexts.select(F.bitwise_not("context").alias("code"), "n", "delta", F.lit(kind_of(size - 1, True)).alias("kind")))
         parts.append(own.select("code", "n", "delta", F.lit(kind_of(size, False)).alias("kind")))
     deltas = written(reduce(DataFrame.union, parts))
+    forget(*dead)
 
     share = F.when(F.col("kind") <= kind_of(2, False), context_share).otherwise(deep_share)
     common = head_of(deltas, HEAD_CODES)[0] & (F.col("n") >= share * total)
