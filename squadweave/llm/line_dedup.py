@@ -10,7 +10,8 @@ match both ways: together they cover a repeated run line by line, to its ends.
 
 Only windows whose fingerprint was selected at more than one place are compared
 by their full content. Their first occurrence, by document id and line, stays;
-the lines of every later one are deleted.
+the lines of every later one are deleted. Where a later one overlaps the first,
+as in many equal lines, the lines that both share are deleted too.
 """
 
 from __future__ import annotations
