@@ -62,11 +62,13 @@ def _in_common(own: str, other: str, parts: str) -> Column:
     return F.col(f"{own}_size") - (1 if parts == "twos" else 0) - lost
 
 
-def _meet(met: DataFrame, index: DataFrame, can: Column, needles: DataFrame, texts: DataFrame) -> DataFrame:
-    """Texts of the distinct pairs that share a key and can match by the characters they have in common."""
-    found = met.join(index, "key").filter(can).select("needle_id", "text_id").distinct()
-    plain = lambda df, side: df.drop(*[name for name in _carried(side) if name != f"{side}_id"])
-    return found.join(plain(needles, "needle"), "needle_id").join(plain(texts, "text"), "text_id").drop("needle_id", "text_id")
+def _meet(met: DataFrame, index: DataFrame, can: Column, pair: list[str]) -> DataFrame:
+    """Distinct ``pair`` columns of what shares a key and can match.
+
+    An index holds each text many times over, so its files are far smaller than
+    its rows; it is merged, as a broadcast chosen by the files' size would not fit the driver.
+    """
+    return met.join(index.hint("merge"), "key").filter(can).select(*pair).distinct()
 
 
 def edits(a: Column, b: Column, cutoff: float) -> Column:
@@ -114,7 +116,7 @@ def whole_candidates(names: DataFrame, texts: DataFrame, cutoff: float, share: f
         .withColumn("j", F.explode(F.sequence(F.lit(0), k)))
         .withColumn("start", _segment(b, k, j))
         .withColumn("content", F.substr("canon", F.col("start") + 1, _segment(b, k, j + 1) - F.col("start")))
-        .select(_key(b, k, j, F.col("content")).alias("key"), *_carried("text"))
+        .select(_key(b, k, j, F.col("content")).alias("key"), "canon", "seq", *_carried("text")[1:])
     )
 
     lengths = F.filter("of_texts", lambda x: can(a, x))
@@ -131,7 +133,7 @@ def whole_candidates(names: DataFrame, texts: DataFrame, cutoff: float, share: f
         .withColumn("start", _segment(text, k, j))
         .withColumn("part", _segment(text, k, j + 1) - F.col("start"))
         .filter((F.col("start") + shift >= 0) & (F.col("start") + shift + F.col("part") <= a))
-        .select(_key(text, k, j, F.substr("name", F.col("start") + shift + 1, F.col("part"))).alias("key"), *_carried("needle"))
+        .select(_key(text, k, j, F.substr("name", F.col("start") + shift + 1, F.col("part"))).alias("key"), "name", *_carried("needle"))
     )
     # At most ``500 / share`` keys are that frequent.
     rows = single_value(index, F.count(F.lit(1)))
@@ -142,11 +144,13 @@ def whole_candidates(names: DataFrame, texts: DataFrame, cutoff: float, share: f
     enough = [
         F.least(_in_common("needle", "text", parts), _in_common("text", "needle", parts)) for parts in ("ones", "twos")
     ]
-    can = (enough[0] >= shared) & (enough[1] >= shared - most - 1)
-    cheap = probes(sized.filter(own).join(dear, "needle_id", "left_anti"))
-    pairs = _meet(cheap, index, can, names, texts)
+    # A change of a character is one edit to Levenshtein and two here, so no match has more edits there than here.
+    close = F.call_function("levenshtein", F.col("name"), F.col("canon"), F.greatest(most, F.lit(0))) >= 0
+    can = (enough[0] >= shared) & (enough[1] >= shared - most - 1) & close
+    cheap = probes(sized.filter(own).join(dear, "needle_id", "left_anti")).drop("needle_id")
+    pairs = _meet(cheap, index, can, ["name", "canon", "seq"])
     up = sized.filter(~own).select("name").unionByName(names.join(dear, "needle_id", "left_semi").select("name"))
-    return pairs.select("name", "canon", "seq"), up
+    return pairs, up
 
 
 def _shared(m: Column, q: int, cutoff: float) -> Column:
@@ -216,5 +220,7 @@ def partial_candidates(
         & (_in_common("needle", "text", "ones") * (200 - cutoff) >= m * cutoff - EPSILON)
         & (_in_common("needle", "text", "twos") >= _shared(m, 2, cutoff))
     )
-    pairs = _meet(cheap, index, can, needles, texts).select(columns)
+    plain = lambda df, side: df.drop(*[name for name in _carried(side) if name != f"{side}_id"]).hint("merge")
+    found = _meet(cheap, index, can, ["needle_id", "text_id"])
+    pairs = found.join(plain(needles, "needle"), "needle_id").join(plain(texts, "text"), "text_id").select(columns)
     return pairs, up.unionByName(needles.join(dear, "needle_id", "left_semi").select(needle))

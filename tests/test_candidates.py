@@ -113,3 +113,20 @@ def test_best_names_by_keys_equal_a_nested_loop(spark, monkeypatch):
             got = resolve.canonicalize(names_frame(spark, names), "name", names_frame(spark, canon), "name", "seq", scorer, 82.0)
             expected = plain_best(names, canon, scorer, 82.0)
             assert {n: c for n, (c, _) in mapping_of(got).items()} == {n: c for n, (c, _) in expected.items()}
+
+
+@pytest.mark.parametrize("find", [candidates.whole_candidates, candidates.partial_candidates])
+def test_the_index_is_never_broadcast(spark, find):
+    """Its files are small, as they repeat each text, but its rows would fill the driver."""
+    names = [f"{a}{b} of the house number {a}{k}" for k, (a, b) in enumerate((a, b) for a in "abcdefgh" for b in "klmnopqr")]
+    pairs, _ = find(*sides(spark, names, names), 80.0, share=EVERYTHING)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [key#" in plan and "BroadcastHashJoin [key#" not in plan
+
+
+def test_whole_candidates_lie_within_the_edits_that_a_match_may_have(spark):
+    """Texts with the same characters and neighbours in another order are no candidates."""
+    names, canon = ["abcdefgh ijklmnop qrstuvwx"], ["qrstuvwx ijklmnop abcdefgh", "abcdefgh ijklmnop qrstuvwy"]
+    pairs, up = candidates.whole_candidates(*sides(spark, names, canon), 80.0, EVERYTHING)
+    assert up.count() == 0
+    assert [r["canon"] for r in pairs.collect()] == [canon[1]]
