@@ -8,8 +8,9 @@ extraction nor page-wide rejection needs a shuffle.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,16 +115,27 @@ def parse_pages(pages: DataFrame, layouts: tuple[Layout, ...], html: str = "html
 
     with_cards = any(layout.cards for layout in layouts)
 
-    @F.pandas_udf(PARSED)
-    def parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(PARSED)
+    def parsed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            found = [read_page(text) for text in texts]
-            yield pd.DataFrame(
-                {
-                    name: pd.Series([row[at] for row in found], dtype=object)
-                    for at, name in enumerate(("layout", "cards", "problem"))
-                }
-            )
+            yield as_structs([read_page(text) for text in texts.to_pylist()])
+
+    def ends(lists: list[list]) -> pa.Array:
+        return pa.array(accumulate(map(len, lists), initial=0), pa.int32())
+
+    def as_structs(found: list[tuple[str | None, list[dict], str | None]]) -> pa.Array:
+        layout, pages, problem = zip(*found, strict=True) if found else ((), (), ())
+        empty = pa.array([cards is None for cards in pages], pa.bool_())
+        pages = [cards or [] for cards in pages]
+        cards = list(chain.from_iterable(pages))
+        fields = [card["fields"] for card in cards]
+        texts = pa.ListArray.from_arrays(ends(fields), pa.array(chain.from_iterable(fields), pa.string()))
+        kinds = pa.array([card["kind"] for card in cards], pa.string())
+        structs = pa.StructArray.from_arrays([kinds, texts], ["kind", "fields"])
+        lists = pa.ListArray.from_arrays(ends(pages), structs, mask=empty)
+        return pa.StructArray.from_arrays(
+            [pa.array(layout, pa.string()), lists, pa.array(problem, pa.string())], ["layout", "cards", "problem"]
+        )
 
     def read_page(text: str) -> tuple[str | None, list[dict], str | None]:
         try:

@@ -131,7 +131,8 @@ def detect_layout(t: Tables) -> DataFrame:
 
 def _card_pages(t: Tables) -> DataFrame:
     """One roster page per customer, of either design, with a player and a coach; some pages cannot be parsed."""
-    customer = t("customer").select("c_custkey", "c_name", "c_mktsegment")
+    # A row becomes a whole page, so few and small files make much work, which only spread rows share among tasks.
+    customer = t("customer").select("c_custkey", "c_name", "c_mktsegment").hint("repartition")
     key = F.col("c_custkey")
     height = F.when(key % 10 == 3, "tall").otherwise(
         F.concat((key % 3 + 5).cast("string"), F.lit("'"), (key % 12).cast("string"), F.lit('"'))

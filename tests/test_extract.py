@@ -170,3 +170,15 @@ def test_stray_end_tags_take_linear_time():
     start = time.perf_counter()
     parse("<p>" * 20_000 + "</b>" * 20_000)
     assert time.perf_counter() - start < 3
+
+
+def test_customers_of_one_file_are_parsed_by_many_tasks(spark, tmp_path):
+    from squadweave import session
+    from squadweave.plans import queries
+
+    session.tune(spark)
+    rows = spark.range(30000).selectExpr("id AS c_custkey", "md5(string(id)) AS c_name", "'BUILDING' AS c_mktsegment")
+    rows.coalesce(1).write.parquet(str(tmp_path / "customer"))
+    pages = queries._card_pages(lambda name: spark.read.parquet(str(tmp_path / name)))
+    tasks = pages.groupBy(F.spark_partition_id().alias("task")).agg(F.count("html").alias("n"), F.max(F.length("html"))).collect()
+    assert sum(row["n"] for row in tasks) == 30000 and len(tasks) > 1
