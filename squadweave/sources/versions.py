@@ -31,16 +31,30 @@ def begin(spark: SparkSession, root: str) -> str:
     """
     number = max([0, *_numbers(spark, root), *_numbers(spark, root, CLAIMS)]) + 1
     while True:
-        system, at = _files(spark, f"{root}/{CLAIMS}/{number:08d}")
-        try:
-            system.create(at, False).close()
+        if _claimed(spark, f"{root}/{CLAIMS}/{number:08d}"):
             return f"{root}/versions/{number:08d}"
-        except Py4JJavaError:
-            if not system.exists(at):
-                raise
         number += 1
 
 
+def _claimed(spark: SparkSession, path: str) -> bool:
+    """Whether this call made the file. Hadoop's local file system looks first and creates then, which two loads may do at once."""
+    system, at = _files(spark, path)
+    if system.getUri().getScheme() == "file":
+        system.mkdirs(at.getParent())
+        try:
+            open(system.makeQualified(at).toUri().getPath(), "x").close()
+            return True
+        except FileExistsError:
+            return False
+    try:
+        system.create(at, False).close()
+        return True
+    except Py4JJavaError:
+        if not system.exists(at):
+            raise
+        return False
+
+
 def retain(spark: SparkSession, root: str, versions: int) -> list[str]:
     """Delete all but the latest ``versions`` complete versions, and older ones that were never completed; their directories.
 
