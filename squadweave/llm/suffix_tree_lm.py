@@ -15,23 +15,25 @@ What a retained context or an entry adds to a score is one number of its own
 (the weight of the suffix, or what the entry's probability has over the
 suffix's), so the tree is a table of 64-bit codes and numbers, of which a place
 in a text adds up at most two for each length. The head is broadcast: a fixed
-number of the most frequent words, contexts and entries. A bit filter leaves out what the tree does not hold, and the places that
-remain are joined with the table. Words and runs are told apart by 64-bit
-hashes there.
+number of the most frequent words, contexts and entries. A bit filter leaves out what the tree does not hold, and the runs that
+remain meet the table bucket by bucket: they leave tasks as packed arrays, a run
+once for both its numbers, and come back as sums of a block of documents. Words
+and runs are told apart by 64-bit hashes there.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, field, replace
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squadweave.llm.collocations import PACKED, filter_of, filter_places, from_planes, head_of, packed_counts, runs, summed
+from squadweave.llm.collocations import PACKED, filter_of, filter_places, from_planes, head_of, packed_counts, planes, runs, summed
 from squadweave.llm.common import (
     LOWER,
     NOT_BLANK,
@@ -60,6 +62,9 @@ DEEP_SHARE = 0.0
 FILTER_BITS = 1 << 26
 # Words of text per bucket of counted runs.
 BUCKET_WORDS = 1_000_000
+# Words of training text per bucket of the tree as scoring looks runs up, and runs at most that meet one on average.
+LOOKUP_WORDS = 4_000_000
+LOOKUP_PLACES = 4_000_000
 # Least Kullback-Leibler divergence, in nats a word, of a context's distribution from its suffix's.
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
@@ -67,6 +72,7 @@ ADDED = 0.1
 # Entries a task gathers before it hands them on.
 GATHERED_WORDS = 250_000
 GATHERED_RUNS = 1_000_000
+GATHERED_PLACES = 1_000_000
 
 
 def in_training(id_col: Column, folds: int = 10) -> Column:
@@ -97,12 +103,34 @@ def spanned_rows(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return hashes, first + np.arange(len(first)), np.insert(starts, first[1:], 0), np.insert(ends, first[1:], 0)
 
 
-def numbers_of(known: np.ndarray, number: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Numbers of word hashes, -1 for one that is not among the sorted ``known``."""
-    if not len(known):
-        return np.full(len(words), -1)
-    slot = np.minimum(np.searchsorted(known, words), len(known) - 1)
-    return np.where(known[slot] == words, number[slot], -1)
+class Finder:
+    """Finds hashes among sorted ``known`` ones: by their first bits, then one by one."""
+
+    def __init__(self, known: np.ndarray):
+        bits = max(1, len(known).bit_length())
+        self.size = len(known)
+        self.shift = np.uint64(64 - bits)
+        self.known = np.append(known, np.uint64(2**64 - 1))
+        self.first = np.searchsorted(known, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each code stands or would stand, and whether it is there."""
+        at = self.first[(codes >> self.shift).view(np.int64)]
+        there = self.known[at]
+        left = np.flatnonzero(there < codes)
+        while len(left):
+            at[left] += 1
+            there[left] = self.known[at[left]]
+            left = left[there[left] < codes[left]]
+        return at, (there == codes) & (at < self.size)
+
+
+def numbers_of(known: Finder, number: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Numbers of word hashes, -1 for one that is not ``known``."""
+    slot, hit = known.find(words)
+    found = np.full(len(words), -1)
+    found[hit] = number[slot[hit]]
+    return found
 
 
 def with_hashes(counts: DataFrame) -> DataFrame:
@@ -148,7 +176,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 class Tables:
     """The whole tree, as scoring joins it."""
 
-    words: DataFrame  # word, n, hash, code
+    words: DataFrame  # word, n, hash, code of what the head does not hold
     deltas: DataFrame  # code, delta of what the head does not hold
 
 
@@ -219,29 +247,60 @@ class Tree:
         """log10 probability of each word by itself and by the head; a word without a number adds only its contexts' weights."""
         return self.settled(ids, starts, self.hashes[ids])[:2]
 
-    def settled(self, ids: np.ndarray, starts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """``logs`` of words with these hashes, and places and codes of what the tree may hold beyond its head."""
+    @cached_property
+    def finder(self) -> Finder:
+        return Finder(self.codes)
+
+    def held(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What the head adds for codes, and which of them it does not hold."""
+        slot, hit = self.finder.find(codes)
+        added = np.zeros(len(codes))
+        added[hit] = self.deltas[slot[hit]]
+        return added, ~hit
+
+    @cached_property
+    def lone(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By word number: whether the tree may hold the word as a context, what the head adds for it, whether it may stand beyond the head."""
+        codes = ~run_codes(self.hashes, 1)
+        may = perhaps(self.bits, codes)
+        added, beyond = self.held(codes)
+        return may, added, may & beyond
+
+    def settled(self, ids: np.ndarray, starts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """``logs`` of words with these hashes and, for each length, where runs begin that the tree may hold beyond its head, and their codes.
+
+        A run counts once, whether as a context, as an entry or as both: what stands before a word
+        also ends with a word.
+        """
         alone = self.single[ids]
         best = alone.copy()
         since = np.arange(len(ids)) - np.repeat(starts[:-1], np.diff(starts))
-        places, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        beyond = [np.zeros(len(ids), bool) for _ in range(self.depth + 1)]
+        codes = [run_codes(hashes, size) for size in range(1, self.depth + 2)]
         after = np.flatnonzero(since > 0)
         for k in range(1, self.depth + 1):
             # A context stands before the word. An entry, which ends with the word, needs the context, and that its suffix.
-            whole = run_codes(hashes, k)
             after = after[since[after] >= k]
-            after = after[perhaps(self.bits, ~whole[after - k])]
-            entries = run_codes(hashes, k + 1)[after - k]
-            ends = perhaps(self.bits, entries)
-            for at, code in ((after, ~whole[after - k]), (after[ends], entries[ends])):
-                if len(self.codes):
-                    slot = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-                    hit = self.codes[slot] == code
-                    best[at[hit]] += self.deltas[slot[hit]]
-                    code, at = code[~hit], at[~hit]
-                places.append(at)
-                codes.append(code)
-        return alone, best, np.concatenate(places), np.concatenate(codes)
+            contexts = ~codes[k - 1][after - k]
+            if k == 1:
+                may, added, rest = (x[ids[after - 1]] for x in self.lone)
+                unknown = np.flatnonzero(ids[after - 1] < 0)
+                may[unknown] = perhaps(self.bits, contexts[unknown])
+                added[unknown], rest[unknown] = self.held(contexts[unknown])
+                after, added, rest = after[may], added[may], rest[may]
+            else:
+                may = perhaps(self.bits, contexts)
+                after = after[may]
+                added, rest = self.held(contexts[may])
+            best[after] += added
+            beyond[k - 1][after[rest] - k] = True
+            entries = codes[k][after - k]
+            ends = np.flatnonzero(perhaps(self.bits, entries))
+            added, rest = self.held(entries[ends])
+            best[after[ends]] += added
+            beyond[k][after[ends[rest]] - k] = True
+        at = [np.flatnonzero(x) for x in beyond]
+        return alone, best, [(x, code[x]) for x, code in zip(at, codes)]
 
 
 def distinct_rows(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -280,6 +339,7 @@ def run_counts(texts: DataFrame, size: int, hashes: np.ndarray, shorter: np.ndar
 
     def run(batches):
         known, number, bits = state.value
+        known = Finder(known)
         packed, wide, held = [], [], 0
         for batch in batches:
             for _, _, raw, offsets in text_slices(batch.column(0)):
@@ -420,7 +480,113 @@ def train(
     tree.bits = filter_of(rest, ["code"], filter_bits)
     for word, bit in filter_places(tree.codes, filter_bits):
         np.bitwise_or.at(tree.bits, word, bit)
-    return tree, Tables(counts, rest)
+    return tree, Tables(counts.filter(~often), rest)
+
+
+# Rows that leave a task for a bucket: words, or runs whose words all have numbers (``size`` of them) or are told by their code (0).
+SENT = "bucket bigint, part bigint, places bigint, size int, keys binary, lengths binary, rows binary, times binary"
+# Sums of a block of documents.
+SUMS = "part bigint, size int, rows binary, lift binary, known binary"
+WORDS = -1
+
+
+def bucket_of_code(codes: np.ndarray, buckets: int) -> np.ndarray:
+    """A run's bucket, as a context and as an entry."""
+    codes = codes.view(np.int64)
+    return np.maximum(codes, ~codes) % buckets
+
+
+def edges_of(bucket: np.ndarray) -> list[tuple[int, int]]:
+    """Where runs of equal values begin and end."""
+    edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
+    return list(zip(edges[:-1], edges[1:]))
+
+
+def sent_runs(ids: np.ndarray, size: int, at: np.ndarray, codes: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Of runs that begin at places, by how they are told apart, size or 0: their keys, and which of them they are."""
+    width = 63 // size
+    words = [ids[at + k] for k in range(size)]
+    common = np.logical_and.reduce([(x >= 0) & (x < 1 << width) for x in words])
+    keys = reduce(lambda code, x: (code << width) | x, [x[common] for x in words])
+    return [(size, keys, np.flatnonzero(common)), (0, codes[~common].view(np.int64), np.flatnonzero(~common))]
+
+
+def codes_sent(keys: np.ndarray, size: int, hashes: np.ndarray) -> np.ndarray:
+    """Codes of the runs that ``sent_runs`` gave these keys; words have ``hashes`` by number."""
+    if not size:
+        return keys.view(np.uint64)
+    width = 63 // size
+    words = [hashes[(keys >> (width * k)) & ((1 << width) - 1)] for k in reversed(range(size))]
+    return run_codes(np.stack(words, axis=1).ravel(), size)[::size] if len(keys) else np.zeros(0, np.uint64)
+
+
+def summed_parts(size: int, part: np.ndarray, row: np.ndarray, lift: np.ndarray, known: np.ndarray | None = None) -> pa.Table:
+    """Sums by part and row, one packed row a part."""
+    order, first = runs([part, row])
+    lift = np.add.reduceat(lift[order], first) if len(first) else lift
+    known = np.add.reduceat(known[order], first) if known is not None and len(first) else known
+    part, row = part[order[first]], row[order[first]]
+    found = [
+        {
+            "part": int(part[low]),
+            "size": size,
+            "rows": planes(np.diff(row[low:high], prepend=np.int64(0))),
+            "lift": planes(lift[low:high].view(np.int64)),
+            "known": None if known is None else planes(known[low:high]),
+        }
+        for low, high in edges_of(part)
+    ]
+    kinds = [("part", pa.int64()), ("size", pa.int32()), ("rows", pa.binary()), ("lift", pa.binary()), ("known", pa.binary())]
+    return pa.Table.from_pylist(found, pa.schema(kinds))
+
+
+def look_up_runs(sent: pa.Table, deltas: pa.Table, hashes: np.ndarray) -> pa.Table:
+    """What the runs of a bucket add to the scores of the rows they came from."""
+    table = deltas["code"].to_numpy().view(np.uint64)
+    order = np.argsort(table)
+    finder, delta = Finder(table[order]), np.append(deltas["delta"].to_numpy()[order], 0.0)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for size in set(sent["size"].to_pylist()):
+        some = [x for x in sent.to_pylist() if x["size"] == size]
+        codes = codes_sent(np.concatenate([np.cumsum(from_planes(x["keys"])) for x in some]), size, hashes)
+        row = np.concatenate([from_planes(x["rows"]) for x in some])
+        part = np.repeat([x["part"] for x in some], [len(x["rows"]) // 8 for x in some])
+        lift, any_hit = np.zeros(len(codes)), np.zeros(len(codes), bool)
+        for code in (codes, ~codes):
+            slot, hit = finder.find(code)
+            lift += np.where(hit, delta[slot], 0.0)
+            any_hit |= hit
+        found.append((part[any_hit], row[any_hit], lift[any_hit]))
+    return summed_parts(0, *(np.concatenate(x) for x in zip(*found)))
+
+
+def look_up_words(sent: pa.Table, counts: pa.Table) -> pa.Table:
+    """What the words of a bucket add to what unknown words score, and how many are known."""
+    some = sent.to_pylist()
+    lengths = np.concatenate([np.zeros(1, np.int64), *(from_planes(x["lengths"]) for x in some)])
+    buffers = [None, pa.py_buffer(np.cumsum(lengths)), pa.py_buffer(b"".join(x["keys"] for x in some))]
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths) - 1, buffers)
+    known = counts["word"].cast(pa.large_binary()).combine_chunks()
+    slot = pc.index_in(words, value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)
+    hit = np.flatnonzero(slot >= 0)
+    n = counts["n"].to_numpy()[slot[hit]]
+    nothing = np.zeros(0, np.int64)
+    row, times = (np.concatenate([nothing, *(from_planes(x[name]) for x in some)])[hit] for name in ("rows", "times"))
+    part = np.repeat(np.array([x["part"] for x in some], np.int64), [len(x["rows"]) // 8 for x in some])[hit]
+    return summed_parts(WORDS, part, row, times * np.log10((n + ADDED) / ADDED), times)
+
+
+def sums_of_part(sums: pa.Table) -> pa.Table:
+    """``_row``, ``_log``, ``_known``, ``_lift`` of a block's documents."""
+    some = sums.to_pylist()
+    row = np.concatenate([np.cumsum(from_planes(x["rows"])) for x in some])
+    lift = np.concatenate([from_planes(x["lift"]) for x in some]).view(np.float64)
+    number = [len(x["rows"]) // 8 for x in some]
+    word = np.repeat([x["size"] == WORDS for x in some], number)
+    known = np.concatenate([np.zeros(k, np.int64) if x["known"] is None else from_planes(x["known"]) for x, k in zip(some, number)])
+    row, place = np.unique(row, return_inverse=True)
+    log, known, lift = (np.bincount(place, x, len(row)) for x in (np.where(word, lift, 0.0), known, np.where(word, 0.0, lift)))
+    return pa.table({"_row": row + some[0]["part"], "_log": log, "_known": known.astype(np.int64), "_lift": lift})
 
 
 def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -429,73 +595,122 @@ def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", t
     Scores are log10 probabilities of the whole text and its end, by single
     words and by the tree. A null text is empty: its end is its only token.
     Repeated rows and null ids are scored like any other row; other columns are
-    not read. Words below the head's share are joined with their counts, and
-    places at which the tree may hold more than its head with the tree's table.
+    not read. Words below the head's share meet their counts, and runs that
+    the tree may hold beyond its head the tree's table, in buckets. A bucket that more text
+    meets than the tree was made from is dealt out again by blocks of documents.
     """
     # Tasks tell words apart by their hashes.
+    shared = broadcast_state(docs.sparkSession, replace(tree, words=[]))
     order = np.argsort(tree.hashes[:-1])
-    shared = broadcast_state(docs.sparkSession, replace(tree, words=[], hashes=tree.hashes[order]))
-    order = docs.sparkSession.sparkContext.broadcast(order)
+    order = docs.sparkSession.sparkContext.broadcast((order, tree.hashes[order]))
     kind = docs.schema[id_col].dataType.simpleString()
+    buckets = -(-max(1, tree.total) // LOOKUP_WORDS)
+    unknown = np.log10(ADDED / (tree.total + ADDED * (tree.distinct + 1)))
+    scores = f"_row bigint, _id {kind}, n_tokens bigint, n_known bigint, base_score double, score double"
+    sent = [(x.split()[0], {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[x.split()[1]]) for x in SENT.split(", ")]
 
     def run(batches):
         tree = with_state(Tree, shared)
-        number = order.value
+        number, known = order.value[0], Finder(order.value[1])
+        columns = None
+        base, held = 0, 0
+        found_runs: dict[int, list] = {}
+        found_words: list[tuple] = []
+
+        def flush():
+            rows = []
+            for size, parts in found_runs.items():
+                keys, bucket, row = (np.concatenate(x) for x in zip(*parts))
+                by = np.lexsort((keys, bucket))
+                keys, bucket, row = keys[by], bucket[by], row[by]
+                for low, high in edges_of(bucket):
+                    key = planes(np.diff(keys[low:high], prepend=np.int64(0)))
+                    rows.append((int(bucket[low]), base, high - low, size, key, None, planes(row[low:high]), None))
+            if found_words:
+                words = [word for x in found_words for word in x[0]]
+                bucket, row, times = (np.concatenate(x) for x in list(zip(*found_words))[1:])
+                by = np.argsort(bucket, kind="stable")
+                bucket, row, times = bucket[by], row[by], times[by]
+                words = [words[k] for k in by.tolist()]
+                lengths = np.fromiter(map(len, words), np.int64, len(words))
+                for low, high in edges_of(bucket):
+                    packed = (b"".join(words[low:high]), *(planes(x[low:high]) for x in (lengths, row, times)))
+                    rows.append((int(bucket[low]), base, high - low, WORDS, *packed))
+            found_runs.clear()
+            found_words.clear()
+            for low in range(0, len(rows), 64):
+                part = list(zip(*rows[low : low + 64]))
+                arrays = [pa.array(x, t) for x, (_, t) in zip(part, sent)]
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(part[0]), t) for _, t in columns), *arrays], [x for x, _ in columns + sent])
+
         for batch in batches:
+            if columns is None:
+                kinds = [batch.column(0).type, batch.column(1).type, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                columns = list(zip(["_row", "_id", "n_tokens", "n_known", "base_score", "score"], kinds))
             for low, high, raw, offsets in text_slices(batch.column(2)):
                 raw = LOWER[raw]
+                numbers = batch.column(0).slice(low, high - low).to_numpy()
+                if not held:
+                    base = int(numbers[0])
                 hashes, starts, begin, end = spanned_rows(raw, offsets)
-                ids = numbers_of(tree.hashes, number, hashes)
-                alone, deep, places, codes = tree.settled(ids, starts, hashes)
-                row = np.searchsorted(starts, places, "right") - 1
-                codes = codes[np.argsort(row, kind="stable")].view(np.int64)
+                ids = numbers_of(known, number, hashes)
+                alone, deep, beyond = tree.settled(ids, starts, hashes)
+                inside = np.repeat(numbers - base, np.diff(starts))
+                for size, (places, codes) in enumerate(beyond, 1):
+                    if len(places):
+                        bucket, row = bucket_of_code(codes, buckets), inside[places]
+                        for told, keys, some in sent_runs(ids, size, places, codes):
+                            found_runs.setdefault(told, []).append((keys, bucket[some], row[some]))
+                        held += len(places)
                 at = np.flatnonzero(ids < 0)
-                (rare_row, _), tf, first = distinct_rows(np.searchsorted(starts, at, "right") - 1, hashes[at])
-                data = raw.tobytes()
-                rare = [data[a:b] for a, b in zip(begin[at[first]].tolist(), end[at[first]].tolist())]
-                rare = pa.StructArray.from_arrays([pa.array(rare, pa.binary()).cast(pa.string()), pa.array(tf)], ["word", "tf"])
-                rare_ends, ends = (
-                    np.searchsorted(np.sort(x), np.arange(high - low + 1)).astype(np.int32) for x in (rare_row, row)
-                )
-                sums = [np.add.reduceat(x, starts[:-1]) for x in ((ids >= 0).astype(np.int64), alone, deep)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(low, high - low),
-                        batch.column(1).slice(low, high - low),
-                        pa.array(np.diff(starts)),
-                        *map(pa.array, sums),
-                        pa.ListArray.from_arrays(pa.array(rare_ends), rare),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(codes)),
-                    ],
-                    ["_row", id_col, "n_tokens", "n_known", "base_score", "score", "rare", "open"],
-                )
+                if len(at):
+                    (rare_row, rare), times, first = distinct_rows(inside[at], hashes[at])
+                    data = raw.tobytes()
+                    words = [data[a:b] for a, b in zip(begin[at[first]].tolist(), end[at[first]].tolist())]
+                    found_words.append((words, rare.view(np.int64) % buckets, rare_row, times))
+                    held += len(words)
+                sums = [np.add.reduceat(x, starts[:-1]) for x in (ids >= 0, alone, deep)]
+                # Words without a number score as unknown ones here, and more where they are found.
+                tokens, n_known = np.diff(starts), sums[0].astype(np.int64)
+                missing = (tokens - n_known) * unknown
+                arrays = [tokens, n_known, sums[1] + missing, sums[2] + missing]
+                arrays = [*(batch.column(k).slice(low, high - low) for k in (0, 1)), *map(pa.array, arrays)]
+                arrays += [pa.nulls(high - low, t) for _, t in sent]
+                yield pa.RecordBatch.from_arrays(arrays, [x for x, _ in columns + sent])
+                if held >= GATHERED_PLACES:
+                    yield from flush()
+                    held = 0
+        if held:
+            yield from flush()
 
     numbered = docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col(id_col), F.col(text_col).cast("string").alias(text_col)
     )
-    scored = written(
-        numbered.mapInArrow(
-            run,
-            f"_row bigint, `{id_col}` {kind}, n_tokens bigint, n_known bigint, base_score double, score double,"
-            " rare array<struct<word:string,tf:bigint>>, open array<bigint>",
+    scored = written(numbered.mapInArrow(run, f"{scores}, {SENT}"))
+    hashes = docs.sparkSession.sparkContext.broadcast(tree.hashes)
+
+    def of_runs(left: pa.Table, right: pa.Table) -> pa.Table:
+        return look_up_runs(left, right, hashes.value)
+
+    def met(kind: Column, table: DataFrame, key: Column, look_up) -> DataFrame:
+        # Blocks deal out a bucket that many of them meet; the table's rows go to every share.
+        mine = scored.filter(kind)
+        most = (mine.agg(F.sum("places")).first()[0] or 0) / buckets
+        shares = max(1, int(-(-most // LOOKUP_PLACES)))
+        left = mine.withColumn("share", F.pmod(F.xxhash64("part"), F.lit(shares)))
+        right = table.withColumn("bucket", F.pmod(key, F.lit(buckets))).withColumn(
+            "share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint")))
         )
-    )
-    rest = F.lit(tree.total + ADDED * (tree.distinct + 1))
-    n = F.coalesce("n", F.lit(0))
-    words = scored.select("_row", F.inline("rare"))
-    rare = (
-        words.join(tables.words.select("word", "n"), "word", "left")
-        .groupBy("_row")
-        .agg(
-            F.sum(F.col("tf") * F.log10((n + ADDED) / rest)).alias("_log"),
-            F.sum(F.when(n > 0, F.col("tf")).otherwise(0)).alias("_known"),
-        )
-    )
-    places = scored.select("_row", F.explode("open").alias("code"))
-    lifts = places.join(tables.deltas, "code").groupBy("_row").agg(F.sum("delta").alias("_lift"))
+        left = left.select("bucket", "share", *[x for x, _ in sent[1:]]).groupBy("bucket", "share")
+        return left.cogroup(right.groupBy("bucket", "share")).applyInArrow(look_up, SUMS)
+
+    code = F.greatest(F.col("code"), F.bitwise_not("code"))
+    runs_met = met(F.col("size") >= 0, tables.deltas.select("code", "delta"), code, of_runs)
+    words_met = met(F.col("size") == WORDS, tables.words.select("word", "n", "hash"), F.col("hash"), look_up_words)
+    sums = runs_met.union(words_met).groupBy("part").applyInArrow(sums_of_part, "_row bigint, _log double, _known bigint, _lift double")
     log = F.coalesce("_log", F.lit(0.0))
-    return scored.join(rare, "_row", "left").join(lifts, "_row", "left").select(
-        id_col,
+    return scored.filter(F.col("size").isNull()).drop(*[x for x, _ in sent]).join(sums, "_row", "left").select(
+        F.col("_id").alias(id_col),
         "n_tokens",
         (F.col("n_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         (F.col("base_score") + log).alias("base_score"),

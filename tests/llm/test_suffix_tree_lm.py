@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -211,3 +212,44 @@ def test_runs_of_words_without_a_number_are_counted(spark):
         found = L.run_counts(texts, 2, known, every, 4, 3).collect()
         got = {(hashes.get(r.x0), hashes.get(r.x1)): r.n for r in found}
         assert got == {("a", "b"): 8, ("b", "c"): 5, ("c", "d"): 5, ("d", None): 5}
+
+
+def test_hashes_are_found_among_any_known_ones():
+    pick = np.random.RandomState(12)
+    every = pick.randint(0, 2**63, 3000, np.int64).view(np.uint64) << np.uint64(1)
+    # Many known hashes with the same first bits, and the least and the greatest of all.
+    every = np.unique(np.concatenate([every, np.arange(50, dtype=np.uint64), ~np.arange(3, dtype=np.uint64)]))
+    for known in (every[::2], every[1::2], every[:1], every[-1:], every[:0]):
+        at, hit = L.Finder(known).find(every)
+        assert np.array_equal(hit, np.isin(every, known)) and np.array_equal(known[at[hit]], every[hit])
+
+
+@pytest.mark.parametrize("depth", [2, 3])
+def test_what_the_head_does_not_hold_travels_packed(spark, monkeypatch, depth):
+    """No row of its own for a place or a rare word, and the same scores however buckets, shares of them and blocks are cut."""
+    pick = random.Random(13)
+    rows = []
+    for k in range(80):
+        words = ["the", "of"]
+        while len(words) < 40:
+            follow = f"w{zlib.crc32(' '.join(words[-pick.randint(1, 3):]).encode()) % 30}"
+            words.append(follow if pick.random() < 0.7 else f"é{int(pick.expovariate(0.05))}")
+        rows.append((k, " ".join(words)))
+    rows += [(500, None), (501, ""), (502, "unseen the of nothing"), (502, "unseen the of nothing"), (None, "the of the of")]
+    docs = spark.createDataFrame(rows, "part long, text string")
+    expected = brute_scores(rows, depth)
+    base = {doc_id: score for doc_id, _, _, score in brute_base(rows)[1]}
+    monkeypatch.setattr(L, "LOOKUP_WORDS", 1000, raising=False)
+    monkeypatch.setattr(L, "LOOKUP_PLACES", 100, raising=False)
+    monkeypatch.setattr(L, "GATHERED_PLACES", 300, raising=False)
+    shares = {"depth": depth, "context_share": 2.0, "deep_share": 2.0, "filter_bits": 1 << 12}
+    for word_share in (0.01, 2.0):
+        tree, tables = L.train(docs.filter(L.in_training(F.col("part"))).select("text"), word_share=word_share, **shares)
+        found = L.score(docs, tree, tables, id_col="part")
+        # Nothing is unpacked from a column into rows, and no rows are joined but those of documents.
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert not re.search(r"Generate \w+\(\w+#", plan) and len(re.findall(r"\bJoin ", plan)) == 1
+        got = found.collect()
+        assert sorted(repr(r.part) for r in got) == sorted(repr(k) for k, _ in rows)
+        assert all(r.score == pytest.approx(expected[r.part], abs=1e-6) for r in got)
+        assert all(r.base_score == pytest.approx(base[r.part], abs=1e-5) for r in got)
