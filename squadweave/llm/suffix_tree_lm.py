@@ -62,7 +62,7 @@ DEEP_SHARE = 0.0
 FILTER_BITS = 1 << 26
 # Words of text per bucket of counted runs.
 BUCKET_WORDS = 1_000_000
-# Words of training text per bucket of the tree as scoring looks runs up, and runs at most that meet one on average.
+# Words of training text per bucket of the tree as scoring looks runs up, and how many meet one before it is shared out.
 LOOKUP_WORDS = 4_000_000
 LOOKUP_PLACES = 4_000_000
 # Least Kullback-Leibler divergence, in nats a word, of a context's distribution from its suffix's.
@@ -695,8 +695,8 @@ def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", t
     def met(kind: Column, table: DataFrame, key: Column, look_up) -> DataFrame:
         # Blocks deal out a bucket that many of them meet; the table's rows go to every share.
         mine = scored.filter(kind)
-        most = (mine.agg(F.sum("places")).first()[0] or 0) / buckets
-        shares = max(1, int(-(-most // LOOKUP_PLACES)))
+        most = mine.groupBy("bucket").agg(F.sum("places").alias("n")).agg(F.max("n")).first()[0] or 0
+        shares = max(1, -(-most // LOOKUP_PLACES))
         left = mine.withColumn("share", F.pmod(F.xxhash64("part"), F.lit(shares)))
         right = table.withColumn("bucket", F.pmod(key, F.lit(buckets))).withColumn(
             "share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shares - 1).cast("bigint")))
