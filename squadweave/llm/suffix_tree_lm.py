@@ -63,8 +63,15 @@ FILTER_BITS = 1 << 26
 # Words of text per bucket of counted runs.
 BUCKET_WORDS = 1_000_000
 # Words of training text per bucket of the tree as scoring looks runs up, and how many meet one before it is shared out.
-LOOKUP_WORDS = 4_000_000
-LOOKUP_PLACES = 4_000_000
+LOOKUP_WORDS = 2_000_000
+LOOKUP_PLACES = 2_000_000
+# Places of a bucket that go in one row, that leave a task in one batch, and that are looked up at once: an executor
+# holds batches and rows in a task, so they are bounded whatever the number of buckets.
+ROW_PLACES = 1 << 15
+BATCH_PLACES = 1 << 18
+LOOKED_UP = 1 << 18
+# Bytes of text that a task takes apart at once.
+SLICE_BYTES = 1 << 20
 # Least Kullback-Leibler divergence, in nats a word, of a context's distribution from its suffix's.
 DIVERGENCE = 0.02
 DISCOUNT = 0.5
@@ -82,7 +89,7 @@ def in_training(id_col: Column, folds: int = 10) -> Column:
 
 def rows_of_words(column: pa.Array):
     """For each slice of rows, the lower-case words of each, an empty one for the end of the text."""
-    for _, _, raw, offsets in text_slices(column):
+    for _, _, raw, offsets in text_slices(column, SLICE_BYTES):
         raw = LOWER[raw].tobytes()
         yield [[*raw[a:b].split(), b""] for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
 
@@ -342,7 +349,7 @@ def run_counts(texts: DataFrame, size: int, hashes: np.ndarray, shorter: np.ndar
         known = Finder(known)
         packed, wide, held = [], [], 0
         for batch in batches:
-            for _, _, raw, offsets in text_slices(batch.column(0)):
+            for _, _, raw, offsets in text_slices(batch.column(0), SLICE_BYTES):
                 words, starts = hashed_rows(raw, offsets)
                 often = perhaps(bits, run_codes(words, size - 1))
                 whole = often[:-1] & often[1:]
@@ -496,10 +503,32 @@ def bucket_of_code(codes: np.ndarray, buckets: int) -> np.ndarray:
     return np.maximum(codes, ~codes) % buckets
 
 
-def edges_of(bucket: np.ndarray) -> list[tuple[int, int]]:
-    """Where runs of equal values begin and end."""
+def edges_of(bucket: np.ndarray, most: int | None = None) -> list[tuple[int, int]]:
+    """Where runs of equal values begin and end; one of more than ``most`` values is several."""
     edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
-    return list(zip(edges[:-1], edges[1:]))
+    return [(a, min(a + (most or high), high)) for low, high in zip(edges[:-1], edges[1:]) for a in range(low, high, most or high)]
+
+
+def narrow(numbers: np.ndarray) -> bytes:
+    """``planes`` up to the highest byte that any of the numbers has, behind their number."""
+    used = int(np.bitwise_or.reduce(numbers.astype(np.int64).view(np.uint64), initial=np.uint64(0))).bit_length()
+    width = max(1, -(-used // 8))
+    return bytes([width]) + planes(numbers)[: width * len(numbers)]
+
+
+def from_narrow(data: bytes) -> np.ndarray:
+    """The numbers of ``narrow``."""
+    found = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    numbers = np.zeros((found.shape[1], 8), np.uint8)
+    numbers[:, : data[0]] = found.T
+    return numbers.view(np.int64).ravel()
+
+
+def by_bucket(bucket: np.ndarray, buckets: int, keys: np.ndarray) -> np.ndarray:
+    """An order by bucket, then key."""
+    by = np.argsort(keys)
+    # Few buckets are sorted by their digits.
+    return by[np.argsort(bucket[by].astype(np.uint16 if buckets <= 1 << 16 else np.int64), kind="stable")]
 
 
 def sent_runs(ids: np.ndarray, size: int, at: np.ndarray, codes: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -520,24 +549,40 @@ def codes_sent(keys: np.ndarray, size: int, hashes: np.ndarray) -> np.ndarray:
     return run_codes(np.stack(words, axis=1).ravel(), size)[::size] if len(keys) else np.zeros(0, np.uint64)
 
 
-def summed_parts(size: int, part: np.ndarray, row: np.ndarray, lift: np.ndarray, known: np.ndarray | None = None) -> pa.Table:
-    """Sums by part and row, one packed row a part."""
+def summed_rows(part: np.ndarray, row: np.ndarray, lift: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sums by part and row, in order."""
     order, first = runs([part, row])
-    lift = np.add.reduceat(lift[order], first) if len(first) else lift
-    known = np.add.reduceat(known[order], first) if known is not None and len(first) else known
-    part, row = part[order[first]], row[order[first]]
-    found = [
+    if len(first):
+        lift, known = (np.add.reduceat(x[order], first) for x in (lift, known))
+    return part[order[first]], row[order[first]], lift, known
+
+
+def summed_parts(size: int, found: list[tuple[np.ndarray, ...]]) -> pa.Table:
+    """What ``summed_rows`` found, summed again, one packed row a part."""
+    nothing = np.zeros(0, np.int64)
+    part, row, lift, known = summed_rows(*(np.concatenate(x) for x in zip(*found, (nothing, nothing, np.zeros(0), nothing))))
+    rows = [
         {
             "part": int(part[low]),
             "size": size,
-            "rows": planes(np.diff(row[low:high], prepend=np.int64(0))),
+            "rows": narrow(np.diff(row[low:high], prepend=np.int64(0))),
             "lift": planes(lift[low:high].view(np.int64)),
-            "known": None if known is None else planes(known[low:high]),
+            "known": narrow(known[low:high]),
         }
         for low, high in edges_of(part)
     ]
     kinds = [("part", pa.int64()), ("size", pa.int32()), ("rows", pa.binary()), ("lift", pa.binary()), ("known", pa.binary())]
-    return pa.Table.from_pylist(found, pa.schema(kinds))
+    return pa.Table.from_pylist(rows, pa.schema(kinds))
+
+
+def sent_chunks(sent: pa.Table):
+    """Rows of one size that hold about ``LOOKED_UP`` places together, and the part of each place."""
+    size, places, part = (sent[x].to_numpy() for x in ("size", "places", "part"))
+    for one in np.unique(size):
+        at = np.flatnonzero(size == one)
+        for low, high in edges_of((np.cumsum(places[at]) - 1) // LOOKED_UP):
+            some = at[low:high]
+            yield sent.take(some).to_pylist(), np.repeat(part[some], places[some])
 
 
 def look_up_runs(sent: pa.Table, deltas: pa.Table, hashes: np.ndarray) -> pa.Table:
@@ -545,45 +590,43 @@ def look_up_runs(sent: pa.Table, deltas: pa.Table, hashes: np.ndarray) -> pa.Tab
     table = deltas["code"].to_numpy().view(np.uint64)
     order = np.argsort(table)
     finder, delta = Finder(table[order]), np.append(deltas["delta"].to_numpy()[order], 0.0)
-    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-    for size in set(sent["size"].to_pylist()):
-        some = [x for x in sent.to_pylist() if x["size"] == size]
-        codes = codes_sent(np.concatenate([np.cumsum(from_planes(x["keys"])) for x in some]), size, hashes)
-        row = np.concatenate([from_planes(x["rows"]) for x in some])
-        part = np.repeat([x["part"] for x in some], [len(x["rows"]) // 8 for x in some])
+    found = []
+    for some, part in sent_chunks(sent):
+        codes = codes_sent(np.concatenate([np.cumsum(from_narrow(x["keys"])) for x in some]), some[0]["size"], hashes)
+        row = np.concatenate([from_narrow(x["rows"]) for x in some])
         lift, any_hit = np.zeros(len(codes)), np.zeros(len(codes), bool)
         for code in (codes, ~codes):
             slot, hit = finder.find(code)
-            lift += np.where(hit, delta[slot], 0.0)
+            lift[hit] += delta[slot[hit]]
             any_hit |= hit
-        found.append((part[any_hit], row[any_hit], lift[any_hit]))
-    return summed_parts(0, *(np.concatenate(x) for x in zip(*found)))
+        row = row[any_hit]
+        found.append(summed_rows(part[any_hit], row, lift[any_hit], np.zeros(len(row), np.int64)))
+    return summed_parts(0, found)
 
 
 def look_up_words(sent: pa.Table, counts: pa.Table) -> pa.Table:
     """What the words of a bucket add to what unknown words score, and how many are known."""
-    some = sent.to_pylist()
-    lengths = np.concatenate([np.zeros(1, np.int64), *(from_planes(x["lengths"]) for x in some)])
-    buffers = [None, pa.py_buffer(np.cumsum(lengths)), pa.py_buffer(b"".join(x["keys"] for x in some))]
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths) - 1, buffers)
-    known = counts["word"].cast(pa.large_binary()).combine_chunks()
-    slot = pc.index_in(words, value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)
-    hit = np.flatnonzero(slot >= 0)
-    n = counts["n"].to_numpy()[slot[hit]]
-    nothing = np.zeros(0, np.int64)
-    row, times = (np.concatenate([nothing, *(from_planes(x[name]) for x in some)])[hit] for name in ("rows", "times"))
-    part = np.repeat(np.array([x["part"] for x in some], np.int64), [len(x["rows"]) // 8 for x in some])[hit]
-    return summed_parts(WORDS, part, row, times * np.log10((n + ADDED) / ADDED), times)
+    table = counts["word"].cast(pa.large_binary()).combine_chunks()
+    n = counts["n"].to_numpy()
+    found = []
+    for some, part in sent_chunks(sent):
+        ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *(from_narrow(x["lengths"]) for x in some)]))
+        buffers = [None, pa.py_buffer(ends), pa.py_buffer(b"".join(x["keys"] for x in some))]
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, buffers)
+        slot = pc.index_in(words, value_set=table).fill_null(-1).to_numpy(zero_copy_only=False)
+        hit = np.flatnonzero(slot >= 0)
+        row, times = (np.concatenate([from_narrow(x[name]) for x in some])[hit] for name in ("rows", "times"))
+        found.append(summed_rows(part[hit], row, times * np.log10((n[slot[hit]] + ADDED) / ADDED), times))
+    return summed_parts(WORDS, found)
 
 
 def sums_of_part(sums: pa.Table) -> pa.Table:
     """``_row``, ``_log``, ``_known``, ``_lift`` of a block's documents."""
     some = sums.to_pylist()
-    row = np.concatenate([np.cumsum(from_planes(x["rows"])) for x in some])
+    row = np.concatenate([np.cumsum(from_narrow(x["rows"])) for x in some])
     lift = np.concatenate([from_planes(x["lift"]) for x in some]).view(np.float64)
-    number = [len(x["rows"]) // 8 for x in some]
-    word = np.repeat([x["size"] == WORDS for x in some], number)
-    known = np.concatenate([np.zeros(k, np.int64) if x["known"] is None else from_planes(x["known"]) for x, k in zip(some, number)])
+    word = np.repeat([x["size"] == WORDS for x in some], [len(x["lift"]) // 8 for x in some])
+    known = np.concatenate([from_narrow(x["known"]) for x in some])
     row, place = np.unique(row, return_inverse=True)
     log, known, lift = (np.bincount(place, x, len(row)) for x in (np.where(word, lift, 0.0), known, np.where(word, 0.0, lift)))
     return pa.table({"_row": row + some[0]["part"], "_log": log, "_known": known.astype(np.int64), "_lift": lift})
@@ -617,37 +660,49 @@ def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", t
         found_runs: dict[int, list] = {}
         found_words: list[tuple] = []
 
-        def flush():
-            rows = []
-            for size, parts in found_runs.items():
+        def packed_rows():
+            while found_runs:
+                size, parts = found_runs.popitem()
                 keys, bucket, row = (np.concatenate(x) for x in zip(*parts))
-                by = np.lexsort((keys, bucket))
+                del parts
+                by = by_bucket(bucket, buckets, keys)
                 keys, bucket, row = keys[by], bucket[by], row[by]
-                for low, high in edges_of(bucket):
-                    key = planes(np.diff(keys[low:high], prepend=np.int64(0)))
-                    rows.append((int(bucket[low]), base, high - low, size, key, None, planes(row[low:high]), None))
+                for low, high in edges_of(bucket, ROW_PLACES):
+                    key = narrow(np.diff(keys[low:high], prepend=np.int64(0)))
+                    yield int(bucket[low]), base, high - low, size, key, None, narrow(row[low:high]), None
             if found_words:
                 words = [word for x in found_words for word in x[0]]
                 bucket, row, times = (np.concatenate(x) for x in list(zip(*found_words))[1:])
+                found_words.clear()
                 by = np.argsort(bucket, kind="stable")
                 bucket, row, times = bucket[by], row[by], times[by]
                 words = [words[k] for k in by.tolist()]
                 lengths = np.fromiter(map(len, words), np.int64, len(words))
-                for low, high in edges_of(bucket):
-                    packed = (b"".join(words[low:high]), *(planes(x[low:high]) for x in (lengths, row, times)))
-                    rows.append((int(bucket[low]), base, high - low, WORDS, *packed))
-            found_runs.clear()
-            found_words.clear()
-            for low in range(0, len(rows), 64):
-                part = list(zip(*rows[low : low + 64]))
-                arrays = [pa.array(x, t) for x, (_, t) in zip(part, sent)]
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(part[0]), t) for _, t in columns), *arrays], [x for x, _ in columns + sent])
+                for low, high in edges_of(bucket, ROW_PLACES):
+                    packed = (b"".join(words[low:high]), *(narrow(x[low:high]) for x in (lengths, row, times)))
+                    yield int(bucket[low]), base, high - low, WORDS, *packed
+
+        def in_batch(rows):
+            part = list(zip(*rows))
+            arrays = [pa.array(x, t) for x, (_, t) in zip(part, sent)]
+            return pa.RecordBatch.from_arrays([*(pa.nulls(len(rows), t) for _, t in columns), *arrays], [x for x, _ in columns + sent])
+
+        def flush():
+            rows, places = [], 0
+            for row in packed_rows():
+                rows.append(row)
+                places += row[2]
+                if places >= BATCH_PLACES:
+                    yield in_batch(rows)
+                    rows, places = [], 0
+            if rows:
+                yield in_batch(rows)
 
         for batch in batches:
             if columns is None:
                 kinds = [batch.column(0).type, batch.column(1).type, pa.int64(), pa.int64(), pa.float64(), pa.float64()]
                 columns = list(zip(["_row", "_id", "n_tokens", "n_known", "base_score", "score"], kinds))
-            for low, high, raw, offsets in text_slices(batch.column(2)):
+            for low, high, raw, offsets in text_slices(batch.column(2), SLICE_BYTES):
                 raw = LOWER[raw]
                 numbers = batch.column(0).slice(low, high - low).to_numpy()
                 if not held:
@@ -660,7 +715,8 @@ def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", t
                     if len(places):
                         bucket, row = bucket_of_code(codes, buckets), inside[places]
                         for told, keys, some in sent_runs(ids, size, places, codes):
-                            found_runs.setdefault(told, []).append((keys, bucket[some], row[some]))
+                            if len(keys):
+                                found_runs.setdefault(told, []).append((keys, bucket[some], row[some]))
                         held += len(places)
                 at = np.flatnonzero(ids < 0)
                 if len(at):

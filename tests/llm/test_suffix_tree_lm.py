@@ -1,10 +1,12 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -253,3 +255,55 @@ def test_what_the_head_does_not_hold_travels_packed(spark, monkeypatch, depth):
         assert sorted(repr(r.part) for r in got) == sorted(repr(k) for k, _ in rows)
         assert all(r.score == pytest.approx(expected[r.part], abs=1e-6) for r in got)
         assert all(r.base_score == pytest.approx(base[r.part], abs=1e-5) for r in got)
+
+
+def test_looking_places_up_takes_memory_for_a_few_at_once():
+    """Whatever the places of a bucket, a task takes a bounded number apart, and holds sums of documents."""
+    pick = np.random.RandomState(14)
+    packed = getattr(L, "narrow", L.planes)
+    rows, size, docs = 64, 1 << 15, 500
+    codes = np.sort(pick.randint(0, 1 << 62, (rows, size)), axis=1)
+    row = pick.randint(0, docs, (rows, size))
+    sent = [
+        {"part": 7, "places": size, "size": 0, "keys": packed(np.diff(c, prepend=np.int64(0))), "rows": packed(r)} for c, r in zip(codes, row)
+    ]
+    kinds = pa.schema([("part", pa.int64()), ("places", pa.int64()), ("size", pa.int32()), ("keys", pa.binary()), ("rows", pa.binary())])
+    sent = pa.Table.from_pylist(sent, kinds)
+    known = np.concatenate([codes[:, ::3].ravel(), ~codes[:, 1::3].ravel()])
+    deltas = pa.table({"code": known[:1000], "delta": np.arange(1000.0)})
+    tracemalloc.start()
+    found = L.look_up_runs(sent, deltas, np.zeros(1, np.uint64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * rows * size
+    expected = np.bincount(row[:, ::3].ravel()[:1000], np.arange(1000.0), docs)
+    got = {r["_row"]: r["_lift"] for r in L.sums_of_part(found).to_pylist()}
+    assert got == pytest.approx({7 + k: x for k, x in enumerate(expected) if k in set(row[:, ::3].ravel()[:1000])})
+
+
+def test_rows_that_leave_a_task_are_bounded(spark, monkeypatch):
+    """A place of a small document takes less than two whole numbers, and a bucket of any size several rows."""
+    pick = random.Random(15)
+    docs = spark.createDataFrame(
+        [(k, " ".join(f"w{pick.randint(0, 30)}" for _ in range(50))) for k in range(60)], "doc_id long, text string"
+    )
+    tables = []
+    write = L.written
+    monkeypatch.setattr(L, "written", lambda df: tables.append(write(df)) or tables[-1])
+    monkeypatch.setattr(L, "ROW_PLACES", 100, raising=False)
+    found = scored(docs, word_share=0.02, context_share=2.0, deep_share=2.0, divergence=-1.0)[1]
+    rows = tables[-1].filter("size is not null").collect()
+    assert {r["size"] for r in rows} >= {L.WORDS, 2}
+    assert max(r.places for r in rows) <= 100 < sum(r.places for r in rows)
+    runs = [r for r in rows if r["size"] != L.WORDS]
+    assert sum(len(r["keys"]) + len(r["rows"]) for r in runs) < 14 * sum(r.places for r in runs)
+    assert found.count() == 60
+
+
+@pytest.mark.parametrize("numbers", [[], [0], [255, 1], [256, 0, 3], [-1, 5], [2**63 - 1, -(2**63)]])
+def test_numbers_are_packed_and_unpacked(numbers):
+    numbers = np.array(numbers, np.int64)
+    data = L.narrow(numbers)
+    assert np.array_equal(L.from_narrow(data), numbers)
+    if len(numbers) and numbers.min() >= 0 and numbers.max() < 256:
+        assert len(data) == 1 + len(numbers)
