@@ -65,8 +65,8 @@ BUCKET_WORDS = 1_000_000
 # Words of training text per bucket of the tree as scoring looks runs up, and how many meet one before it is shared out.
 LOOKUP_WORDS = 2_000_000
 LOOKUP_PLACES = 2_000_000
-# Places of a bucket that go in one row, that leave a task in one batch, and that are looked up at once: an executor
-# holds batches and rows in a task, so they are bounded whatever the number of buckets.
+# Places of a bucket that go in one row, that leave a task in one batch (or counts of runs), and that are looked up at
+# once: an executor holds batches and rows in a task, so they are bounded whatever the number of buckets.
 ROW_PLACES = 1 << 15
 BATCH_PLACES = 1 << 18
 LOOKED_UP = 1 << 18
@@ -316,6 +316,19 @@ def distinct_rows(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, n
     return [x[order[first]] for x in columns], np.diff(np.append(first, len(order))), order[first]
 
 
+def batches_of(rows, places):
+    """Lists of rows that hold about ``BATCH_PLACES`` together."""
+    part, held = [], 0
+    for row in rows:
+        part.append(row)
+        held += places(row)
+        if held >= BATCH_PLACES:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
 def run_counts(texts: DataFrame, size: int, hashes: np.ndarray, shorter: np.ndarray, least: int, buckets: int) -> DataFrame:
     """All runs of ``size`` words that occur ``least`` times or more: their words' hashes ``x0``, ``x1``, ..., ``n``,
     and the codes of the run, of its ``context`` (without the last word) and of its ``suffix`` (without the first).
@@ -331,18 +344,21 @@ def run_counts(texts: DataFrame, size: int, hashes: np.ndarray, shorter: np.ndar
     kinds = pa.schema([("bucket", pa.int64()), ("counts", pa.binary()), ("packed", pa.binary()), ("wide", pa.list_(pa.binary()))])
 
     def flush(packed, wide):
-        rows = []
         keys = np.concatenate(packed)
-        if len(keys):
-            keys, n = np.unique(keys, return_counts=True)
-            rows += packed_counts([keys], n, buckets, False)
         columns = [np.concatenate(x) for x in zip(*wide)]
-        if len(columns[0]):
-            rows += packed_counts(*summed(columns, np.ones(len(columns[0]), np.int64)), buckets, True)
         packed.clear()
         wide.clear()
-        for low in range(0, len(rows), 256):
-            yield pa.RecordBatch.from_pylist(rows[low : low + 256], kinds)
+        if len(keys):
+            keys, n = np.unique(keys, return_counts=True)
+            yield from in_batches(packed_counts([keys], n, buckets, False))
+        del keys
+        if len(columns[0]):
+            columns, n = summed(columns, np.ones(len(columns[0]), np.int64))
+            yield from in_batches(packed_counts(columns, n, buckets, True))
+
+    def in_batches(rows):
+        for part in batches_of(rows, lambda row: len(row["counts"]) // 8):
+            yield pa.RecordBatch.from_pylist(part, kinds)
 
     def run(batches):
         known, number, bits = state.value
@@ -688,14 +704,7 @@ def score(docs: DataFrame, tree: Tree, tables: Tables, id_col: str = "doc_id", t
             return pa.RecordBatch.from_arrays([*(pa.nulls(len(rows), t) for _, t in columns), *arrays], [x for x, _ in columns + sent])
 
         def flush():
-            rows, places = [], 0
-            for row in packed_rows():
-                rows.append(row)
-                places += row[2]
-                if places >= BATCH_PLACES:
-                    yield in_batch(rows)
-                    rows, places = [], 0
-            if rows:
+            for rows in batches_of(packed_rows(), lambda row: row[2]):
                 yield in_batch(rows)
 
         for batch in batches:

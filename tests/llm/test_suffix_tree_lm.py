@@ -307,3 +307,31 @@ def test_numbers_are_packed_and_unpacked(numbers):
     assert np.array_equal(L.from_narrow(data), numbers)
     if len(numbers) and numbers.min() >= 0 and numbers.max() < 256:
         assert len(data) == 1 + len(numbers)
+
+
+def test_counts_of_runs_leave_a_task_in_bounded_batches(monkeypatch):
+    """However many runs a task has gathered, an Arrow batch of them has about ``BATCH_PLACES`` counts and one row of a bucket more."""
+    found = {}
+
+    class Texts:
+        class sparkSession:
+            class sparkContext:
+                broadcast = staticmethod(lambda value: type("Held", (), {"value": value}))
+
+        def mapInArrow(self, run, _):
+            found["run"] = run
+            return self
+
+        def groupBy(self, _):
+            return self
+
+        def applyInArrow(self, *_):
+            return self
+
+    monkeypatch.setattr(L, "BATCH_PLACES", 100, raising=False)
+    every = np.full(16, -1, np.int64).view(np.uint64)
+    L.run_counts(Texts(), 2, np.zeros(0, np.uint64), every, 4, 10)
+    text = " ".join(f"w{k % 700}" for k in range(3000))
+    batches = list(found["run"](iter([pa.RecordBatch.from_pydict({"text": [text]})])))
+    counts = [sum(len(x) // 8 for x in batch["counts"].to_pylist()) for batch in batches]
+    assert sum(counts) == 701 and max(counts) < 300
