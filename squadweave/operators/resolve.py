@@ -8,12 +8,16 @@ Only what is left is scored, in cells of a bounded number of names.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squadweave.functions.similarity import matches, pair_scores
+from squadweave.functions.similarity import match_batches, pair_scores
 from squadweave.functions.text import normalize_name, sort_tokens
 from squadweave.operators.candidates import SHARE, partial_candidates, whole_candidates
 from squadweave.session import bind, bucket, cut_lineage, single_value
@@ -27,13 +31,20 @@ LEVELS = (1, 2, 3, 6, 12, 24, 48, 96)
 # at most ``1 / HOT_SHARE`` hot ones.
 HOT_SHARE = 0.001
 
-# Names per side of a scoring cell.
-CELL = 1024
+# Names per side of a scoring cell, and characters to a name beyond which it takes fewer.
+CELL = 1 << 15
+CELL_CHARACTERS = 32
+
+# Few names are still dealt to some cells, as names are few bytes but much work: buckets of so many at least, up to
+# so many buckets where all names meet, and where only those of like length do.
+LEAST_CELL, SPREAD, SPREAD_BAND = 1 << 10, 8, 3
+# Cells are dealt to so many tasks, or to as many as the session's shuffles have, if those are more.
+CELL_TASKS = 128
 
 # From this cutoff on, what two matching strings must share is longer than a character on average.
 INDEXED = 75.0
 
-# So few pairs are scored in less time than keys are made: a quarter of a cell.
+# So few pairs are scored in less time than keys are made: a quarter of the largest cell.
 FEW_PAIRS = CELL * CELL // 4
 
 
@@ -124,9 +135,14 @@ def _in_cells(rows: DataFrame, own: str, others: DataFrame, other: str, near: tu
     There are no more bands than lengths of text, so the tables of bucket
     counts are small whatever the data.
     """
-    sides = lambda df, side: df.groupBy(F.col("band").alias(f"{side}_band")).agg(
-        F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("buckets")
-    )
+    spread = SPREAD if len(near) == 1 else SPREAD_BAND
+
+    def sides(df: DataFrame, side: str) -> DataFrame:
+        many, characters = F.count(F.lit(1)), F.sum(F.length(F.col(df.columns[0])))
+        whole = F.ceil(F.greatest(many / CELL, characters / (CELL * CELL_CHARACTERS)))
+        some = F.least(F.lit(spread), F.ceil(many / LEAST_CELL))
+        return df.groupBy(F.col("band").alias(f"{side}_band")).agg(F.greatest(whole, some).cast("int").alias("buckets"))
+
     key = F.col(rows.columns[0])
     placed = rows.withColumnRenamed("band", f"{own}_band").join(F.broadcast(sides(rows, own)), f"{own}_band")
     placed = placed.withColumn(f"{own}_bucket", bucket(key, F.col("buckets"))).drop("buckets")
@@ -148,23 +164,24 @@ def fuzzy_pairs(
     ``seq``; both are distinct. From a cutoff of ``INDEXED`` on, strings meet
     through join keys that no pair at the cutoff can lack; below it, pairs need
     share no more than single characters. Strings whose keys do not tell them
-    apart, and all below that cutoff, are scored in cells. ``share`` is how much
-    of the other side a string's keys may meet. With ``best`` cells return their
-    best pairs only.
+    apart, which at low cutoffs and in short strings are all, and those below that
+    cutoff are scored in cells. ``share`` is how much of the other side a
+    string's keys may meet. With ``best`` cells return their best pairs only.
     """
-    names, canon = names.select("name"), canon.select("canon", "seq")
-    if not INDEXED <= cutoff < 100 or scorer not in ("ratio", "partial"):
-        return _cell_pairs(names, canon, scorer, cutoff, best)
-    names, canon = cut_lineage(names), cut_lineage(canon)
+    names, canon = cut_lineage(names.select("name")), cut_lineage(canon.select("canon", "seq"))
     if names.count() * canon.count() <= FEW_PAIRS:
         return _cell_pairs(names, canon, scorer, cutoff, best)
+    if not INDEXED <= cutoff < 100 or scorer not in ("ratio", "partial"):
+        return _all_pairs(names, canon, scorer, cutoff, best)
     if scorer == "ratio":
         pairs, up = whole_candidates(names, canon, cutoff, share)
-        return _scored(pairs, scorer, cutoff).unionByName(_cell_pairs(cut_lineage(up), canon, scorer, cutoff, best))
+        return _scored(pairs, scorer, cutoff).unionByName(_all_pairs(cut_lineage(up), canon, scorer, cutoff, best))
     short, names_up = partial_candidates(names, canon, cutoff, share=share)
-    long, canon_up = partial_candidates(canon, names, cutoff, longer=True, share=share)
     names_up = cut_lineage(names_up)
     rest = cut_lineage(names.join(names_up, "name", "left_anti"))
+    if rest.isEmpty():
+        return _all_pairs(names, canon, scorer, cutoff, best)
+    long, canon_up = partial_candidates(canon, names, cutoff, longer=True, share=share)
     needles = cut_lineage(canon.join(canon_up, "canon", "left_semi"))
     return (
         _scored(short.unionByName(long.select(short.columns)), scorer, cutoff)
@@ -174,48 +191,87 @@ def fuzzy_pairs(
     )
 
 
+def _all_pairs(names: DataFrame, canon: DataFrame, scorer: str, cutoff: float, best: bool) -> DataFrame:
+    """All pairs in cells; where most names are canonical ones too, two of those meet once and are found both ways."""
+    if best:
+        return _cell_pairs(names, canon, scorer, cutoff, best)
+    both = cut_lineage(canon.join(names.select(F.col("name").alias("canon")), "canon", "left_semi"))
+    shared, named = both.count(), names.count()
+    if 2 * shared <= named:
+        return _cell_pairs(names, canon, scorer, cutoff, best)
+    found = _cell_pairs(both.select(F.col("canon").alias("name"), "seq"), both, scorer, cutoff, best, mirrored=True)
+    if shared < named:
+        others = cut_lineage(names.join(both, names["name"] == both["canon"], "left_anti"))
+        found = found.unionByName(_cell_pairs(others, canon, scorer, cutoff, best))
+    if shared < canon.count():
+        others = cut_lineage(canon.join(both.select("canon"), "canon", "left_anti"))
+        found = found.unionByName(_cell_pairs(both.select(F.col("canon").alias("name")), others, scorer, cutoff, best))
+    return found
+
+
 def _scored(pairs: DataFrame, scorer: str, cutoff: float) -> DataFrame:
     scored = pairs.withColumn("score", pair_score(F.col("name"), F.col("canon"), scorer))
     return scored.filter(F.col("score") >= cutoff)
 
 
-def _cell_pairs(names: DataFrame, canon: DataFrame, scorer: str, cutoff: float, best: bool) -> DataFrame:
+def _cell_pairs(
+    names: DataFrame, canon: DataFrame, scorer: str, cutoff: float, best: bool, mirrored: bool = False
+) -> DataFrame:
     """All pairs in cells.
 
-    Each side is hashed into buckets of about
-    ``CELL`` rows of one length band, and two buckets of bands that can match
-    are one cell. Work and memory per cell are bounded and even whatever the
-    names look like. With ``best`` a cell returns one row per name: top score,
-    then earliest ``seq``.
+    Each side is hashed into buckets of at most about ``CELL`` rows of one
+    length band, and two buckets of bands that can match are one cell. Work and
+    memory per cell are bounded and even whatever the names look like: pairs
+    are told apart by their bits, and what a cell finds leaves it in batches.
+    With ``best`` a cell returns one row per name: top score, then earliest ``seq``.
+    With ``mirrored`` both sides are the same texts, each with its ``seq``: of
+    two cells with their sides exchanged one is scored and returns both ways.
     """
     name_band, near = _band(F.col("name"), scorer, cutoff)
     canon_band, _ = _band(F.col("canon"), scorer, cutoff)
-    left = names.select("name").withColumn("band", name_band)
+    seq_type = canon.schema["seq"].dataType
+    seq = F.col("seq") if mirrored else F.lit(None).cast(seq_type)
+    left = names.select("name", seq.alias("seq")).withColumn("band", name_band)
     right = canon.select("canon", "seq").withColumn("band", canon_band)
-    cell = ["name_band", "name_bucket", "canon_band", "canon_bucket"]
-    name_cells = _in_cells(left, "name", right, "canon", near)
-    canon_cells = _in_cells(right, "canon", left, "name", near)
-
-    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        at_left, at_right, scores = matches(list(left["name"]), list(right["canon"]), scorer, cutoff, best)
-        found = pd.DataFrame(
-            {
-                "name": left["name"].to_numpy()[at_left],
-                "canon": right["canon"].to_numpy()[at_right],
-                "seq": right["seq"].to_numpy()[at_right],
-                "score": scores,
-            }
-        )
-        if best:
-            found = found.sort_values(["score", "seq"], ascending=[False, True]).drop_duplicates("name")
-        return found
-
-    seq_type = canon.schema["seq"].dataType.simpleString()
-    return (
-        name_cells.groupBy(*cell)
-        .cogroup(canon_cells.groupBy(*cell))
-        .applyInPandas(score, f"name string, canon string, seq {seq_type}, score double")
-    )
+    sides = [["name_band", "name_bucket"], ["canon_band", "canon_bucket"]]
+    cell = [*sides[0], *sides[1]]
+    name_cells = _in_cells(left, "name", right, "canon", near).select(*cell, F.col("name").alias("text"), "seq", F.lit(True).alias("own"))
+    canon_cells = _in_cells(right, "canon", left, "name", near).select(*cell, F.col("canon").alias("text"), "seq", F.lit(False).alias("own"))
+    dealt = name_cells.unionByName(canon_cells)
+    if mirrored:
+        dealt = dealt.filter(F.struct(*sides[0]) <= F.struct(*sides[1]))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        left, right = rows.filter(rows["own"]), rows.filter(pc.invert(rows["own"]))
+        if not left.num_rows or not right.num_rows:
+            return
+        twice = mirrored and any(rows[a][0] != rows[b][0] for a, b in zip(*sides))
+        found = match_batches(left["text"].to_pylist(), right["text"].to_pylist(), scorer, cutoff, best)
+        for at_left, at_right, scores in _best_of(found, left.num_rows, right["seq"]) if best else found:
+            a, b = left.take(pa.array(at_left)), right.take(pa.array(at_right))
+            for x, y in ((a, b), (b, a)) if twice else ((a, b),):
+                columns = [x["text"], y["text"], y["seq"], pa.array(scores)]
+                yield from pa.table(columns, ["name", "canon", "seq", "score"]).to_batches()
+
+    parts = max(CELL_TASKS, int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = f"name string, canon string, seq {seq_type.simpleString()}, score double"
+    return dealt.repartition(parts, *cell).groupBy(*cell).applyInArrow(score, found)
+
+
+def _best_of(found, count: int, seq: pa.ChunkedArray):
+    """Of all batches the right one for each left one: top score, then earliest ``seq``."""
+    rank = np.empty(len(seq), np.int64)
+    rank[pc.sort_indices(seq, null_placement="at_start").to_numpy()] = np.arange(len(seq))
+    top, of = np.full(count, -np.inf), np.zeros(count, np.int64)
+    for left, right, scores in found:
+        order = np.lexsort((rank[right], -scores, left))
+        first = order[np.unique(left[order], return_index=True)[1]]
+        left, right, scores = left[first], right[first], scores[first]
+        better = (scores > top[left]) | ((scores == top[left]) & (rank[right] < rank[of[left]]))
+        top[left[better]], of[left[better]] = scores[better], right[better]
+    matched = np.flatnonzero(top > -np.inf)
+    yield matched, of[matched], top[matched]
 
 
 def best_match(df: DataFrame, key: str, score: str, seq: str, value: str) -> DataFrame:

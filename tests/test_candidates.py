@@ -130,3 +130,36 @@ def test_whole_candidates_lie_within_the_edits_that_a_match_may_have(spark):
     pairs, up = candidates.whole_candidates(*sides(spark, names, canon), 80.0, EVERYTHING)
     assert up.count() == 0
     assert [r["canon"] for r in pairs.collect()] == [canon[1]]
+
+
+def rows_written(monkeypatch):
+    """Rows of every table that the candidates write."""
+    rows, write = [], candidates.cut_lineage
+
+    def counted(df):
+        rows.append((written := write(df)).count())
+        return written
+
+    monkeypatch.setattr(candidates, "cut_lineage", counted)
+    return rows
+
+
+@pytest.mark.parametrize("find, cutoff", [(candidates.whole_candidates, 80.0), (candidates.partial_candidates, 85.0)])
+def test_keys_that_tell_little_are_never_made(spark, monkeypatch, find, cutoff):
+    """Segments and substrings of two or three characters would be many times the names, and meet most of them."""
+    names, rows = sorted(set(words(random.Random(3), 400, "abcdefghijklmnop ", 20))), rows_written(monkeypatch)
+    pairs, up = find(*sides(spark, names, names), cutoff)
+    assert sum(rows) <= len(names)
+    assert pairs.isEmpty() and {r["name"] for r in up.collect()} == set(names)
+
+
+@pytest.mark.parametrize("shared", [0, 30, 70, 100])
+def test_names_on_both_sides_meet_once_and_are_found_both_ways(spark, monkeypatch, shared):
+    monkeypatch.setattr(resolve, "CELL", 16)
+    rng = random.Random(shared)
+    base = words(rng, 60, "abc字", 14)
+    both = sorted(set(base) | {mistyped(rng, rng.choice(base), "abc字", 2) for _ in range(60)} | {""}, key=lambda w: rng.random())[:100]
+    names, canon = both[:shared] + both[shared : (100 + shared) // 2], both[:shared] + both[(100 + shared) // 2 :]
+    for scorer, cutoff in (("ratio", 70.0), ("partial", 72.0)):
+        expected = expected_pairs(names, canon, scorer, cutoff)
+        assert found_pairs(resolve.fuzzy_pairs(*sides(spark, names, canon), scorer, cutoff)) == expected

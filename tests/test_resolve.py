@@ -259,3 +259,43 @@ def test_functions_reach_workers_without_the_package(tmp_path):
     code = "import pickle; print(pickle.load(open('task', 'rb'))())"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, capture_output=True, text=True)
     assert done.stdout.strip() == str(task()), done.stderr[-500:]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_no_bound_loses_a_match_however_pairs_are_dealt(seed, monkeypatch):
+    """Texts from empty to longer than a machine word, from few characters to more than have bits, in small grids."""
+    for name, value in (("GRID", 64), ("ACROSS", 16), ("CHANCES", 50), ("KINDS", 64), ("TIMES", 3)):
+        monkeypatch.setattr(similarity, name, value)
+    rng = random.Random(seed)
+    alphabet = ["ab", "abcdefgh ", "aé字𝄞 xyz", "".join(map(chr, range(97, 300)))][seed]
+    base = ["", *words(rng, 25, alphabet, 30), *words(rng, 3, alphabet, 90)]
+    other = ["", "a", *words(rng, 25, alphabet, 30)]
+    other += [w[: rng.randint(0, 9)] + rng.choice(alphabet) + w[rng.randint(0, 12) :] for w in base]
+    other = list(dict.fromkeys(other))
+    for scorer in PLAIN:
+        scores = {(a, b): PLAIN[scorer](a, b) for a in base for b in other}
+        for cutoff in (0.0, 45.0, 70.0, 85.0, 100.0):
+            i, j, s = similarity.matches(base, other, scorer, cutoff)
+            expected = {pair: pytest.approx(score) for pair, score in scores.items() if score >= cutoff}
+            assert len(i) == len(expected) and {(base[x], other[y]): z for x, y, z in zip(i, j, s)} == expected
+            i, j, s = similarity.matches(base, other, scorer, cutoff, best=True)
+            best = {}
+            for x, z in zip(i, s):
+                best[base[x]] = max(best.get(base[x], 0.0), z)
+            tops = {a: max(scores[a, b] for b in other) for a in base}
+            assert best == {a: pytest.approx(top) for a, top in tops.items() if top >= cutoff}
+
+
+def test_names_are_copied_to_few_cells(spark):
+    rows = spark.range(20_000).select(F.format_string("name %d", "id").alias("name"), F.lit(0).alias("band"))
+    others = rows.withColumnRenamed("name", "canon")
+    assert resolve._in_cells(rows, "name", others, "canon", (0,)).count() <= 20_000 * resolve.SPREAD
+
+
+def test_the_best_of_a_name_over_all_batches_is_the_earliest(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    found = [(np.array([0, 1, 0]), np.array([2, 0, 1]), np.array([90.0, 80.0, 90.0])), (np.array([0, 1]), np.array([0, 1]), np.array([90.0, 81.0]))]
+    ((left, right, scores),) = resolve._best_of(found, 3, pa.chunked_array([[7, 5, 6]]))
+    assert (left.tolist(), right.tolist(), scores.tolist()) == ([0, 1], [1, 1], [90.0, 81.0])
