@@ -35,12 +35,6 @@ class Strings:
         self.size = len(alphabet) + 1
         self.codes = np.append(codes + 1, 0).astype(np.int32)
 
-    def counts(self) -> np.ndarray:
-        """How often each character occurs in each string."""
-        rows = np.repeat(np.arange(len(self.texts)), self.length)
-        flat = np.bincount(rows * self.size + self.codes[:-1], minlength=len(self.texts) * self.size)
-        return flat.reshape(len(self.texts), self.size)[:, 1:].astype(np.int32)
-
     def at(self, place: np.ndarray, inside: np.ndarray) -> np.ndarray:
         """Codes at places of the run, 0 where ``inside`` is false."""
         return self.codes.take(np.where(inside, place, len(self.codes) - 1))

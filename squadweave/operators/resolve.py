@@ -243,7 +243,7 @@ def _cell_pairs(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(batches))
-        left, right = rows.filter(rows["own"]), rows.filter(pc.invert(rows["own"]))
+        left, right = (rows.filter(side).combine_chunks() for side in (rows["own"], pc.invert(rows["own"])))
         if not left.num_rows or not right.num_rows:
             return
         twice = mirrored and any(rows[a][0] != rows[b][0] for a, b in zip(*sides))

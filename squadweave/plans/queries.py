@@ -618,7 +618,7 @@ pairs AS (SELECT a, b FROM met WHERE 200 * n >= 80 * (len(a) + len(b))),
 SELECT a AS name, b AS canon, score FROM scored WHERE score >= 80
 """)
 def similar_openings(t: Tables) -> DataFrame:
-    """Whole-string scores through the segment index."""
+    """Whole-string scores, through the segment index where its keys tell names apart."""
     names = _openings(t, 3)
     found = resolve.fuzzy_pairs(names.select("name"), names.select(F.col("name").alias("canon"), "seq"), "ratio", 80.0)
     return found.select("name", "canon", F.round("score", 6).alias("score"))
@@ -647,7 +647,7 @@ hits AS (
 SELECT name, coalesce(canon, name) AS canon, score FROM names LEFT JOIN (FROM hits WHERE rn = 1) USING (name)
 """)
 def canonicalize_openings(t: Tables) -> DataFrame:
-    """Two words with a letter put in against three words, partially, through the inverted index."""
+    """Two words with a letter put in against three words, partially, through the inverted index where its keys tell names apart."""
     typed = _openings(t, 2).select(F.concat(F.substring("name", 1, 3), F.lit("x"), F.expr("substring(name, 4)")).alias("typed"))
     found = resolve.canonicalize(typed, "typed", _openings(t, 3), "name", "seq", cutoff=85.0)
     return found.select("name", "canon", F.round("score", 6).alias("score"))

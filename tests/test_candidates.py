@@ -163,3 +163,14 @@ def test_names_on_both_sides_meet_once_and_are_found_both_ways(spark, monkeypatc
     for scorer, cutoff in (("ratio", 70.0), ("partial", 72.0)):
         expected = expected_pairs(names, canon, scorer, cutoff)
         assert found_pairs(resolve.fuzzy_pairs(*sides(spark, names, canon), scorer, cutoff)) == expected
+
+
+def test_of_a_name_and_a_cell_only_the_best_pair_is_dealt_out(spark, monkeypatch):
+    """Names with many like them bring no row for each, which would be shuffled to lose duplicates and fetch texts."""
+    monkeypatch.setattr(resolve, "LEAST_CELL", 125)
+    rng = random.Random(6)
+    base = ["".join(rng.choice("abcdefghijklmnopqrst") for _ in range(14)) for _ in range(40)]
+    names, canon = [w[:3] + "x" + w[3:] for w in base], [w + end for w in base for end in (" a", " b", " c", " d", " e")]
+    frames = sides(spark, names, canon)
+    assert resolve.fuzzy_pairs(*frames, "partial", 85.0).count() == len(expected_pairs(names, canon, "partial", 85.0)) >= 200
+    assert resolve.fuzzy_pairs(*frames, "partial", 85.0, best=True).count() <= 2 * len(names)
